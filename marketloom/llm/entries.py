@@ -5,10 +5,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, warc
+from . import bpe, exact_dedup, line_dedup, mixing, quality_rules, warc
 from .shared import table
 
 
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def fertility_files() -> dict[str, str]:
+    import public_tokenizers
+
+    return {"ranks": tokenizer_path("byte_bpe_50k.tiktoken"), "pattern": public_tokenizers.PATTERN, "model": tokenizer_path("piece_bpe_32k.model")}
+
+
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(table(spark, sf_dir, "documents"), **fertility_files())
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", F.col("line_total").alias("n_lines"), F.col("line_dropped").alias("n_dropped"), F.sha2("line_text", 256).alias("kept_sha256"))
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken_words(*mixing.mix(table(spark, sf_dir, "documents"))).drop("row_id")
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codec = bpe.Bpe(spark, tokenizer_path("byte_bpe_50k.json"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", codec.encode(F.col("text")).alias("ids"))
+    rows = rows.select("doc_id", "ids", codec.decode(F.col("ids")).alias("decoded"))
+    return rows.select("doc_id", bpe.n_tokens(F.col("ids")).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
@@ -21,11 +53,24 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
+    "op2_line_dedup": op2_line_dedup,
+    "op4_mixing": op4_mixing,
+    "op7_bpe": op7_bpe,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_warc": op10_warc,
 }
 
 SQL = {
+    "op2_line_dedup": """
+        WITH l AS (SELECT doc_id, i, string_split(coalesce(text, ''), chr(10))[i] AS line
+                   FROM (SELECT doc_id, text, unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) AS i FROM documents)),
+        k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+        r AS (SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5)
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (keeper IS NOT NULL AND doc_id <> keeper) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (keeper IS NULL OR doc_id = keeper), '')) AS kept_sha256
+        FROM k LEFT JOIN r USING (key) GROUP BY doc_id
+    """,
     "op9_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256

@@ -102,7 +102,7 @@ def exact_dedup(docs: DataFrame, *, text: str = "text", block: int = BLOCK, hash
     """
     named = block_names(docs, text=text, block=block, hash_bits=hash_bits)
     best = F.max(F.struct(F.col("doc_id"), (-F.col("row_id")).alias("neg")))
-    groups = named.groupBy("level", "name").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size"))
+    groups = written(named.groupBy("level", "name").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size")), "groups")
     return named.join(groups, ["level", "name"]).select(
         "doc_id",
         F.col("best.doc_id").alias("keep_id"),
