@@ -4,8 +4,8 @@ Every prefix of a pre-token has one last token: the longest suffix of the prefix
 a token and that may stand after the last token of what is before it. An automaton over
 the vocabulary (with suffix links) gives the tokens that end at each place; a pair test
 on the merge tree says which two tokens stay apart when merges run in order of rank. The
-back-pointers from the whole pre-token then give its ids. Prefixes are shared between
-pre-tokens, so a worker does each distinct prefix once, as long as its cache holds.
+back-pointers from the whole pre-token then give its ids. A worker keeps the ids of
+pre-tokens, and of what stands between spaces, in caches of bounded size.
 """
 
 from __future__ import annotations
@@ -26,8 +26,10 @@ from pyspark.sql import functions as F
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 PRETOKEN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE}\p{{L}}\p{{N}}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
 
-MAX_PIECES = 300_000
-MAX_PREFIXES = 1_200_000
+#: Bounds of a worker's caches.
+MAX_PIECES, MAX_WORDS, MAX_PAIRS = 500_000, 600_000, 500_000
+#: What often ends a word; none is white space, a letter or a number.
+ENDINGS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def byte_letters() -> dict[str, int]:
@@ -41,20 +43,21 @@ class Irregular(Exception):
     """A piece whose pre-tokens depend on its neighbours."""
 
 
-class Pieces(dict):
-    """Token ids of what stands between single spaces, with the space before it."""
+class TwoAges(dict):
+    """A cache that forgets what was not asked for since it was last half full."""
 
-    def __init__(self, codec: Codec):
-        self.codec = codec
+    def __init__(self, make, most: int):
+        self.make, self.half, self.old = make, most // 2, {}
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
-        if not piece or self.codec.space.match(piece):
-            raise Irregular
-        ids = tuple(self.codec.pattern_ids(" " + piece))
-        if len(self) >= MAX_PIECES:
+    def __missing__(self, key: str) -> tuple[int, ...]:
+        found = self.old.get(key)
+        if found is None:
+            found = self.make(key)
+        if len(self) >= self.half:
+            self.old = dict(self)
             self.clear()
-        self[piece] = ids
-        return ids
+        self[key] = found
+        return found
 
 
 class Codec:
@@ -67,13 +70,14 @@ class Codec:
         vocab = spec["model"]["vocab"]
         self.special = {a["content"]: a["id"] for a in spec["added_tokens"]}
         self.bytes_of = {i: raw(s) for s, i in vocab.items()} | {i: s.encode() for s, i in self.special.items()}
+        self.sizes = {i: len(b) for i, b in self.bytes_of.items()}
         size = max(self.bytes_of) + 1
         self.made, self.left, self.right, self.rank = [-1] * size, [0] * size, [0] * size, {}
         for r, merge in enumerate(spec["model"]["merges"]):
             a, b = merge.split(" ") if isinstance(merge, str) else merge
             i, j, k = vocab[a], vocab[b], vocab[a + b]
             self.made[k], self.left[k], self.right[k], self.rank[i, j] = r, i, j, r
-        self.apart: dict[tuple[int, int], bool] = {}
+        self.apart: dict[int, bool] = {}
         # Tokens that their own bytes do not lead to never occur.
         sound = {i for s, i in vocab.items() if len(raw(s)) == 1}
         for _, k in sorted((r, k) for k, r in enumerate(self.made) if r >= 0):
@@ -88,8 +92,8 @@ class Codec:
         self.space = regex.compile(f"[{WHITE}]")
         self.find = regex.compile(PRETOKEN).findall
         self.at_special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.prefixes: dict[str, int] = {}
-        self.pieces = Pieces(self)
+        self.words = TwoAges(self.word_ids, MAX_WORDS)
+        self.pieces = TwoAges(self.piece_ids, MAX_PIECES)
 
     def _stay_apart(self, a: int, b: int, limit: float = float("inf")) -> bool:
         """Whether no merge across the border of a and b comes before the merges that made them.
@@ -108,51 +112,53 @@ class Codec:
             else:
                 limit, b = made[b] + 1, self.left[b]
 
-    def pretoken_ids(self, word: str) -> list[int]:
-        """word: the bytes as Latin-1 letters."""
+    def word_ids(self, word: str) -> tuple[int, ...]:
+        """Ids of one pre-token."""
+        word = word.encode().decode("latin-1")
         one = self.whole.get(word)
         if one is not None:
-            return [one]
-        last, apart, n = self.prefixes, self.apart, len(word)
-        if len(last) > MAX_PREFIXES:
-            last.clear()
-        if len(apart) > MAX_PREFIXES:
+            return (one,)
+        apart, n, known = self.apart, len(word), 0
+        if len(apart) > MAX_PAIRS:
             apart.clear()
-        known = n
-        while known and word[:known] not in last:
-            known -= 1
-        if known < n:
-            for end, (size, token) in self.ends.iter(word):  # longest first at each end
-                end += 1
-                if end <= known:
-                    continue
-                if size == end:
-                    last[word[:end]] = token
-                    known = end
-                    continue
-                before = last[word[: end - size]]
-                ok = apart.get((before, token))
+        last = [0] * (n + 1)  # the last token of each prefix
+        for end, (size, token) in self.ends.iter(word):  # longest first at each end
+            if end < known:
+                continue
+            if size <= end:
+                pair = last[end + 1 - size] << 32 | token
+                ok = apart.get(pair)
                 if ok is None:
-                    ok = apart[before, token] = self._stay_apart(before, token)
-                if ok:
-                    last[word[:end]] = token
-                    known = end
-        out = []
+                    ok = apart[pair] = self._stay_apart(pair >> 32, token)
+                if not ok:
+                    continue
+            known = end + 1
+            last[known] = token
+        out, sizes = [], self.sizes
         while n:
-            out.append(token := last[word[:n]])
-            n -= len(self.bytes_of[token])
-        return out[::-1]
+            out.append(token := last[n])
+            n -= sizes[token]
+        return tuple(out[::-1])
+
+    def piece_ids(self, piece: str) -> tuple[int, ...]:
+        """Ids of what stands between two single spaces, with the first space."""
+        stem = piece.rstrip(ENDINGS)
+        if stem.isalpha():
+            ids = self.words[" " + stem]
+            return ids + self.words[piece[len(stem) :]] if len(stem) < len(piece) else ids
+        if not piece or self.space.match(piece):
+            raise Irregular
+        return tuple(self.pattern_ids(" " + piece))
 
     def pattern_ids(self, text: str) -> Iterator[int]:
-        for word in self.find(text):
-            yield from self.pretoken_ids(word.encode().decode("latin-1"))
+        return chain.from_iterable(map(self.words.__getitem__, self.find(text)))
 
     def _plain_ids(self, text: str) -> Iterator[int]:
         if not text:
             return iter(())
         first, *rest = text.split(" ")
         try:
-            return chain(self.pattern_ids(first), *[self.pieces[p] for p in rest])
+            return chain(self.pattern_ids(first), chain.from_iterable([self.pieces[p] for p in rest]))
         except Irregular:
             return self.pattern_ids(text)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, exact_dedup, line_dedup, mixing, quality_rules, warc
+from . import bpe, chat_format, exact_dedup, jaccard_join, line_dedup, mixing, quality_rules, warc
 from .shared import table
 
 
@@ -57,6 +57,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", bpe.n_tokens(F.col("ids")).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
@@ -74,6 +78,7 @@ QUERIES = {
     "op3_chat_format": op3_chat_format,
     "op4_mixing": op4_mixing,
     "op7_bpe": op7_bpe,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_warc": op10_warc,
 }
