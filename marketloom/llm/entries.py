@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, exact_dedup, jaccard_join, line_dedup, mixing, quality_rules, warc
+from . import bpe, chat_format, exact_dedup, html_extract, jaccard_join, line_crf, line_dedup, mixing, quality_rules, warc
 from .shared import table
 
 
@@ -50,6 +50,17 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(*mixing.mix(table(spark, sf_dir, "documents"))).drop("row_id")
 
 
+def op5_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = line_crf.score(docs, line_crf.train(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", line_crf.held_out(F.col("doc_id")).alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
+def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extract.extract_text(pages, html_extract.train(pages)).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     codec = bpe.Bpe(spark, tokenizer_path("byte_bpe_50k.json"))
     rows = table(spark, sf_dir, "documents").select("doc_id", codec.encode(F.col("text")).alias("ids"))
@@ -77,6 +88,8 @@ QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_chat_format": op3_chat_format,
     "op4_mixing": op4_mixing,
+    "op5_line_crf": op5_line_crf,
+    "op6_html_extract": op6_html_extract,
     "op7_bpe": op7_bpe,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_exact_dedup": op9_exact_dedup,
