@@ -103,7 +103,7 @@ def dedup_lines(docs: DataFrame, *, min_chars: int = 40, min_docs: int = 5, batc
     runs, place = LineRuns(fanout), _batch_of(F.col("doc_id"), cuts)
     for i in range(len(cuts), -1, -1):
         runs.add(lines.where(place == i).select(*KEY, "doc_id"))
-    repeated = runs.merged().where(F.col("n_docs") >= min_docs).select(*KEY, "keeper")
+    repeated = written(runs.merged().where(F.col("n_docs") >= min_docs).select(*KEY, "keeper"), "repeated")
     gone = lines.join(repeated, KEY).where(~F.col("doc_id").eqNullSafe(F.col("keeper"))).groupBy(F.col("doc_id").alias("of_doc"), F.col("text_hash").alias("of_hash")).agg(F.collect_set("pos").alias("gone"))
     text = F.coalesce(F.col("text"), F.lit(""))
     joined = docs.withColumn("line_hash_", F.xxhash64("text")).join(gone, F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("line_hash_") == F.col("of_hash")), "left")
