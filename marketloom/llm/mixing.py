@@ -162,7 +162,8 @@ def mix(docs: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, share_percent: i
     """
     stream = written(streams(docs, seed=seed), "streams")
     targets = written(source_targets(stream, weights=weights, share_percent=share_percent, max_passes=max_passes), "targets")
-    filled = slots(shard_draws(targets, block=block, slots_per_shard=slots_per_shard, seed=seed), seed=seed)
+    # Written, so that Spark knows its size: the few rows that it comes from would have it broadcast.
+    filled = written(slots(shard_draws(targets, block=block, slots_per_shard=slots_per_shard, seed=seed), seed=seed), "slots")
     filled = filled.withColumnRenamed("source", "of").withColumnRenamed("block_index", "index")
     parts = segments(stream, block=block)
     uses = parts.join(filled, (F.col("block_index") == F.col("index")) & F.col("source").eqNullSafe(F.col("of"))).drop("of", "index")
