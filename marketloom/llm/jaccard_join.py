@@ -9,10 +9,12 @@ Candidates come from the first order's prefix tokens, must also share prefix tok
 the other orders, and are then verified on the whole sets. Equal sets are one node. Only
 connected components are asked for, so lists of a token are not expanded into pairs:
 
-1. each list's first member is compared with the others (one pair per member),
+1. each list's first member is paired with the others (one pair per member),
 2. components of the links found are formed,
-3. in lists that still hold several components, pairs across components are tried with
-   parity bitmaps, whose difference never exceeds the sets'; only pairs that pass are verified.
+3. in lists that still hold several components, pairs across components are tried.
+
+Pairs are tried first by parity bitmaps, whose difference never exceeds the sets'; those
+that pass by the other orders' prefixes and the whole sets.
 
 Every link between different components is so found: whoever shares a prefix token is
 either in one component already or tried in step 3.
@@ -33,31 +35,18 @@ from .shared import written
 WIDTH = 5
 PERCENT = 80
 ORDERS = 3
-#: So many of the most frequent tokens are put last; 8 bytes each are broadcast.
-FREQUENT = 1 << 18
+#: So many of the most frequent tokens are put last; 16 bytes each are broadcast.
+FREQUENT = 1 << 19
 #: Frequencies are summed over parts of so many tokens; a token counts in a part from so many documents.
-PART_TOKENS, PART_LEAST = 4_000_000, 3
+PART_TOKENS, PART_LEAST = 4_000_000, 2
 BITMAP_WORDS = 32
 #: Lists longer than this are tried in pairs of blocks of this size.
 LIST_BLOCK = 2048
 BLOOM_BITS = 25
-MAX_WORDS = 500_000
 
-_LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _ODD = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3]
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= MAX_WORDS:
-            self.clear()
-        self[word] = out = xxhash.xxh3_64_intdigest(word)
-        return out
-
-
-_words = WordHashes()
-
-
 def mixed(x: np.ndarray, k: int) -> np.ndarray:
     """A bijection of 64-bit integers for each k."""
     with np.errstate(over="ignore"):
@@ -66,15 +55,52 @@ def mixed(x: np.ndarray, k: int) -> np.ndarray:
         return x ^ (x >> np.uint64(32))
 
 
+def _byte_values() -> np.ndarray:
+    """A 64-bit value for each byte, the same for A-Z and a-z."""
+    values = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(_ODD[0]), 2)
+    values[65:91] = values[97:123]
+    return values
+
+
+_VALUES = _byte_values()
+_SPACES = np.zeros(256, np.int8)
+_SPACES[[9, 10, 11, 12, 13, 32]] = 1
+_BASE = _ODD[1]
+_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers_to(n: int) -> list[np.ndarray]:
+    """Powers of an odd base and of its inverse, modulo 2 ** 64, for n places."""
+    if len(_powers[0]) < n:
+        size = 1 << max(12, (n - 1).bit_length())
+        with np.errstate(over="ignore"):
+            for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+                out = np.full(size, np.uint64(base))
+                out[0] = 1
+                _powers[i] = np.multiply.accumulate(out)
+    return _powers
+
+
+def word_hashes(data: bytes) -> np.ndarray:
+    """64-bit hashes of the words of a UTF-8 text, A-Z lower-cased: differences of one prefix sum over the bytes."""
+    b = np.frombuffer(data, dtype=np.uint8)
+    edge = np.diff(_SPACES[b], prepend=np.int8(1), append=np.int8(1))
+    starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    power, inverse = _powers_to(len(b) + 1)
+    with np.errstate(over="ignore"):
+        sums = np.zeros(len(b) + 1, np.uint64)
+        np.cumsum(_VALUES[b] * power[: len(b)], out=sums[1:])
+        return mixed((sums[ends] - sums[starts]) * inverse[starts], 1)
+
+
 def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the word shingles; with fewer words the whole sequence is one."""
-    words = (text or "").encode().translate(_LOWER).split()
-    if not words:
-        return np.empty(0, np.uint64)
-    h = np.array(list(map(_words.__getitem__, words)), dtype=np.uint64)
-    size = min(width, len(words))
+    h = word_hashes((text or "").encode())
+    if not len(h):
+        return h
+    size = min(width, len(h))
     with np.errstate(over="ignore"):
-        out = np.full(len(words) - size + 1, np.uint64(size), dtype=np.uint64)
+        out = np.full(len(h) - size + 1, np.uint64(size), dtype=np.uint64)
         for i in range(size):
             out = (out ^ (out >> np.uint64(29))) * np.uint64(_ODD[i % len(_ODD)]) + h[i : i + len(out)]
     return np.unique(mixed(out, 5))
@@ -92,11 +118,16 @@ class Orders:
         self.tokens = tokens[at]
         self.classes = np.minimum(np.log2(np.maximum(counts[at], 1)).astype(np.uint64) + np.uint64(1), np.uint64(31))
 
+        self.near = np.zeros(1 << 23, bool)
+        self.near[(self.tokens >> np.uint64(41)).astype(np.int64)] = True
+
     def places(self, tokens: np.ndarray, order: int) -> np.ndarray:
         own = np.zeros(len(tokens), np.uint64)
-        if len(self.tokens):
-            i = np.minimum(np.searchsorted(self.tokens, tokens), len(self.tokens) - 1)
-            own = np.where(self.tokens[i] == tokens, self.classes[i], np.uint64(0))
+        maybe = np.flatnonzero(self.near[(tokens >> np.uint64(41)).astype(np.int64)])
+        if len(maybe):
+            asked = tokens[maybe]
+            i = np.minimum(np.searchsorted(self.tokens, asked), len(self.tokens) - 1)
+            own[maybe] = np.where(self.tokens[i] == asked, self.classes[i], np.uint64(0))
         return (own << np.uint64(58)) | (mixed(tokens, order) >> np.uint64(6))
 
     def prefix(self, tokens: np.ndarray, order: int, percent: int) -> np.ndarray:
@@ -155,6 +186,16 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _bits(bitmaps: pd.Series) -> np.ndarray:
+    return np.frombuffer(b"".join(bitmaps), dtype=np.uint64).reshape(len(bitmaps), -1)
+
+
+def _allowed(a: np.ndarray, b: np.ndarray, total: np.ndarray, percent: int) -> np.ndarray:
+    """Whether bitmaps differ in no more bits than similar sets of these sizes do in tokens."""
+    differ = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
+    return differ * (100 + percent) <= total * (100 - percent)
+
+
 def _within_size(a, b, percent: int):
     return (a * 100 >= b * percent) & (b * 100 >= a * percent)
 
@@ -167,7 +208,7 @@ class Join:
         self.global_orders = docs.sparkSession.sparkContext.broadcast(Orders(*frequent_tokens(docs, width=width, most=frequent)))
 
     def sets(self) -> DataFrame:
-        """(row_id, n, s1, s2, prefix) of every row: size, 128-bit hash of the set, first order's prefix."""
+        """(row_id, n, s1, s2, prefix, bitmap) of every row: size, 128-bit hash of the set, first order's prefix, parities."""
         width, percent, held = self.width, self.percent, self.global_orders
 
         def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -176,13 +217,13 @@ class Join:
                 for row_id, text in zip(frame["row_id"], frame["text"], strict=True):
                     s = shingles(text, width)
                     h = xxhash.xxh3_128_digest(s.tobytes())
-                    rows.append((row_id, len(s), int.from_bytes(h[:8], "big", signed=True), int.from_bytes(h[8:], "big", signed=True), held.value.prefix(s, 0, percent).view(np.int64)))
-                yield pd.DataFrame(rows, columns=["row_id", "n", "s1", "s2", "prefix"])
+                    rows.append((row_id, len(s), int.from_bytes(h[:8], "big", signed=True), int.from_bytes(h[8:], "big", signed=True), held.value.prefix(s, 0, percent).view(np.int64), parity_bitmap(s)))
+                yield pd.DataFrame(rows, columns=["row_id", "n", "s1", "s2", "prefix", "bitmap"])
 
-        return written(self.docs.select("row_id", "text").mapInPandas(each, "row_id long, n int, s1 long, s2 long, prefix array<long>"), "sets")
+        return written(self.docs.select("row_id", "text").mapInPandas(each, "row_id long, n int, s1 long, s2 long, prefix array<long>, bitmap binary"), "sets")
 
     def features(self, ids: DataFrame) -> DataFrame:
-        """(row_id, tokens, prefixes, bitmap) of the rows in ids. Python sees all texts and skips most by a bitmap of fixed size."""
+        """(row_id, tokens, prefixes) of the rows in ids. Python sees all texts and skips most by a bitmap of fixed size."""
         width, percent, orders, held = self.width, self.percent, self.orders, self.global_orders
         words = ids.select(F.pmod(F.xxhash64("row_id"), F.lit(1 << BLOOM_BITS)).alias("bit"))
         words = words.groupBy(F.shiftright("bit", 5).cast("int").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 32 AS INT))")).alias("bits"))
@@ -199,69 +240,76 @@ class Join:
                 for row_id, text in zip(frame["row_id"], frame["text"], strict=True):
                     s = shingles(text, width)
                     others = [(held.value.prefix(s, k, percent) >> np.uint64(8)).astype(np.uint32).view(np.int32) for k in range(1, orders)]
-                    rows.append((row_id, s.view(np.int64), others, parity_bitmap(s)))
-                yield pd.DataFrame(rows, columns=["row_id", "tokens", "prefixes", "bitmap"])
+                    rows.append((row_id, s.view(np.int64), others))
+                yield pd.DataFrame(rows, columns=["row_id", "tokens", "prefixes"])
 
         bit = F.pmod(F.xxhash64("row_id"), F.lit(1 << BLOOM_BITS)).alias("bit")
-        made = self.docs.select("row_id", bit, "text").mapInPandas(each, "row_id long, tokens array<long>, prefixes array<array<int>>, bitmap binary")
+        made = self.docs.select("row_id", bit, "text").mapInPandas(each, "row_id long, tokens array<long>, prefixes array<array<int>>")
         return written(made.join(ids.select("row_id").distinct(), "row_id", "left_semi"), "features")
 
-    def verified(self, pairs: DataFrame, features: DataFrame) -> DataFrame:
+    def similar(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that share prefix tokens under the other orders and are similar on the whole sets."""
+        features = self.features(pairs.select(F.col("a").alias("row_id")).union(pairs.select("b")).distinct())
         own = lambda k: features.select(F.col("row_id").alias(k), F.col("tokens").alias(f"t{k}"), F.col("prefixes").alias(f"p{k}"))
         rows = pairs.join(own("b"), "b").join(own("a"), "a")
         for i in range(self.orders - 1):
             rows = rows.where(F.arrays_overlap(F.col("pa")[i], F.col("pb")[i]))
         common = F.size(F.array_intersect("ta", "tb")).cast("long")
-        return rows.where(common * 100 >= (F.size("ta") + F.size("tb") - common) * self.percent).select("a", "b")
+        return written(rows.where(common * 100 >= (F.size("ta") + F.size("tb") - common) * self.percent).select("a", "b"), "similar")
+
+    def near(self, pairs: DataFrame, bitmaps: DataFrame) -> DataFrame:
+        """The pairs (a, b, na, nb) whose bitmaps allow a link."""
+        percent = self.percent
+        rows = pairs.join(bitmaps.select(F.col("row_id").alias("a"), F.col("bitmap").alias("pa")), "a").join(bitmaps.select(F.col("row_id").alias("b"), F.col("bitmap").alias("pb")), "b")
 
-    def across(self, lists: DataFrame, features: DataFrame) -> DataFrame:
+        def check(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for frame in frames:
+                total = (frame["na"] + frame["nb"]).to_numpy(np.int64)
+                ok = _allowed(_bits(frame["pa"]), _bits(frame["pb"]), total, percent)
+                yield frame.loc[ok, ["a", "b"]]
+
+        return rows.select("a", "b", "na", "nb", "pa", "pb").mapInPandas(check, "a long, b long")
+
+    def across(self, lists: DataFrame, bitmaps: DataFrame) -> DataFrame:
         """Pairs (a, b) of different components in lists (token, row_id, n, comp) whose bitmaps allow a link."""
         percent, block = self.percent, self.list_block
-        counts = written(lists.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("members")).where("low < high").select("token", "members"), "mixed-lists")
-        rows = lists.join(counts, "token").join(features.select("row_id", "bitmap"), "row_id")
-        k = F.ceil(F.col("members") / block).cast("int")
-        rows = rows.withColumn("k", k).withColumn("own", F.pmod(F.xxhash64("row_id"), F.col("k")).cast("int"))
+        counts = lists.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("members"))
+        counts = written(counts.where("low < high").select("token", "members"), "mixed-lists")
+        rows = lists.join(counts, "token").join(bitmaps.select("row_id", "bitmap"), "row_id")
+        rows = rows.withColumn("k", F.ceil(F.col("members") / block).cast("int")).withColumn("own", F.pmod(F.xxhash64("row_id"), F.col("k")).cast("int"))
         rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
         rows = rows.select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "row_id", "n", "comp", "bitmap")
 
-        def pairs_of(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-            bits = np.frombuffer(b"".join(group["bitmap"]), dtype=np.uint64).reshape(len(group), -1)
-            ids, n, comp, own = (group[c].to_numpy(np.int64) for c in ("row_id", "n", "comp", "own"))
-            same = group["i"].iat[0] == group["j"].iat[0]
-            at = np.argsort(n, kind="stable")
-            bits, ids, n, comp, own = bits[at], ids[at], n[at], comp[at], own[at]
-            left, right = [], []
-            for x in range(len(ids) - 1):
-                stop = np.searchsorted(n, n[x] * 100 // percent, side="right")
-                near = np.arange(x + 1, max(stop, x + 1))
-                near = near[(comp[near] != comp[x]) & (same | (own[near] != own[x]))]
-                if len(near):
-                    differ = np.bitwise_count(bits[near] ^ bits[x]).sum(axis=1, dtype=np.int64)
-                    total = n[near] + n[x]
-                    # similar: differing tokens <= (100 - percent) / (100 + percent) of both sizes
-                    near = near[differ * (100 + percent) <= total * (100 - percent)]
-                    left.append(np.full(len(near), ids[x]))
-                    right.append(ids[near])
-            none = np.empty(0, np.int64)
-            return np.concatenate([none, *left]), np.concatenate([none, *right])
+        def pairs_of(frame: pd.DataFrame, group: np.ndarray) -> pd.DataFrame:
+            """All groups of a frame at once: every row with the row d places on, for d up to the largest group."""
+            bits = _bits(frame["bitmap"])
+            ids, n, comp, own, i, j = (frame[c].to_numpy(np.int64) for c in ("row_id", "n", "comp", "own", "i", "j"))
+            found = [np.empty((0, 2), np.int64)]
+            for d in range(1, len(group)):
+                left = np.flatnonzero(group[d:] == group[:-d])
+                if not len(left):
+                    break
+                right = left + d
+                small, large = np.minimum(n[left], n[right]), np.maximum(n[left], n[right])
+                tried = (comp[left] != comp[right]) & (small * 100 >= large * percent) & ((i[left] == j[left]) | (own[left] != own[right]))
+                left, right = left[tried], right[tried]
+                ok = _allowed(bits[left], bits[right], n[left] + n[right], percent)
+                found.append(np.stack([ids[left[ok]], ids[right[ok]]], axis=1))
+            both = np.concatenate(found)
+            return pd.DataFrame({"a": both.min(axis=1, initial=2**63 - 1), "b": both.max(axis=1, initial=-(2**63))}).drop_duplicates()
 
         def stream(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            def flush(group):
-                a, b = pairs_of(group)
-                return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
-
             rest = None
             for frame in frames:
                 frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
                 key = frame[["token", "i", "j"]].to_numpy(np.int64)
-                starts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1)])
-                out = [flush(frame.iloc[s:e]) for s, e in zip(starts[:-1], starts[1:], strict=True)]
-                rest = frame.iloc[starts[-1] :]
-                if out:
-                    yield pd.concat(out).drop_duplicates()
+                group = np.cumsum(np.r_[0, (key[1:] != key[:-1]).any(axis=1)])
+                whole = int(np.searchsorted(group, group[-1]))  # the last group may go on in the next frame
+                if whole:
+                    yield pairs_of(frame.iloc[:whole], group[:whole])
+                rest = frame.iloc[whole:]
             if rest is not None and len(rest):
-                yield flush(rest)
+                yield pairs_of(rest, np.zeros(len(rest), np.int64))
 
         keys = ["token", "i", "j"]
         return rows.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(stream, "a long, b long").distinct()
@@ -288,14 +336,15 @@ def near_duplicates(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCE
     near = listed.select("hub", "row_id").distinct().where("hub < row_id")
     near = near.join(named.select("row_id", F.col("rep").alias("y"), F.col("n").alias("ny")), "row_id").join(named.select(F.col("row_id").alias("hub"), F.col("rep").alias("x"), F.col("n").alias("nx")), "hub")
     near = near.where((F.col("x") != F.col("y")) & _within_size(F.col("nx"), F.col("ny"), percent))
-    pairs = written(near.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "pairs")
-
-    members = written(listed.select("token", "row_id").join(named.where("row_id = rep"), "row_id").select("token", "row_id", "n"), "members")
-    features = job.features(members.select("row_id").union(pairs.select("a")).union(pairs.select("b")).distinct())
-    links = written(job.verified(pairs, features), "links")
+    first_less = F.col("x") < F.col("y")
+    near = near.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.when(first_less, F.col("nx")).otherwise(F.col("ny")).alias("na"), F.when(first_less, F.col("ny")).otherwise(F.col("nx")).alias("nb")).distinct()
+    bitmaps = sets.select("row_id", "bitmap")
+    links = job.similar(written(job.near(near, bitmaps), "pairs"))
     first = components(links)
+
+    members = listed.select("token", "row_id").join(named.where("row_id = rep").select("row_id", "n"), "row_id")
     lists = members.join(first, members["row_id"] == first["node"], "left").select("token", "row_id", "n", F.coalesce("comp", "row_id").alias("comp"))
-    more = written(job.verified(written(job.across(lists, features), "pairs"), features), "links")
+    more = job.similar(written(job.across(lists, bitmaps), "pairs"))
     comps = components(links.union(more))
 
     whole = rows.join(comps, rows["rep"] == comps["node"], "left").select("row_id", "n", F.coalesce("comp", "rep").alias("comp"))
