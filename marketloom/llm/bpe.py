@@ -11,9 +11,6 @@ pre-tokens, and of what stands between spaces, in caches of bounded size.
 from __future__ import annotations
 
 import json
-from array import array
-from collections.abc import Iterator
-from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -27,7 +24,7 @@ WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u
 PRETOKEN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE}\p{{L}}\p{{N}}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
 
 #: Bounds of a worker's caches.
-MAX_PIECES, MAX_WORDS, MAX_PAIRS = 500_000, 600_000, 500_000
+MAX_PIECES, MAX_WORDS, MAX_PAIRS = 400_000, 800_000, 500_000
 #: What often ends a word; none is white space, a letter or a number.
 ENDINGS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -49,7 +46,7 @@ class TwoAges(dict):
     def __init__(self, make, most: int):
         self.make, self.half, self.old = make, most // 2, {}
 
-    def __missing__(self, key: str) -> tuple[int, ...]:
+    def __missing__(self, key: str) -> bytes:
         found = self.old.get(key)
         if found is None:
             found = self.make(key)
@@ -70,8 +67,10 @@ class Codec:
         vocab = spec["model"]["vocab"]
         self.special = {a["content"]: a["id"] for a in spec["added_tokens"]}
         self.bytes_of = {i: raw(s) for s, i in vocab.items()} | {i: s.encode() for s, i in self.special.items()}
-        self.sizes = {i: len(b) for i, b in self.bytes_of.items()}
         size = max(self.bytes_of) + 1
+        self.table = [self.bytes_of.get(i, b"") for i in range(size)]
+        self.sizes = list(map(len, self.table))
+        self.packed = [i.to_bytes(4, "little") for i in range(size)]
         self.made, self.left, self.right, self.rank = [-1] * size, [0] * size, [0] * size, {}
         for r, merge in enumerate(spec["model"]["merges"]):
             a, b = merge.split(" ") if isinstance(merge, str) else merge
@@ -112,12 +111,12 @@ class Codec:
             else:
                 limit, b = made[b] + 1, self.left[b]
 
-    def word_ids(self, word: str) -> tuple[int, ...]:
-        """Ids of one pre-token."""
+    def word_ids(self, word: str) -> bytes:
+        """Ids of one pre-token, packed."""
         word = word.encode().decode("latin-1")
         one = self.whole.get(word)
         if one is not None:
-            return (one,)
+            return self.packed[one]
         apart, n, known = self.apart, len(word), 0
         if len(apart) > MAX_PAIRS:
             apart.clear()
@@ -134,48 +133,48 @@ class Codec:
                     continue
             known = end + 1
             last[known] = token
-        out, sizes = [], self.sizes
+        out, sizes, packed = [], self.sizes, self.packed
         while n:
-            out.append(token := last[n])
+            token = last[n]
+            out.append(packed[token])
             n -= sizes[token]
-        return tuple(out[::-1])
+        out.reverse()
+        return b"".join(out)
 
-    def piece_ids(self, piece: str) -> tuple[int, ...]:
-        """Ids of what stands between two single spaces, with the first space."""
+    def piece_ids(self, piece: str) -> bytes:
+        """Packed ids of what stands between two single spaces, with the first space."""
         stem = piece.rstrip(ENDINGS)
         if stem.isalpha():
             ids = self.words[" " + stem]
             return ids + self.words[piece[len(stem) :]] if len(stem) < len(piece) else ids
         if not piece or self.space.match(piece):
             raise Irregular
-        return tuple(self.pattern_ids(" " + piece))
+        return self.pattern_ids(" " + piece)
 
-    def pattern_ids(self, text: str) -> Iterator[int]:
-        return chain.from_iterable(map(self.words.__getitem__, self.find(text)))
+    def pattern_ids(self, text: str) -> bytes:
+        return b"".join(map(self.words.__getitem__, self.find(text)))
 
-    def _plain_ids(self, text: str) -> Iterator[int]:
+    def _plain_ids(self, text: str) -> bytes:
         if not text:
-            return iter(())
+            return b""
         first, *rest = text.split(" ")
         try:
-            return chain(self.pattern_ids(first), chain.from_iterable([self.pieces[p] for p in rest]))
+            return self.pattern_ids(first) + b"".join(map(self.pieces.__getitem__, rest))
         except Irregular:
             return self.pattern_ids(text)
 
-    def encode(self, text: str | None) -> array:
-        out = array("I")
-        if text and self.at_special is not None and any(s in text for s in self.special):
-            for part in self.at_special.split(text):
-                if part in self.special:
-                    out.append(self.special[part])
-                else:
-                    out.extend(self._plain_ids(part))
-        elif text:
-            out.extend(self._plain_ids(text))
-        return out
+    def encode(self, text: str | None) -> bytes:
+        """Ids as little-endian unsigned 32-bit integers."""
+        if not text:
+            return b""
+        if self.at_special is not None and any(s in text for s in self.special):
+            parts = self.at_special.split(text)
+            return b"".join(self.packed[self.special[p]] if p in self.special else self._plain_ids(p) for p in parts)
+        return self._plain_ids(text)
 
-    def decode(self, ids) -> str:
-        return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", errors="replace")
+    def decode(self, ids: bytes) -> str:
+        """The text of packed ids; bytes that are no UTF-8 become U+FFFD."""
+        return b"".join(map(self.table.__getitem__, np.frombuffer(ids, dtype="<u4").tolist())).decode("utf-8", errors="replace")
 
 
 _codecs: dict[int, Codec] = {}
@@ -204,7 +203,7 @@ class Bpe:
         @F.pandas_udf("binary")
         def encode(texts: pd.Series) -> pd.Series:
             codec = _codec(content)
-            return pd.Series([np.array(codec.encode(t), dtype="<u4").tobytes() for t in texts], dtype=object)
+            return pd.Series(list(map(codec.encode, texts)), dtype=object)
 
         return encode(text)
 
@@ -215,7 +214,7 @@ class Bpe:
         @F.pandas_udf("string")
         def decode(values: pd.Series) -> pd.Series:
             codec = _codec(content)
-            return pd.Series([None if v is None else codec.decode(np.frombuffer(v, dtype="<u4").tolist()) for v in values], dtype=object)
+            return pd.Series([None if v is None else codec.decode(v) for v in values], dtype=object)
 
         return decode(ids)
 
