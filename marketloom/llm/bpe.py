@@ -19,12 +19,14 @@ import regex
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from .shared import worker_state
+
 #: White space of the pre-tokenizer's pattern (Unicode White_Space), and the pattern itself: fixed values.
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 PRETOKEN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE}\p{{L}}\p{{N}}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
 
 #: Bounds of a worker's caches.
-MAX_PIECES, MAX_WORDS, MAX_PAIRS = 400_000, 800_000, 500_000
+MAX_PIECES, MAX_WORDS, MAX_PAIRS = 400_000, 600_000, 300_000
 #: What often ends a word; none is white space, a letter or a number.
 ENDINGS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -177,15 +179,10 @@ class Codec:
         return b"".join(map(self.table.__getitem__, np.frombuffer(ids, dtype="<u4").tolist())).decode("utf-8", errors="replace")
 
 
-_codecs: dict[int, Codec] = {}
-
-
 def _codec(content) -> Codec:
     """The worker's codec of a broadcast vocabulary."""
-    if content.value[0] not in _codecs:
-        _codecs.clear()
-        _codecs[content.value[0]] = Codec(content.value[1])
-    return _codecs[content.value[0]]
+    key, text = content.value
+    return worker_state(("bpe", key), lambda: Codec(text))
 
 
 class Bpe:

@@ -9,9 +9,9 @@ listed) say which values pass. The counting rules of the base come first.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections import Counter
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -21,6 +21,8 @@ import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .shared import worker_state
+
 SPACES = " \t\n\v\f\r"
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -91,28 +93,25 @@ class Vocabularies:
         self.encoding = tiktoken.Encoding("fertility", pat_str=pattern, mergeable_ranks=table, special_tokens={})
         pieces = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.known = {c for i in range(pieces.get_piece_size()) if not pieces.is_byte(i) for c in pieces.id_to_piece(i)} | set(SPACES)
-        self.seen: dict[str, list[int]] = {}
+        self.seen: dict[str, bytes] = {}
         self.irregular = regex.compile(r"\s\s|^\s|\s$| \n").search
 
     def token_ids(self, text: str) -> np.ndarray:
         """As encode_ordinary; what stands between single spaces is looked up, each piece with the space before it."""
         encode, seen = self.encoding.encode_ordinary, self.seen
         if self.irregular(text):
-            return np.array(encode(text), dtype=np.int64)
+            return np.array(encode(text), dtype=np.uint32)
         if len(seen) > MAX_PIECES:
             seen.clear()
         first, *rest = text.split(" ")
         for piece in set(rest).difference(seen):
-            seen[piece] = encode(" " + piece)
-        return np.fromiter(chain(encode(first), *map(seen.__getitem__, rest)), dtype=np.int64)
+            seen[piece] = array("I", encode(" " + piece)).tobytes()
+        return np.frombuffer(array("I", encode(first)).tobytes() + b"".join(map(seen.__getitem__, rest)), dtype=np.uint32)
 
     def fallback_bytes(self, text: str) -> int:
         return sum(text.count(c) * len(c.encode()) for c in set(text) - self.known)
 
 
-_vocabularies: dict[int, Vocabularies] = {}
-
-
 def _band(lang: str | None, text: str) -> Band:
     if lang in LANGUAGE_BANDS:
         return LANGUAGE_BANDS[lang]
@@ -151,10 +150,8 @@ def measures(spark: SparkSession, text: Column, lang: Column, *, ranks: str, pat
     @F.pandas_udf(MEASURES)
     def measured(texts: pd.Series, langs: pd.Series) -> pd.DataFrame:
         key, parts = content.value
-        if key not in _vocabularies:
-            _vocabularies.clear()
-            _vocabularies[key] = Vocabularies(*parts)
-        return pd.DataFrame([measure(t, x, _vocabularies[key]) for t, x in zip(texts, langs, strict=True)], columns=COLUMNS)
+        held = worker_state(("fertility", key), lambda: Vocabularies(*parts))
+        return pd.DataFrame([measure(t, x, held) for t, x in zip(texts, langs, strict=True)], columns=COLUMNS)
 
     return measured(text, lang)
 

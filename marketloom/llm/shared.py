@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,3 +39,19 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 def text_of(col: str = "text"):
     return F.coalesce(F.col(col), F.lit(""))
+
+
+_held: dict = {}
+
+
+def worker_state(key, make: Callable):
+    """What a Python worker keeps for one operator; Spark's workers outlive stages, so the last operator's state goes first."""
+    if key not in _held:
+        _held.clear()
+        gc.collect()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (OSError, AttributeError):
+            pass  # a C library without it keeps the memory
+        _held[key] = make()
+    return _held[key]
