@@ -72,16 +72,18 @@ def test_measures_against_the_libraries(spark, files):
         assert not (r.base_failed and r.kept)
 
 
+GOOD = "The quick brown fox jumps over the lazy dog while seven wizards boldly mix strange potions near an old stone bridge, and nobody in town quite remembers who built it or why the river turned away from the mill one winter night long before the railway came to this quiet valley in the north."
+
+
 def test_bands(files):
-    good = "The quick brown fox jumps over the lazy dog while seven wizards boldly mix strange potions near an old stone bridge, and nobody in town quite remembers who built it or why the river turned away from the mill one winter night long before the railway came to this quiet valley in the north."
     v = q.Vocabularies(open(files["ranks"], "rb").read(), files["pattern"], open(files["model"], "rb").read())
-    assert q.measure(good, "en", v)[-1]
-    assert q.measure(good, None, v)[-1]
-    assert not q.measure(" ".join(f"{w}###" for w in good.split()).replace("e", "$%"), "en", v)[-1]
+    assert q.measure(GOOD, "en", v)[-1]
+    assert q.measure(GOOD, None, v)[-1]
+    assert not q.measure(" ".join(f"{w}###" for w in GOOD.split()).replace("e", "$%"), "en", v)[-1]
 
 
 def test_passing_keeps_rows_and_columns(spark, files):
-    docs = spark.createDataFrame([(1, " ".join(f"word{i} and more" for i in range(40)), "en", 5), (2, "short", "en", 6)], "doc_id long, text string, lang string, measured int")
+    docs = spark.createDataFrame([(1, GOOD, "en", 5), (2, "short", "en", 6)], "doc_id long, text string, lang string, measured int")
     got = q.passing(docs, **files)
     assert got.columns == docs.columns and [(r.doc_id, r.measured) for r in got.collect()] == [(1, 5)]
     assert q.passing(docs.limit(0), **files).count() == 0
