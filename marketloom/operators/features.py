@@ -10,21 +10,24 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import guarded_ratio, weekday
 
-BY_DATE = Window.partitionBy("security_id").orderBy("date")
 RETURN_ROWS = (1, 2, 5, 10, 20, 60, 120)
 FORWARD_ROWS = (1, 5, 20)
 RETURN_INPUTS = ["security_id", "ticker", "date", "adj_close", "adj_volume", "volume", "div_cash", "split_factor"]
 
 
+def _by_date():
+    return Window.partitionBy("security_id").orderBy("date")
+
+
 def _before(n: int):
     """The n rows before the current one."""
-    return BY_DATE.rowsBetween(-n, -1)
+    return _by_date().rowsBetween(-n, -1)
 
 
 def returns(prices: DataFrame) -> DataFrame:
     """Returns over 1 to 120 rows; null at the start of a series and after a zero price."""
     close = F.col("adj_close")
-    return prices.select(*RETURN_INPUTS, *[(guarded_ratio(close, F.lag(close, n).over(BY_DATE)) - 1).alias(f"ret_{n}d") for n in RETURN_ROWS])
+    return prices.select(*RETURN_INPUTS, *[(guarded_ratio(close, F.lag(close, n).over(_by_date())) - 1).alias(f"ret_{n}d") for n in RETURN_ROWS])
 
 
 def _zscore(x: str, mean: str, spread: Column) -> Column:
@@ -37,11 +40,11 @@ def features(returned: DataFrame) -> DataFrame:
     base = returned.withColumns({"dollar_volume": dollars, "log_dollar_volume": F.ln(1 + dollars)})
     rolled = base.withColumns(
         {
-            "ret_1d_lag1": F.lag("ret_1d", 1).over(BY_DATE),
-            "ret_1d_lag2": F.lag("ret_1d", 2).over(BY_DATE),
-            "ret_5d_lag1": F.lag("ret_5d", 1).over(BY_DATE),
-            "ret_5d_lag2": F.lag("ret_5d", 2).over(BY_DATE),
-            "ret_20d_lag1": F.lag("ret_20d", 1).over(BY_DATE),
+            "ret_1d_lag1": F.lag("ret_1d", 1).over(_by_date()),
+            "ret_1d_lag2": F.lag("ret_1d", 2).over(_by_date()),
+            "ret_5d_lag1": F.lag("ret_5d", 1).over(_by_date()),
+            "ret_5d_lag2": F.lag("ret_5d", 2).over(_by_date()),
+            "ret_20d_lag1": F.lag("ret_20d", 1).over(_by_date()),
             "avg_dollar_volume_20d_lagged": F.avg("dollar_volume").over(_before(20)),
             "avg_dollar_volume_60d_lagged": F.avg("dollar_volume").over(_before(60)),
             "std_dollar_volume": F.stddev_samp("dollar_volume").over(_before(20)),
@@ -84,7 +87,7 @@ def _direction(c: str) -> Column:
 def labels(prices: DataFrame) -> DataFrame:
     """prices with forward returns and direction labels on the same rows."""
     close = F.col("adj_close")
-    ahead = prices.withColumns({f"fwd_ret_{n}d": guarded_ratio(F.lead(close, n).over(BY_DATE), close) - 1 for n in FORWARD_ROWS})
+    ahead = prices.withColumns({f"fwd_ret_{n}d": guarded_ratio(F.lead(close, n).over(_by_date()), close) - 1 for n in FORWARD_ROWS})
     return ahead.withColumns({f"label_direction_{n}d": _direction(f"fwd_ret_{n}d") for n in (5, 20)})
 
 
@@ -92,7 +95,7 @@ def benchmark_forward(prices: DataFrame, ticker: str) -> DataFrame:
     """(date, benchmark_fwd_ret_20d) of the benchmark's series alone; the filter comes first, so its series is all that is sorted."""
     close = F.col("adj_close")
     series = prices.where(F.col("ticker") == ticker).select("security_id", "date", "adj_close")
-    return series.select("date", (guarded_ratio(F.lead(close, 20).over(BY_DATE), close) - 1).alias("benchmark_fwd_ret_20d"))
+    return series.select("date", (guarded_ratio(F.lead(close, 20).over(_by_date()), close) - 1).alias("benchmark_fwd_ret_20d"))
 
 
 def panel(prices: DataFrame, benchmark: str, *, excess: str = "fwd_excess_ret_20d") -> DataFrame:

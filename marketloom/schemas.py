@@ -6,10 +6,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 #: The canonical daily price table, in column order.
-PRICE_SCHEMA = T.StructType.fromDDL(
-    "security_id string, ticker string, date date, open double, high double, low double, close double, volume bigint, "
-    "adj_open double, adj_high double, adj_low double, adj_close double, adj_volume bigint, div_cash double, split_factor double, "
-    "source string, load_id string, loaded_at timestamp"
+PRICE_SCHEMA = T.StructType(
+    [
+        T.StructField(name, kind())
+        for names, kind in (
+            ("security_id ticker", T.StringType),
+            ("date", T.DateType),
+            ("open high low close", T.DoubleType),
+            ("volume", T.LongType),
+            ("adj_open adj_high adj_low adj_close", T.DoubleType),
+            ("adj_volume", T.LongType),
+            ("div_cash split_factor", T.DoubleType),
+            ("source load_id", T.StringType),
+            ("loaded_at", T.TimestampType),
+        )
+        for name in names.split()
+    ]
 )
 PRICE_COLUMNS = PRICE_SCHEMA.fieldNames()
 PRICE_KEY = ["security_id", "date"]
