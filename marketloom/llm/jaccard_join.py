@@ -36,7 +36,8 @@ WIDTH = 5
 PERCENT = 80
 ORDERS = 3
 #: So many of the most frequent tokens are put last; 16 bytes each are broadcast.
-FREQUENT = 1 << 19
+FREQUENT = 1 << 18
+TOP_COUNT = 10_000
 #: Frequencies are summed over parts of so many tokens; a token counts in a part from so many documents.
 PART_TOKENS, PART_LEAST = 4_000_000, 2
 BITMAP_WORDS = 32
@@ -163,7 +164,18 @@ def frequent_tokens(docs: DataFrame, *, width: int = WIDTH, most: int = FREQUENT
             yield count(sets)
 
     counts = docs.select("text").mapInPandas(parts, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "token").limit(most).toPandas()
+    counts = written(counts, "token-counts")
+    # How many tokens have a count, counts above TOP_COUNT together: the least count that leaves no more than ``most``.
+    steps = counts.groupBy(F.least("n", F.lit(TOP_COUNT)).alias("n")).count().orderBy(F.desc("n")).collect()
+    left, least = most, None
+    for n, tokens in steps:
+        left -= tokens
+        if left < 0:
+            break
+        least = n
+    if least is None:
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    top = counts.where(F.col("n") >= least).toPandas()
     return top["token"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
 
 
