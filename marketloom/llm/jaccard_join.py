@@ -35,12 +35,12 @@ from .shared import written
 WIDTH = 5
 PERCENT = 80
 ORDERS = 3
-#: So many of the most frequent tokens are put last; 16 bytes each are broadcast.
-FREQUENT = 1 << 18
+#: So many of the most frequent tokens are put last; 16 bytes each are broadcast, and a table of 8 MB.
+FREQUENT = 1 << 20
 TOP_COUNT = 10_000
 #: Frequencies are summed over parts of so many tokens; a token counts in a part from so many documents.
 PART_TOKENS, PART_LEAST = 4_000_000, 2
-BITMAP_WORDS = 32
+MIN_BITS, MAX_BITS = 256, 1 << 15
 #: Lists longer than this are tried in pairs of blocks of this size.
 LIST_BLOCK = 2048
 BLOOM_BITS = 25
@@ -137,12 +137,44 @@ class Orders:
         return np.sort(places if p >= len(places) else np.partition(places, p - 1)[:p]) if p else places
 
 
-def parity_bitmap(tokens: np.ndarray, words: int = BITMAP_WORDS) -> bytes:
-    """Bit i: parity of the tokens that hash to i. Two sets' bitmaps differ in no more bits than the sets in tokens."""
-    bits = np.bincount((mixed(tokens, 4) >> np.uint64(20)).astype(np.int64) % (64 * words), minlength=64 * words) & 1
+def parity_bitmap(tokens: np.ndarray) -> bytes:
+    """Bit i: parity of the tokens that hash to i. Two sets' bitmaps differ in no more bits than the sets in tokens.
+
+    As many bits as the next power of two from the set's size, within bounds; a longer bitmap folds to a shorter one.
+    """
+    n = min(max(MIN_BITS, 1 << (len(tokens) - 1).bit_length() if len(tokens) else 0), MAX_BITS)
+    bits = np.bincount((mixed(tokens, 4) >> np.uint64(20)).astype(np.int64) & (n - 1), minlength=n) & 1
     return np.packbits(bits.astype(np.uint8)).tobytes()
 
 
+class Bitmaps:
+    """A column of parity bitmaps, folded to a common length as pairs need it."""
+
+    def __init__(self, column: pd.Series):
+        self.data = column.to_numpy()
+        self.sizes = np.fromiter(map(len, self.data), np.int64, len(self.data))
+        self.folds: dict[int, np.ndarray] = {}
+
+    def folded(self, size: int) -> np.ndarray:
+        if size not in self.folds:
+            out = np.zeros((len(self.data), size // 8), np.uint64)
+            for own in np.unique(self.sizes[self.sizes >= size]):
+                at = np.flatnonzero(self.sizes == own)
+                out[at] = np.bitwise_xor.reduce(np.frombuffer(b"".join(self.data[at]), dtype=np.uint64).reshape(len(at), own // size, size // 8), axis=1)
+            self.folds[size] = out
+        return self.folds[size]
+
+
+def allowed(a: Bitmaps, i: np.ndarray, b: Bitmaps, j: np.ndarray, total: np.ndarray, percent: int) -> np.ndarray:
+    """Whether bitmaps a[i] and b[j] differ in no more bits than similar sets, of these sizes together, do in tokens."""
+    size, differ = np.minimum(a.sizes[i], b.sizes[j]), np.zeros(len(i), np.int64)
+    for m in np.unique(size):
+        at = np.flatnonzero(size == m)
+        for part in np.array_split(at, len(at) // 100_000 + 1):
+            differ[part] = np.bitwise_count(a.folded(m)[i[part]] ^ b.folded(m)[j[part]]).sum(axis=1, dtype=np.int64)
+    return differ * (100 + percent) <= total * (100 - percent)
+
+
 def frequent_tokens(docs: DataFrame, *, width: int = WIDTH, most: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
     """The tokens most frequent over all documents, and their counts: no more than ``most``, whatever the input."""
 
@@ -186,28 +218,18 @@ def components(links: DataFrame) -> DataFrame:
     round is written to the shared folder. A node's links are never gathered in one place.
     """
     both = written(links.select("a", "b").union(links.select("b", "a")).where("a <> b").distinct(), "links")
-    labels = written(both.select(F.col("a").alias("node")).distinct().withColumn("comp", F.col("node")), "labels")
+    labels = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low"))
+    labels = written(labels.select("node", F.least("node", "low").alias("comp")), "labels")
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), "comp"), "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("near"))
         step = labels.join(near, "node").select("node", F.col("comp").alias("old"), F.least("comp", "near").alias("via"))
-        step = written(step, "labels")
-        hop = step.select(F.col("node").alias("via"), F.col("via").alias("next"))
+        hop = labels.select(F.col("node").alias("via"), F.col("comp").alias("next"))
         new = written(step.join(hop, "via").select("node", F.col("next").alias("comp"), (F.col("next") != F.col("old")).alias("moved")), "labels")
         labels = new.select("node", "comp")
         if new.where("moved").isEmpty():
             return labels
 
 
-def _bits(bitmaps: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(bitmaps), dtype=np.uint64).reshape(len(bitmaps), -1)
-
-
-def _allowed(a: np.ndarray, b: np.ndarray, total: np.ndarray, percent: int) -> np.ndarray:
-    """Whether bitmaps differ in no more bits than similar sets of these sizes do in tokens."""
-    differ = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
-    return differ * (100 + percent) <= total * (100 - percent)
-
-
 def _within_size(a, b, percent: int):
     return (a * 100 >= b * percent) & (b * 100 >= a * percent)
 
@@ -277,7 +299,8 @@ class Join:
         def check(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for frame in frames:
                 total = (frame["na"] + frame["nb"]).to_numpy(np.int64)
-                ok = _allowed(_bits(frame["pa"]), _bits(frame["pb"]), total, percent)
+                every = np.arange(len(frame))
+                ok = allowed(Bitmaps(frame["pa"]), every, Bitmaps(frame["pb"]), every, total, percent)
                 yield frame.loc[ok, ["a", "b"]]
 
         return rows.select("a", "b", "na", "nb", "pa", "pb").mapInPandas(check, "a long, b long")
@@ -294,7 +317,7 @@ class Join:
 
         def pairs_of(frame: pd.DataFrame, group: np.ndarray) -> pd.DataFrame:
             """All groups of a frame at once: every row with the row d places on, for d up to the largest group."""
-            bits = _bits(frame["bitmap"])
+            bits = Bitmaps(frame["bitmap"])
             ids, n, comp, own, i, j = (frame[c].to_numpy(np.int64) for c in ("row_id", "n", "comp", "own", "i", "j"))
             found = [np.empty((0, 2), np.int64)]
             for d in range(1, len(group)):
@@ -305,7 +328,7 @@ class Join:
                 small, large = np.minimum(n[left], n[right]), np.maximum(n[left], n[right])
                 tried = (comp[left] != comp[right]) & (small * 100 >= large * percent) & ((i[left] == j[left]) | (own[left] != own[right]))
                 left, right = left[tried], right[tried]
-                ok = _allowed(bits[left], bits[right], n[left] + n[right], percent)
+                ok = allowed(bits, left, bits, right, n[left] + n[right], percent)
                 found.append(np.stack([ids[left[ok]], ids[right[ok]]], axis=1))
             both = np.concatenate(found)
             return pd.DataFrame({"a": both.min(axis=1, initial=2**63 - 1), "b": both.max(axis=1, initial=-(2**63))}).drop_duplicates()
@@ -357,7 +380,7 @@ def near_duplicates(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCE
     members = listed.select("token", "row_id").join(named.where("row_id = rep").select("row_id", "n"), "row_id")
     lists = members.join(first, members["row_id"] == first["node"], "left").select("token", "row_id", "n", F.coalesce("comp", "row_id").alias("comp"))
     more = job.similar(written(job.across(lists, bitmaps), "pairs"))
-    comps = components(links.union(more))
+    comps = first if more.isEmpty() else components(links.union(more))
 
     whole = rows.join(comps, rows["rep"] == comps["node"], "left").select("row_id", "n", F.coalesce("comp", "rep").alias("comp"))
     whole = written(whole.join(docs.select("row_id", "doc_id"), "row_id"), "components")

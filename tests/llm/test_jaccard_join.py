@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from marketloom.llm import jaccard_join as j
@@ -88,7 +89,7 @@ def test_one_of_each_keeps_columns(spark):
 def test_prefixes_of_similar_sets_meet_in_every_order(percent):
     rng = np.random.default_rng(3)
     for _ in range(200):
-        n = int(rng.integers(1, 60))
+        n = int(rng.integers(1, 900))
         a = np.unique(rng.integers(1, 2**63, n).astype(np.uint64))
         b = np.unique(np.concatenate([a[rng.random(len(a)) < 0.9], rng.integers(1, 2**63, int(rng.integers(0, 6))).astype(np.uint64)]))
         both = len(np.intersect1d(a, b))
@@ -96,5 +97,7 @@ def test_prefixes_of_similar_sets_meet_in_every_order(percent):
         if both and 100 * both >= percent * (len(a) + len(b) - both):
             for k in range(3):
                 assert len(np.intersect1d(orders.prefix(a, k, percent), orders.prefix(b, k, percent)))
-        x, y = (np.frombuffer(j.parity_bitmap(s), dtype=np.uint64) for s in (a, b))
-        assert np.bitwise_count(x ^ y).sum() <= len(a) + len(b) - 2 * both
+        x, y = (j.Bitmaps(pd.Series([j.parity_bitmap(s)])) for s in (a, b))
+        one = np.zeros(1, np.int64)
+        differ = len(a) + len(b) - 2 * both
+        assert j.allowed(x, one, y, one, np.array([-(-differ * (100 + percent) // (100 - percent))]), percent)[0]
