@@ -234,6 +234,19 @@ def _within_size(a, b, percent: int):
     return (a * 100 >= b * percent) & (b * 100 >= a * percent)
 
 
+def id_bit():
+    return F.pmod(F.xxhash64("row_id"), F.lit(1 << BLOOM_BITS))
+
+
+def id_bits(ids: DataFrame) -> np.ndarray:
+    """A bit set of fixed size that has the bit of every row_id in ids, and so tells surely which rows are not."""
+    words = ids.select(id_bit().alias("bit")).groupBy(F.shiftright("bit", 5).cast("int").alias("word"))
+    found = words.agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 32 AS INT))")).alias("bits")).toPandas()
+    out = np.zeros(1 << (BLOOM_BITS - 5), np.int64)
+    out[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
+    return out
+
+
 class Join:
     """The join's steps over docs (row_id, text); row_id must come out alike in every scan, as with files."""
 
@@ -259,11 +272,7 @@ class Join:
     def features(self, ids: DataFrame) -> DataFrame:
         """(row_id, tokens, prefixes) of the rows in ids. Python sees all texts and skips most by a bitmap of fixed size."""
         width, percent, orders, held = self.width, self.percent, self.orders, self.global_orders
-        words = ids.select(F.pmod(F.xxhash64("row_id"), F.lit(1 << BLOOM_BITS)).alias("bit"))
-        words = words.groupBy(F.shiftright("bit", 5).cast("int").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 32 AS INT))")).alias("bits"))
-        asked = np.zeros(1 << (BLOOM_BITS - 5), np.int64)
-        found = words.toPandas()
-        asked[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
+        asked = id_bits(ids)
         bloom = self.docs.sparkSession.sparkContext.broadcast(asked)
 
         def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -277,8 +286,7 @@ class Join:
                     rows.append((row_id, s.view(np.int64), others))
                 yield pd.DataFrame(rows, columns=["row_id", "tokens", "prefixes"])
 
-        bit = F.pmod(F.xxhash64("row_id"), F.lit(1 << BLOOM_BITS)).alias("bit")
-        made = self.docs.select("row_id", bit, "text").mapInPandas(each, "row_id long, tokens array<long>, prefixes array<array<int>>")
+        made = self.docs.select("row_id", id_bit().alias("bit"), "text").mapInPandas(each, "row_id long, tokens array<long>, prefixes array<array<int>>")
         return written(made.join(ids.select("row_id").distinct(), "row_id", "left_semi"), "features")
 
     def similar(self, pairs: DataFrame) -> DataFrame:
@@ -392,6 +400,16 @@ def near_duplicates(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCE
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """The rows of docs that have the smallest doc_id of their component (one of repeated rows), with their columns."""
     found = near_duplicates(docs, **options)
-    kept = found.where("row_id = first_row").select("row_id")
+    gone = written(found.where("row_id <> first_row").select("row_id"), "gone")
+    held = docs.sparkSession.sparkContext.broadcast(id_bits(gone))
+
+    @F.pandas_udf("boolean")
+    def maybe_gone(bit: pd.Series) -> pd.Series:
+        at = bit.to_numpy(np.int64)
+        return pd.Series((held.value[at >> 5] >> (at & 31)) & 1 == 1)
+
     rows = docs.select(F.monotonically_increasing_id().alias("row_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    return rows.join(kept, "row_id", "left_semi").select("row.*")
+    rows = rows.select("row_id", "row", maybe_gone(id_bit()).alias("maybe"))
+    # Only rows whose bit is set are shuffled for the exact check.
+    sure, rest = rows.where("NOT maybe"), rows.where("maybe").join(gone, "row_id", "left_anti")
+    return sure.select("row").union(rest.select("row")).select("row.*")
