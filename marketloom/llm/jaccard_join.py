@@ -40,7 +40,7 @@ FREQUENT = 1 << 20
 TOP_COUNT = 10_000
 #: Frequencies are summed over parts of so many tokens; a token counts in a part from so many documents.
 PART_TOKENS, PART_LEAST = 4_000_000, 2
-MIN_BITS, MAX_BITS = 256, 1 << 15
+MIN_BITS, MAX_BITS = 512, 1 << 16
 #: Lists longer than this are tried in pairs of blocks of this size.
 LIST_BLOCK = 2048
 BLOOM_BITS = 25
@@ -140,9 +140,9 @@ class Orders:
 def parity_bitmap(tokens: np.ndarray) -> bytes:
     """Bit i: parity of the tokens that hash to i. Two sets' bitmaps differ in no more bits than the sets in tokens.
 
-    As many bits as the next power of two from the set's size, within bounds; a longer bitmap folds to a shorter one.
+    As many bits as the next power of two from four times the set's size, within bounds; a longer bitmap folds to a shorter one.
     """
-    n = min(max(MIN_BITS, 1 << (len(tokens) - 1).bit_length() if len(tokens) else 0), MAX_BITS)
+    n = min(max(MIN_BITS, 1 << (4 * len(tokens)).bit_length()), MAX_BITS)
     bits = np.bincount((mixed(tokens, 4) >> np.uint64(20)).astype(np.int64) & (n - 1), minlength=n) & 1
     return np.packbits(bits.astype(np.uint8)).tobytes()
 
