@@ -255,19 +255,19 @@ class Join:
         self.global_orders = docs.sparkSession.sparkContext.broadcast(Orders(*frequent_tokens(docs, width=width, most=frequent)))
 
     def sets(self) -> DataFrame:
-        """(row_id, n, s1, s2, prefix, bitmap) of every row: size, 128-bit hash of the set, first order's prefix, parities."""
+        """(row_id, place, n, s1, s2, prefix, bitmap) of every row: size, 128-bit hash of the set, first order's prefix, parities."""
         width, percent, held = self.width, self.percent, self.global_orders
 
         def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for frame in frames:
                 rows = []
-                for row_id, text in zip(frame["row_id"], frame["text"], strict=True):
+                for row_id, place, text in zip(frame["row_id"], frame["place"], frame["text"], strict=True):
                     s = shingles(text, width)
                     h = xxhash.xxh3_128_digest(s.tobytes())
-                    rows.append((row_id, len(s), int.from_bytes(h[:8], "big", signed=True), int.from_bytes(h[8:], "big", signed=True), held.value.prefix(s, 0, percent).view(np.int64), parity_bitmap(s)))
-                yield pd.DataFrame(rows, columns=["row_id", "n", "s1", "s2", "prefix", "bitmap"])
+                    rows.append((row_id, place, len(s), int.from_bytes(h[:8], "big", signed=True), int.from_bytes(h[8:], "big", signed=True), held.value.prefix(s, 0, percent).view(np.int64), parity_bitmap(s)))
+                yield pd.DataFrame(rows, columns=["row_id", "place", "n", "s1", "s2", "prefix", "bitmap"])
 
-        return written(self.docs.select("row_id", "text").mapInPandas(each, "row_id long, n int, s1 long, s2 long, prefix array<long>, bitmap binary"), "sets")
+        return written(self.docs.select("row_id", "place", "text").mapInPandas(each, "row_id long, place long, n int, s1 long, s2 long, prefix array<long>, bitmap binary"), "sets")
 
     def features(self, ids: DataFrame) -> DataFrame:
         """(row_id, tokens, prefixes) of the rows in ids. Python sees all texts and skips most by a bitmap of fixed size."""
@@ -366,18 +366,21 @@ def near_duplicates(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCE
     nothing. Repeated rows are one component; a null doc_id is never a component_id unless all
     of a component are null.
     """
-    docs = docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", "text")
+    # Copies mostly have larger ids than what they copy, so the least id is a good first partner for a list.
+    place = F.coalesce(F.col("doc_id").try_cast("long"), F.lit(2**63 - 1))
+    docs = docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", place.alias("place"), "text")
     job = Join(docs, width=width, percent=percent, orders=orders, frequent=frequent, list_block=list_block)
     sets = job.sets()
     groups = written(sets.where("n > 0").groupBy("s1", "s2").agg(F.min("row_id").alias("rep")), "equal-sets")
-    rows = written(sets.select("row_id", "n", "s1", "s2").join(groups, ["s1", "s2"], "left").select("row_id", "n", F.coalesce("rep", "row_id").alias("rep")), "rows")
+    rows = written(sets.select("row_id", "place", "n", "s1", "s2").join(groups, ["s1", "s2"], "left").select("row_id", "place", "n", F.coalesce("rep", "row_id").alias("rep")), "rows")
 
-    postings = sets.select(F.explode("prefix").alias("token"), "row_id")
-    hubs = postings.groupBy("token").agg(F.min("row_id").alias("hub"), F.max("row_id").alias("last")).where("hub < last").select("token", "hub")
-    listed = written(postings.join(hubs, "token"), "lists")
+    postings = sets.select(F.explode("prefix").alias("token"), "row_id", "place")
+    hubs = postings.groupBy("token").agg(F.min("place").alias("hub"), F.min("row_id").alias("low"), F.max("row_id").alias("high")).where("low < high").select("token", "hub")
+    listed = written(postings.drop("place").join(hubs, "token"), "lists")
     named = rows.select("row_id", "rep", "n")
-    near = listed.select("hub", "row_id").distinct().where("hub < row_id")
-    near = near.join(named.select("row_id", F.col("rep").alias("y"), F.col("n").alias("ny")), "row_id").join(named.select(F.col("row_id").alias("hub"), F.col("rep").alias("x"), F.col("n").alias("nx")), "hub")
+    partners = rows.groupBy(F.col("place").alias("hub")).agg(F.min(F.struct(F.col("rep").alias("x"), F.col("n").alias("nx"))).alias("at")).select("hub", "at.*")
+    near = listed.select("hub", "row_id").distinct().join(partners, "hub")
+    near = near.join(named.select("row_id", F.col("rep").alias("y"), F.col("n").alias("ny")), "row_id")
     near = near.where((F.col("x") != F.col("y")) & _within_size(F.col("nx"), F.col("ny"), percent))
     first_less = F.col("x") < F.col("y")
     near = near.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.when(first_less, F.col("nx")).otherwise(F.col("ny")).alias("na"), F.when(first_less, F.col("ny")).otherwise(F.col("nx")).alias("nb")).distinct()
