@@ -84,8 +84,10 @@ def test_mixed_documents(spark):
     for r in got.collect():
         words[r.doc_id] += len(r.text.split())
     assert words == +taken
-    whole = {d: t for d, t, _ in rows}
-    assert all(set(r.text.split()) <= set(whole[r.doc_id].split()) for r in got.collect())
+    whole = collections.defaultdict(set)
+    for d, t, _ in rows:
+        whole[d] |= set((t or "").split())
+    assert all(set(r.text.split()) <= whole[r.doc_id] for r in got.collect())
 
 
 def test_empty_table(spark):
