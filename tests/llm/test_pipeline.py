@@ -9,8 +9,17 @@ from marketloom.llm import entries, jaccard_join, line_dedup, mixing, quality_ru
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 
+WORDS = """river stone garden window morning letter engine winter market silver bridge village shoulder
+question doctor minute travel kitchen mountain summer number company picture station evening teacher building
+paper island corner forest harbour captain library museum student kingdom machine pattern blanket candle
+chimney hammer lantern meadow needle orchard pebble saddle tunnel valley wagon yellow narrow gentle quiet
+sudden wooden broken hidden frozen distant ancient modern simple famous empty heavy bright clever honest
+nervous patient careful remember wander listen follow gather borrow carry whisper travelled answered opened
+closed painted counted measured between against without beneath towards behind because although whenever""".split()
+
+
 def words(i, n):
-    return " ".join(hashlib.md5(f"{i} {k}".encode()).hexdigest()[: 3 + k % 5].translate(str.maketrans("0123456789", "ghijklmnop")) for k in range(n))
+    return " ".join(WORDS[int(hashlib.md5(f"{i} {k}".encode()).hexdigest(), 16) % len(WORDS)] for k in range(n))
 
 
 @pytest.fixture(scope="module")
