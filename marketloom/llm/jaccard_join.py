@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import numbered, written
 
 WIDTH = 5
 PERCENT = 80
@@ -248,7 +248,7 @@ def id_bits(ids: DataFrame) -> np.ndarray:
 
 
 class Join:
-    """The join's steps over docs (row_id, text); row_id must come out alike in every scan, as with files."""
+    """The join's steps over docs (row_id, text); row_id must come out alike in every scan, as numbered() makes it."""
 
     def __init__(self, docs: DataFrame, *, width: int, percent: int, orders: int, frequent: int, list_block: int):
         self.docs, self.width, self.percent, self.orders, self.list_block = docs, width, percent, orders, list_block
@@ -366,9 +366,14 @@ def near_duplicates(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCE
     nothing. Repeated rows are one component; a null doc_id is never a component_id unless all
     of a component are null.
     """
+    return joined(numbered(docs), width=width, percent=percent, orders=orders, frequent=frequent, list_block=list_block)
+
+
+def joined(rows: DataFrame, *, width: int = WIDTH, percent: int = PERCENT, orders: int = ORDERS, frequent: int = FREQUENT, list_block: int = LIST_BLOCK) -> DataFrame:
+    """near_duplicates() of rows that numbered() gave."""
     # Copies mostly have larger ids than what they copy, so the least id is a good first partner for a list.
-    place = F.coalesce(F.col("doc_id").try_cast("long"), F.lit(2**63 - 1))
-    docs = docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", place.alias("place"), "text")
+    place = F.coalesce(F.col("row.doc_id").try_cast("long"), F.lit(2**63 - 1))
+    docs = rows.select("row_id", "row.doc_id", place.alias("place"), "row.text")
     job = Join(docs, width=width, percent=percent, orders=orders, frequent=frequent, list_block=list_block)
     sets = job.sets()
     groups = written(sets.where("n > 0").groupBy("s1", "s2").agg(F.min("row_id").alias("rep")), "equal-sets")
@@ -402,7 +407,8 @@ def near_duplicates(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCE
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """The rows of docs that have the smallest doc_id of their component (one of repeated rows), with their columns."""
-    found = near_duplicates(docs, **options)
+    rows = numbered(docs)
+    found = joined(rows, **options)
     gone = written(found.where("row_id <> first_row").select("row_id"), "gone")
     held = docs.sparkSession.sparkContext.broadcast(id_bits(gone))
 
@@ -411,7 +417,6 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
         at = bit.to_numpy(np.int64)
         return pd.Series((held.value[at >> 5] >> (at & 31)) & 1 == 1)
 
-    rows = docs.select(F.monotonically_increasing_id().alias("row_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     rows = rows.select("row_id", "row", maybe_gone(id_bit()).alias("maybe"))
     # Only rows whose bit is set are shuffled for the exact check.
     sure, rest = rows.where("NOT maybe"), rows.where("maybe").join(gone, "row_id", "left_anti")

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import SPACE_CLASS, written
+from .shared import SPACE_CLASS, numbered, written
 
 WEIGHTS = (5, 2, 1)
 SHARE_PERCENT = 150
@@ -127,14 +127,14 @@ def slots(draws: DataFrame, *, seed: int = SEED) -> DataFrame:
     return draws.mapInPandas(fill, "source string, shard long, slot long, pass long, block_index long")
 
 
-def streams(docs: DataFrame, *, seed: int = SEED, parts: int = PARTS) -> DataFrame:
-    """(row_id, doc_id, source, size, start): where each row's words begin in its source's stream.
+def streams(rows: DataFrame, *, seed: int = SEED, parts: int = PARTS) -> DataFrame:
+    """(row_id, doc_id, source, size, start) of numbered() rows: where each row's words begin in its source's stream.
 
     Order: hash of doc_id and text, so it does not depend on files. A source is dealt to parts
     by that hash; offsets within a part and of parts are summed apart, so no source is in one task.
     """
-    order = F.xxhash64(F.lit(seed), "doc_id", "text")
-    rows = docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", "source", word_count(F.col("text")).alias("size"), order.alias("order"))
+    order = F.xxhash64(F.lit(seed), "row.doc_id", "row.text")
+    rows = rows.select("row_id", "row.doc_id", "row.source", word_count(F.col("row.text")).alias("size"), order.alias("order"))
     rows = written(rows.withColumn("part", F.pmod("order", F.lit(parts)).cast("int")), "stream-sizes")
     before = Window.partitionBy("source", "part").orderBy("order", "doc_id", "row_id").rowsBetween(Window.unboundedPreceding, -1)
     sums = rows.groupBy("source", "part").agg(F.sum("size").alias("sum"))
@@ -154,13 +154,18 @@ def segments(stream: DataFrame, *, block: int = BLOCK) -> DataFrame:
 
 
 def mix(docs: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, share_percent: int = SHARE_PERCENT, max_passes: int = MAX_PASSES, block: int = BLOCK, slots_per_shard: int = SLOTS_PER_SHARD, seed: int = SEED) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The mix as (stream, targets, uses).
+    """mix_of() the rows of docs, numbered."""
+    return mix_of(numbered(docs), weights=weights, share_percent=share_percent, max_passes=max_passes, block=block, slots_per_shard=slots_per_shard, seed=seed)
 
-    stream: streams() of docs; targets: source_targets(); uses: one row per block segment and
+
+def mix_of(rows: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, share_percent: int = SHARE_PERCENT, max_passes: int = MAX_PASSES, block: int = BLOCK, slots_per_shard: int = SLOTS_PER_SHARD, seed: int = SEED) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The mix of numbered() rows as (stream, targets, uses).
+
+    stream: streams() of rows; targets: source_targets(); uses: one row per block segment and
     slot, (row_id, source, shard, slot, pass, block_index, first_word, n_words): in order of
     shard, slot and start, these are the words of the mix. Empty tables give empty results.
     """
-    stream = written(streams(docs, seed=seed), "streams")
+    stream = written(streams(rows, seed=seed), "streams")
     targets = written(source_targets(stream, weights=weights, share_percent=share_percent, max_passes=max_passes), "targets")
     # Written, so that Spark knows its size: the few rows that it comes from would have it broadcast.
     filled = written(slots(shard_draws(targets, block=block, slots_per_shard=slots_per_shard, seed=seed), seed=seed), "slots")
@@ -203,11 +208,10 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of docs as the mix takes them: a row for each pass over it, its text cut to the words taken in that pass.
 
     Other columns stay (n_chars, where there is one, follows the new text). Rows of which nothing is taken go.
-    docs must read the same way twice, as files do: its rows are numbered in each of two scans.
     """
-    _, _, uses = mix(docs, **options)
+    rows = numbered(docs)
+    _, _, uses = mix_of(rows, **options)
     runs = uses.groupBy("row_id", "pass").agg(F.collect_list(F.struct("first_word", "n_words")).alias("runs"))
-    rows = docs.select(F.monotonically_increasing_id().alias("row_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     cut = rows.join(runs, "row_id").select("row", _words_of(F.col("row.text"), F.col("runs")).alias("cut"))
     new = {"text": F.col("cut"), "n_chars": F.length("cut").cast("long")}
     return cut.select(*[(new[c] if c in new else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

@@ -37,6 +37,39 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: A row's number: 30 bits of its file, 33 of its place in it.
+FILE_BITS, PLACE_BITS = 30, 33
+
+
+def _scan_of_files(df: DataFrame) -> bool:
+    """Whether df is columns of Parquet files and nothing else, so that a file and a place name one row."""
+    plan = df._jdf.queryExecution().analyzed() if hasattr(df, "_jdf") else None
+    while plan is not None and plan.getClass().getSimpleName() == "Project":
+        plan = plan.child()
+    if plan is None or plan.getClass().getSimpleName() != "LogicalRelation":
+        return False
+    relation = plan.relation()
+    return relation.getClass().getSimpleName() == "HadoopFsRelation" and relation.fileFormat().getClass().getSimpleName() == "ParquetFileFormat"
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """(row_id, row) of every row of df: a number of its own, and its columns as a struct.
+
+    Every scan of the result gives a row the same number, however Spark splits the files: of a
+    scan of files it is made from the file and the place in it (by a hash of the paths that
+    is first seen to keep them apart), other tables are written with their numbers.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+    if _scan_of_files(df):
+        at = df.metadataColumn("_metadata")
+        files = df.select(at["file_path"].alias("path")).distinct()
+        number = lambda path, seed: F.pmod(F.xxhash64(F.lit(seed), path), F.lit(1 << FILE_BITS))
+        paths, *apart = files.agg(F.count(F.lit(1)), *[F.count_distinct(number(F.col("path"), seed)).alias(f"s{seed}") for seed in range(4)]).first()
+        if paths in apart:
+            return df.select((F.shiftleft(number(at["file_path"], apart.index(paths)), PLACE_BITS) + at["row_index"]).alias("row_id"), row)
+    return written(df.select(F.monotonically_increasing_id().alias("row_id"), row), "numbered")
+
+
 def text_of(col: str = "text"):
     return F.coalesce(F.col(col), F.lit(""))
 

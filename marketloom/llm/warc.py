@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import numbered, written
 
 #: Fixed values of the formats: the dictionary frame's magic number, a data frame's, and the line end of records.
 DICTIONARY_MAGIC = 0x184D2A5D
@@ -40,12 +40,12 @@ def record_types(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFr
     """pages (page_id, url, html) with payload_digest, payload_bytes, record_type and refers_to.
 
     Of equal payloads of min_bytes or more the smallest page_id is the response (of repeated
-    rows with that page_id the one read first; a null page_id only if no other has the
+    rows with that page_id the one of least number; a null page_id only if no other has the
     payload); the rest revisit it. Null html is an empty payload. Payloads count as equal
     when their SHA-256 is. Sums per digest are formed before the shuffle.
     """
-    payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    rows = pages.select(F.monotonically_increasing_id().alias("row_id"), "page_id", "url", "html", F.sha2(payload, 256).alias("payload_digest"), F.length(payload).cast("long").alias("payload_bytes"))
+    payload = F.coalesce(F.col("row.html"), F.lit("")).cast("binary")
+    rows = numbered(pages.select("page_id", "url", "html")).select("row_id", "row.page_id", "row.url", "row.html", F.sha2(payload, 256).alias("payload_digest"), F.length(payload).cast("long").alias("payload_bytes"))
     first = F.min(F.struct(F.col("page_id").isNull().alias("no_id"), "page_id", "row_id"))
     groups = rows.where(F.col("payload_bytes") >= min_bytes).groupBy("payload_digest").agg(first.alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     revisit = F.col("first").isNotNull() & (F.col("first.row_id") != F.col("row_id"))
