@@ -29,7 +29,7 @@ SEED = 6
 
 #: Fixed lists of HTML: elements without content, elements whose content is no text, inline elements, and which start tags end an open element.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style noscript template iframe object svg math canvas audio video head title select textarea".split())
+RAW = set("script style template head title".split())
 INLINE = set("a abbr b bdi bdo cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var img wbr button input".split())
 ENDS_P = set("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 SAME_ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -64,6 +64,9 @@ ATTRIBUTE_GROUPS = [
     r"form|search|login|signup|contact|hidden",
 ]
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)/?>|<[!?][^>]*>", re.S)
+#: Searched in the source itself: a lower-cased copy can be longer. ASCII, so that no other letter counts as an s.
+_ENDS = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)[^>]*>?", re.I | re.A) for t in RAW}
+_BODY = re.compile(r"<body(?=[\s/>]|\Z)", re.I | re.A)
 _ATTRIBUTES = re.compile(r"(?:class|id|role|aria-label|data-component|itemprop)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _GROUPS = [re.compile(rf"(?:^|[^a-z])(?:{g})(?:$|[^a-z])") for g in ATTRIBUTE_GROUPS]
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none", re.I)
@@ -81,7 +84,7 @@ class Page:
     def __init__(self, source: str):
         self.tags, self.attributes, self.parents = ["html"], [""], [-1]
         self.pieces: list[tuple[int, str, bool]] = []
-        open_, links, at, low = [("html", 0)], 0, 0, None
+        open_, links, at = [("html", 0)], 0, 0
         add = self.pieces.append
         n = len(source)
         while at < n:
@@ -108,16 +111,12 @@ class Page:
                 continue
             if tag in RAW:
                 if tag == "head":
-                    low = low or source.lower()
-                    stop = low.find("</head", at)
-                    body = low.find("<body", at)
-                    at = stop if stop >= 0 else body if body >= 0 else at
+                    stop = _ENDS[tag].search(source, at) or _BODY.search(source, at)
+                    at = stop.start() if stop else at
                 elif not m[0].endswith("/>"):
-                    low = low or source.lower()
-                    stop = low.find(f"</{tag}", at)
-                    at = n if stop < 0 else stop
-                    if stop >= 0:
-                        at = (low.find(">", stop) + 1) or n
+                    stop = _ENDS[tag].search(source, at)
+                    # Without an end, scripts and styles go on to the end of the page, as in HTML; others hide nothing.
+                    at = stop.end() if stop else n if tag in ("script", "style") else at
                 continue
             if tag in VOID:
                 if tag not in INLINE:

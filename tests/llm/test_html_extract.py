@@ -70,6 +70,16 @@ def test_parsing():
     assert page.tags == ["html", "div", "p", "div"] and page.parents == [-1, 0, 1, 1]
 
 
+def test_only_raw_elements_are_skipped():
+    text = lambda s: h.Page(s).text(np.ones(len(h.Page(s).tags), bool))
+    assert text("<p>a<noscript>b</noscript><object>c</object><textarea>d</textarea><svg><text>e</text></svg><math><mi>f</mi></math></p>g") == "a b c d e f g"
+    for tag in "select object svg iframe noscript template".split():
+        assert text(f"<p>a</p><{tag}><p>rest of the page</p>") == "a rest of the page"
+    assert text("\u0130" * 9 + "<script>no</script>after it <STYLE>no</Style >end") == "\u0130" * 9 + "after it end"
+    assert text("<script>a</scripts>b</script>c") == "c"
+    assert text("<head><title>t</title><body><header>h</header>b") == "h b"
+
+
 def test_odd_pages(spark, model):
     rows = [(1, "u", None), (2, None, ""), (2, None, ""), (None, "u", "<p>"), (3, "u", "<div>" * 3000 + "deep"), (4, "u", "<p>" + "word " * 60_000)]
     got = h.extract_text(spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, text string"), model).collect()
