@@ -1,27 +1,30 @@
 """Set similarity join on word shingles by prefix filters under several global orders.
 
 Two sets with Jaccard similarity t share one of the first n - ceil(t n) + 1 tokens under
-every global order of all tokens. All orders here put frequent tokens last (by the power of
-two of their frequency); among equals each order has its own hash. Frequencies are counted
-over all documents, by parts: what is frequent at all is frequent in a part.
-
-Candidates come from the first order's prefix tokens, must also share prefix tokens under
-the other orders, and are then verified on the whole sets. Equal sets are one node. Only
-connected components are asked for, so lists of a token are not expanded into pairs:
-
-1. each list's first member is paired with the others (one pair per member),
-2. components of the links found are formed,
-3. in lists that still hold several components, pairs across components are tried.
-
-Pairs are tried first by parity bitmaps, whose difference never exceeds the sets'; those
-that pass by the other orders' prefixes and the whole sets.
-
-Every link between different components is so found: whoever shares a prefix token is
-either in one component already or tried in step 3.
+every global order of all tokens. Only one of equal sets takes part, so a token of one
+document is in one set. An order puts tokens first that are in one set only: they fill
+prefixes and are candidates of nothing. To know them, one token in ``SAMPLE`` (by its value)
+is counted exactly over all documents; the others, uncounted, stand among the rare ones.
+Among tokens of one class each order has its own hash.
+
+1. Counted tokens that several sets have go back to their documents. A document whose
+   single tokens fill its prefix links with nothing and is done.
+2. The other (open) documents list their prefix tokens under the first order. A pair in one
+   list is a candidate if it also shares prefix tokens under every other order, and if
+   parity bitmaps of the sets do not differ in more bits than similar sets do in tokens.
+3. Candidates are verified on the whole sets, which move for them only.
+
+Connected components are asked for, so lists are not expanded into pairs: first a list's
+first member is paired with the others (one pair per member) and components of the links
+are formed; then, in lists that still hold several components, pairs across components are
+tried, by ranges of set size, and only those are emitted that the bitmaps allow. Lists of
+the same members are tried once. Every link between different components is so found:
+whoever shares a prefix token is either in one component already or tried.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,20 +33,21 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import numbered, written
+from .shared import numbered, worker_state, written
 
 WIDTH = 5
 PERCENT = 80
 ORDERS = 3
-#: So many of the most frequent tokens are put last; 16 bytes each are broadcast, and a table of 8 MB.
-FREQUENT = 1 << 20
-TOP_COUNT = 10_000
-#: Frequencies are summed over parts of so many tokens; a token counts in a part from so many documents.
-PART_TOKENS, PART_LEAST = 4_000_000, 2
-MIN_BITS, MAX_BITS = 512, 1 << 16
+#: One token in so many is counted over all documents. A prefix at 80 percent holds a fifth of a set, so a quarter can fill it.
+SAMPLE = 4
+#: Class of a counted token: log2 of its count, one more from UNCOUNTED on; and of all other tokens.
+UNCOUNTED, TOP_CLASS = 3, 31
+#: Bits of a parity bitmap; it travels with every row of a list.
+BITS = 1024
 #: Lists longer than this are tried in pairs of blocks of this size.
 LIST_BLOCK = 2048
-BLOOM_BITS = 25
+#: Rows that are surely not in a set of rows are told by a broadcast of no more than so many hash values.
+ID_BITS = 20
 
 _ODD = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3]
 
@@ -111,104 +115,32 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1 if n else 0
 
 
-class Orders:
-    """Global orders: a token's place is (frequency class, hash of the order), packed into 63 bits."""
+def counted(tokens: np.ndarray, sample: int) -> np.ndarray:
+    """Which tokens are counted over all documents."""
+    return tokens % np.uint64(sample) == 0
 
-    def __init__(self, tokens: np.ndarray, counts: np.ndarray):
-        at = np.argsort(tokens)
-        self.tokens = tokens[at]
-        self.classes = np.minimum(np.log2(np.maximum(counts[at], 1)).astype(np.uint64) + np.uint64(1), np.uint64(31))
 
-        self.near = np.zeros(1 << 23, bool)
-        self.near[(self.tokens >> np.uint64(41)).astype(np.int64)] = True
-
-    def places(self, tokens: np.ndarray, order: int) -> np.ndarray:
-        own = np.zeros(len(tokens), np.uint64)
-        maybe = np.flatnonzero(self.near[(tokens >> np.uint64(41)).astype(np.int64)])
-        if len(maybe):
-            asked = tokens[maybe]
-            i = np.minimum(np.searchsorted(self.tokens, asked), len(self.tokens) - 1)
-            own[maybe] = np.where(self.tokens[i] == asked, self.classes[i], np.uint64(0))
-        return (own << np.uint64(58)) | (mixed(tokens, order) >> np.uint64(6))
+def classes(tokens: np.ndarray, repeated: np.ndarray, ranks: np.ndarray, sample: int) -> np.ndarray:
+    """Class of each token of a sorted set; 0: in this set only. repeated: its counted tokens that other sets have too."""
+    out = np.where(counted(tokens, sample), np.uint64(0), np.uint64(UNCOUNTED))
+    out[np.searchsorted(tokens, repeated)] = ranks
+    return out
 
-    def prefix(self, tokens: np.ndarray, order: int, percent: int) -> np.ndarray:
-        p = prefix_length(len(tokens), percent)
-        places = self.places(tokens, order)
-        return np.sort(places if p >= len(places) else np.partition(places, p - 1)[:p]) if p else places
 
+def prefixes(tokens: np.ndarray, kinds: np.ndarray, orders: int, percent: int) -> list[np.ndarray]:
+    """A set's prefix under each order, without the tokens that no other set has."""
+    left = prefix_length(len(tokens), percent) - int((kinds == 0).sum())
+    if left <= 0:
+        return [tokens[:0]] * orders
+    shared = tokens[kinds > 0]
+    places = [(kinds[kinds > 0] << np.uint64(58)) | (mixed(shared, k) >> np.uint64(6)) for k in range(orders)]
+    return [shared[np.argpartition(x, left - 1)[:left]] if left < len(shared) else shared for x in places]
 
-def parity_bitmap(tokens: np.ndarray) -> bytes:
-    """Bit i: parity of the tokens that hash to i. Two sets' bitmaps differ in no more bits than the sets in tokens.
 
-    As many bits as the next power of two from four times the set's size, within bounds; a longer bitmap folds to a shorter one.
-    """
-    n = min(max(MIN_BITS, 1 << (4 * len(tokens)).bit_length()), MAX_BITS)
-    bits = np.bincount((mixed(tokens, 4) >> np.uint64(20)).astype(np.int64) & (n - 1), minlength=n) & 1
-    return np.packbits(bits.astype(np.uint8)).tobytes()
-
-
-class Bitmaps:
-    """A column of parity bitmaps, folded to a common length as pairs need it."""
-
-    def __init__(self, column: pd.Series):
-        self.data = column.to_numpy()
-        self.sizes = np.fromiter(map(len, self.data), np.int64, len(self.data))
-        self.folds: dict[int, np.ndarray] = {}
-
-    def folded(self, size: int) -> np.ndarray:
-        if size not in self.folds:
-            out = np.zeros((len(self.data), size // 8), np.uint64)
-            for own in np.unique(self.sizes[self.sizes >= size]):
-                at = np.flatnonzero(self.sizes == own)
-                out[at] = np.bitwise_xor.reduce(np.frombuffer(b"".join(self.data[at]), dtype=np.uint64).reshape(len(at), own // size, size // 8), axis=1)
-            self.folds[size] = out
-        return self.folds[size]
-
-
-def allowed(a: Bitmaps, i: np.ndarray, b: Bitmaps, j: np.ndarray, total: np.ndarray, percent: int) -> np.ndarray:
-    """Whether bitmaps a[i] and b[j] differ in no more bits than similar sets, of these sizes together, do in tokens."""
-    size, differ = np.minimum(a.sizes[i], b.sizes[j]), np.zeros(len(i), np.int64)
-    for m in np.unique(size):
-        at = np.flatnonzero(size == m)
-        for part in np.array_split(at, len(at) // 100_000 + 1):
-            differ[part] = np.bitwise_count(a.folded(m)[i[part]] ^ b.folded(m)[j[part]]).sum(axis=1, dtype=np.int64)
-    return differ * (100 + percent) <= total * (100 - percent)
-
-
-def frequent_tokens(docs: DataFrame, *, width: int = WIDTH, most: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
-    """The tokens most frequent over all documents, and their counts: no more than ``most``, whatever the input."""
-
-    def parts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def count(sets):
-            tokens, n = np.unique(np.concatenate(sets), return_counts=True)
-            many = n >= PART_LEAST
-            return pd.DataFrame({"token": tokens[many].view(np.int64), "n": n[many].astype(np.int64)})
-
-        sets, size = [], 0
-        for frame in frames:
-            for text in frame["text"]:
-                sets.append(shingles(text, width))
-                size += len(sets[-1])
-                if size >= PART_TOKENS:
-                    yield count(sets)
-                    sets, size = [], 0
-        if sets:
-            yield count(sets)
-
-    counts = docs.select("text").mapInPandas(parts, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    counts = written(counts, "token-counts")
-    # How many tokens have a count, counts above TOP_COUNT together: the least count that leaves no more than ``most``.
-    steps = counts.groupBy(F.least("n", F.lit(TOP_COUNT)).alias("n")).count().orderBy(F.desc("n")).collect()
-    left, least = most, None
-    for n, tokens in steps:
-        left -= tokens
-        if left < 0:
-            break
-        least = n
-    if least is None:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    top = counts.where(F.col("n") >= least).toPandas()
-    return top["token"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
+def parity_bitmap(tokens: np.ndarray) -> np.ndarray:
+    """Bit i: parity of the tokens that hash to i. Two sets' bitmaps differ in no more bits than the sets in tokens."""
+    bits = np.bincount((mixed(tokens, 4) >> np.uint64(20)).astype(np.int64) & (BITS - 1), minlength=BITS) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -230,103 +162,125 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _within_size(a, b, percent: int):
-    return (a * 100 >= b * percent) & (b * 100 >= a * percent)
-
+def _hash_bit(col: str):
+    return F.pmod(F.xxhash64(col), F.lit(1 << ID_BITS))
 
-def id_bit():
-    return F.pmod(F.xxhash64("row_id"), F.lit(1 << BLOOM_BITS))
 
-
-def id_bits(ids: DataFrame) -> np.ndarray:
-    """A bit set of fixed size that has the bit of every row_id in ids, and so tells surely which rows are not."""
-    words = ids.select(id_bit().alias("bit")).groupBy(F.shiftright("bit", 5).cast("int").alias("word"))
-    found = words.agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 32 AS INT))")).alias("bits")).toPandas()
-    out = np.zeros(1 << (BLOOM_BITS - 5), np.int64)
-    out[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
-    return out
+def surely_not(rows: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """rows whose row_id surely isn't in ids, and the rest. What is broadcast: distinct hash values, 2 ** ID_BITS at most."""
+    bits = F.broadcast(ids.select(_hash_bit("row_id").alias("bit_")).distinct())
+    at = _hash_bit("row_id") == F.col("bit_")
+    return rows.join(bits, at, "left_anti"), rows.join(bits, at, "left_semi")
 
 
 class Join:
-    """The join's steps over docs (row_id, text); row_id must come out alike in every scan, as numbered() makes it."""
+    """The join's steps over docs (row_id, place, text); row_id must come out alike in every scan, as numbered() makes it."""
 
-    def __init__(self, docs: DataFrame, *, width: int, percent: int, orders: int, frequent: int, list_block: int):
-        self.docs, self.width, self.percent, self.orders, self.list_block = docs, width, percent, orders, list_block
-        self.global_orders = docs.sparkSession.sparkContext.broadcast(Orders(*frequent_tokens(docs, width=width, most=frequent)))
+    def __init__(self, docs: DataFrame, *, width: int, percent: int, orders: int, sample: int, list_block: int):
+        self.docs, self.width, self.percent, self.orders, self.sample, self.list_block = docs, width, percent, orders, sample, list_block
 
     def sets(self) -> DataFrame:
-        """(row_id, place, n, s1, s2, prefix, bitmap) of every row: size, 128-bit hash of the set, first order's prefix, parities."""
-        width, percent, held = self.width, self.percent, self.global_orders
+        """(row_id, place, n, s1, s2, counted) of every row: the set's size, its 128-bit hash and its tokens that are counted."""
+        width, sample = self.width, self.sample
 
         def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            worker_state("jaccard", dict)  # what other operators left in this worker goes
             for frame in frames:
                 rows = []
                 for row_id, place, text in zip(frame["row_id"], frame["place"], frame["text"], strict=True):
                     s = shingles(text, width)
                     h = xxhash.xxh3_128_digest(s.tobytes())
-                    rows.append((row_id, place, len(s), int.from_bytes(h[:8], "big", signed=True), int.from_bytes(h[8:], "big", signed=True), held.value.prefix(s, 0, percent).view(np.int64), parity_bitmap(s)))
-                yield pd.DataFrame(rows, columns=["row_id", "place", "n", "s1", "s2", "prefix", "bitmap"])
-
-        return written(self.docs.select("row_id", "place", "text").mapInPandas(each, "row_id long, place long, n int, s1 long, s2 long, prefix array<long>, bitmap binary"), "sets")
-
-    def features(self, ids: DataFrame) -> DataFrame:
-        """(row_id, tokens, prefixes) of the rows in ids. Python sees all texts and skips most by a bitmap of fixed size."""
-        width, percent, orders, held = self.width, self.percent, self.orders, self.global_orders
-        asked = id_bits(ids)
-        bloom = self.docs.sparkSession.sparkContext.broadcast(asked)
+                    rows.append((row_id, place, len(s), int.from_bytes(h[:8], "big", signed=True), int.from_bytes(h[8:], "big", signed=True), s[counted(s, sample)].view(np.int64)))
+                yield pd.DataFrame(rows, columns=["row_id", "place", "n", "s1", "s2", "counted"])
+
+        return written(self.docs.select("row_id", "place", "text").mapInPandas(each, "row_id long, place long, n int, s1 long, s2 long, counted array<long>"), "sets")
+
+    def open_rows(self, sets: DataFrame, copies: DataFrame) -> DataFrame:
+        """(row_id, n, place, text, prefix, others, bitmap) of the sets, one of equal ones, whose prefixes other sets may share.
+
+        copies: row_id of the sets that are equal to another and take no part.
+        """
+        width, percent, orders, sample = self.width, self.percent, self.orders, self.sample
+        sure, rest = surely_not(sets.where("n > 0"), copies)
+        single = sure.unionByName(rest.join(copies, "row_id", "left_anti"))
+        tokens = single.select("row_id", F.explode("counted").alias("token"))
+        counts = written(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("count")).where("count > 1"), "token-counts")
+        rank = F.least(F.floor(F.log2("count")), F.lit(TOP_CLASS - 1)).cast("int")
+        rank = F.when(rank >= UNCOUNTED, rank + 1).otherwise(rank)
+        repeated = tokens.join(counts.select("token", rank.alias("rank")), "token")
+        repeated = repeated.groupBy("row_id").agg(F.collect_list("token").alias("tokens"), F.collect_list("rank").alias("ranks"))
+        need = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+        known = single.select("row_id", "place", "n", F.size("counted").alias("n_counted")).join(repeated, "row_id", "left")
+        opened = written(known.where((F.col("n_counted") - F.coalesce(F.size("tokens"), F.lit(0))) < need).drop("n_counted"), "open")
 
         def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for frame in frames:
-                bit = frame["bit"].to_numpy(np.int64)
-                frame = frame[(bloom.value[bit >> 5] >> (bit & 31)) & 1 == 1]
                 rows = []
-                for row_id, text in zip(frame["row_id"], frame["text"], strict=True):
+                for text, tokens, ranks in zip(frame["text"], frame["tokens"], frame["ranks"], strict=True):
                     s = shingles(text, width)
-                    others = [(held.value.prefix(s, k, percent) >> np.uint64(8)).astype(np.uint32).view(np.int32) for k in range(1, orders)]
-                    rows.append((row_id, s.view(np.int64), others))
-                yield pd.DataFrame(rows, columns=["row_id", "tokens", "prefixes"])
-
-        made = self.docs.select("row_id", id_bit().alias("bit"), "text").mapInPandas(each, "row_id long, tokens array<long>, prefixes array<array<int>>")
-        return written(made.join(ids.select("row_id").distinct(), "row_id", "left_semi"), "features")
-
-    def similar(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that share prefix tokens under the other orders and are similar on the whole sets."""
-        features = self.features(pairs.select(F.col("a").alias("row_id")).union(pairs.select("b")).distinct())
-        own = lambda k: features.select(F.col("row_id").alias(k), F.col("tokens").alias(f"t{k}"), F.col("prefixes").alias(f"p{k}"))
-        rows = pairs.join(own("b"), "b").join(own("a"), "a")
+                    tokens = np.empty(0, np.int64) if tokens is None else np.asarray(tokens, np.int64)
+                    kinds = classes(s, tokens.view(np.uint64), np.empty(0, np.uint64) if ranks is None else np.asarray(ranks, np.uint64), sample)
+                    first, *others = prefixes(s, kinds, orders, percent)
+                    others = [(mixed(x, 6) >> np.uint64(32)).astype(np.uint32).view(np.int32) for x in others]
+                    rows.append((first.view(np.int64), others, parity_bitmap(s)))
+                out = frame[["row_id", "n", "place", "text"]].reset_index(drop=True)
+                yield pd.concat([out, pd.DataFrame(rows, columns=["prefix", "others", "bitmap"])], axis=1)
+
+        _, maybe = surely_not(self.docs.select("row_id", "text"), opened)
+        rows = maybe.join(opened, "row_id").select("row_id", "n", "place", "text", "tokens", "ranks")
+        return written(rows.mapInPandas(each, "row_id long, n int, place long, text string, prefix array<long>, others array<array<int>>, bitmap array<long>"), "open-rows")
+
+    def candidates(self, pairs: DataFrame, rows: DataFrame) -> DataFrame:
+        """The pairs (a, b) that share prefix tokens under every other order and whose bitmaps allow a link."""
+        own = lambda k: rows.select(F.col("row_id").alias(k), F.col("n").alias(f"n{k}"), F.col("others").alias(f"o{k}"), F.col("bitmap").alias(f"m{k}"))
+        out = pairs.join(own("b"), "b").join(own("a"), "a")
         for i in range(self.orders - 1):
-            rows = rows.where(F.arrays_overlap(F.col("pa")[i], F.col("pb")[i]))
-        common = F.size(F.array_intersect("ta", "tb")).cast("long")
-        return written(rows.where(common * 100 >= (F.size("ta") + F.size("tb") - common) * self.percent).select("a", "b"), "similar")
+            out = out.where(F.arrays_overlap(F.col("oa")[i], F.col("ob")[i]))
+        differ = F.aggregate(F.zip_with("ma", "mb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+        return written(out.where(differ * (100 + self.percent) <= (F.col("na") + F.col("nb")) * (100 - self.percent)).select("a", "b"), "candidates")
 
-    def near(self, pairs: DataFrame, bitmaps: DataFrame) -> DataFrame:
-        """The pairs (a, b, na, nb) whose bitmaps allow a link."""
-        percent = self.percent
-        rows = pairs.join(bitmaps.select(F.col("row_id").alias("a"), F.col("bitmap").alias("pa")), "a").join(bitmaps.select(F.col("row_id").alias("b"), F.col("bitmap").alias("pb")), "b")
+    def similar(self, candidates: DataFrame, rows: DataFrame) -> DataFrame:
+        """The candidates (a, b) that are similar on the whole sets."""
+        width = self.width
+        ids = candidates.select(F.col("a").alias("row_id")).union(candidates.select("b")).distinct()
 
-        def check(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for frame in frames:
-                total = (frame["na"] + frame["nb"]).to_numpy(np.int64)
-                every = np.arange(len(frame))
-                ok = allowed(Bitmaps(frame["pa"]), every, Bitmaps(frame["pb"]), every, total, percent)
-                yield frame.loc[ok, ["a", "b"]]
+                yield pd.DataFrame({"row_id": frame["row_id"], "tokens": [shingles(x, width).view(np.int64) for x in frame["text"]]})
+
+        sets = written(rows.select("row_id", "text").join(ids, "row_id", "left_semi").mapInPandas(each, "row_id long, tokens array<long>"), "candidate-sets")
+        own = lambda k: sets.select(F.col("row_id").alias(k), F.col("tokens").alias(f"t{k}"))
+        out = candidates.join(own("b"), "b").join(own("a"), "a")
+        common = F.size(F.array_intersect("ta", "tb")).cast("long")
+        return written(out.where(common * 100 >= (F.size("ta") + F.size("tb") - common) * self.percent).select("a", "b"), "similar")
 
-        return rows.select("a", "b", "na", "nb", "pa", "pb").mapInPandas(check, "a long, b long")
+    def lists(self, rows: DataFrame) -> DataFrame:
+        """(token, row_id, n, hub, hub_n) of every token that several rows have in their first prefix; hub: the list's first member."""
+        # Copies mostly have larger ids than what they copy, so the least place is a good first partner for a list.
+        postings = rows.select(F.explode("prefix").alias("token"), "row_id", "n", "place")
+        ends = postings.groupBy("token").agg(F.min(F.struct("place", "row_id", "n")).alias("first"), F.min("row_id").alias("low"), F.max("row_id").alias("high"))
+        ends = ends.where("low < high").select("token", F.col("first.row_id").alias("hub"), F.col("first.n").alias("hub_n"))
+        return written(postings.drop("place").join(ends, "token"), "lists")
 
     def across(self, lists: DataFrame, bitmaps: DataFrame) -> DataFrame:
         """Pairs (a, b) of different components in lists (token, row_id, n, comp) whose bitmaps allow a link."""
         percent, block = self.percent, self.list_block
-        counts = lists.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("members"))
-        counts = written(counts.where("low < high").select("token", "members"), "mixed-lists")
-        rows = lists.join(counts, "token").join(bitmaps.select("row_id", "bitmap"), "row_id")
+        same = [F.bit_xor(F.xxhash64(F.lit(i), "row_id")).alias(f"x{i}") for i in range(2)]
+        mixes = lists.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("members"), *same).where("low < high")
+        mixes = written(mixes.groupBy("members", "x0", "x1").agg(F.min("token").alias("token")).select("token", "members"), "mixed-lists")
+        # Sets of similar sizes are in one range or in neighbouring ones; group g holds the pairs of range g, and of it with g + 1.
+        span = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent) - 1e-9).cast("int") if percent < 100 else F.col("n")
+        rows = lists.join(mixes, "token").withColumn("span", span)
         rows = rows.withColumn("k", F.ceil(F.col("members") / block).cast("int")).withColumn("own", F.pmod(F.xxhash64("row_id"), F.col("k")).cast("int"))
-        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-        rows = rows.select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "row_id", "n", "comp", "bitmap")
+        rows = rows.withColumn("g", F.explode(F.array("span", F.col("span") - 1))).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+        rows = rows.select("token", "g", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "span", "row_id", "n", "comp")
+        rows = rows.join(bitmaps.select("row_id", "bitmap"), "row_id")
+        keys = ["token", "g", "i", "j"]
 
         def pairs_of(frame: pd.DataFrame, group: np.ndarray) -> pd.DataFrame:
             """All groups of a frame at once: every row with the row d places on, for d up to the largest group."""
-            bits = Bitmaps(frame["bitmap"])
-            ids, n, comp, own, i, j = (frame[c].to_numpy(np.int64) for c in ("row_id", "n", "comp", "own", "i", "j"))
+            bits = np.stack(frame["bitmap"].to_numpy()).view(np.uint64)
+            ids, n, comp, own, i, j, g, span = (frame[c].to_numpy(np.int64) for c in ("row_id", "n", "comp", "own", "i", "j", "g", "span"))
             found = [np.empty((0, 2), np.int64)]
             for d in range(1, len(group)):
                 left = np.flatnonzero(group[d:] == group[:-d])
@@ -334,9 +288,10 @@ class Join:
                     break
                 right = left + d
                 small, large = np.minimum(n[left], n[right]), np.maximum(n[left], n[right])
-                tried = (comp[left] != comp[right]) & (small * 100 >= large * percent) & ((i[left] == j[left]) | (own[left] != own[right]))
+                tried = (comp[left] != comp[right]) & (small * 100 >= large * percent) & ((i[left] == j[left]) | (own[left] != own[right])) & ((span[left] == g[left]) | (span[right] == g[right]))
                 left, right = left[tried], right[tried]
-                ok = allowed(bits, left, bits, right, n[left] + n[right], percent)
+                differ = np.bitwise_count(bits[left] ^ bits[right]).sum(axis=1, dtype=np.int64)
+                ok = differ * (100 + percent) <= (n[left] + n[right]) * (100 - percent)
                 found.append(np.stack([ids[left[ok]], ids[right[ok]]], axis=1))
             both = np.concatenate(found)
             return pd.DataFrame({"a": both.min(axis=1, initial=2**63 - 1), "b": both.max(axis=1, initial=-(2**63))}).drop_duplicates()
@@ -345,7 +300,7 @@ class Join:
             rest = None
             for frame in frames:
                 frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
-                key = frame[["token", "i", "j"]].to_numpy(np.int64)
+                key = frame[keys].to_numpy(np.int64)
                 group = np.cumsum(np.r_[0, (key[1:] != key[:-1]).any(axis=1)])
                 whole = int(np.searchsorted(group, group[-1]))  # the last group may go on in the next frame
                 if whole:
@@ -354,11 +309,10 @@ class Join:
             if rest is not None and len(rest):
                 yield pairs_of(rest, np.zeros(len(rest), np.int64))
 
-        keys = ["token", "i", "j"]
         return rows.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(stream, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCENT, orders: int = ORDERS, frequent: int = FREQUENT, list_block: int = LIST_BLOCK) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCENT, orders: int = ORDERS, sample: int = SAMPLE, list_block: int = LIST_BLOCK) -> DataFrame:
     """(row_id, doc_id, n_shingles, component_id, first_row) of every row of docs (doc_id, text).
 
     component_id: the smallest doc_id that links reach, the row's own included; first_row: the
@@ -366,39 +320,35 @@ def near_duplicates(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCE
     nothing. Repeated rows are one component; a null doc_id is never a component_id unless all
     of a component are null.
     """
-    return joined(numbered(docs), width=width, percent=percent, orders=orders, frequent=frequent, list_block=list_block)
+    return joined(numbered(docs), width=width, percent=percent, orders=orders, sample=sample, list_block=list_block)
 
 
-def joined(rows: DataFrame, *, width: int = WIDTH, percent: int = PERCENT, orders: int = ORDERS, frequent: int = FREQUENT, list_block: int = LIST_BLOCK) -> DataFrame:
+def joined(rows: DataFrame, *, width: int = WIDTH, percent: int = PERCENT, orders: int = ORDERS, sample: int = SAMPLE, list_block: int = LIST_BLOCK) -> DataFrame:
     """near_duplicates() of rows that numbered() gave."""
-    # Copies mostly have larger ids than what they copy, so the least id is a good first partner for a list.
     place = F.coalesce(F.col("row.doc_id").try_cast("long"), F.lit(2**63 - 1))
     docs = rows.select("row_id", "row.doc_id", place.alias("place"), "row.text")
-    job = Join(docs, width=width, percent=percent, orders=orders, frequent=frequent, list_block=list_block)
+    job = Join(docs, width=width, percent=percent, orders=orders, sample=sample, list_block=list_block)
     sets = job.sets()
-    groups = written(sets.where("n > 0").groupBy("s1", "s2").agg(F.min("row_id").alias("rep")), "equal-sets")
-    rows = written(sets.select("row_id", "place", "n", "s1", "s2").join(groups, ["s1", "s2"], "left").select("row_id", "place", "n", F.coalesce("rep", "row_id").alias("rep")), "rows")
-
-    postings = sets.select(F.explode("prefix").alias("token"), "row_id", "place")
-    hubs = postings.groupBy("token").agg(F.min("place").alias("hub"), F.min("row_id").alias("low"), F.max("row_id").alias("high")).where("low < high").select("token", "hub")
-    listed = written(postings.drop("place").join(hubs, "token"), "lists")
-    named = rows.select("row_id", "rep", "n")
-    partners = rows.groupBy(F.col("place").alias("hub")).agg(F.min(F.struct(F.col("rep").alias("x"), F.col("n").alias("nx"))).alias("at")).select("hub", "at.*")
-    near = listed.select("hub", "row_id").distinct().join(partners, "hub")
-    near = near.join(named.select("row_id", F.col("rep").alias("y"), F.col("n").alias("ny")), "row_id")
-    near = near.where((F.col("x") != F.col("y")) & _within_size(F.col("nx"), F.col("ny"), percent))
-    first_less = F.col("x") < F.col("y")
-    near = near.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.when(first_less, F.col("nx")).otherwise(F.col("ny")).alias("na"), F.when(first_less, F.col("ny")).otherwise(F.col("nx")).alias("nb")).distinct()
-    bitmaps = sets.select("row_id", "bitmap")
-    links = job.similar(written(job.near(near, bitmaps), "pairs"))
+    groups = sets.where("n > 0").groupBy("s1", "s2").agg(F.min(F.struct("place", "row_id")).alias("first"), F.min("row_id").alias("low"), F.max("row_id").alias("high"))
+    groups = written(groups.where("low < high").select("s1", "s2", F.col("first.row_id").alias("rep")), "equal-sets")
+    copies = written(sets.where("n > 0").join(groups, ["s1", "s2"]).where("row_id <> rep").select("row_id", "rep"), "copies")
+
+    opened = job.open_rows(sets, copies.select("row_id"))
+    lists = job.lists(opened)
+    a, b = F.least("hub", "row_id").alias("a"), F.greatest("hub", "row_id").alias("b")
+    in_reach = (F.col("n") * 100 >= F.col("hub_n") * percent) & (F.col("hub_n") * 100 >= F.col("n") * percent)
+    pairs = lists.where((F.col("hub") != F.col("row_id")) & in_reach).select(a, b).distinct()
+    links = job.similar(job.candidates(pairs, opened), opened)
     first = components(links)
 
-    members = listed.select("token", "row_id").join(named.where("row_id = rep").select("row_id", "n"), "row_id")
-    lists = members.join(first, members["row_id"] == first["node"], "left").select("token", "row_id", "n", F.coalesce("comp", "row_id").alias("comp"))
-    more = job.similar(written(job.across(lists, bitmaps), "pairs"))
+    named = lists.join(first.withColumnRenamed("node", "row_id"), "row_id", "left").select("token", "row_id", "n", F.coalesce("comp", "row_id").alias("comp"))
+    more = written(job.across(named, opened), "pairs")
+    more = job.similar(job.candidates(more, opened), opened)
     comps = first if more.isEmpty() else components(links.union(more))
 
-    whole = rows.join(comps, rows["rep"] == comps["node"], "left").select("row_id", "n", F.coalesce("comp", "rep").alias("comp"))
+    rest, some = surely_not(sets.select("row_id", "n"), copies)
+    whole = rest.withColumn("rep", F.col("row_id")).unionByName(some.join(copies, "row_id", "left").select("row_id", "n", F.coalesce("rep", "row_id").alias("rep")))
+    whole = whole.join(comps, whole["rep"] == comps["node"], "left").select("row_id", "n", F.coalesce("comp", "rep").alias("comp"))
     whole = written(whole.join(docs.select("row_id", "doc_id"), "row_id"), "components")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_id")).alias("least")
     ends = written(whole.groupBy("comp").agg(least), "ends")
@@ -408,16 +358,7 @@ def joined(rows: DataFrame, *, width: int = WIDTH, percent: int = PERCENT, order
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """The rows of docs that have the smallest doc_id of their component (one of repeated rows), with their columns."""
     rows = numbered(docs)
-    found = joined(rows, **options)
-    gone = written(found.where("row_id <> first_row").select("row_id"), "gone")
-    held = docs.sparkSession.sparkContext.broadcast(id_bits(gone))
-
-    @F.pandas_udf("boolean")
-    def maybe_gone(bit: pd.Series) -> pd.Series:
-        at = bit.to_numpy(np.int64)
-        return pd.Series((held.value[at >> 5] >> (at & 31)) & 1 == 1)
-
-    rows = rows.select("row_id", "row", maybe_gone(id_bit()).alias("maybe"))
-    # Only rows whose bit is set are shuffled for the exact check.
-    sure, rest = rows.where("NOT maybe"), rows.where("maybe").join(gone, "row_id", "left_anti")
-    return sure.select("row").union(rest.select("row")).select("row.*")
+    gone = written(joined(rows, **options).where("row_id <> first_row").select("row_id"), "gone")
+    # Only rows that may have gone are shuffled for the exact check.
+    sure, maybe = surely_not(rows, gone)
+    return sure.select("row").union(maybe.join(gone, "row_id", "left_anti").select("row")).select("row.*")

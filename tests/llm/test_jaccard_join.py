@@ -1,7 +1,6 @@
 import random
 
 import numpy as np
-import pandas as pd
 import pytest
 
 from marketloom.llm import jaccard_join as j
@@ -57,9 +56,26 @@ def test_against_brute_force(spark):
     check(spark, made_rows(1) + ODD)
 
 
-def test_small_lists_and_no_frequent_tokens(spark, monkeypatch):
-    monkeypatch.setattr(j, "PART_LEAST", 2)
-    check(spark, made_rows(2, 36), list_block=3, orders=2, frequent=5)
+@pytest.mark.parametrize("sample", [1, 3, 50])
+def test_small_lists_and_other_samples(spark, sample):
+    check(spark, made_rows(2, 36), list_block=3, orders=2, sample=sample)
+
+
+def test_long_texts_and_a_passage_in_all(spark):
+    """Texts of 3000 words and near copies of them, and short texts of which a common passage is most."""
+    rng = random.Random(4)
+    rows, passage = [], [f"p{i}" for i in range(60)]
+    for f in range(4):
+        base = [f"w{rng.randrange(100_000)}" for _ in range(3000)]
+        for k in range(3):
+            words = list(base)
+            for _ in range(40 + 25 * k):
+                words[rng.randrange(len(words))] = f"n{rng.randrange(10_000)}"
+            rows.append((f * 10 + k, " ".join(words + passage)))
+    for k in range(80):
+        own = [f"o{rng.randrange(30)}" for _ in range(rng.randint(5, 20))]
+        rows.append((1000 + k, " ".join(passage + own if k % 2 else own[:4] + passage + own[4:])))
+    check(spark, rows, list_block=16)
 
 
 def test_star_without_hub(spark):
@@ -109,18 +125,24 @@ def test_rows_keep_their_numbers_when_splits_change(spark, tmp_path, monkeypatch
 
 
 @pytest.mark.parametrize("percent", [60, 80, 95])
-def test_prefixes_of_similar_sets_meet_in_every_order(percent):
+@pytest.mark.parametrize("sample", [1, 4])
+def test_prefixes_of_similar_sets_meet_in_every_order(percent, sample):
     rng = np.random.default_rng(3)
     for _ in range(200):
         n = int(rng.integers(1, 900))
         a = np.unique(rng.integers(1, 2**63, n).astype(np.uint64))
         b = np.unique(np.concatenate([a[rng.random(len(a)) < 0.9], rng.integers(1, 2**63, int(rng.integers(0, 6))).astype(np.uint64)]))
-        both = len(np.intersect1d(a, b))
-        orders = j.Orders(a[::3], np.arange(1, len(a[::3]) + 1))
+        common = np.intersect1d(a, b)
+        both = len(common)
+        # Counted tokens that several sets have: all common ones, and here and there another.
+        ranks = {int(t): np.uint64(j.UNCOUNTED + 1 + int(t) % 3) for t in np.concatenate([common, a[::7]])}
+        kept = []
+        for x in (a, b):
+            seen = x[j.counted(x, sample) & np.isin(x, np.fromiter(ranks, np.uint64))]
+            kinds = j.classes(x, seen, np.array([ranks[int(t)] for t in seen], np.uint64), sample)
+            kept.append(j.prefixes(x, kinds, 3, percent))
         if both and 100 * both >= percent * (len(a) + len(b) - both):
-            for k in range(3):
-                assert len(np.intersect1d(orders.prefix(a, k, percent), orders.prefix(b, k, percent)))
-        x, y = (j.Bitmaps(pd.Series([j.parity_bitmap(s)])) for s in (a, b))
-        one = np.zeros(1, np.int64)
-        differ = len(a) + len(b) - 2 * both
-        assert j.allowed(x, one, y, one, np.array([-(-differ * (100 + percent) // (100 - percent))]), percent)[0]
+            for x, y in zip(*kept, strict=True):
+                assert len(np.intersect1d(x, y))
+        x, y = (j.parity_bitmap(s) for s in (a, b))
+        assert int(np.bitwise_count((x ^ y).view(np.uint64)).sum()) <= len(a) + len(b) - 2 * both
