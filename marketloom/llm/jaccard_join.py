@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import numbered, worker_state, written
+from .shared import numbered, surely_not, worker_state, written
 
 WIDTH = 5
 PERCENT = 80
@@ -46,8 +46,6 @@ UNCOUNTED, TOP_CLASS = 3, 31
 BITS = 1024
 #: Lists longer than this are tried in pairs of blocks of this size.
 LIST_BLOCK = 2048
-#: Rows that are surely not in a set of rows are told by a broadcast of no more than so many hash values.
-ID_BITS = 20
 
 _ODD = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3]
 
@@ -162,17 +160,6 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _hash_bit(col: str):
-    return F.pmod(F.xxhash64(col), F.lit(1 << ID_BITS))
-
-
-def surely_not(rows: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """rows whose row_id surely isn't in ids, and the rest. What is broadcast: distinct hash values, 2 ** ID_BITS at most."""
-    bits = F.broadcast(ids.select(_hash_bit("row_id").alias("bit_")).distinct())
-    at = _hash_bit("row_id") == F.col("bit_")
-    return rows.join(bits, at, "left_anti"), rows.join(bits, at, "left_semi")
-
-
 class Join:
     """The join's steps over docs (row_id, place, text); row_id must come out alike in every scan, as numbered() makes it."""
 

@@ -1,87 +1,98 @@
 """Line deduplication over levelled sorted runs of line hashes.
 
-A run is a table sorted by the 128-bit hash of line keys. A batch of documents merges its
-own sorted keys with the runs (an anti-join: keys that no run holds get their keeper from
-this batch) and is added as a run of the lowest level. When a level has ``fanout`` runs
-they are merged into one of the next level. Batches come in descending order of doc_id,
-so a key's first batch holds its largest doc_id and a keeper never changes.
+A run is a table of line hashes, dealt to buckets by hash and sorted in each. A batch of
+documents groups its own keys the same way and meets every run by a sort-merge anti-join
+that shuffles no run: keys that no run holds are new, and the batch sets their keeper; of
+the others it adds counts only. Its rows become a run of the lowest level. When a level has
+``fanout`` runs they are compacted into one of the next level. Batches come in descending
+order of doc_id, so a key is new in the batch that holds its largest doc_id.
+
+A hash is the first 128 bits of SHA-256 of the key, as good as the key itself.
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .shared import written
+from .shared import numbered, shared_dir, surely_not, written
 
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-KEY = ["h1", "h2"]
 BATCHES = 4
 FANOUT = 3
+#: Batches are cut at quantiles of so many doc_ids, those of least hash.
+CUT_SAMPLE = 1000
 
 
 class LineRuns:
-    """Levels of sorted runs (h1, h2, n_docs, keeper) in the shared folder; the driver holds only their handles."""
+    """Levels of sorted runs (h, n_docs, keeper, new) in the shared folder; the driver holds only their handles.
+
+    A key is new in one run, which holds its keeper; other runs only count its documents. A
+    run has two handles: as a bucketed table, for joins, and as plain files, for unions
+    (Spark 4.1 takes a union of bucketed tables for grouped by bucket, and then scans files).
+    """
 
     def __init__(self, fanout: int = FANOUT):
         self.fanout, self.levels = fanout, []
 
+    def runs(self) -> list[DataFrame]:
+        return [bucketed for level in self.levels for bucketed, _ in level]
+
     def _write(self, rows: DataFrame, level: int) -> None:
         while len(self.levels) <= level:
             self.levels.append([])
-        self.levels[level].append(written(rows.sortWithinPartitions(*KEY), f"run-{level}"))
+        spark, name = rows.sparkSession, f"marketloom_run_{uuid.uuid4().hex}"
+        buckets, path = int(spark.conf.get("spark.sql.shuffle.partitions")), f"{shared_dir(spark)}/marketloom/{name}"
+        rows.write.bucketBy(buckets, "h").sortBy("h").option("path", path).saveAsTable(name)
+        self.levels[level].append((spark.table(name), spark.read.schema(rows.schema).parquet(path)))
+        spark.sql(f"DROP TABLE {name}")  # only the name goes: files with a path of their own stay
         if len(self.levels[level]) >= self.fanout:
             full, self.levels[level] = self.levels[level], []
-            self._write(self._merged(full), level + 1)
+            self._write(self._compacted(full), level + 1)
 
     @staticmethod
-    def _merged(runs: list[DataFrame]) -> DataFrame:
-        return reduce(DataFrame.unionByName, runs).groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"), F.max("keeper").alias("keeper"))
+    def _compacted(runs: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
+        keeper = F.any_value(F.when(F.col("new"), F.struct("keeper")), ignoreNulls=True)["keeper"]
+        return reduce(DataFrame.unionByName, [files for _, files in runs]).groupBy("h").agg(F.sum("n_docs").alias("n_docs"), keeper.alias("keeper"), F.bool_or("new").alias("new"))
 
     def merged(self) -> DataFrame | None:
         """One row per key over all runs."""
-        runs = [r for level in self.levels for r in level]
-        return self._merged(runs) if runs else None
-
-    def add(self, keys: DataFrame) -> None:
-        """keys: (h1, h2, doc_id), any number of rows per document, of documents that no earlier batch held."""
-        own = keys.distinct().groupBy(*KEY).agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("keeper"))
-        held = [r.select(*KEY) for level in self.levels for r in level]
-        if held:
-            own = written(own, "batch")
-            fresh = own.join(reduce(DataFrame.unionByName, held), KEY, "left_anti")
-            counts = own.withColumn("keeper", F.lit(None).cast(own.schema["keeper"].dataType))
-            own = self._merged([counts, fresh.withColumn("n_docs", F.lit(0).cast("long"))])
-        self._write(own, 0)
+        return self._compacted([run for level in self.levels for run in level]) if self.levels else None
 
     def unseen(self, keys: DataFrame) -> DataFrame:
-        """The rows of keys whose line is in no run (first-come deduplication of a stream of batches)."""
-        held = [r.select(*KEY) for level in self.levels for r in level]
-        return keys.join(reduce(DataFrame.unionByName, held), KEY, "left_anti") if held else keys
+        """The rows of keys whose line is in no run."""
+        return reduce(lambda rows, run: rows.join(run.select("h"), "h", "left_anti"), self.runs(), keys)
+
+    def add(self, keys: DataFrame) -> None:
+        """keys: (h, doc_id), any number of rows per document, of documents that no earlier batch held."""
+        own = keys.groupBy("h", "doc_id").agg(F.lit(1).alias("one")).groupBy("h").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("keeper"))
+        # One pass: a run's key is marked by the left join, and what no run marks is new.
+        marks = [f"in_{i}" for i in range(len(self.runs()))]
+        for mark, run in zip(marks, self.runs(), strict=True):
+            own = own.join(run.select("h", F.lit(True).alias(mark)), "h", "left")
+        new = reduce(lambda a, m: a & F.col(m).isNull(), marks, F.lit(True))
+        self._write(own.select("h", "n_docs", F.when(new, F.col("keeper")).alias("keeper"), new.alias("new")), 0)
 
 
 def line_keys(docs: DataFrame, min_chars: int) -> DataFrame:
-    """(doc_id, text_hash, pos, h1, h2) of every line whose key has min_chars code points or more."""
+    """(row_id, doc_id, pos, h) of every line whose key has min_chars code points or more."""
     whole = F.translate(F.coalesce(F.col("text"), F.lit("")), UPPER, LOWER)
-    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split(whole, "\n", -1)).alias("pos", "line"))
+    rows = docs.select("row_id", "doc_id", F.posexplode(F.split(whole, "\n", -1)).alias("pos", "line"))
     rows = rows.withColumn("line", F.btrim("line", F.lit(BLANKS))).where(F.length("line") >= min_chars)
-    return rows.select("doc_id", "text_hash", "pos", F.xxhash64(F.lit(1), "line").alias("h1"), F.xxhash64(F.lit(2), "line").alias("h2"))
-
+    return rows.select("row_id", "doc_id", "pos", F.substring(F.unhex(F.sha2("line", 256)), 1, 16).alias("h"))
 
-@F.pandas_udf(T.StringType())
-def _without(texts: pd.Series, dropped: pd.Series) -> pd.Series:
-    def rest(text, gone):
-        if text is None:
-            return None
-        gone = set(gone)
-        return "\n".join(x for i, x in enumerate(text.split("\n")) if i not in gone)
 
-    return pd.Series([rest(t, g) for t, g in zip(texts, dropped, strict=True)], dtype=object)
+def _cuts(docs: DataFrame, batches: int) -> list:
+    """doc_ids, of any type, that cut docs into batches of about the same size; found on a bounded sample."""
+    if batches < 2:
+        return []
+    ids = docs.select("doc_id").where("doc_id IS NOT NULL").orderBy(F.xxhash64("doc_id")).limit(CUT_SAMPLE)
+    ids = sorted(r.doc_id for r in ids.collect())
+    return sorted({ids[len(ids) * i // batches] for i in range(1, batches)}) if ids else []
 
 
 def _batch_of(doc_id: Column, cuts: list) -> Column:
@@ -93,24 +104,28 @@ def dedup_lines(docs: DataFrame, *, min_chars: int = 40, min_docs: int = 5, batc
 
     Lines whose key (stripped of the six ASCII spaces, A-Z lower-cased) has min_chars code
     points and is found in min_docs documents go, except from the document with the largest
-    doc_id. Null and empty texts are one empty line. Rows that share a doc_id count as one
-    document; a null doc_id is one document, smaller than all.
+    doc_id (of any type that has an order). Null and empty texts are one empty line. Rows
+    that share a doc_id count as one document; a null doc_id is one document, smaller than
+    all. Other columns may have any names. Empty tables give no rows.
     """
     docs = docs.drop("line_text", "line_total", "line_dropped")
-    lines = written(line_keys(docs, min_chars), "line-keys")
-    cuts = docs.approxQuantile("doc_id", [i / batches for i in range(1, batches)], 0.01) if batches > 1 else []
-    cuts = sorted({int(c) for c in cuts})
+    rows = numbered(docs)
+    lines = written(line_keys(rows.select("row_id", "row.doc_id", "row.text"), min_chars), "line-keys")
+    cuts = _cuts(rows.select("row.doc_id"), batches)
     runs, place = LineRuns(fanout), _batch_of(F.col("doc_id"), cuts)
     for i in range(len(cuts), -1, -1):
-        runs.add(lines.where(place == i).select(*KEY, "doc_id"))
-    repeated = written(runs.merged().where(F.col("n_docs") >= min_docs).select(*KEY, "keeper"), "repeated")
-    gone = lines.join(repeated, KEY).where(~F.col("doc_id").eqNullSafe(F.col("keeper"))).groupBy(F.col("doc_id").alias("of_doc"), F.col("text_hash").alias("of_hash")).agg(F.collect_set("pos").alias("gone"))
-    text = F.coalesce(F.col("text"), F.lit(""))
-    joined = docs.withColumn("line_hash_", F.xxhash64("text")).join(gone, F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("line_hash_") == F.col("of_hash")), "left")
-    cut = _without(F.when(F.col("gone").isNotNull(), text), F.col("gone"))
-    return joined.select(
-        *[F.col(f"`{c}`") for c in docs.columns],
-        F.when(F.col("gone").isNull(), text).otherwise(cut).alias("line_text"),
-        F.size(F.split(text, "\n", -1)).cast("long").alias("line_total"),
-        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("line_dropped"),
-    )
+        runs.add(lines.where(place == i).select("h", "doc_id"))
+    repeated = written(runs.merged().where(F.col("n_docs") >= min_docs).select("h", "keeper"), "repeated")
+    gone = lines.join(repeated, "h").where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
+    gone = written(gone.groupBy("row_id").agg(F.collect_set("pos").alias("gone")), "gone")
+
+    # Only rows that may lose lines are shuffled.
+    sure, some = surely_not(rows, gone)
+    some = some.join(gone, "row_id", "left")
+    text = F.coalesce(F.col("row.text"), F.lit(""))
+    left = F.array_except(F.sequence(F.lit(0), F.size(F.split(text, "\n", -1)) - 1), F.col("gone"))
+    cut = F.transform(F.array(F.split(text, "\n", -1)), lambda lines: F.array_join(F.transform(left, lambda i: lines[i]), "\n"))[0]
+    total = F.size(F.split(text, "\n", -1)).cast("long").alias("line_total")
+    sure = sure.select("row", text.alias("line_text"), total, F.lit(0).cast("long").alias("line_dropped"))
+    some = some.select("row", F.when(F.col("gone").isNull(), text).otherwise(cut).alias("line_text"), total, F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("line_dropped"))
+    return sure.unionByName(some).select("row.*", "line_text", "line_total", "line_dropped")

@@ -70,6 +70,21 @@ def numbered(df: DataFrame) -> DataFrame:
     return written(df.select(F.monotonically_increasing_id().alias("row_id"), row), "numbered")
 
 
+#: Rows that are surely not in a set of rows are told by a broadcast of no more than 2 ** ID_BITS hash values.
+ID_BITS = 20
+
+
+def _hash_bit(col: str):
+    return F.pmod(F.xxhash64(col), F.lit(1 << ID_BITS))
+
+
+def surely_not(rows: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """rows whose row_id surely isn't in ids, and the rest. What is broadcast: distinct hash values, no more than 2 ** ID_BITS."""
+    bits = F.broadcast(ids.select(_hash_bit("row_id").alias("bit_")).distinct())
+    at = _hash_bit("row_id") == F.col("bit_")
+    return rows.join(bits, at, "left_anti"), rows.join(bits, at, "left_semi")
+
+
 def text_of(col: str = "text"):
     return F.coalesce(F.col(col), F.lit(""))
 
