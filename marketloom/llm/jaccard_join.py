@@ -17,9 +17,10 @@ Among tokens of one class each order has its own hash.
 Connected components are asked for, so lists are not expanded into pairs: first a list's
 first member is paired with the others (one pair per member) and components of the links
 are formed; then, in lists that still hold several components, pairs across components are
-tried, by ranges of set size, and only those are emitted that the bitmaps allow. Lists of
-the same members are tried once. Every link between different components is so found:
-whoever shares a prefix token is either in one component already or tried.
+tried, by ranges of set size, and only those are emitted that the bitmaps allow: at first
+each row's closest one, which joins most of what belongs together, then all that are still
+across. Lists of the same members are tried once. Every link between different components
+is so found: whoever shares a prefix token is either in one component already or tried.
 """
 
 from __future__ import annotations
@@ -249,8 +250,8 @@ class Join:
         ends = ends.where("low < high").select("token", F.col("first.row_id").alias("hub"), F.col("first.n").alias("hub_n"))
         return written(postings.drop("place").join(ends, "token"), "lists")
 
-    def across(self, lists: DataFrame, bitmaps: DataFrame) -> DataFrame:
-        """Pairs (a, b) of different components in lists (token, row_id, n, comp) whose bitmaps allow a link."""
+    def across(self, lists: DataFrame, bitmaps: DataFrame, closest: bool) -> DataFrame:
+        """Pairs (a, b) of different components in lists (token, row_id, n, comp) whose bitmaps allow a link; closest: one for each row."""
         percent, block = self.percent, self.list_block
         same = [F.bit_xor(F.xxhash64(F.lit(i), "row_id")).alias(f"x{i}") for i in range(2)]
         mixes = lists.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("members"), *same).where("low < high")
@@ -268,7 +269,7 @@ class Join:
             """All groups of a frame at once: every row with the row d places on, for d up to the largest group."""
             bits = np.stack(frame["bitmap"].to_numpy()).view(np.uint64)
             ids, n, comp, own, i, j, g, span = (frame[c].to_numpy(np.int64) for c in ("row_id", "n", "comp", "own", "i", "j", "g", "span"))
-            found = [np.empty((0, 2), np.int64)]
+            found, best, mate = [np.empty((0, 2), np.int64)], np.full(len(ids), np.inf), np.zeros(len(ids), np.int64)
             for d in range(1, len(group)):
                 left = np.flatnonzero(group[d:] == group[:-d])
                 if not len(left):
@@ -279,7 +280,15 @@ class Join:
                 left, right = left[tried], right[tried]
                 differ = np.bitwise_count(bits[left] ^ bits[right]).sum(axis=1, dtype=np.int64)
                 ok = differ * (100 + percent) <= (n[left] + n[right]) * (100 - percent)
-                found.append(np.stack([ids[left[ok]], ids[right[ok]]], axis=1))
+                left, right, ratio = left[ok], right[ok], differ[ok] / (n[left[ok]] + n[right[ok]])
+                if closest:
+                    for one, other in ((left, right), (right, left)):
+                        less = ratio < best[one]
+                        best[one[less]], mate[one[less]] = ratio[less], other[less]
+                else:
+                    found.append(np.stack([ids[left], ids[right]], axis=1))
+            some = np.flatnonzero(best < np.inf)
+            found.append(np.stack([ids[some], ids[mate[some]]], axis=1))
             both = np.concatenate(found)
             return pd.DataFrame({"a": both.min(axis=1, initial=2**63 - 1), "b": both.max(axis=1, initial=-(2**63))}).drop_duplicates()
 
@@ -326,12 +335,16 @@ def joined(rows: DataFrame, *, width: int = WIDTH, percent: int = PERCENT, order
     in_reach = (F.col("n") * 100 >= F.col("hub_n") * percent) & (F.col("hub_n") * 100 >= F.col("n") * percent)
     pairs = lists.where((F.col("hub") != F.col("row_id")) & in_reach).select(a, b).distinct()
     links = job.similar(job.candidates(pairs, opened), opened)
-    first = components(links)
-
-    named = lists.join(first.withColumnRenamed("node", "row_id"), "row_id", "left").select("token", "row_id", "n", F.coalesce("comp", "row_id").alias("comp"))
-    more = written(job.across(named, opened), "pairs")
-    more = job.similar(job.candidates(more, opened), opened)
-    comps = first if more.isEmpty() else components(links.union(more))
+    comps = components(links)
+    for closest in (True, False):
+        named = lists.join(comps.withColumnRenamed("node", "row_id"), "row_id", "left").select("token", "row_id", "n", F.coalesce("comp", "row_id").alias("comp"))
+        pairs = written(job.across(named, opened, closest), "pairs")
+        if pairs.isEmpty():
+            break
+        more = job.similar(job.candidates(pairs, opened), opened)
+        if not more.isEmpty():
+            links = links.union(more)
+            comps = components(links)
 
     rest, some = surely_not(sets.select("row_id", "n"), copies)
     whole = rest.withColumn("rep", F.col("row_id")).unionByName(some.join(copies, "row_id", "left").select("row_id", "n", F.coalesce("rep", "row_id").alias("rep")))
