@@ -41,6 +41,11 @@ def test_no_control_string_survives(spark):
     assert not any(s in text[len(START) : -len(END) - 1] for s in ("</s>", "[INST]", "[/INST]", "<<SYS>>", "<|im_end|>"))
 
 
+def test_a_conversation_of_many_turns(spark):
+    rows = [(1, i, ["user", "assistant"][(i // 3) % 2], f"é{i} <s>") for i in range(50_000)] + [(2, 0, "assistant", "one")]
+    check(spark, rows)
+
+
 def test_empty_table(spark):
     assert read_chats(format_chats(spark.createDataFrame([], SCHEMA))).collect() == []
 
