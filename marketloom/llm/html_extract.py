@@ -6,7 +6,8 @@ text. Decoding picks the best set of nodes in which a kept node's ancestors are
 over the tree, a node is either dropped with all below it or kept with its children's best.
 
 The trees are fitted on a bounded sample of the pages at hand: what stands in an article
-or main element (outside navigation, asides and the like) is main text, the rest not.
+or main element (outside navigation, asides and the like) is main text, the rest not. If
+no page of the sample has such an element, all that is outside navigation and the like is.
 Altered copies of the sample pages teach the model other page plans: renamed containers
 and added menus, sidebars, notices, adverts, forms and comment sections.
 """
@@ -84,15 +85,15 @@ class Page:
     def __init__(self, source: str):
         self.tags, self.attributes, self.parents = ["html"], [""], [-1]
         self.pieces: list[tuple[int, str, bool]] = []
-        open_, links, at = [("html", 0)], 0, 0
-        add = self.pieces.append
+        open_, places, at = [("html", 0)], {}, 0  # places: by tag, where in open_ it stands
+        links, add = places.setdefault("a", []), self.pieces.append
         n = len(source)
         while at < n:
             m = _TOKEN.search(source, at)
             here = open_[-1][1]
             end = m.start() if m else n
             if end > at:
-                add((here, entities.unescape(source[at:end]), links > 0))
+                add((here, entities.unescape(source[at:end]), bool(links)))
             if not m:
                 break
             at = m.end()
@@ -102,10 +103,8 @@ class Page:
             if m[1]:
                 if tag == "br":
                     add((here, " ", False))
-                depth = next((i for i in range(len(open_) - 1, 0, -1) if open_[i][0] == tag), 0)
-                if depth:
-                    links -= sum(t == "a" for t, _ in open_[depth:])
-                    del open_[depth:]
+                if places.get(tag):
+                    self._cut(open_, places, places[tag][-1])
                     if tag not in INLINE:
                         add((open_[-1][1], " ", False))
                 continue
@@ -125,32 +124,37 @@ class Page:
             if tag in ("html", "body"):
                 continue
             if tag in ENDS_P:
-                self._close(open_, {"p"})
+                self._close(open_, places, {"p"})
             elif tag in SAME_ENDS:
-                self._close(open_, SAME_ENDS[tag])
+                self._close(open_, places, SAME_ENDS[tag])
             elif tag == "a" and links:
-                self._close(open_, {"a"})
-            links = sum(t == "a" for t, _ in open_)
+                self._close(open_, places, {"a"})
             if tag in INLINE:
                 if not m[0].endswith("/>"):
+                    places.setdefault(tag, []).append(len(open_))
                     open_.append((tag, open_[-1][1]))
-                    links += tag == "a"
                 continue
             self.tags.append(tag)
             self.attributes.append(m[3])
             self.parents.append(open_[-1][1])
             add((len(self.tags) - 1, " ", False))
             if not m[0].endswith("/>"):
+                places.setdefault(tag, []).append(len(open_))
                 open_.append((tag, len(self.tags) - 1))
 
     @staticmethod
-    def _close(open_, ends) -> None:
-        for i in range(len(open_) - 1, 0, -1):
-            if open_[i][0] in ends:
-                del open_[i:]
-                return
-            if open_[i][0] in SCOPES:
-                return
+    def _cut(open_, places, depth: int) -> None:
+        """Close the open elements from depth on; each is closed once, so a page takes linear time."""
+        while len(open_) > depth:
+            places[open_.pop()[0]].pop()
+
+    @classmethod
+    def _close(cls, open_, places, ends) -> None:
+        """Close the innermost of ends, unless a scope is open inside it."""
+        nearest = lambda tags: max((places[t][-1] for t in tags if places.get(t)), default=0)
+        depth = nearest(ends)
+        if depth > nearest(SCOPES):
+            cls._cut(open_, places, depth)
 
     def text(self, kept) -> str:
         """The pieces of kept elements: white space to one space, character references decoded."""
@@ -313,10 +317,13 @@ def decode(odds: np.ndarray, own: np.ndarray, parents: list[int]) -> np.ndarray:
 _BOILERPLATE_TAGS = {"nav", "aside", "footer", "header", "form", "fieldset", "dialog", "menu"}
 
 
-def page_labels(page: Page) -> np.ndarray | None:
-    """1 for elements of the main text and what holds them; None if the page has no article or main element."""
+def page_labels(page: Page, anywhere: bool = False) -> np.ndarray | None:
+    """1 for elements of the main text and what holds them; None if the page has no article or main element.
+
+    anywhere: as if the page were one article.
+    """
     n = len(page.tags)
-    state = np.zeros(n, np.int64)  # 1: in the article, -1: boilerplate
+    state = np.full(n, int(anywhere))  # 1: in the article, -1: boilerplate
     for i in range(1, n):
         up = state[page.parents[i]]
         flags = _flags(page.attributes[i])
@@ -324,7 +331,7 @@ def page_labels(page: Page) -> np.ndarray | None:
             state[i] = -1
         elif up == 1 or page.tags[i] in ("article", "main") or "data-main" in page.attributes[i]:
             state[i] = 1
-    if not (state == 1).any():
+    if not (state == 1).any() and not anywhere:
         return None
     label = (state == 1).astype(float)
     for i in range(n - 1, 0, -1):
@@ -388,13 +395,14 @@ def train(pages: DataFrame, *, sample_pages: int = SAMPLE_PAGES, seed: int = SEE
                 for k, text in enumerate((source, altered(source, rng), altered(source, rng))):
                     page = Page(text)
                     label = page_labels(page)
-                    if label is not None:
-                        x, own = page_features(page)
-                        out.append((place, k, x[1:].tobytes(), label[1:].tobytes(), own[1:].tobytes()))
-            yield pd.DataFrame(out, columns=["place", "k", "x", "y", "own"])
+                    x, own = page_features(page)
+                    y = page_labels(page, anywhere=True) if label is None else label
+                    out.append((place, k, label is not None, x[1:].tobytes(), y[1:].tobytes(), own[1:].tobytes()))
+            yield pd.DataFrame(out, columns=["place", "k", "marked", "x", "y", "own"])
 
     rows = pages.join(F.broadcast(chosen), "page_id").where(F.col("html").isNotNull()).select("page_id", place.alias("place"), "html")
-    rows = rows.mapInPandas(examples, "place long, k int, x binary, y binary, own binary").toPandas().sort_values(["place", "k", "x"])
+    rows = rows.mapInPandas(examples, "place long, k int, marked boolean, x binary, y binary, own binary").toPandas().sort_values(["place", "k", "x"])
+    rows = rows[rows["marked"]] if rows["marked"].any() else rows
     if not len(rows):
         return Boosted()
     x, y, own = (np.frombuffer(b"".join(rows[c]), dtype=np.float64) for c in ("x", "y", "own"))

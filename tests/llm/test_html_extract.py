@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -80,6 +81,22 @@ def test_only_raw_elements_are_skipped():
     assert text("<head><title>t</title><body><header>h</header>b") == "h b"
 
 
+def test_unclosed_markup_takes_linear_time():
+    for markup in ("<b>", "<b><p>", "<a>x", "<div><b></i>", "<p><b></div>"):
+        began = time.perf_counter()
+        page = h.Page(markup * 100_000 + "end")
+        assert page.pieces[-1][1].endswith("end") and time.perf_counter() - began < 20
+
+
+def test_pages_without_articles(spark):
+    """The model then keeps what is outside menus, footers and the like."""
+    plain = lambda s: s.replace("<article>", "<div>").replace("</article>", "</div>")
+    rows = [(i, u, plain(s)) for i, u, s, _ in made()]
+    model = h.train(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    got = h.extract_all([plain(r[2]) for r in made(40, seed=2)], model)
+    assert np.mean([a == r[3] for a, r in zip(got, made(40, seed=2))]) > 0.9
+
+
 def test_odd_pages(spark, model):
     rows = [(1, "u", None), (2, None, ""), (2, None, ""), (None, "u", "<p>"), (3, "u", "<div>" * 3000 + "deep"), (4, "u", "<p>" + "word " * 60_000)]
     got = h.extract_text(spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, text string"), model).collect()
