@@ -14,6 +14,8 @@ import os
 import struct
 import uuid
 from collections.abc import Iterator
+from datetime import UTC, datetime
+from urllib.parse import quote, unquote
 
 import pandas as pd
 import zstandard
@@ -42,7 +44,9 @@ def record_types(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFr
     Of equal payloads of min_bytes or more the smallest page_id is the response (of repeated
     rows with that page_id the one of least number; a null page_id only if no other has the
     payload); the rest revisit it. Null html is an empty payload. Payloads count as equal
-    when their SHA-256 is. Sums per digest are formed before the shuffle.
+    when their SHA-256 is. Sums per digest are formed before the shuffle. row_id and
+    refers_to_row number the rows, so that rows of one page_id are told apart. Other columns
+    of pages are left out.
     """
     payload = F.coalesce(F.col("row.html"), F.lit("")).cast("binary")
     rows = numbered(pages.select("page_id", "url", "html")).select("row_id", "row.page_id", "row.url", "row.html", F.sha2(payload, 256).alias("payload_digest"), F.length(payload).cast("long").alias("payload_bytes"))
@@ -50,6 +54,8 @@ def record_types(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFr
     groups = rows.where(F.col("payload_bytes") >= min_bytes).groupBy("payload_digest").agg(first.alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     revisit = F.col("first").isNotNull() & (F.col("first.row_id") != F.col("row_id"))
     return rows.join(groups, "payload_digest", "left").select(
+        "row_id",
+        F.when(revisit, F.col("first.row_id")).alias("refers_to_row"),
         "page_id",
         "url",
         "html",
@@ -60,31 +66,40 @@ def record_types(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFr
     )
 
 
-def warc_record(page_id, url, payload: bytes, digest: str, record_type: str, refers_to) -> bytes:
-    """One WARC/1.1 record; a revisit carries no payload but its digest and length."""
-    head = [
-        ("WARC-Type", record_type),
-        ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {url} {digest} {record_type}')}>"),
-        ("WARC-Page-ID", "" if page_id is None else str(page_id)),
-        ("WARC-Target-URI", "" if url is None else "".join(c if c not in "\r\n" else " " for c in url)),
-        ("WARC-Payload-Digest", f"sha256:{digest}"),
-        ("WARC-Payload-Length", str(len(payload))),
-        ("Content-Type", "text/html; charset=utf-8"),
-    ]
-    body = payload
-    if record_type == "revisit":
-        head += [("WARC-Profile", PROFILE), ("WARC-Refers-To-Page-ID", "" if refers_to is None else str(refers_to))]
-        body = b""
-    head.append(("Content-Length", str(len(body))))
+def record_id(row_id: int, digest: str) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{row_id} {digest}')}>"
+
+
+def one_line(text: str) -> str:
+    """Control characters and the percent sign in percent notation."""
+    return "".join(quote(c) if c < " " or c in "%\x7f" else c for c in text)
+
+
+def warc_record(row_id: int, page_id, url, payload: bytes, digest: str, refers_to=None, refers_to_row: int | None = None, *, date: str) -> bytes:
+    """One WARC/1.1 record, a response, or a revisit of the record of refers_to_row.
+
+    The block is an HTTP message whose body is the payload; a revisit's has a head only. A
+    null page_id or url has no field; an empty one an empty field.
+    """
+    revisit = refers_to_row is not None
+    body = b"" if revisit else payload
+    http = CRLF.join([b"HTTP/1.1 200 OK", b"Content-Type: text/html; charset=utf-8", b"Content-Length: " + str(len(payload)).encode()]) + CRLF * 2
+    head = [("WARC-Type", "revisit" if revisit else "response"), ("WARC-Record-ID", record_id(row_id, digest)), ("WARC-Date", date)]
+    head += [(k, one_line(str(v))) for k, v in (("WARC-Page-ID", page_id), ("WARC-Target-URI", url)) if v is not None]
+    head += [("WARC-Payload-Digest", f"sha256:{digest}"), ("Content-Type", "application/http;msgtype=response")]
+    if revisit:
+        head += [("WARC-Profile", PROFILE), ("WARC-Refers-To", record_id(refers_to_row, digest))]
+        head += [("WARC-Refers-To-Page-ID", one_line(str(refers_to)))] if refers_to is not None else []
+    head.append(("Content-Length", str(len(http) + len(body))))
     lines = ["WARC/1.1", *(f"{k}: {v}" for k, v in head)]
-    return CRLF.join(x.encode() for x in lines) + CRLF * 2 + body + CRLF * 2
+    return CRLF.join(x.encode() for x in lines) + CRLF * 2 + http + body + CRLF * 2
 
 
 def build_archive(records: list[bytes], *, level: int = LEVEL, dictionary_bytes: int = DICTIONARY_BYTES, sample_bytes: int = SAMPLE_BYTES) -> bytes:
     """The archive of some records. Too few or too small records for a dictionary: an empty dictionary frame."""
     total = sum(map(len, records))
     step = max(1, -(-total // sample_bytes))
-    samples = [r[:8192] for r in records[::step]]
+    samples = records[::step]
     trained = b""
     if len(samples) >= 8 and sum(map(len, samples)) >= 8 * 1024:
         try:
@@ -116,18 +131,27 @@ def read_archive(archive: bytes) -> Iterator[bytes]:
         rest = rest[len(rest) - len(frame.unused_data) :]
 
 
+def _fields(head: bytes) -> dict:
+    return dict(line.decode().partition(": ")[::2] for line in head.split(CRLF)[1:])
+
+
 def parse_record(record: bytes) -> dict:
-    head, _, body = record.partition(CRLF * 2)
-    fields = dict(line.decode().partition(": ")[::2] for line in head.split(CRLF)[1:])
-    n = int(fields["Content-Length"])
-    return fields | {"payload": body[:n]}
+    """The fields of a record, its payload and the payload's length as the HTTP head has it."""
+    head, _, rest = record.partition(CRLF * 2)
+    fields = _fields(head)
+    http, _, body = rest[: int(fields["Content-Length"])].partition(CRLF * 2)
+    return fields | {"payload": body, "payload_bytes": int(_fields(http)["Content-Length"])}
 
 
 ARCHIVE_SCHEMA = "archive string, n_records long, bytes binary"
 
 
-def write_archives(typed: DataFrame, *, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
-    """Archives of the rows of record_types(), written to the shared folder: archive, n_records, bytes."""
+def write_archives(typed: DataFrame, *, archive_bytes: int = ARCHIVE_BYTES, date: str | None = None) -> DataFrame:
+    """Archives of the rows of record_types(), written to the shared folder: archive, n_records, bytes.
+
+    date: the records' WARC-Date; without it, the time of this call.
+    """
+    date = date or datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
 
     def pack(frames):
         def out(records):
@@ -136,9 +160,8 @@ def write_archives(typed: DataFrame, *, archive_bytes: int = ARCHIVE_BYTES) -> D
 
         records, size = [], 0
         for frame in frames:
-            for page_id, url, html, digest, kind, ref in zip(*(frame[c] for c in ("page_id", "url", "html", "payload_digest", "record_type", "refers_to")), strict=True):
-                payload = (html or "").encode()
-                records.append(warc_record(page_id, url, payload, digest, kind, ref))
+            for row_id, page_id, url, html, digest, ref, of in zip(*(frame[c] for c in ("row_id", "page_id", "url", "html", "payload_digest", "refers_to", "refers_to_row")), strict=True):
+                records.append(warc_record(row_id, page_id, url, (html or "").encode(), digest, ref, int(of) if of else None, date=date))
                 size += len(records[-1])
                 if size >= archive_bytes:
                     yield pd.DataFrame([out(records)])
@@ -147,7 +170,7 @@ def write_archives(typed: DataFrame, *, archive_bytes: int = ARCHIVE_BYTES) -> D
             yield pd.DataFrame([out(records)])
 
     ids = [F.col(c).cast("string").alias(c) for c in ("page_id", "refers_to")]
-    rows = typed.select(*ids, "url", "html", "payload_digest", "record_type")
+    rows = typed.select("row_id", *ids, "url", "html", "payload_digest", F.col("refers_to_row").cast("string").alias("refers_to_row"))
     return written(rows.mapInPandas(pack, ARCHIVE_SCHEMA), "warc")
 
 
@@ -164,8 +187,9 @@ def read_archives(archives: DataFrame) -> DataFrame:
                 for f in map(parse_record, read_archive(data)):
                     said = f["WARC-Payload-Digest"].removeprefix("sha256:")
                     if f["WARC-Type"] == "response" and hashlib.sha256(f["payload"]).hexdigest() != said:
-                        raise ValueError(f"digest of page {f['WARC-Page-ID']}")
-                    rows.append((f["WARC-Page-ID"] or None, f["WARC-Target-URI"], f["WARC-Type"], f.get("WARC-Refers-To-Page-ID") or None, int(f["WARC-Payload-Length"]), said, f["payload"]))
+                        raise ValueError(f"digest of record {f['WARC-Record-ID']}")
+                    page, url, of = (None if (v := f.get(k)) is None else unquote(v) for k in ("WARC-Page-ID", "WARC-Target-URI", "WARC-Refers-To-Page-ID"))
+                    rows.append((page, url, f["WARC-Type"], of, f["payload_bytes"], said, f["payload"]))
                 yield pd.DataFrame(rows, columns=[x.split()[0] for x in RECORD_SCHEMA.split(", ")])
 
     return archives.select("bytes").mapInPandas(parse, RECORD_SCHEMA)

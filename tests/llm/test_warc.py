@@ -42,7 +42,7 @@ def test_round_trip(spark, size):
 
 
 def test_archive_layout():
-    records = [w.warc_record(i, "u", (BODY + str(i)).encode(), "d", "response", None) for i in range(200)]
+    records = [w.warc_record(i, i, "u", (BODY + str(i)).encode(), "d", date="2024-01-02T03:04:05Z") for i in range(200)]
     data = w.build_archive(records)
     assert int.from_bytes(data[:4], "little") == w.DICTIONARY_MAGIC
     n = int.from_bytes(data[4:8], "little")
@@ -55,6 +55,37 @@ def test_archive_layout():
     assert len(frame) < plain
 
 
+def test_records_as_another_reader_takes_them(spark):
+    """The bytes parsed by the format's rules alone: fields, lengths, unique ids, revisits that refer to responses."""
+    pages = spark.createDataFrame(made(), "page_id long, url string, html string")
+    found = {}
+    for row in w.write_archives(w.record_types(pages), archive_bytes=3000, date="2024-01-02T03:04:05Z").collect():
+        for record in w.read_archive(bytes(row.bytes)):
+            head, block = record.split(b"\r\n\r\n", 1)
+            version, *lines = head.decode().split("\r\n")
+            fields = dict(x.split(": ", 1) for x in lines)
+            size = int(fields["Content-Length"])
+            assert version == "WARC/1.1" and len(fields) == len(lines) and block[size:] == b"\r\n\r\n"
+            assert fields["WARC-Date"] == "2024-01-02T03:04:05Z" and fields["Content-Type"] == "application/http;msgtype=response"
+            http, body = block[:size].split(b"\r\n\r\n", 1)
+            assert http.startswith(b"HTTP/1.1 200 OK\r\n") and fields["WARC-Record-ID"] not in found
+            assert body == b"" or fields["WARC-Payload-Digest"] == "sha256:" + hashlib.sha256(body).hexdigest()
+            found[fields["WARC-Record-ID"]] = fields
+    assert len(found) == len(made())
+    for f in found.values():
+        if f["WARC-Type"] == "revisit":
+            first = found[f["WARC-Refers-To"]]
+            assert first["WARC-Type"] == "response" and first["WARC-Payload-Digest"] == f["WARC-Payload-Digest"]
+
+
+def test_text_ids_and_urls_come_back(spark):
+    rows = [("", "u", BODY), (None, None, "x"), ("a%0A\r\n b: c", "http://h/%41\r\nX: y", BODY), ("é", "", BODY)]
+    pages = spark.createDataFrame(rows, "page_id string, url string, html string")
+    got = w.read_archives(w.write_archives(w.record_types(pages))).collect()
+    assert sorted(((r.page_id, r.url) for r in got), key=str) == sorted(((p, u) for p, u, _ in rows), key=str)
+    assert {r.refers_to for r in got if r.record_type == "revisit"} == {""}
+
+
 def test_few_records_have_an_empty_dictionary():
     data = w.build_archive([b"a", b"b"])
     assert data[4:8] == bytes(4) and list(w.read_archive(data)) == [b"a", b"b"]
