@@ -12,7 +12,9 @@ MONTH = ["year", "month"]
 
 
 def with_month(prices: DataFrame) -> DataFrame:
-    return prices.withColumns({"year": F.year("date"), "month": F.month("date")})
+    """prices with year and month; partition columns of these names stay, so that scans can be pruned by them."""
+    own = {"year": F.year("date"), "month": F.month("date")}
+    return prices.withColumns({c: v for c, v in own.items() if c not in prices.columns})
 
 
 def affected_months(new: DataFrame) -> DataFrame:
@@ -26,8 +28,8 @@ def merge_windows(existing: DataFrame, new: DataFrame) -> DataFrame:
     is a partitioned scan.
     """
     months = affected_months(new)
-    old = (existing if "month" in existing.columns else with_month(existing)).join(months, MONTH, "left_semi").drop(*MONTH)
-    return with_month(combine([old, new]))
+    old = with_month(existing).join(months, MONTH, "left_semi").drop(*MONTH)
+    return with_month(combine([old, new.drop(*MONTH)]))
 
 
 def manifest(existing: DataFrame, new: DataFrame) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +9,8 @@ from ..functions.scalars import BLANK_METADATA
 from ..schemas import PRICE_KEY, REQUIRED
 
 Rules = dict[str, Column]
+#: Rows that break a rule are first cut to examples in so many parts.
+PARTS = 256
 
 
 def price_rules() -> Rules:
@@ -90,14 +90,15 @@ def marked_duplicates(df: DataFrame, key: list[str], name: str = "is_duplicate")
 def examples(df: DataFrame, rules: Rules, columns: list[str], *, n: int = 5) -> DataFrame:
     """The first n offending rows of each rule in order of the columns: rule, place, and the columns as text.
 
-    Each rule keeps a bounded top-n before rows of different rules meet.
+    One scan for all rules. A rule that many rows break is cut to its first n in parts of the
+    rows before the parts meet, so no task gets all of them.
     """
-    parts = []
-    for rule, broken in rules.items():
-        top = df.where(broken).select(F.lit(rule).alias("rule"), *[F.col(c).cast("string").alias(c) for c in columns], F.struct(*columns).alias("by_"))
-        parts.append(top.orderBy("by_").limit(n))
-    rows = reduce(DataFrame.unionByName, [p.withColumn("place", F.row_number().over(Window.partitionBy("rule").orderBy("by_")).cast("int")).drop("by_") for p in parts])
-    return rows.select("rule", "place", *columns)
+    broken = F.filter(F.array(*[F.when(c, F.lit(r)) for r, c in rules.items()]), lambda r: r.isNotNull())
+    rows = df.select(F.explode(broken).alias("rule"), F.struct(*columns).alias("by_"))
+    rows = rows.withColumn("part_", F.pmod(F.xxhash64("by_"), F.lit(PARTS)))
+    for keys in (["rule", "part_"], ["rule"]):
+        rows = rows.withColumn("place", F.row_number().over(Window.partitionBy(*keys).orderBy("by_")).cast("int")).where(F.col("place") <= n)
+    return rows.select("rule", "place", *[F.col(f"by_.{c}").cast("string").alias(c) for c in columns])
 
 
 def demand(checked: DataFrame) -> None:

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .dedup import latest_rows
+
 
 def date_ranges_predicate(date: Column, ranges: list[tuple[datetime.date, datetime.date]]) -> Column:
     """Whether a date is in one of the half-open ranges."""
@@ -94,7 +96,8 @@ def payload_check(report: DataFrame, payload: DataFrame, key: list[str]) -> Data
 
 def empty_window_review(report: DataFrame, securities: DataFrame) -> DataFrame:
     """Empty windows with their security's attributes."""
-    known = securities.dropDuplicates(["ticker"]).select("ticker", "exchange", "asset_type", "end_date", "is_active")
+    columns = ["exchange", "asset_type", "end_date", "is_active"]
+    known = latest_rows(securities.select("ticker", *columns), ["ticker"], [F.col(c).asc_nulls_last() for c in columns])
     return report.where(F.col("status").isin("empty", "existing_empty")).join(known, "ticker", "left")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import null_like, ticker_of
@@ -10,7 +10,7 @@ from ..functions.scalars import null_like, ticker_of
 LISTING = ["ticker", "exchange", "asset_type", "price_currency"]
 #: Order of preference: fixed values.
 ASSET_PRIORITY = {"Stock": 1, "ETF": 2, "Mutual Fund": 3}
-EXCHANGE_PRIORITY = {"NASDAQ": 1, "NYSE": 2, "NYSE ARCA": 3, "NYSE MKT": 4}
+EXCHANGE_PRIORITY = {"NASDAQ": 1, "NYSE": 2, "NYSE ARCA": 3, "NYSE MKT": 4, "AMEX": 5}
 
 
 def normalise_listings(raw: DataFrame) -> DataFrame:
@@ -79,8 +79,18 @@ def latest_end_date(listings: DataFrame) -> DataFrame:
     return listings.agg(F.max("end_date").alias("latest_end_date"))
 
 
-def dim_security(canonical: DataFrame, *, source: str, grace_days: int = 7) -> DataFrame:
-    """The dimension: security_id, and is_active if the end date is within grace_days of the latest one."""
+def demand_end_date(listings: DataFrame) -> None:
+    """Raise if no listing has an end date, from which activity is told."""
+    if latest_end_date(listings).first()["latest_end_date"] is None:
+        raise ValueError("no listing has an end date")
+
+
+def dim_security(canonical: DataFrame, *, source: str, grace_days: int = 7, loaded_at: Column | None = None) -> DataFrame:
+    """The dimension: security_id, and is_active if the end date is within grace_days of the latest one.
+
+    company_name is null where the listings have none; loaded_at: without it, the time of the query.
+    """
+    name = F.col("company_name") if "company_name" in canonical.columns else F.lit(None)
     cutoff = F.date_sub(F.max("latest_end_date"), grace_days)
     latest = latest_end_date(canonical).agg(cutoff.alias("cutoff")).withColumn("one_", F.lit(1))  # one row
     return canonical.withColumn("one_", F.lit(1)).join(F.broadcast(latest), "one_").select(
@@ -94,4 +104,7 @@ def dim_security(canonical: DataFrame, *, source: str, grace_days: int = 7) -> D
         "start_date",
         "end_date",
         F.coalesce(F.col("end_date") >= F.col("cutoff"), F.lit(False)).alias("is_active"),
+        name.cast("string").alias("company_name"),
+        F.col("source_ticker").alias("source_raw_symbol"),
+        (F.current_timestamp() if loaded_at is None else loaded_at).alias("loaded_at"),
     )

@@ -52,7 +52,7 @@ def upsert_symbol_status(current: DataFrame, results: DataFrame) -> DataFrame:
     completion time or one not after the result's; its attempts grow by one if the API was
     called by another run. So a run that is replayed changes nothing.
     """
-    key = reduce(lambda a, b: a & b, [F.col(f"c.{k}") == F.col(f"n.{k}") for k in WINDOW_KEY])
+    key = reduce(lambda a, b: a & b, [F.col(f"c.{k}").eqNullSafe(F.col(f"n.{k}")) for k in WINDOW_KEY])
     both = current.withColumn("is_", F.lit(1)).alias("c").join(results.withColumn("is_", F.lit(1)).alias("n"), key, "full")
     fresh, stored = F.col("n.is_").isNotNull(), F.col("c.is_").isNotNull()
     newer = F.col("c.last_completed_at").isNull() | (F.col("n.completed_at") >= F.col("c.last_completed_at"))
@@ -116,6 +116,20 @@ def missing_status(tasks: DataFrame, status: DataFrame) -> DataFrame:
     return tasks.join(status.select("ticker").distinct(), "ticker", "left_anti")
 
 
+def demand_status(tasks: DataFrame, status: DataFrame) -> None:
+    """Raise if a task has no status row."""
+    lost = [r.ticker for r in missing_status(tasks, status).orderBy("ticker").limit(20).collect()]
+    if lost:
+        raise ValueError(f"tasks without status, such as {lost}")
+
+
+def demand_unique(rows: DataFrame, key: list[str]) -> None:
+    """Raise if a key repeats; resume_split() and upserts want unique keys."""
+    twice = rows.groupBy(*key).count().where("count > 1").limit(20).collect()
+    if twice:
+        raise ValueError(f"repeated keys, such as {[tuple(r)[:-1] for r in twice]}")
+
+
 def successful_scope(tasks: DataFrame, status: DataFrame) -> DataFrame:
     return tasks.join(status.where("status = 'success'").select("ticker").distinct(), "ticker", "left_semi")
 

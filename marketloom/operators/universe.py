@@ -9,9 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import any_literal, any_pattern, composite_id, null_like, ticker_of
+from .dedup import latest_rows
 
 #: Ticker endings of rights, warrants, units and preferred shares: fixed values.
 TICKER_PATTERNS = ["-R$", "-RT$", "-WS$", "-W$", "-WT$", "-U$", "-UN$", "-P-[A-Z]$", "-P[A-Z]$", "^[A-Z]{4}U$", "^[A-Z]{4}W$", "^[A-Z]{4}R$", "^[A-Z]{3,5}WS$", "^[A-Z]{3,5}WT$", "^[A-Z]{3,5}WW$", "/"]
+#: What the audit of a finished backfill looks for, a part of the endings above: fixed values.
+AUDIT_PATTERNS = ["-R$", "-RT$", "-WS$", "-W$", "-WT$", "-U$", "-UN$", "-P-[A-Z]$", "-P[A-Z]$"]
+#: Words in company names that are no common stock: fixed values.
 NAME_WORDS = ["ETF", "ETN", "Fund", "Trust", "Warrant", "Unit", "Right", "Preferred", "Notes", "Bond"]
 
 
@@ -58,11 +62,18 @@ def _prepared(securities: DataFrame) -> DataFrame:
 
 
 def candidate_pool(securities: DataFrame, filters: Filters, *, name: str = "candidates") -> DataFrame:
-    """Securities that pass every step, one row per security_id."""
+    """Securities that pass every step, one row per security_id: of several, the first in order of the other columns."""
     rows = _prepared(securities)
     for condition in filter_steps(filters).values():
         rows = rows.where(condition)
-    return rows.dropDuplicates(["security_id"]).withColumn("candidate_pool_name", F.lit(name))
+    order = [F.col(c).asc_nulls_last() for c in rows.columns if c != "security_id"]
+    return latest_rows(rows, ["security_id"], order).withColumn("candidate_pool_name", F.lit(name))
+
+
+def demand_candidates(pool: DataFrame) -> None:
+    """Raise if a pool is empty."""
+    if pool.isEmpty():
+        raise ValueError("the candidate pool is empty")
 
 
 def filter_funnel(securities: DataFrame, filters: Filters) -> DataFrame:
@@ -77,8 +88,8 @@ def filter_funnel(securities: DataFrame, filters: Filters) -> DataFrame:
     return counts.select(F.inline(F.array(*cells)))
 
 
-def suspicious_tickers(symbols: DataFrame, patterns: list[str] = TICKER_PATTERNS) -> DataFrame:
-    return symbols.where(any_pattern(F.upper("ticker"), patterns)).withColumn("reason", F.lit("suspicious_ticker_pattern"))
+def suspicious_tickers(symbols: DataFrame, patterns: list[str] = AUDIT_PATTERNS) -> DataFrame:
+    return symbols.where(any_pattern(F.upper("ticker"), patterns)).withColumn("suspicious_reason", F.lit("matches_special_security_ticker_pattern"))
 
 
 def sample_universe(pool: DataFrame, *, limit: int, forced: list[str]) -> DataFrame:

@@ -50,6 +50,8 @@ RANKED = f"""{COLLAPSED}, ranked AS (
         coalesce(date_diff('day', start_date, end_date), -1) DESC, start_date ASC NULLS LAST, exchange NULLS LAST, asset_type NULLS LAST, price_currency NULLS LAST) AS INTEGER) AS canonical_rank,
         count(*) OVER (PARTITION BY ticker) AS ticker_duplicate_count FROM collapsed)"""
 
+#: Ticker endings of rights, warrants, units and preferred shares: fixed values.
+PATTERN = "|".join(["-R$", "-RT$", "-WS$", "-W$", "-WT$", "-U$", "-UN$", "-P-[A-Z]$", "-P[A-Z]$", "^[A-Z]{4}U$", "^[A-Z]{4}W$", "^[A-Z]{4}R$", "^[A-Z]{3,5}WS$", "^[A-Z]{3,5}WT$", "^[A-Z]{3,5}WW$", "/"])
 STEPS = [
     ("required_fields", "security_id IS NOT NULL AND ticker <> '' AND exchange IS NOT NULL AND asset_type IS NOT NULL AND price_currency IS NOT NULL"),
     ("asset_type", "upper(asset_type) = 'STOCK'"),
@@ -58,7 +60,7 @@ STEPS = [
     ("start_date", "start_date <= DATE '2021-06-01'"),
     ("end_date", "end_date >= DATE '2019-01-01'"),
     ("no_hyphen", "NOT contains(ticker, '-')"),
-    ("ticker_pattern", "NOT regexp_matches(ticker, '-R$|-RT$|-WS$|-W$|-WT$|-U$|-UN$|-P-[A-Z]$|-P[A-Z]$|^[A-Z]{4}[UWR]$|^[A-Z]{3,5}(WS|WT|WW)$|/')"),
+    ("ticker_pattern", f"NOT regexp_matches(ticker, '{PATTERN}')"),
     ("name_words", "NOT regexp_matches(coalesce(company_name, ''), 'ETF|ETN|Fund|Trust|Warrant|Unit|Right|Preferred|Notes|Bond', 'i')"),
 ]
 POOL = f"""{SECURITIES_SQL}, cleaned AS (SELECT security_id, upper(trim(ticker)) AS ticker, exchange, asset_type, CASE WHEN price_currency NOT IN ('', 'nan', 'NaN', 'None') THEN price_currency END AS price_currency,
@@ -122,9 +124,9 @@ SQL: dict[str, str] = {
     "rolling_features": f"WITH {FEATURES} SELECT * FROM features",
     "forward_labels": f"WITH {LABELS} SELECT * FROM labels",
     "research_panel": f"""WITH {FEATURES}, ahead AS (SELECT *, {LEADS} FROM features), labels AS (SELECT *, {DIRECTIONS} FROM ahead)
-        SELECT l.*, l.fwd_ret_20d - b.fwd_ret_20d AS fwd_excess_ret_20d FROM labels l LEFT JOIN (SELECT date, fwd_ret_20d FROM labels WHERE ticker = '0') b USING (date)""",
-    "panel_joined": f"""WITH {LABELS} SELECT l.security_id, l.date, l.fwd_ret_5d, l.label_direction_5d, l.fwd_ret_20d - b.fwd_ret_20d AS excess
-        FROM labels l LEFT JOIN (SELECT date, fwd_ret_20d FROM labels WHERE ticker = '0') b USING (date)""",
+        SELECT *, fwd_ret_20d - max(CASE WHEN ticker = '0' THEN fwd_ret_20d END) OVER (PARTITION BY date) AS fwd_excess_ret_20d FROM labels""",
+    "panel_joined": f"""WITH {LABELS} SELECT security_id, date, fwd_ret_5d, label_direction_5d,
+        fwd_ret_20d - max(CASE WHEN ticker = '0' THEN fwd_ret_20d END) OVER (PARTITION BY date) AS excess FROM labels""",
     "liquid_universe": f"""WITH {PRICES_SQL}, m AS (SELECT CAST(date_trunc('month', date) AS DATE) AS month, security_id, avg(adj_close * adj_volume) AS avg_dollar_volume FROM prices GROUP BY 1, 2)
         SELECT *, CAST(row_number() OVER (PARTITION BY month ORDER BY avg_dollar_volume DESC, security_id) AS INTEGER) AS liquidity_rank FROM m QUALIFY liquidity_rank <= 10""",
     "inspection_filters": f"WITH {LABELS} SELECT security_id, date, fwd_ret_20d FROM labels WHERE date >= DATE '2001-01-01' AND fwd_ret_20d IS NOT NULL",
@@ -138,7 +140,7 @@ SQL: dict[str, str] = {
     "manifest_quality": f"WITH {MANIFEST} {_rules('manifest', {'month_out_of_range': 'month NOT BETWEEN 1 AND 12', 'no_rows': 'final_row_count < 1'}, key='year, month')}",
     "task_list_quality": f"WITH {TASKS} {_rules('tasks', TASK_RULES, key='task_id')}",
     "duplicate_keys": f"WITH {BOTH} SELECT security_id, date, count(*) AS n_rows FROM both_loads GROUP BY 1, 2 HAVING count(*) > 1",
-    "marked_duplicates": f"WITH {BOTH} SELECT security_id, date, load_id, count(*) OVER (PARTITION BY security_id, date) > 1 AS is_duplicate FROM both_loads WHERE year(date) = 2000",
+    "marked_duplicates": f"WITH {BOTH} SELECT security_id, date, load_id, count(*) OVER (PARTITION BY security_id, date) > 1 AS is_duplicate FROM both_loads",
     "dedup_latest": """SELECT CAST(user_id AS VARCHAR) AS security_id, CAST(ts AS DATE) AS date, event_id AS input_seq, value FROM events
         QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) = 1""",
     "combine_frames": f"WITH {BOTH} SELECT security_id, date, close, load_id FROM both_loads QUALIFY row_number() OVER (PARTITION BY security_id, date ORDER BY loaded_at DESC) = 1",
@@ -162,12 +164,20 @@ SQL: dict[str, str] = {
     "duplicate_listing_report": f"WITH {RANKED} SELECT ticker, count(*) AS n_listings FROM ranked WHERE ticker_duplicate_count > 1 GROUP BY 1",
     "dim_security": f"""WITH {RANKED}, c AS (SELECT * FROM ranked WHERE canonical_rank = 1)
         SELECT 'vendor:' || ticker AS security_id, 'vendor' AS source, source_ticker, ticker, exchange, asset_type, price_currency, start_date, end_date,
-        coalesce(end_date >= (SELECT max(end_date) FROM c) - 30, false) AS is_active FROM c""",
+        coalesce(end_date >= (SELECT max(end_date) FROM c) - 30, false) AS is_active, CAST(NULL AS VARCHAR) AS company_name, source_ticker AS source_raw_symbol, TIMESTAMP '2026-01-01 00:00:00' AS loaded_at FROM c""",
+    "listed_tasks": f"""WITH {LISTINGS_SQL}, l AS (SELECT * REPLACE (map {{'AUTOMOBILE': 'AMEX', 'BUILDING': 'NYSE MKT', 'FURNITURE': 'NYSE', 'MACHINERY': 'PINK', 'HOUSEHOLD': 'NASDAQ'}}[exchange] AS exchange) FROM listings),
+        c AS (SELECT ticker, exchange, asset_type, price_currency, min(start_date) AS a, max(end_date) AS b FROM l GROUP BY 1, 2, 3, 4),
+        k AS (SELECT *, map {{'NASDAQ': 1, 'NYSE': 2, 'NYSE ARCA': 3, 'NYSE MKT': 4, 'AMEX': 5}}[exchange] AS venue, map {{'Stock': 1, 'ETF': 2, 'Mutual Fund': 3}}[asset_type] AS kind FROM c),
+        r AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY kind, coalesce(price_currency = 'USD', false) DESC, venue NULLS LAST, (a IS NOT NULL AND b IS NOT NULL) DESC, b IS NOT NULL DESC,
+              b DESC NULLS LAST, coalesce(date_diff('day', a, b), -1) DESC, a NULLS LAST, exchange NULLS LAST, asset_type, price_currency NULLS LAST) = 1)
+        SELECT ticker, 'bootstrap:vendor:daily:' || ticker || ':1992-01-01:2026-06-11' AS task_id, 'bootstrap' AS task_list_name, 'vendor' AS source, 'daily' AS dataset_name, 'vendor:' || ticker AS security_id,
+        DATE '1992-01-01' AS requested_start_date, DATE '2026-06-11' AS requested_end_date, CAST(100 AS INTEGER) AS priority, 'pending' AS status, exchange
+        FROM r WHERE asset_type = 'Stock' AND price_currency = 'USD' AND venue IS NOT NULL AND a <= DATE '2021-06-01' AND b >= DATE '1992-01-01' AND NOT contains(ticker, '-') AND NOT regexp_matches(ticker, '{PATTERN}')""",
     "normalised_listings": f"WITH {LISTINGS_SQL} SELECT lower(ticker) AS source_ticker, ticker, exchange, asset_type, price_currency, start_date, end_date FROM listings",
     "candidate_pool": f"WITH {POOL} SELECT *, 'candidates' AS candidate_pool_name FROM pool",
     "candidate_funnel": f"WITH {POOL} {FUNNEL}",
-    "suspicious_tickers": f"""WITH {SECURITIES_SQL} SELECT security_id, ticker, 'suspicious_ticker_pattern' AS reason FROM securities
-        WHERE regexp_matches(upper(ticker), '-R$|-RT$|-WS$|-W$|-WT$|-U$|-UN$|-P-[A-Z]$|-P[A-Z]$|^[A-Z]{{4}}[UWR]$|^[A-Z]{{3,5}}(WS|WT|WW)$|/')""",
+    "suspicious_tickers": f"""WITH {SECURITIES_SQL} SELECT security_id, ticker, 'matches_special_security_ticker_pattern' AS suspicious_reason FROM securities
+        WHERE regexp_matches(upper(ticker), '-R$|-RT$|-WS$|-W$|-WT$|-U$|-UN$|-P-[A-Z]$|-P[A-Z]$')""",
     "sample_universe": f"""WITH {SECURITIES_SQL} SELECT security_id, ticker FROM securities
         ORDER BY ticker IN ('t2', 't3', 't5') DESC, CASE WHEN ticker NOT IN ('t2', 't3', 't5') THEN md5(ticker) END NULLS FIRST, ticker, security_id LIMIT 100""",
     "task_list": f"WITH {TASKS} SELECT * FROM tasks",
@@ -197,10 +207,10 @@ SQL: dict[str, str] = {
     "normalised_results": f"""WITH {RESULTS_SQL} SELECT seq, action AS status, status AS persistent_status, requested_start_date AS request_start_date, CAST(NULL AS DATE) AS request_end_date, row_count, api_called,
         CASE error_message WHEN '404 Not Found' THEN 'skipped' WHEN 'timeout' THEN 'failed' END AS failure_action FROM results""",
     "upsert_window_results": f"""WITH {RESULTS_SQL}, w AS (SELECT run_id, {WINDOW}, status, row_count, seq FROM results QUALIFY row_number() OVER (PARTITION BY run_id, {WINDOW} ORDER BY seq DESC) = 1)
-        SELECT * REPLACE (CASE WHEN seq % 2 = 0 THEN 'replayed' ELSE status END AS status) FROM w WHERE seq % 3 <> 0 OR seq % 2 = 0""",
+        SELECT * REPLACE (CASE WHEN seq % 2 = 0 OR seq % 3 = 0 OR seq % 5 = 0 THEN 'replayed' ELSE status END AS status) FROM w""",
     "upsert_symbol_status": f"""WITH {ONE_PER_WINDOW},
-        c AS (SELECT {WINDOW}, status, attempt_count, run_id, CASE WHEN seq % 7 <> 0 THEN completed_at + INTERVAL 1 HOUR * (seq % 3 - 1) END AS at, seq FROM windows WHERE seq % 3 <> 0),
-        n AS (SELECT * REPLACE (CASE WHEN seq % 4 = 0 THEN run_id ELSE 'run-new' END AS run_id) FROM windows WHERE seq % 2 = 0),
+        c AS (SELECT {WINDOW}, status, attempt_count, run_id, CASE WHEN seq % 7 <> 0 THEN completed_at + INTERVAL 1 HOUR * (seq % 3 - 1) END AS at, seq FROM windows WHERE seq % 5 <> 0),
+        n AS (SELECT * REPLACE (CASE WHEN seq % 4 = 0 THEN run_id ELSE 'run-new' END AS run_id) FROM windows WHERE seq % 2 = 0 OR seq % 3 = 0 OR seq % 5 = 0),
         j AS (SELECT n.source AS s1, coalesce(n.source, c.source) AS source, coalesce(n.dataset_name, c.dataset_name) AS dataset_name, coalesce(n.ticker, c.ticker) AS ticker,
               coalesce(n.requested_start_date, c.requested_start_date) AS requested_start_date, coalesce(n.requested_end_date, c.requested_end_date) AS requested_end_date,
               n.seq IS NOT NULL AND (c.seq IS NULL OR c.at IS NULL OR n.completed_at >= c.at) AS put, c.seq IS NOT NULL AS stored, n.status AS ns, c.status AS cs, c.attempt_count AS ca, c.run_id AS cr, n.run_id AS nr,
@@ -246,8 +256,8 @@ SQL: dict[str, str] = {
     "latest_rows": f"WITH {PRICES_SQL} SELECT date, ticker, close FROM prices ORDER BY date DESC, ticker LIMIT 25",
     "top_tickers": f"WITH {PRICES_SQL} SELECT ticker, count(*) AS n_rows FROM prices GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10",
     "missing_keys": f"WITH {PRICES_SQL}, {NEW_PRICES_SQL} SELECT security_id, date FROM new_prices ANTI JOIN prices USING (security_id, date)",
-    "extra_keys": f"WITH {PRICES_SQL}, {NEW_PRICES_SQL} SELECT security_id, date FROM (SELECT * FROM prices WHERE year(date) = 2000) p ANTI JOIN new_prices USING (security_id, date)",
-    "mismatched_rows": f"WITH {PRICES_SQL}, {NEW_PRICES_SQL} SELECT security_id, date, 'close,load_id' AS differing FROM new_prices SEMI JOIN prices USING (security_id, date)",
+    "extra_keys": f"WITH {PRICES_SQL}, {NEW_PRICES_SQL} SELECT security_id, date FROM prices ANTI JOIN new_prices USING (security_id, date)",
+    "mismatched_rows": f"WITH {PRICES_SQL}, {NEW_PRICES_SQL} SELECT security_id, date, concat_ws(',', CASE WHEN n.close IS DISTINCT FROM p.close THEN 'close' END, CASE WHEN n.low IS DISTINCT FROM p.low THEN 'low' END, CASE WHEN n.load_id IS DISTINCT FROM p.load_id THEN 'load_id' END) AS differing FROM new_prices n JOIN prices p USING (security_id, date) WHERE differing <> ''",
     "key_differences": f"WITH {PRICES_SQL}, {NEW_PRICES_SQL} SELECT * FROM {DIFFERENCES}",
     "staging_check": f"WITH {PRICES_SQL}, {NEW_PRICES_SQL} SELECT count(*) AS n_rows, min(date) AS min_date, max(date) AS max_date, count(*) FILTER (NOT {INSIDE}) AS outside FROM new_prices",
     "empty_window_review": f"""WITH {RESULTS_SQL}, {SECURITIES_SQL} SELECT r.seq, r.ticker, r.action AS status, s.exchange, s.asset_type, s.end_date, s.is_active
@@ -258,10 +268,10 @@ SQL: dict[str, str] = {
         a.windows IS NOT DISTINCT FROM b.windows AND a.api_calls IS NOT DISTINCT FROM b.api_calls AS matches FROM a FULL JOIN b USING (status, action)""",
     "run_summary": f"""WITH {RESULTS_SQL}, c AS (SELECT action, count(*) AS n FROM results GROUP BY 1)
         SELECT count(*) AS symbols_count, count(*) FILTER (api_called) AS api_call_count, count(*) FILTER (uploaded_to_gcs) AS upload_count, count(*) FILTER (status = 'empty') AS empty_window_count,
-        CAST(sum(row_count) AS BIGINT) AS ods_records, min(requested_start_date) AS data_start_date, max(requested_end_date) AS data_end_date, 'failed' AS pipeline_status,
+        CAST(sum(row_count) AS BIGINT) AS ods_records, min(requested_start_date) AS data_start_date, max(requested_end_date) AS data_end_date, CASE WHEN count(*) FILTER (status = 'failed') > 0 THEN 'failed' ELSE 'success' END AS pipeline_status,
         (SELECT '{{' || string_agg('"' || action || '":' || n, ',' ORDER BY action) || '}}' FROM c) AS action_counts FROM results""",
     "payload_check": f"""WITH {RESULTS_SQL}, {PRICES_SQL}, f AS (SELECT ticker, count(*) AS payload_rows, min(date) AS first_date, max(date) AS last_date FROM prices GROUP BY 1),
-        r AS (SELECT seq, ticker, action, CASE WHEN seq % 10 = 0 THEN row_count END AS row_count, requested_start_date AS a, requested_end_date AS b FROM results WHERE seq % 5 = 0)
+        r AS (SELECT seq, ticker, action, CASE WHEN seq % 10 = 0 THEN row_count END AS row_count, requested_start_date AS a, requested_end_date AS b FROM results)
         SELECT seq, coalesce(payload_rows, 0) AS payload_rows, CASE WHEN action IN ('empty', 'existing_empty') AND coalesce(payload_rows, 0) > 0 THEN 'empty_with_rows'
         WHEN action IN ('downloaded', 'existing') AND coalesce(payload_rows, 0) = 0 THEN 'success_without_rows' WHEN row_count <> coalesce(payload_rows, 0) THEN 'row_count_differs'
         WHEN first_date < a OR last_date > b THEN 'outside_window' END AS problem FROM r LEFT JOIN f USING (ticker)""",
@@ -272,8 +282,17 @@ SQL: dict[str, str] = {
         SELECT path, seq, CASE WHEN path IN (SELECT path FROM files WHERE month <> 5) THEN 'reuse' ELSE 'fetch' END AS planned_action FROM t""",
     "manifest_check": f"""WITH {MANIFEST}, a AS (SELECT year(date) AS year, month(date) AS month, count(*) AS actual_row_count FROM prices GROUP BY 1, 2)
         SELECT m.year, m.month, final_row_count, actual_row_count, final_row_count IS NOT DISTINCT FROM actual_row_count AS matches FROM manifest m LEFT JOIN a USING (year, month)""",
-    "end_to_end_gate": f"""WITH {FILES}, {NEW_PRICES_SQL} SELECT (SELECT count(DISTINCT year) FROM files WHERE month = 5) AS groups_out_of_sync, missing, extra, mismatched, false AS passed FROM {DIFFERENCES}""",
+    "end_to_end_gate": f"""WITH {FILES}, {NEW_PRICES_SQL} SELECT *, groups_out_of_sync + missing + extra + mismatched = 0 AS passed
+        FROM (SELECT (SELECT count(DISTINCT year) FROM files WHERE month = 5) AS groups_out_of_sync, missing, extra, mismatched FROM {DIFFERENCES})""",
     "payload_round_trip": f"""WITH {PRICES_SQL} SELECT * REPLACE (open AS adj_open, high AS adj_high, low AS adj_low, volume AS adj_volume) FROM prices""",
-    "staged_promotion": f"""WITH {BOTH}, kept AS (SELECT * FROM both_loads WHERE year(date) IN (1999, 2000) QUALIFY row_number() OVER (PARTITION BY security_id, date ORDER BY loaded_at DESC) = 1)
+    "stored_ranges": f"""WITH {PRICES_SQL} SELECT security_id, date, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, close FROM prices
+        WHERE date >= DATE '1999-03-01' AND date < DATE '1999-04-01' OR date >= DATE '2000-01-01' AND date < DATE '2000-03-01'""",
+    "stored_files": f"WITH {PRICES_SQL} SELECT count(DISTINCT date_trunc('month', date)) AS n_months, count(*) AS n_rows FROM prices",
+    "csv_round_trip": f"WITH {SECURITIES_SQL} SELECT * FROM securities",
+    "stored_state": f"WITH {RESULTS_SQL} SELECT {WINDOW}, status, attempt_count, error_message, seq FROM results WHERE status = 'failed'",
+    "rebuilt_table": f"""WITH {BOTH}, kept AS (SELECT DISTINCT security_id, date FROM both_loads), a AS (SELECT year(date) AS y, month(date) AS m, count(*) AS n FROM prices GROUP BY 1, 2)
+        SELECT CAST(y AS INTEGER) AS year, CAST(m AS INTEGER) AS month, n_rows, n AS archived_rows FROM (SELECT year(date) AS y, month(date) AS m, count(*) AS n_rows FROM kept GROUP BY 1, 2) LEFT JOIN a USING (y, m)""",
+    "landed_payloads": f"WITH {PRICES_SQL} SELECT security_id, date, source, open, high, low, close, volume FROM prices",
+    "staged_promotion": f"""WITH {BOTH}, kept AS (SELECT * FROM both_loads QUALIFY row_number() OVER (PARTITION BY security_id, date ORDER BY loaded_at DESC) = 1)
         SELECT CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, count(*) AS n_rows, sum(close) AS sum_close FROM kept GROUP BY 1, 2""",
 }

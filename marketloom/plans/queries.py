@@ -21,6 +21,9 @@ ANCHOR, COMPLETE = datetime.date(2000, 6, 1), datetime.date(2005, 1, 3)
 FILTERS = universe.Filters(datetime.date(2019, 1, 1), datetime.date(2021, 6, 1), exchanges=["BUILDING", "MACHINERY", "HOUSEHOLD"])
 MONTHS = [(datetime.date(1999, 3, 1), datetime.date(1999, 4, 1)), (datetime.date(2000, 1, 1), datetime.date(2000, 3, 1))]
 
+#: Exchanges that market segments stand for.
+LISTED_ON = {"AUTOMOBILE": "AMEX", "BUILDING": "NYSE MKT", "FURNITURE": "NYSE", "MACHINERY": "PINK", "HOUSEHOLD": "NASDAQ"}
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -31,8 +34,11 @@ def query(f: Query) -> Query:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder that all executors see."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="marketloom-")
+    """A new folder that all executors see; a session on one machine may do without a setting."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    root = root or tempfile.mkdtemp(prefix="marketloom-")
     return f"{root.rstrip('/')}/market/{uuid.uuid4().hex}"
 
 
@@ -140,7 +146,7 @@ def duplicate_keys(spark, d):
 
 @query
 def marked_duplicates(spark, d):
-    both = views.prices(spark, d).unionByName(views.new_prices(spark, d)).where(F.year("date") == 2000)
+    both = views.prices(spark, d).unionByName(views.new_prices(spark, d))
     return quality.marked_duplicates(both, PRICE_KEY).select(*PRICE_KEY, "load_id", "is_duplicate")
 
 
@@ -215,7 +221,23 @@ def duplicate_listing_report(spark, d):
 
 @query
 def dim_security(spark, d):
-    return security_master.dim_security(security_master.canonical_listings(_ranked(spark, d)), source="vendor", grace_days=30)
+    return _dim(spark, d)
+
+
+def _dim(spark, d) -> DataFrame:
+    loaded = F.lit("2026-01-01 00:00:00").cast("timestamp")
+    return security_master.dim_security(security_master.canonical_listings(_ranked(spark, d)), source="vendor", grace_days=30, loaded_at=loaded)
+
+
+@query
+def listed_tasks(spark, d):
+    """The whole chain: listings, canonical rows with the reference order of exchanges, dimension, pool, task list."""
+    venue = F.element_at(F.create_map(*[F.lit(x) for kv in LISTED_ON.items() for x in kv]), F.col("exchange"))
+    listings = views.listings(spark, d).withColumn("exchange", venue)
+    ranked = security_master.rank_listings(security_master.collapse_listings(listings))
+    dim = security_master.dim_security(security_master.canonical_listings(ranked), source="vendor", grace_days=30)
+    pool = universe.candidate_pool(dim, universe.Filters(datetime.date(1992, 1, 1), datetime.date(2021, 6, 1), exchanges=list(security_master.EXCHANGE_PRIORITY)))
+    return universe.task_list(pool, name="bootstrap", source="vendor", dataset="daily", start=datetime.date(1992, 1, 1), end=datetime.date(2026, 6, 11)).join(pool.select("ticker", "exchange"), "ticker")
 
 
 @query
@@ -328,18 +350,22 @@ def _window_rows(spark, d) -> DataFrame:
     return dedup.latest_rows(views.results(spark, d), WINDOW_KEY, [F.desc("seq")])
 
 
+#: What is stored and what a load brings: together all windows, and most in both.
+STORED, LOADED = "seq % 5 <> 0", "seq % 2 = 0 OR seq % 3 = 0 OR seq % 5 = 0"
+
+
 @query
 def upsert_window_results(spark, d):
     rows = dedup.latest_rows(views.results(spark, d), ["run_id", *WINDOW_KEY], [F.desc("seq")]).select("run_id", *WINDOW_KEY, "status", "row_count", "seq")
-    old, new = rows.where("seq % 3 <> 0"), rows.where("seq % 2 = 0").withColumn("status", F.lit("replayed"))
+    old, new = rows.where(STORED), rows.where(LOADED).withColumn("status", F.lit("replayed"))
     return state.upsert_window_results(old, new)
 
 
 @query
 def upsert_symbol_status(spark, d):
     rows = _window_rows(spark, d)
-    old = rows.where("seq % 3 <> 0").select(*WINDOW_KEY, "status", "attempt_count", F.col("run_id").alias("last_run_id"), F.when(F.col("seq") % 7 != 0, F.col("completed_at") + F.make_interval(hours=(F.col("seq") % 3 - 1).cast("int"))).alias("last_completed_at"), F.lit(None).cast("date").alias("last_successful_date"), F.lit(None).cast("string").alias("last_error_message"))
-    new = rows.where("seq % 2 = 0").withColumn("run_id", F.when(F.col("seq") % 4 == 0, F.col("run_id")).otherwise("run-new"))
+    old = rows.where(STORED).select(*WINDOW_KEY, "status", "attempt_count", F.col("run_id").alias("last_run_id"), F.when(F.col("seq") % 7 != 0, F.col("completed_at") + F.make_interval(hours=(F.col("seq") % 3 - 1).cast("int"))).alias("last_completed_at"), F.lit(None).cast("date").alias("last_successful_date"), F.lit(None).cast("string").alias("last_error_message"))
+    new = rows.where(LOADED).withColumn("run_id", F.when(F.col("seq") % 4 == 0, F.col("run_id")).otherwise("run-new"))
     return state.upsert_symbol_status(old, new)
 
 
@@ -508,7 +534,7 @@ def missing_keys(spark, d):
 
 @query
 def extra_keys(spark, d):
-    return reconcile.extra_keys(views.new_prices(spark, d), views.prices(spark, d).where("year(date) = 2000"), PRICE_KEY).select(*PRICE_KEY)
+    return reconcile.extra_keys(views.new_prices(spark, d), views.prices(spark, d), PRICE_KEY).select(*PRICE_KEY)
 
 
 @query
@@ -552,7 +578,7 @@ def run_summary(spark, d):
 @query
 def payload_check(spark, d):
     p = views.prices(spark, d)
-    report = views.results(spark, d).where("seq % 5 = 0").select("ticker", F.col("action").alias("status"), F.when(F.col("seq") % 10 == 0, F.col("row_count")).alias("row_count"), F.col("requested_start_date").alias("request_start_date"), F.col("requested_end_date").alias("request_end_date"), "seq")
+    report = views.results(spark, d).select("ticker", F.col("action").alias("status"), F.when(F.col("seq") % 10 == 0, F.col("row_count")).alias("row_count"), F.col("requested_start_date").alias("request_start_date"), F.col("requested_end_date").alias("request_end_date"), "seq")
     return reconcile.payload_check(report, p.select("ticker", "date"), ["ticker"]).select("seq", "payload_rows", "problem")
 
 
@@ -600,11 +626,72 @@ def payload_round_trip(spark, d):
     return normalize.normalise_prices(rows).select(*PRICE_COLUMNS)
 
 
+@query
+def stored_ranges(spark, d):
+    """Rows in half-open date ranges of a stored table, by pruned months."""
+    root = f"{shared_folder(spark)}/table"
+    writers.write_months(views.prices(spark, d), root)
+    return readers.price_ranges(spark, root, MONTHS).select(*PRICE_KEY, "year", "month", "close")
+
+
+@query
+def stored_files(spark, d):
+    """Months by the inventory of a stored table's files, rows by their footers."""
+    root = f"{shared_folder(spark)}/table"
+    writers.write_months(views.prices(spark, d), root)
+    months = readers.inventory(spark, root).select("year", "month").distinct().agg(F.count(F.lit(1)).alias("n_months"), F.lit(1).alias("one_"))
+    rows = readers.file_rows(spark, root).agg(F.sum("n_rows").alias("n_rows"), F.lit(1).alias("one_"))
+    return months.join(rows, "one_").drop("one_")
+
+
+@query
+def csv_round_trip(spark, d):
+    """Securities as a CSV report, read back as text with dates and flags typed."""
+    path = f"{shared_folder(spark)}/securities"
+    writers.write_report(views.securities(spark, d), path)
+    return readers.csv(spark, path, types={"start_date": "date", "end_date": "date", "is_active": "boolean"})
+
+
+@query
+def stored_state(spark, d):
+    """Failed windows of a stored state table."""
+    path, rows = f"{shared_folder(spark)}/state", views.results(spark, d).select(*WINDOW_KEY, "status", "attempt_count", "error_message", "seq")
+    writers.write_table(rows, path)
+    return readers.state(spark, path, rows.schema, F.col("status") == "failed")
+
+
+@query
+def rebuilt_table(spark, d):
+    """A live table rebuilt with a later load, checked, archived and switched; its months and the archive's."""
+    root = shared_folder(spark)
+    live, archive = f"{root}/live", f"{root}/archive/before"
+    writers.write_months(views.prices(spark, d), live)
+    whole = dedup.combine([readers.prices(spark, live).drop("year", "month"), views.new_prices(spark, d)])
+    writers.rebuild(spark, whole, f"{root}/new", lambda table: quality.demand(quality.validate_prices(table)))
+    writers.switch(spark, f"{root}/new", live, archive)
+    before = writers.month_counts(spark, archive).withColumnRenamed("n_rows", "archived_rows")
+    return writers.month_counts(spark, live).join(before, ["year", "month"], "left")
+
+
+@query
+def landed_payloads(spark, d):
+    """A payload file per ticker under the layout of landed files, scanned and normalised."""
+    root = f"{shared_folder(spark)}/raw"
+    p = views.prices(spark, d)
+    record = F.to_json(F.struct(F.date_format("date", "yyyy-MM-dd'T'00:00:00.000'Z'").alias("date"), "open", "high", "low", "close", "volume"))
+    files = p.groupBy("ticker").agg(F.concat(F.lit("["), F.array_join(F.array_sort(F.collect_list(record)), ","), F.lit("]")).alias("value"))
+    folders = {"source": "vendor", "dataset": "daily", "request_start": "1992-01-01", "request_end": "1998-12-31"}
+    files = files.withColumnRenamed("ticker", "symbol").withColumns({k: F.lit(v) for k, v in folders.items()})
+    files.write.partitionBy(*readers.PATH_KEYS).text(root)
+    rows = readers.json_payloads(spark, root, pattern="*.txt").select("file", "seq", "fields", F.col("symbol").alias("ticker"), F.concat(F.lit("S:"), "symbol").alias("security_id"), "source", F.lit("load-1").alias("load_id"), F.lit("2026-01-01 00:00:00").cast("timestamp").alias("loaded_at"))
+    return normalize.normalise_prices(rows).select(*PRICE_KEY, "source", "open", "high", "low", "close", "volume")
+
+
 @query
 def staged_promotion(spark, d):
     """Write months, stage a merge, promote it, and read the months back."""
     root = shared_folder(spark)
-    base, new = views.prices(spark, d).where("year(date) IN (1999, 2000)"), views.new_prices(spark, d).where("year(date) = 2000")
+    base, new = views.prices(spark, d), views.new_prices(spark, d)
     writers.write_months(base, f"{root}/table")
     stored = readers.prices(spark, f"{root}/table")
     made = merge.manifest(stored, new)

@@ -65,12 +65,12 @@ def _payload(value: Column) -> Column:
     return F.when(F.ltrim(value).startswith("["), listed).otherwise(held)
 
 
-def json_payloads(spark: SparkSession, path: str, *, strict: bool = True) -> DataFrame:
+def json_payloads(spark: SparkSession, path: str, *, strict: bool = True, pattern: str = "*.json") -> DataFrame:
     """(file, seq, fields, and the columns of the path) of landed payload files.
 
     seq: the place in the file. Files of another shape raise when strict, else give no rows.
     """
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(path)
+    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(path)
     return explode_payloads(files.select(F.col("_metadata.file_path").alias("file"), "value"), strict=strict)
 
 

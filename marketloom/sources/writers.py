@@ -60,6 +60,10 @@ def stage(spark: SparkSession, merged: DataFrame, manifest: DataFrame, staging_r
     _demand_counts(spark, staging_root, manifest, "staging")
 
 
+#: A promotion's record beside its archive.
+RECORD, RECORD_SUFFIX = "year int, month int, archived boolean", "-promotion"
+
+
 @dataclass(frozen=True)
 class Promotion:
     """Where a promotion keeps the months it replaces."""
@@ -85,6 +89,9 @@ def promote(spark: SparkSession, staging_root: str, target_root: str, archive_ro
         if before:
             write_months(old.select(*PRICE_COLUMNS), archive_root)
     made = Promotion(archive_root, [m for m in months if m not in before])
+    # What a recovery needs stands in files before anything is replaced, so that a lost driver loses nothing.
+    record = [(y, m, (y, m) in before) for y, m in months]
+    spark.createDataFrame(record, RECORD).coalesce(1).write.parquet(f"{archive_root}{RECORD_SUFFIX}")
     try:
         write_months(staged.select(*PRICE_COLUMNS), target_root, mode="overwrite", partition_mode="dynamic")
         if check is not None:
@@ -96,6 +103,12 @@ def promote(spark: SparkSession, staging_root: str, target_root: str, archive_ro
     return made
 
 
+def recover(spark: SparkSession, archive_root: str, target_root: str) -> None:
+    """Roll back a promotion of which only the archive and its record are left."""
+    months = spark.read.schema(RECORD).parquet(f"{archive_root}{RECORD_SUFFIX}").collect()
+    rollback(spark, Promotion(archive_root, [(r.year, r.month) for r in months if not r.archived]), target_root, any(r.archived for r in months))
+
+
 def rollback(spark: SparkSession, made: Promotion, target_root: str, archived: bool = True) -> None:
     if archived:
         write_months(read_prices(spark, made.archive_root).select(*PRICE_COLUMNS), target_root, mode="overwrite", partition_mode="dynamic")
@@ -120,6 +133,28 @@ def rebuild(spark: SparkSession, prices: DataFrame, new_root: str, validate) ->
     return table
 
 
+def switch(spark: SparkSession, new_root: str, live_root: str, archive_root: str) -> None:
+    """Put a rebuilt table in the place of the live one, which moves to the archive root; on an error it moves back."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(live_root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def move(a: str, b: str) -> None:
+        if fs.exists(path(b)) or not fs.rename(path(a), path(b)):
+            raise OSError(f"cannot move {a} to {b}")
+
+    there = fs.exists(path(live_root))
+    fs.mkdirs(path(archive_root).getParent())
+    if there:
+        move(live_root, archive_root)
+    try:
+        move(new_root, live_root)
+    except Exception:
+        if there:
+            move(archive_root, live_root)
+        raise
+    spark.catalog.refreshByPath(live_root)
+
+
 def save_bucketed(prices: DataFrame, name: str, *, buckets: int = 64, mode: str = "error") -> None:
     """A saved table by month, bucketed and sorted by security: window queries on it need no shuffle within a month."""
     rows = with_month(prices)

@@ -47,7 +47,29 @@ def test_tasks(spark):
     assert universe.select_tasks(tasks, tickers=["t1", "T2 "]).count() == 2
     with pytest.raises(ValueError, match="NOPE"):
         universe.select_tasks(tasks, tickers=["NOPE"])
-    assert universe.suspicious_tickers(securities(spark)).count() == 3
+    assert {r.ticker for r in universe.suspicious_tickers(securities(spark)).collect()} == {"AB-WS", "AB-R"}
+    with pytest.raises(ValueError):
+        universe.demand_candidates(pool.where("false"))
+
+
+def test_exchanges_in_order_of_preference(spark):
+    """Every major exchange, the last of them too, comes before others; no end date at all is an error."""
+    venues = ["OTC", "AMEX", "NYSE MKT", "NYSE ARCA", "NYSE", "NASDAQ"]
+    for i in range(2, len(venues) + 1):
+        rows = [("A", v, "Stock", "USD", "A", D(2010, 1, 1), D(2026, 1, 1)) for v in venues[:i]]
+        listings = spark.createDataFrame(rows, "ticker string, exchange string, asset_type string, price_currency string, source_ticker string, start_date date, end_date date")
+        assert security_master.canonical_listings(security_master.rank_listings(listings)).first().exchange == venues[i - 1]
+    security_master.demand_end_date(listings)
+    with pytest.raises(ValueError):
+        security_master.demand_end_date(listings.withColumn("end_date", F.lit(None).cast("date")))
+
+
+def test_dimension_feeds_the_pool(spark):
+    listings = spark.createDataFrame([("A", "AMEX", "Stock", "USD", "a", D(2010, 1, 1), D(2026, 6, 1))], "ticker string, exchange string, asset_type string, price_currency string, source_ticker string, start_date date, end_date date")
+    dim = security_master.dim_security(security_master.canonical_listings(security_master.rank_listings(listings)), source="v")
+    assert dim.columns == ["security_id", "source", "source_ticker", "ticker", "exchange", "asset_type", "price_currency", "start_date", "end_date", "is_active", "company_name", "source_raw_symbol", "loaded_at"]
+    pool = universe.candidate_pool(dim, universe.Filters(D(2019, 1, 1), D(2026, 6, 12), exchanges=["AMEX"]))
+    assert [r.security_id for r in pool.collect()] == ["v:A"]
 
 
 def test_latest_session(spark):

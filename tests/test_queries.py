@@ -23,7 +23,7 @@ def duck():
 
 
 def cell(v):
-    if v is None or v is pd.NaT or (isinstance(v, float) and v != v):
+    if pd.isna(v):
         return "~"
     if isinstance(v, (float, int)) and not isinstance(v, bool):
         return f"{float(v):.9g}"

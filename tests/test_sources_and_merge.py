@@ -86,6 +86,14 @@ def test_merge_promote_and_rollback(spark, tmp_path):
     again = readers.prices(spark, target)
     twice = merge.merge_windows(again, new).select(*PRICE_COLUMNS)
     assert sorted(map(str, twice.collect())) == sorted(map(str, readers.price_months(spark, target, [(2026, 6), (2026, 7)]).collect()))
+    new.write.parquet(str(tmp_path / "new"))
+    chosen = spark.read.parquet(str(tmp_path / "new")).where("close > 0")
+    plan = merge.manifest(readers.prices(spark, target), chosen)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan and "dynamicpruning" in plan  # other months are not read
+    writers.recover(spark, str(tmp_path / "a2"), target)
+    spark.catalog.refreshByPath(target)
+    assert months(spark, target) == {(2026, 5): 1, (2026, 6): 2} and readers.price_months(spark, target, [(2026, 6)]).where("close = 5").count() == 0
+    writers.promote(spark, staging, target, str(tmp_path / "a3"), merge.manifest(readers.prices(spark, target), new))
     assert readers.price_ranges(spark, target, [(D(2026, 6, 2), D(2026, 7, 1))]).count() == 1
     assert {r.path.split("/")[1]: r.month for r in readers.inventory(spark, target).collect()}["month=05"] == 5
     assert sum(r.n_rows for r in readers.file_rows(spark, target).collect()) == 4

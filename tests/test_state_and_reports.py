@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from marketloom.functions import scalars
@@ -20,6 +21,22 @@ def results(spark, *rows):
     return spark.createDataFrame([(*KEY, t, *W, s, run, api, at, D(2026, 6, 11), "boom") for t, s, run, api, at in rows], RESULT)
 
 
+def test_lost_tasks_and_repeated_keys_are_errors(spark):
+    tasks = spark.createDataFrame([("A",), ("B",)], "ticker string")
+    state.demand_status(tasks, tasks)
+    state.demand_unique(tasks, ["ticker"])
+    with pytest.raises(ValueError, match="B"):
+        state.demand_status(tasks, tasks.where("ticker = 'A'"))
+    with pytest.raises(ValueError, match="A"):
+        state.demand_unique(tasks.union(tasks.where("ticker = 'A'")), ["ticker"])
+
+
+def test_null_keys_are_updated_in_place(spark):
+    old = stored(spark, (None, "failed", 1, "r1", T0))
+    new = results(spark, (None, "success", "r2", True, T0))
+    assert [r.status for r in state.upsert_symbol_status(old, new).collect()] == ["success"]
+
+
 def test_symbol_status_upsert(spark):
     hour = dt.timedelta(hours=1)
     old = stored(spark, ("A", "failed", 1, "r1", T0), ("B", "success", 2, "r1", T0), ("C", "pending", 0, None, None), ("D", "failed", 1, "r1", T0))
