@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import numbered, surely_not, worker_state, written
+from .shared import batches_of, numbered, surely_not, worker_state, written
 
 WIDTH = 5
 PERCENT = 80
@@ -45,6 +45,8 @@ SAMPLE = 4
 UNCOUNTED, TOP_CLASS = 3, 31
 #: Bits of a parity bitmap; it travels with every row of a list.
 BITS = 1024
+#: Texts reach a worker in batches of so many.
+TEXT_BATCH = 1000
 #: Lists longer than this are tried in pairs of blocks of this size.
 LIST_BLOCK = 2048
 
@@ -181,7 +183,9 @@ class Join:
                     rows.append((row_id, place, len(s), int.from_bytes(h[:8], "big", signed=True), int.from_bytes(h[8:], "big", signed=True), s[counted(s, sample)].view(np.int64)))
                 yield pd.DataFrame(rows, columns=["row_id", "place", "n", "s1", "s2", "counted"])
 
-        return written(self.docs.select("row_id", "place", "text").mapInPandas(each, "row_id long, place long, n int, s1 long, s2 long, counted array<long>"), "sets")
+        rows = self.docs.select("row_id", "place", "text").mapInPandas(each, "row_id long, place long, n int, s1 long, s2 long, counted array<long>")
+        with batches_of(rows.sparkSession, TEXT_BATCH):
+            return written(rows, "sets")
 
     def open_rows(self, sets: DataFrame, copies: DataFrame) -> DataFrame:
         """(row_id, n, place, text, prefix, others, bitmap) of the sets, one of equal ones, whose prefixes other sets may share.
@@ -216,7 +220,9 @@ class Join:
 
         _, maybe = surely_not(self.docs.select("row_id", "text"), opened)
         rows = maybe.join(opened, "row_id").select("row_id", "n", "place", "text", "tokens", "ranks")
-        return written(rows.mapInPandas(each, "row_id long, n int, place long, text string, prefix array<long>, others array<array<int>>, bitmap array<long>"), "open-rows")
+        rows = rows.mapInPandas(each, "row_id long, n int, place long, text string, prefix array<long>, others array<array<int>>, bitmap array<long>")
+        with batches_of(rows.sparkSession, TEXT_BATCH):
+            return written(rows, "open-rows")
 
     def candidates(self, pairs: DataFrame, rows: DataFrame) -> DataFrame:
         """The pairs (a, b) that share prefix tokens under every other order and whose bitmaps allow a link."""
@@ -236,7 +242,9 @@ class Join:
             for frame in frames:
                 yield pd.DataFrame({"row_id": frame["row_id"], "tokens": [shingles(x, width).view(np.int64) for x in frame["text"]]})
 
-        sets = written(rows.select("row_id", "text").join(ids, "row_id", "left_semi").mapInPandas(each, "row_id long, tokens array<long>"), "candidate-sets")
+        sets = rows.select("row_id", "text").join(ids, "row_id", "left_semi").mapInPandas(each, "row_id long, tokens array<long>")
+        with batches_of(rows.sparkSession, TEXT_BATCH):
+            sets = written(sets, "candidate-sets")
         own = lambda k: sets.select(F.col("row_id").alias(k), F.col("tokens").alias(f"t{k}"))
         out = candidates.join(own("b"), "b").join(own("a"), "a")
         common = F.size(F.array_intersect("ta", "tb")).cast("long")
