@@ -119,9 +119,9 @@ def dedup_lines(docs: DataFrame, *, min_chars: int = 40, min_docs: int = 5, batc
     gone = lines.join(repeated, "h").where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
     gone = written(gone.groupBy("row_id").agg(F.collect_set("pos").alias("gone")), "gone")
 
-    # Only rows that may lose lines are shuffled.
+    # Only rows that may lose lines are shuffled; what goes grows with the input, so it is not broadcast at any size.
     sure, some = surely_not(rows, gone)
-    some = some.join(gone, "row_id", "left")
+    some = some.join(gone.hint("merge"), "row_id", "left")
     text = F.coalesce(F.col("row.text"), F.lit(""))
     left = F.array_except(F.sequence(F.lit(0), F.size(F.split(text, "\n", -1)) - 1), F.col("gone"))
     cut = F.transform(F.array(F.split(text, "\n", -1)), lambda lines: F.array_join(F.transform(left, lambda i: lines[i]), "\n"))[0]
