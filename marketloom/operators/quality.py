@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +13,15 @@ from ..schemas import PRICE_KEY, REQUIRED
 Rules = dict[str, Column]
 #: Rows that break a rule are first cut to examples in so many parts.
 PARTS = 256
+#: Columns of the models that may not be null: fixed values.
+MODEL_COLUMNS = {
+    "staging": ["security_id", "ticker", "date", "adj_close", "source"],
+    "returns": ["security_id", "ticker", "date", "adj_close"],
+    "features": ["security_id", "ticker", "date", "adj_close"],
+    "panel": ["security_id", "ticker", "date", "adj_close"],
+}
+#: What names a window in a download report: fixed values.
+REPORT_KEY = ["ticker", "security_id", "request_start_date", "request_end_date"]
 
 
 def price_rules() -> Rules:
@@ -59,21 +70,33 @@ def manifest_rules() -> Rules:
     return {"month_out_of_range": ~F.col("month").between(1, 12), "no_rows": F.col("final_row_count") < 1}
 
 
-def task_rules(statuses: list[str]) -> Rules:
+def task_rules(statuses: list[str], name: str | None = None) -> Rules:
+    """Rules of a task list; name: the one list that all tasks must be of."""
     needed = ["task_id", "ticker", "security_id", "requested_start_date", "requested_end_date", "status"]
-    return non_null_rules(needed) | {"status_not_allowed": ~F.col("status").isin(statuses)}
+    rules = non_null_rules(needed) | {"status_not_allowed": ~F.col("status").isin(statuses)}
+    if name is not None:
+        rules |= {"task_id_of_nan": F.lower("task_id").contains("nan"), "other_list": ~F.col("task_list_name").eqNullSafe(F.lit(name))}
+    return rules
+
 
+def report(df: DataFrame, rules: Rules, *, key: list[str] | None = None, non_empty: bool = True, unique: dict[str, list[str]] | None = None, least: int | None = None, most: int | None = None) -> DataFrame:
+    """(rule, failed_rows, passed) for every rule, a non-empty table and a unique key; one pass over the rows, one over keys.
 
-def report(df: DataFrame, rules: Rules, *, key: list[str] | None = None, non_empty: bool = True) -> DataFrame:
-    """(rule, failed_rows, passed) for every rule, a non-empty table and a unique key; one pass over the rows, one over keys."""
+    unique: further keys by the name of their rule. least, most: bounds of the number of rows;
+    what is missing or too much counts as failed.
+    """
     counts = df.agg(F.count(F.lit(1)).alias("rows_"), *[F.count_if(c).alias(n) for n, c in rules.items()])
     cells = [F.struct(F.lit(n).alias("rule"), F.col(n).alias("failed_rows")) for n in rules]
     if non_empty:
         cells.append(F.struct(F.lit("empty_table").alias("rule"), F.when(F.col("rows_") == 0, 1).otherwise(0).cast("long").alias("failed_rows")))
+    if least is not None:
+        cells.append(F.struct(F.lit("too_few_rows").alias("rule"), F.greatest(F.lit(least) - F.col("rows_"), F.lit(0)).cast("long").alias("failed_rows")))
+    if most is not None:
+        cells.append(F.struct(F.lit("too_many_rows").alias("rule"), F.greatest(F.col("rows_") - F.lit(most), F.lit(0)).cast("long").alias("failed_rows")))
     out = counts.select(F.explode(F.array(*cells)).alias("r")).select("r.*")
-    if key:
-        twice = duplicate_keys(df, key).agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("failed_rows"))
-        out = out.unionByName(twice.select(F.lit("duplicate_key").alias("rule"), "failed_rows"))
+    for name, columns in (({"duplicate_key": key} if key else {}) | (unique or {})).items():
+        twice = duplicate_keys(df, columns).agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("failed_rows"))
+        out = out.unionByName(twice.select(F.lit(name).alias("rule"), "failed_rows"))
     return out.withColumn("passed", F.col("failed_rows") == 0)
 
 
@@ -110,3 +133,19 @@ def demand(checked: DataFrame) -> None:
 
 def validate_prices(prices: DataFrame) -> DataFrame:
     return report(prices, price_rules(), key=PRICE_KEY)
+
+
+def validate_dimension(dim: DataFrame) -> DataFrame:
+    """security_id and ticker of a dimension: never null, and each unique by itself."""
+    return report(dim, non_null_rules(["security_id", "ticker"]), unique={"duplicate_security_id": ["security_id"], "duplicate_ticker": ["ticker"]}, non_empty=False)
+
+
+def validate_results(rows: DataFrame, statuses: list[str]) -> DataFrame:
+    """A download report: the rules of its rows, and no window twice."""
+    return report(rows, result_rules(statuses), unique={"duplicate_window": REPORT_KEY})
+
+
+def validate_models(models: dict[str, DataFrame]) -> DataFrame:
+    """(model, rule, failed_rows, passed): the columns of each model of MODEL_COLUMNS that may not be null; one pass over a model."""
+    parts = [report(df, non_null_rules(MODEL_COLUMNS[name]), non_empty=False).withColumn("model", F.lit(name)) for name, df in models.items()]
+    return reduce(DataFrame.unionByName, parts).select("model", "rule", "failed_rows", "passed")

@@ -130,6 +130,11 @@ def demand_unique(rows: DataFrame, key: list[str]) -> None:
         raise ValueError(f"repeated keys, such as {[tuple(r)[:-1] for r in twice]}")
 
 
+def restricted(status: DataFrame, tickers: DataFrame) -> DataFrame:
+    """The rows of status of the wanted tickers (a table with the column ticker, in which they may repeat)."""
+    return status.join(tickers.select("ticker"), "ticker", "left_semi")
+
+
 def successful_scope(tasks: DataFrame, status: DataFrame) -> DataFrame:
     return tasks.join(status.where("status = 'success'").select("ticker").distinct(), "ticker", "left_semi")
 

@@ -118,6 +118,14 @@ AUDIT = f"""{FOLDED}, {PRICES_SQL}, {SECURITIES_SQL}, audited AS (
     FROM (SELECT replace(security_id, 'vendor:', '') AS ticker, security_id FROM securities) t LEFT JOIN folded f USING (ticker)
     LEFT JOIN (SELECT ticker, count(*) AS n_rows, min(date) AS min_date, max(date) AS max_date FROM prices GROUP BY 1) c USING (ticker))"""
 
+#: Columns of the models that may not be null, by the relation that holds the model's rows: fixed values.
+MODEL_COLUMNS = {
+    "staging": ("prices", ["security_id", "ticker", "date", "adj_close", "source"]),
+    "returns": ("returns", ["security_id", "ticker", "date", "adj_close"]),
+    "features": ("returns", ["security_id", "ticker", "date", "adj_close"]),
+    "panel": ("returns", ["security_id", "ticker", "date", "adj_close"]),
+}
+
 SQL: dict[str, str] = {
     "staging": f"WITH {PRICES_SQL} SELECT * FROM prices",
     "returns": f"WITH {RETURNS} SELECT * FROM returns",
@@ -293,6 +301,25 @@ SQL: dict[str, str] = {
     "rebuilt_table": f"""WITH {BOTH}, kept AS (SELECT DISTINCT security_id, date FROM both_loads), a AS (SELECT year(date) AS y, month(date) AS m, count(*) AS n FROM prices GROUP BY 1, 2)
         SELECT CAST(y AS INTEGER) AS year, CAST(m AS INTEGER) AS month, n_rows, n AS archived_rows FROM (SELECT year(date) AS y, month(date) AS m, count(*) AS n_rows FROM kept GROUP BY 1, 2) LEFT JOIN a USING (y, m)""",
     "landed_payloads": f"WITH {PRICES_SQL} SELECT security_id, date, source, open, high, low, close, volume FROM prices",
+    "model_tests": f"WITH {RETURNS} " + " UNION ALL ".join(f"SELECT '{m}' AS model, * FROM ({_rules(t, {f'null_{c}': f'{c} IS NULL' for c in columns}, non_empty=False)})" for m, (t, columns) in MODEL_COLUMNS.items()),
+    "dimension_quality": f"""WITH {SECURITIES_SQL} {_rules('securities', {'null_security_id': 'security_id IS NULL', 'null_ticker': 'ticker IS NULL'}, non_empty=False)}
+        UNION ALL SELECT 'duplicate_security_id', n, n = 0 FROM (SELECT CAST(coalesce(sum(k), 0) AS BIGINT) AS n FROM (SELECT count(*) AS k FROM securities GROUP BY security_id HAVING count(*) > 1))
+        UNION ALL SELECT 'duplicate_ticker', n, n = 0 FROM (SELECT CAST(coalesce(sum(k), 0) AS BIGINT) AS n FROM (SELECT count(*) AS k FROM securities GROUP BY ticker HAVING count(*) > 1))""",
+    "result_windows_quality": f"""WITH {RESULTS_SQL}, one AS (SELECT * REPLACE (CASE WHEN seq % 9 = 0 THEN requested_end_date - 20 ELSE requested_end_date END AS requested_end_date) FROM results),
+        reported AS (SELECT * FROM one UNION ALL SELECT * FROM one WHERE seq % 4 = 0)
+        {_rules("reported", RESULT_RULES | {"unknown_status": "action NOT IN ('downloaded', 'existing', 'empty', 'failed')"})}
+        UNION ALL SELECT 'duplicate_window', n, n = 0 FROM (SELECT CAST(coalesce(sum(k), 0) AS BIGINT) AS n
+            FROM (SELECT count(*) AS k FROM reported GROUP BY ticker, security_id, requested_start_date, requested_end_date HAVING count(*) > 1))""",
+    "task_list_rules": f"""WITH {TASKS}, both_lists AS (SELECT * FROM tasks UNION ALL SELECT * REPLACE ('other' AS task_list_name, task_id || ':NaN' AS task_id) FROM tasks)
+        {_rules("both_lists", TASK_RULES | {"task_id_of_nan": "contains(lower(task_id), 'nan')", "other_list": "task_list_name <> 'bootstrap'"}, key="task_id")}
+        UNION ALL SELECT 'too_few_rows', n, n = 0 FROM (SELECT greatest(1 - count(*), 0) AS n FROM both_lists) UNION ALL SELECT 'too_many_rows', n, n = 0 FROM (SELECT greatest(count(*) - 5, 0) AS n FROM both_lists)""",
+    "restricted_status": f"WITH {FOLDED} SELECT ticker, status, attempt_count FROM folded WHERE ticker IN (SELECT CAST(o_custkey AS VARCHAR) FROM orders WHERE o_orderstatus = 'F')",
+    "result_texts": f"WITH {RESULTS_SQL} SELECT seq, left(repeat(error_message, 300), 2000) AS error_message, strftime(completed_at, '%Y-%m-%dT%H:%M:%S.%f') || 'Z' AS completed_text FROM results",
+    "panel_averages": f"""WITH {LABELS}, r AS (SELECT *, adj_close / lag(adj_close, 1) {W} - 1 AS ret_1d FROM labels)
+        SELECT ticker, round(avg(ret_1d), 5) AS avg_ret_1d, round(avg(label_direction_20d), 5) AS share_up_20d FROM r GROUP BY 1""",
+    "warehouse_months": f"""WITH {BOTH}, kept AS (SELECT * FROM both_loads QUALIFY row_number() OVER (PARTITION BY security_id, date ORDER BY loaded_at DESC) = 1)
+        SELECT CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, count(*) AS n_rows, sum(close) AS sum_close FROM kept GROUP BY 1, 2""",
+    "materialised_models": f"WITH {RETURNS} SELECT security_id, count(*) AS n_rows, count(ret_120d) AS n_returns FROM returns GROUP BY 1",
     "staged_promotion": f"""WITH {BOTH}, kept AS (SELECT * FROM both_loads QUALIFY row_number() OVER (PARTITION BY security_id, date ORDER BY loaded_at DESC) = 1)
         SELECT CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, count(*) AS n_rows, sum(close) AS sum_close FROM kept GROUP BY 1, 2""",
 }

@@ -121,6 +121,34 @@ def model_not_null(spark, d):
     return quality.report(made, quality.non_null_rules(["security_id", "date", "adj_close", "ret_1d", "ret_120d"]), non_empty=False)
 
 
+@query
+def model_tests(spark, d):
+    """Every model's columns that may not be null."""
+    p = views.prices(spark, d)
+    made = features.returns(p)
+    return quality.validate_models({"staging": cast_to(p), "returns": made, "features": features.features(made), "panel": features.panel(p, BENCHMARK)})
+
+
+@query
+def dimension_quality(spark, d):
+    return quality.validate_dimension(views.securities(spark, d))
+
+
+@query
+def result_windows_quality(spark, d):
+    """The rules of a download report with those of its windows; of two runs over the same windows."""
+    rows = views.results(spark, d).select("ticker", "security_id", F.col("action").alias("status"), F.col("requested_start_date").alias("request_start_date"), F.date_add("requested_end_date", F.when(F.col("seq") % 9 == 0, -20).otherwise(0)).alias("request_end_date"), "row_count", "last_price_date", "seq")
+    return quality.validate_results(rows.unionByName(rows.where("seq % 4 = 0")), ["downloaded", "existing", "empty", "failed"])
+
+
+@query
+def task_list_rules(spark, d):
+    """A task list with tasks of another list in it, against a list's rules and bounds."""
+    tasks = _tasks(spark, d)
+    other = tasks.withColumns({"task_list_name": F.lit("other"), "task_id": F.concat_ws(":", "task_id", F.lit("NaN"))})
+    return quality.report(tasks.unionByName(other), quality.task_rules(["pending"], "bootstrap"), key=["task_id"], least=1, most=5)
+
+
 @query
 def text_and_integer_rules(spark, d):
     rows = views.securities(spark, d).select("price_currency", "ticker", (F.length("company_name") / 2).alias("half"))
@@ -346,6 +374,14 @@ def normalised_results(spark, d):
     return out.select("seq", "status", "persistent_status", "request_start_date", "request_end_date", "row_count", "api_called", scalars.failure_action(F.col("error_message")).alias("failure_action"))
 
 
+@query
+def result_texts(spark, d):
+    """Long errors cut for storage, and instants as ISO-8601 texts."""
+    r = views.results(spark, d).select("seq", F.col("action").alias("status"), "row_count", F.col("completed_at").cast("string").alias("completed_at_utc"), F.repeat("error_message", F.lit(300)).alias("error_message"))
+    out = state.normalise_results(r)
+    return out.select("seq", "error_message", scalars.iso_utc(F.col("completed_at_utc")).alias("completed_text"))
+
+
 def _window_rows(spark, d) -> DataFrame:
     return dedup.latest_rows(views.results(spark, d), WINDOW_KEY, [F.desc("seq")])
 
@@ -409,6 +445,13 @@ def tasks_without_status(spark, d):
     return state.missing_status(tasks, views.transitions(spark, d))
 
 
+@query
+def restricted_status(spark, d):
+    """State of the tickers that a list names."""
+    wanted = views.read(spark, d, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").cast("string").alias("ticker"))
+    return state.restricted(state.fold_transitions(views.transitions(spark, d), ["ticker"]), wanted).select("ticker", "status", "attempt_count")
+
+
 @query
 def successful_scope(spark, d):
     tasks = views.read(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("ticker"))
@@ -479,6 +522,12 @@ def panel_summary(spark, d):
     return profile.panel_summary(features.panel(views.prices(spark, d), BENCHMARK)).select("ticker", "n_rows", "min_date", "max_date", "labelled_rows")
 
 
+@query
+def panel_averages(spark, d):
+    """The panel's averages by ticker."""
+    return profile.panel_summary(features.panel(views.prices(spark, d), BENCHMARK), digits=5).select("ticker", "avg_ret_1d", "share_up_20d")
+
+
 @query
 def audit_join(spark, d):
     tasks = views.securities(spark, d).select(F.regexp_replace("security_id", "vendor:", "").alias("ticker"), "security_id")
@@ -687,6 +736,28 @@ def landed_payloads(spark, d):
     return normalize.normalise_prices(rows).select(*PRICE_KEY, "source", "open", "high", "low", "close", "volume")
 
 
+@query
+def warehouse_months(spark, d):
+    """A saved table, partitioned and bucketed; a staging table with its columns replaces the months that a load touches."""
+    name = f"market_prices_{uuid.uuid4().hex}"
+    writers.save_bucketed(views.prices(spark, d), name, buckets=8)
+    merged = merge.merge_windows(spark.table(name), views.new_prices(spark, d))
+    writers.stage_table(merged, name, f"{name}_staging")
+    writers.replace_months(spark.table(f"{name}_staging"), name)
+    writers.drop_table(spark, f"{name}_staging")
+    return spark.table(name).groupBy("year", "month").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("close").alias("sum_close"))
+
+
+@query
+def materialised_models(spark, d):
+    """Returns as a saved table on a view of the staging model; read back by SQL."""
+    staging_name, returns_name = (f"market_{kind}_{uuid.uuid4().hex}" for kind in ("staging", "returns"))
+    writers.materialise({staging_name: cast_to(views.prices(spark, d))}, views={staging_name})
+    writers.materialise({returns_name: features.returns(spark.table(staging_name))}, views=set())
+    sql = "SELECT s.security_id, count(*) AS n_rows, count(r.ret_120d) AS n_returns FROM s JOIN r ON s.security_id = r.security_id AND s.date = r.date GROUP BY s.security_id"
+    return readers.run_sql(spark, sql, {"s": spark.table(staging_name), "r": spark.table(returns_name)})
+
+
 @query
 def staged_promotion(spark, d):
     """Write months, stage a merge, promote it, and read the months back."""

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from ..operators.profile import describe
 from ..operators.reconcile import date_ranges_predicate
 from ..schemas import PRICE_SCHEMA, cast_to, empty
 
@@ -124,6 +125,17 @@ def run_sql(spark: SparkSession, sql: str, tables: dict[str, DataFrame]) -> Data
     return spark.sql(sql)
 
 
+def tables(spark: SparkSession, like: str | None = None) -> DataFrame:
+    """(name, kind, temporary) of the session's tables and views; like: a pattern of names such as "price*"."""
+    rows = [(t.name, t.tableType, t.isTemporary) for t in spark.catalog.listTables(pattern=like)]
+    return spark.createDataFrame(sorted(rows), "name string, kind string, temporary boolean")
+
+
+def described(spark: SparkSession, name: str) -> DataFrame:
+    """(place, column, type, n_rows) of a registered table."""
+    return describe(spark.table(name))
+
+
 def sample_prices(spark: SparkSession, *, start: datetime.date, days: int, securities: DataFrame) -> DataFrame:
     """A fixture: close = base + 1.5 i on business days, for securities (security_id, ticker, base)."""
     dates = F.sequence(F.lit(start), F.date_add(F.lit(start), 2 * days + 4))

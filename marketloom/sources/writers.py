@@ -163,9 +163,13 @@ def save_bucketed(prices: DataFrame, name: str, *, buckets: int = 64, mode: str
 
 def replace_months(prices: DataFrame, name: str) -> None:
     """Replace just the months that prices has in a saved table partitioned by year and month."""
-    spark = prices.sparkSession
-    columns = spark.table(name).columns
-    with_month(prices).select(*columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(name)
+    spark, key = prices.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    rows, before = with_month(prices).select(*spark.table(name).columns), spark.conf.get(key)
+    spark.conf.set(key, "dynamic")  # an insert into a saved table heeds the session's setting, not an option
+    try:
+        rows.write.mode("overwrite").insertInto(name)
+    finally:
+        spark.conf.set(key, before)
 
 
 def stage_table(df: DataFrame, like: str, name: str) -> None:

@@ -135,3 +135,13 @@ def test_streamed_ingestion(spark, tmp_path):
     run()
     run()
     assert months(spark, str(tmp_path / "table")) == {(2026, 6): 2, (2026, 7): 1}
+
+
+def test_tables_are_listed_and_described(spark):
+    frame(spark, price()).createOrReplaceTempView("listed_prices")
+    (found,) = readers.tables(spark, "listed_pri*").collect()
+    assert (found.name, found.temporary) == ("listed_prices", True)
+    got = readers.described(spark, "listed_prices").collect()
+    assert [(r.column, r.n_rows) for r in got][:2] == [("security_id", 1), ("ticker", 1)] and got[2].type == "date"
+    spark.catalog.dropTempView("listed_prices")
+    assert readers.tables(spark, "listed_pri*").count() == 0
