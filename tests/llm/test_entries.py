@@ -3,6 +3,7 @@
 import hashlib
 import os
 import re
+import zlib
 
 import duckdb
 import pandas as pd
@@ -50,3 +51,38 @@ def test_op1_base_values(spark):
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_repeat_words) == (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(repeated))
         failed = len(words) < 50 or 100 * len(repeated) > 50 * len(words)
         assert r.base_failed == failed and not (failed and r.kept)
+
+
+def test_op5_contract_and_held_out_accuracy(spark):
+    ids = pd.read_parquet(f"{SF}/documents.parquet").doc_id
+    quality = pd.read_parquet(f"{SF}/labels.parquet").set_index("doc_id").quality.to_dict()
+    got = entries.QUERIES["op5_line_crf"](spark, SF).collect()
+    assert sorted(r.doc_id for r in got) == sorted(ids)
+    for r in got:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.7)
+    held = [r.predicted == quality[r.doc_id] for r in got if r.held_out and quality.get(r.doc_id) in (0, 1)]
+    assert held and sum(held) >= 0.9 * len(held)
+
+
+def test_op8_against_all_pairs(spark):
+    docs = pd.read_parquet(f"{SF}/documents.parquet")
+    sets = {}
+    for doc_id, text in zip(docs.doc_id, docs.text):
+        words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        sets[doc_id] = {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+    low = {d: d for d in sets}
+
+    def root(d):
+        while low[d] != d:
+            d = low[d]
+        return d
+
+    ids = sorted(sets)
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            common = len(sets[a] & sets[b])
+            if common and 100 * common >= 80 * (len(sets[a]) + len(sets[b]) - common):
+                x, y = root(a), root(b)
+                low[max(x, y)] = min(x, y)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in entries.QUERIES["op8_jaccard_join"](spark, SF).collect()}
+    assert got == {d: (len(sets[d]), root(d)) for d in ids}

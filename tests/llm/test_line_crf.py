@@ -61,3 +61,22 @@ def test_held_out_rule(spark):
     got = spark.range(100).select("id", c.held_out(F.col("id")).alias("h")).collect()
     assert all(r.h == (zlib.crc32(str(r.id).encode()) % 4 == 2) for r in got)
     assert spark.sql("SELECT CAST(NULL AS BIGINT) AS id").select(c.held_out(F.col("id")).alias("h")).first().h is False
+
+
+def test_score_is_the_weighted_mean_of_enumerated_marginals(spark):
+    rows = made()
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    field = c.train(docs, spark.createDataFrame([(i, q, 0) for i, _, q in rows], "doc_id long, quality int, toxic int"))
+    texts = [rows[0][1], rows[5][1], "Plain words\nW### a$$$\n\nx|| and more words of some length\nend", "one line", "", None]
+    want = []
+    for text in texts:
+        x, w = c.line_features(text)
+        e, tr = field._inputs(x, np.array([len(x)])) @ field.weights, field.transitions
+        good, z = np.zeros(len(x)), 0.0
+        for y in itertools.product((0, 1), repeat=len(x)):
+            p = np.exp(sum(e[i] * (y[i] - 0.5) for i in range(len(x))) + sum(tr[a, b] for a, b in zip(y, y[1:])))
+            good, z = good + p * np.array(y), z + p
+        want.append((good / z * w).sum() / w.sum())
+    assert np.allclose(field.scores(texts), want)
+    x, w = c.line_features("a long line of several words\nshort")
+    assert w[0] > w[1] > 0

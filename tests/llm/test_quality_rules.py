@@ -1,7 +1,9 @@
 import collections
 import math
 import re
+import unicodedata
 
+import numpy as np
 import pytest
 import sentencepiece
 import tiktoken
@@ -87,3 +89,51 @@ def test_passing_keeps_rows_and_columns(spark, files):
     got = q.passing(docs, **files)
     assert got.columns == docs.columns and [(r.doc_id, r.measured) for r in got.collect()] == [(1, 5)]
     assert q.passing(docs.limit(0), **files).count() == 0
+
+
+def brute_band(lang, text):
+    if lang in q.LANGUAGE_BANDS:
+        return q.LANGUAGE_BANDS[lang]
+    letters = [c for c in text if unicodedata.category(c).startswith("L")]
+    for script in ("LATIN", "CYRILLIC"):
+        if 2 * sum(unicodedata.name(c, "").startswith(script) for c in letters) > max(1, len(letters)):
+            return q.SCRIPT_BANDS[script.lower()]
+    return q.SCRIPT_BANDS["other"]
+
+
+def test_verdict_against_brute_force(spark, files):
+    good = [GOOD, GOOD.upper(), GOOD[::-1], GOOD.replace(" ", "  "), " ".join(f"Привет мир номер {i} далеко" for i in range(40)), " ".join("".join(chr(0x4E00 + (37 * i + j) % 4000) for j in range(5)) for i in range(80))]
+    texts = [(t, lang) for t in [*TEXTS, *good] for lang in ("en", "de", "xx", None)]
+    docs = spark.createDataFrame([(i, t, lang) for i, (t, lang) in enumerate(texts)], "doc_id long, text string, lang string")
+    verdicts = set()
+    for r in q.quality_rules(docs, **files).collect():
+        text, lang = texts[r.doc_id]
+        band = brute_band(lang, text or "")
+        floor = 6.15 if r.n_tokens >= 1000 else 5.8 if r.n_tokens >= 400 else 5.3 if r.n_tokens >= 100 else 0
+        fits = band.chars_low <= r.chars_per_token <= band.chars_high and r.byte_fallback_share <= band.fallback_high and r.token_entropy >= floor
+        assert r.kept == (not r.base_failed and fits)
+        verdicts.add((r.base_failed, r.kept))
+    assert verdicts == {(True, False), (False, False), (False, True)}
+
+
+class Fixed:
+    """A vocabulary that gives a set number of tokens, of different kinds, and of bytes without a piece."""
+
+    def __init__(self, n, kinds, unknown=0):
+        self.ids, self.unknown = np.arange(n) % kinds, unknown
+
+    def token_ids(self, text):
+        return self.ids
+
+    def fallback_bytes(self, text):
+        return self.unknown
+
+
+def test_bounds_are_inclusive():
+    text = " ".join(f"word{i:05d}" for i in range(230)) + "."
+    assert len(text) == 2300
+    kept = lambda lang, *v: q.measure(text, lang, Fixed(*v))[-1]
+    assert kept("en", 1000, 1000) and not kept("en", 1001, 1001)
+    assert kept("en", 1000, 1000, 460) and not kept("en", 1000, 1000, 461)
+    assert kept("en", 320, 40) and not kept("en", 320, 32) and not kept("en", 287, 287)
+    assert kept("es", 512, 64) and not kept("es", 1024, 64) and kept("es", 1024, 128)
