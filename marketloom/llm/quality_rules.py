@@ -2,7 +2,9 @@
 
 Measures of a whole text: characters per token of a byte-level BPE, entropy of its token
 counts, and the share of its UTF-8 bytes that a vocabulary with byte fallback can only
-write byte by byte. Bands for each language (by its script where the language is not
+write byte by byte. That share is by the vocabulary's set of characters: a text is not
+encoded by it, and the six ASCII spaces count as known though some are written as bytes,
+so that a text of many lines is not rejected for its line ends. Bands for each language (by its script where the language is not
 listed) say which values pass. The counting rules of the base come first.
 """
 
