@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: The field is fitted on so many labelled documents at most, those of least hash, and on so many lines of each at most.
+#: The field is fitted on so many labelled documents at most, those of least hash, and on a run of so many lines of each at most.
 SAMPLE_DOCS = 2000
 SAMPLE_LINES = 256
 ROUNDS = 250
@@ -113,16 +113,22 @@ class LineField:
     def _inputs(self, x: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         return with_neighbours((x - self.mean) / self.spread, *_bounds(lengths))
 
-    def fit(self, docs: list[tuple[np.ndarray, int]], rounds: int = ROUNDS) -> LineField:
-        """docs: (line features, label). Without documents of both labels the weights stay zero or tend to the one label."""
+    def fit(self, docs: list[tuple[np.ndarray, int, bool, bool]], rounds: int = ROUNDS) -> LineField:
+        """docs: (line features, label, whether the first and the last line are there as neighbours only).
+
+        Without documents of both labels the weights stay zero or tend to the one label.
+        """
         if not docs:
             return self
-        lengths = np.array([len(x) for x, _ in docs])
-        x = np.vstack([x for x, _ in docs])
-        y = np.repeat([float(q) for _, q in docs], lengths)
-        self.mean, self.spread = x.mean(axis=0), x.std(axis=0) + 1e-3
-        x = self._inputs(x, lengths)
-        steps = np.repeat([q for _, q in docs], lengths - 1)
+        x, lengths, labels = np.vstack([d[0] for d in docs]), np.array([len(d[0]) for d in docs]), [d[1] for d in docs]
+        before, after = (np.array([d[i] for d in docs], dtype=bool) for i in (2, 3))
+        ends, own = np.cumsum(lengths), np.ones(len(x), bool)
+        own[(ends - lengths)[before]], own[ends[after] - 1] = False, False
+        self.mean, self.spread = x[own].mean(axis=0), x[own].std(axis=0) + 1e-3
+        x = self._inputs(x, lengths)[own]
+        lengths = lengths - before - after
+        y = np.repeat(np.array(labels, dtype=float), lengths)
+        steps = np.repeat(labels, lengths - 1)
         seen = np.diag([float((steps == 0).sum()), float((steps == 1).sum())])
         theta = np.zeros(x.shape[1] + 4)
         m, v, n = np.zeros_like(theta), np.zeros_like(theta), len(docs)
@@ -161,20 +167,38 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
+def run_of(x: np.ndarray, place: int, most: int) -> tuple[np.ndarray, bool, bool]:
+    """A run of ``most`` lines, chosen by place, with the lines before and after it; and whether there are such lines."""
+    if len(x) <= most:
+        return x, False, False
+    start = place % (len(x) - most + 1)
+    before, after = start > 0, start + most < len(x)
+    return x[start - before : start + most + after], before, after
+
+
 def train(docs: DataFrame, labels: DataFrame, *, sample_docs: int = SAMPLE_DOCS, sample_lines: int = SAMPLE_LINES, rounds: int = ROUNDS) -> LineField:
-    """Fit on a bounded sample of labelled rows that are not held out. Rows without a label 0 or 1 are left out."""
+    """Fit on a bounded sample of labelled rows that are not held out.
+
+    Rows without a label 0 or 1 are left out; a doc_id with both labels counts as good. Of
+    documents that share a doc_id one is learned from. A document of more than sample_lines
+    lines gives a run of so many, anywhere in it, whose first and last lines see their true
+    neighbours.
+    """
     chosen = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     place = F.xxhash64("doc_id")
     chosen = chosen.groupBy("doc_id").agg(F.max("quality").alias("quality")).orderBy(place, "doc_id").limit(sample_docs)
 
     def features(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            made = [line_features(t)[0][:sample_lines].tobytes() for t in frame["text"]]
-            yield pd.DataFrame({"place": frame["place"], "quality": frame["quality"], "x": made})
+            runs = [run_of(line_features(t)[0], p, sample_lines) for p, t in zip(frame["place"], frame["text"], strict=True)]
+            made = pd.DataFrame([(x.tobytes(), before, after) for x, before, after in runs], columns=["x", "before", "after"])
+            yield pd.concat([frame[["place", "quality"]].reset_index(drop=True), made], axis=1)
 
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(place.alias("place"), F.col("quality").cast("int").alias("quality"), "text")
-    rows = rows.mapInPandas(features, "place long, quality int, x binary").toPandas().sort_values(["place", "x"])
-    return LineField().fit([(np.frombuffer(x, dtype=np.float64).reshape(-1, N_BASE), q) for x, q in zip(rows["x"], rows["quality"], strict=True)], rounds)
+    rows = rows.mapInPandas(features, "place long, quality int, x binary, before boolean, after boolean")
+    rows = rows.groupBy("place").agg(F.max(F.struct("x", "quality", "before", "after")).alias("run")).orderBy("place").select("run.*").toPandas()
+    runs = zip(rows["x"], rows["quality"], rows["before"], rows["after"], strict=True)
+    return LineField().fit([(np.frombuffer(x, dtype=np.float64).reshape(-1, N_BASE), q, before, after) for x, q, before, after in runs], rounds)
 
 
 def score(docs: DataFrame, field: LineField) -> DataFrame:

@@ -80,3 +80,36 @@ def test_score_is_the_weighted_mean_of_enumerated_marginals(spark):
     assert np.allclose(field.scores(texts), want)
     x, w = c.line_features("a long line of several words\nshort")
     assert w[0] > w[1] > 0
+
+
+def test_a_run_sees_its_true_neighbours():
+    x = np.arange(40.0).reshape(10, 4)
+    for place in (0, 1, 5, 6, 7, -3, 2**62):
+        got, before, after = c.run_of(x, place, 4)
+        start = place % 7
+        assert (before, after) == (start > 0, start < 6)
+        assert np.array_equal(got[int(before) :][:4], x[start : start + 4]) and len(got) == 4 + before + after
+    got, *flags = c.run_of(x, 3, 10)
+    assert got is x and flags == [False, False]
+
+
+def test_a_neighbour_only_line_has_no_part_in_the_fit():
+    """Rounds of the fit on inner lines alone, whose neighbours are those of the whole text."""
+    rng = np.random.default_rng(1)
+    whole = rng.normal(size=(6, c.N_BASE))
+    field = c.LineField().fit([(whole, 1, True, True), (whole + 2, 0, False, False)], rounds=1)
+    inner = np.vstack([whole[1:-1], whole + 2])
+    assert np.allclose(field.mean, inner.mean(axis=0))
+    z = (whole - field.mean) / field.spread
+    seen = c.with_neighbours(z, *c._bounds(np.array([6])))[1:-1]
+    assert not seen[:, -3:-1].any() and np.allclose(seen[0, c.N_BASE : 2 * c.N_BASE], z[0])
+
+
+def test_what_comes_late_in_a_long_text_is_learned(spark):
+    """Texts alike in their first lines; only what follows tells the labels apart."""
+    same = ["The same plain line of words stands here."] * 30
+    rows = [(i, "\n".join(same + (["W### a$$$ &&& b*** c%%% x|||"] * 90 if i % 2 else same * 3)), 1 - i % 2) for i in range(120)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(4, "again"), (4, "again")], "doc_id long, text string")
+    field = c.train(docs, spark.createDataFrame([(i, q, 0) for i, _, q in rows], "doc_id long, quality int, toxic int"), sample_lines=20)
+    good, bad = field.scores([rows[0][1], rows[1][1]])
+    assert good > 0.8 and bad < 0.5
