@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, exact_dedup, html_extract, jaccard_join, line_crf, line_dedup, mixing, quality_rules, warc
+from . import bpe, chat_format, exact_dedup, html_extract, jaccard_join, line_crf, line_dedup, mixing, prefix_trie, quality_rules, warc
 from .shared import table
 
 
@@ -83,6 +83,12 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select(F.col("page_id").cast(kind), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations; the first turns of one in five are the first turns of the four after it."""
+    conv = F.col("conv_id")
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"), base=conv - conv % 5, head=F.crc32(conv.cast("string").cast("binary")) % 9)
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_line_dedup": op2_line_dedup,
@@ -94,6 +100,7 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_warc": op10_warc,
+    "op11_prefix_trie": op11_prefix_trie,
 }
 
 SQL = {
@@ -119,4 +126,26 @@ SQL = {
                CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
         FROM g
     """,
+    "op11_prefix_trie": """
+        WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                          row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos
+                   FROM conversations WHERE conv_id IS NOT NULL),
+        c AS (SELECT conv_id, conv_id - conv_id % 5 AS base,
+                     xor(list_reduce(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(unicode(x) AS BIGINT)),
+                                     lambda crc, x: list_reduce(range(0, 8), lambda v, i: xor(v >> 1, (v & 1) * 3988292384), xor(crc, x)), 4294967295), 4294967295) % 9 AS head
+              FROM (SELECT DISTINCT conv_id FROM t)),
+        r AS (SELECT c.conv_id, pos, role, text FROM c JOIN t ON t.conv_id = c.base AND pos <= head
+              UNION ALL SELECT c.conv_id, pos, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND pos > head),
+        s AS (SELECT c.conv_id, coalesce(list({'role': role, 'text': text} ORDER BY pos) FILTER (pos IS NOT NULL), []) AS turns FROM c LEFT JOIN r USING (conv_id) GROUP BY 1),
+        p AS (SELECT conv_id, depth, turns[1:depth] AS prefix, len(turns) = depth AS ends, coalesce(strlen(turns[depth].text), 0) AS bytes
+              FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS depth FROM s)),
+        n AS (SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes,
+                     sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256 FROM p GROUP BY 1, 2),
+        m AS (SELECT n.*, u.conv_id AS parent_conv_id, u.prefix AS above FROM n LEFT JOIN n u ON n.depth = u.depth + 1 AND n.prefix[1:n.depth - 1] = u.prefix),
+        k AS (SELECT above AS prefix, count(*) AS n_children FROM m WHERE depth > 0 GROUP BY 1),
+        f AS (SELECT m.*, coalesce(n_children, 0) AS n_children FROM m LEFT JOIN k ON m.prefix = k.prefix),
+        a AS (SELECT p.prefix, sum((f.n_convs - 1) * f.bytes) AS saved, count(*) FILTER (f.n_children = 0) AS n_leaves
+              FROM f JOIN p ON p.conv_id = f.conv_id AND p.depth <= f.depth GROUP BY 1)
+        SELECT f.conv_id, f.depth, parent_conv_id, n_convs, n_children, n_leaves, CAST(saved AS BIGINT) AS saved_tokens, ends_sha256 FROM f JOIN a ON f.prefix = a.prefix
+    """,
 }

@@ -22,7 +22,7 @@ def rows(frame):
 @pytest.mark.parametrize("name", sorted(entries.SQL))
 def test_against_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "conversations"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     assert rows(entries.QUERIES[name](spark, SF).toPandas()) == rows(con.sql(entries.SQL[name]).df())
 
