@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, exact_dedup, html_extract, jaccard_join, line_crf, line_dedup, mixing, prefix_trie, quality_rules, warc
+from . import bpe, chat_format, exact_dedup, html_extract, jaccard_join, line_crf, line_dedup, mixing, prefix_trie, quality_rules, token_alignment, warc
 from .shared import table
 
 
@@ -89,6 +89,11 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(table(spark, sf_dir, "conversations"), base=conv - conv % 5, head=F.crc32(conv.cast("string").cast("binary")) % 9)
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, byte-level BPE against pieces with byte fallback."""
+    return token_alignment.align(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_line_dedup": op2_line_dedup,
@@ -101,6 +106,7 @@ QUERIES = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_warc": op10_warc,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_token_alignment": op12_token_alignment,
 }
 
 SQL = {
