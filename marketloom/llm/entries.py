@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, exact_dedup, html_extract, jaccard_join, line_crf, line_dedup, mixing, prefix_trie, quality_rules, token_alignment, warc
+from . import bpe, chat_format, exact_dedup, html_extract, jaccard_join, line_crf, line_dedup, mixing, prefix_trie, quality_rules, token_alignment, vector_search, warc
 from .shared import table
 
 
@@ -94,6 +94,11 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.align(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op13_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors whose vec_id 20 divides, against all."""
+    return vector_search.search_all(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_line_dedup": op2_line_dedup,
@@ -107,6 +112,7 @@ QUERIES = {
     "op10_warc": op10_warc,
     "op11_prefix_trie": op11_prefix_trie,
     "op12_token_alignment": op12_token_alignment,
+    "op13_vector_search": op13_vector_search,
 }
 
 SQL = {
