@@ -320,6 +320,12 @@ SQL: dict[str, str] = {
     "warehouse_months": f"""WITH {BOTH}, kept AS (SELECT * FROM both_loads QUALIFY row_number() OVER (PARTITION BY security_id, date ORDER BY loaded_at DESC) = 1)
         SELECT CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, count(*) AS n_rows, sum(close) AS sum_close FROM kept GROUP BY 1, 2""",
     "materialised_models": f"WITH {RETURNS} SELECT security_id, count(*) AS n_rows, count(ret_120d) AS n_returns FROM returns GROUP BY 1",
+    "replayed_batches": f"""WITH {PRICES_SQL}, {NEW_PRICES_SQL}, loads AS (
+            SELECT security_id, date, close, load_id, loaded_at FROM prices
+            UNION ALL SELECT security_id, date, close, load_id, loaded_at FROM new_prices WHERE month(date) <> 2
+            UNION ALL SELECT security_id, date, close + 1, 'load-3', TIMESTAMP '2026-03-01 00:00:00' FROM new_prices WHERE month(date) >= 2),
+        kept AS (SELECT * FROM loads QUALIFY row_number() OVER (PARTITION BY security_id, date ORDER BY loaded_at DESC) = 1)
+        SELECT CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, load_id, count(*) AS n_rows, sum(close) AS sum_close FROM kept GROUP BY 1, 2, 3""",
     "staged_promotion": f"""WITH {BOTH}, kept AS (SELECT * FROM both_loads QUALIFY row_number() OVER (PARTITION BY security_id, date ORDER BY loaded_at DESC) = 1)
         SELECT CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, count(*) AS n_rows, sum(close) AS sum_close FROM kept GROUP BY 1, 2""",
 }

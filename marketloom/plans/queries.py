@@ -14,6 +14,7 @@ from ..functions import scalars
 from ..operators import calendar, dedup, features, gaps, merge, normalize, profile, quality, reconcile, security_master, state, universe
 from ..schemas import PRICE_COLUMNS, PRICE_KEY, WINDOW_KEY, cast_to
 from ..sources import readers, writers
+from ..streaming import ingest
 from . import views
 
 BENCHMARK = "0"
@@ -758,6 +759,33 @@ def materialised_models(spark, d):
     return readers.run_sql(spark, sql, {"s": spark.table(staging_name), "r": spark.table(returns_name)})
 
 
+class _Stopped(BaseException):
+    """Stands for a driver that dies."""
+
+
+@query
+def replayed_batches(spark, d):
+    """Two batches merged into a stored table; the first is stopped before its count and replayed, the second comes twice."""
+    root = shared_folder(spark)
+    table, work = f"{root}/table", f"{root}/work"
+    writers.write_months(views.prices(spark, d), table)
+    new = views.new_prices(spark, d)
+
+    def stop(step: str) -> None:
+        if step == "replaced":
+            raise _Stopped
+
+    first = new.where(F.month("date") != 2)
+    second = new.where(F.month("date") >= 2).withColumns({"close": F.col("close") + 1, "load_id": F.lit("load-3"), "loaded_at": F.lit("2026-03-01 00:00:00").cast("timestamp")})
+    try:
+        ingest.apply_batch(spark, first, table, work, 0, after=stop)
+    except _Stopped:
+        ingest.apply_batch(spark, first, table, work, 0)
+    for _ in range(2):
+        ingest.apply_batch(spark, second, table, work, 1)
+    return readers.prices(spark, table).groupBy("year", "month", "load_id").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("close").alias("sum_close"))
+
+
 @query
 def staged_promotion(spark, d):
     """Write months, stage a merge, promote it, and read the months back."""

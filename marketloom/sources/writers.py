@@ -39,9 +39,15 @@ def month_counts(spark: SparkSession, root: str) -> DataFrame:
     return read_prices(spark, root).groupBy("year", "month").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _hadoop(spark: SparkSession, path: str):
+    """A path and its file system."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where, fs = _hadoop(spark, path)
+    return fs.exists(where)
 
 
 def _demand_counts(spark: SparkSession, root: str, expected: DataFrame, what: str) -> None:
@@ -52,16 +58,45 @@ def _demand_counts(spark: SparkSession, root: str, expected: DataFrame, what: st
         raise ValueError(f"{what}: row counts differ in {[(r.year, r.month) for r in bad]}")
 
 
+def _mark(spark: SparkSession, path: str) -> None:
+    """An empty file: there, or not."""
+    where, fs = _hadoop(spark, path)
+    fs.create(where, True).close()
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    where, fs = _hadoop(spark, path)
+    fs.delete(where, True)
+
+
+MANIFEST_SUFFIX, STAGED = "-manifest", "_STAGED"
+MANIFEST = "year int, month int, final_row_count long"
+
+
+def is_staged(spark: SparkSession, staging_root: str) -> bool:
+    """Whether a staging root is whole: its months were counted and its manifest is beside it."""
+    return path_exists(spark, f"{staging_root}{MANIFEST_SUFFIX}/{STAGED}")
+
+
+def staged_manifest(spark: SparkSession, staging_root: str) -> DataFrame:
+    return spark.read.schema(MANIFEST).parquet(f"{staging_root}{MANIFEST_SUFFIX}")
+
+
 def stage(spark: SparkSession, merged: DataFrame, manifest: DataFrame, staging_root: str, *, overwrite: bool = False) -> None:
-    """Write the affected months to a staging root and count them again; an existing one is refused unless overwrite."""
+    """Write the affected months to a staging root, count them again, and put the manifest beside it; an existing root is refused unless overwrite."""
     if not overwrite and path_exists(spark, staging_root):
         raise FileExistsError(staging_root)
+    _remove(spark, f"{staging_root}{MANIFEST_SUFFIX}")
     write_months(merged, staging_root, mode="overwrite" if overwrite else "error")
-    _demand_counts(spark, staging_root, manifest, "staging")
+    rows = manifest.select(*[F.col(c).cast(t).alias(c) for c, t in (x.split() for x in MANIFEST.split(", "))])
+    rows.coalesce(1).write.parquet(f"{staging_root}{MANIFEST_SUFFIX}")
+    _demand_counts(spark, staging_root, staged_manifest(spark, staging_root), "staging")
+    _mark(spark, f"{staging_root}{MANIFEST_SUFFIX}/{STAGED}")
 
 
-#: A promotion's record beside its archive.
-RECORD, RECORD_SUFFIX = "year int, month int, archived boolean", "-promotion"
+#: A promotion's record beside its archive: the plan, and a mark for each step that is over.
+PLAN, RECORD_SUFFIX = "year int, month int, archived boolean, final_row_count long", "-promotion"
+STEPS = ["planned", "archived", "replaced", "counted"]
 
 
 @dataclass(frozen=True)
@@ -72,50 +107,92 @@ class Promotion:
     new_months: list[tuple[int, int]]
 
 
-def promote(spark: SparkSession, staging_root: str, target_root: str, archive_root: str, manifest: DataFrame, *, check=None) -> Promotion:
+def promotion_step(spark: SparkSession, archive_root: str) -> str | None:
+    """The last step of a promotion that is over; None if it has no plan yet."""
+    done = [x for x in STEPS if path_exists(spark, f"{archive_root}{RECORD_SUFFIX}/{x}")]
+    return done[-1] if done else None
+
+
+def _plan(spark: SparkSession, archive_root: str) -> list:
+    return spark.read.schema(PLAN).parquet(f"{archive_root}{RECORD_SUFFIX}/plan").orderBy("year", "month").collect()
+
+
+def promote(spark: SparkSession, staging_root: str, target_root: str, archive_root: str, manifest: DataFrame | None = None, *, check=None, after=None) -> Promotion:
     """Archive the affected months of the target, replace only these, and count again.
 
-    On any error the archived months are written back and months that did not exist before are
-    removed. check(): called before the count, for tests and further gates.
+    The archive root names the promotion. Its record beside it says which steps are over, so a
+    call that finds a record goes on from there, whatever ended the call before it: nothing is
+    archived once months may have been replaced, staging stays as it is, and a promotion that is
+    over changes nothing. A manifest (by default the one beside the staging root) that does not
+    fit a record's plan is refused.
+
+    On an error in the replacing or counting the archived months are written back and months
+    that did not exist before are removed; the next call replaces again. check(): called before
+    the count, for further gates; after(step): called when a step is over.
     """
-    staged = read_prices(spark, staging_root)
-    # One row per month, fixed now: the manifest may be made from the files that are replaced below.
-    expected = [(r.year, r.month, r.final_row_count) for r in manifest.select("year", "month", "final_row_count").collect()]
-    months, manifest = [(y, m) for y, m, _ in expected], spark.createDataFrame(expected, "year int, month int, final_row_count long")
-    old = _in(read_prices(spark, target_root), months) if path_exists(spark, target_root) else None
-    before = set()
-    if old is not None:
-        before = {(r.year, r.month) for r in old.select("year", "month").distinct().collect()}
-        if before:
-            write_months(old.select(*PRICE_COLUMNS), archive_root)
-    made = Promotion(archive_root, [m for m in months if m not in before])
-    # What a recovery needs stands in files before anything is replaced, so that a lost driver loses nothing.
-    record = [(y, m, (y, m) in before) for y, m in months]
-    spark.createDataFrame(record, RECORD).coalesce(1).write.parquet(f"{archive_root}{RECORD_SUFFIX}")
+    record = f"{archive_root}{RECORD_SUFFIX}"
+    over = after or (lambda step: None)
+
+    def done(step: str) -> bool:
+        return path_exists(spark, f"{record}/{step}")
+
+    def end(step: str) -> None:
+        _mark(spark, f"{record}/{step}")
+        over(step)
+
+    manifest = staged_manifest(spark, staging_root) if manifest is None else manifest
+    # One row per month, fixed before the files from which the manifest may be made are replaced.
+    expected = sorted((r.year, r.month, r.final_row_count) for r in manifest.select("year", "month", "final_row_count").collect())
+    if not done("planned"):
+        if not done("archived") and path_exists(spark, archive_root):
+            raise FileExistsError(archive_root)
+        before = set()
+        if path_exists(spark, target_root):
+            rows = _in(read_prices(spark, target_root), [(y, m) for y, m, _ in expected])
+            before = {(r.year, r.month) for r in rows.select("year", "month").distinct().collect()}
+        plan = [(y, m, (y, m) in before, n) for y, m, n in expected]
+        spark.createDataFrame(plan, PLAN).coalesce(1).write.mode("overwrite").parquet(f"{record}/plan")
+        end("planned")
+    plan = _plan(spark, archive_root)
+    if [(r.year, r.month, r.final_row_count) for r in plan] != expected:
+        raise ValueError(f"{record} is the record of another promotion")
+    old = [(r.year, r.month) for r in plan if r.archived]
+    made = Promotion(archive_root, [(r.year, r.month) for r in plan if not r.archived])
+    if not done("archived"):  # the target is as it was
+        if old:
+            rows = _in(read_prices(spark, target_root), old)
+            write_months(rows.select(*PRICE_COLUMNS), archive_root, mode="overwrite")
+            _demand_counts(spark, archive_root, rows.groupBy("year", "month").agg(F.count(F.lit(1)).alias("final_row_count")), "archive")
+        end("archived")
     try:
-        write_months(staged.select(*PRICE_COLUMNS), target_root, mode="overwrite", partition_mode="dynamic")
-        if check is not None:
-            check()
-        _demand_counts(spark, target_root, manifest, "promotion")
+        if not done("replaced"):
+            write_months(read_prices(spark, staging_root).select(*PRICE_COLUMNS), target_root, mode="overwrite", partition_mode="dynamic")
+            end("replaced")
+        if not done("counted"):
+            if check is not None:
+                check()
+            _demand_counts(spark, target_root, spark.createDataFrame(expected, MANIFEST), "promotion")
+            end("counted")
     except Exception:
-        rollback(spark, made, target_root, bool(before))
+        rollback(spark, made, target_root, bool(old))
         raise
     return made
 
 
 def recover(spark: SparkSession, archive_root: str, target_root: str) -> None:
     """Roll back a promotion of which only the archive and its record are left."""
-    months = spark.read.schema(RECORD).parquet(f"{archive_root}{RECORD_SUFFIX}").collect()
-    rollback(spark, Promotion(archive_root, [(r.year, r.month) for r in months if not r.archived]), target_root, any(r.archived for r in months))
+    plan = _plan(spark, archive_root)
+    rollback(spark, Promotion(archive_root, [(r.year, r.month) for r in plan if not r.archived]), target_root, any(r.archived for r in plan))
 
 
 def rollback(spark: SparkSession, made: Promotion, target_root: str, archived: bool = True) -> None:
+    """The target as it was before a promotion, which may then be made again."""
+    for step in ("counted", "replaced"):
+        _remove(spark, f"{made.archive_root}{RECORD_SUFFIX}/{step}")
     if archived:
         write_months(read_prices(spark, made.archive_root).select(*PRICE_COLUMNS), target_root, mode="overwrite", partition_mode="dynamic")
-    jvm = spark.sparkContext._jvm
     for y, m in made.new_months:
-        folder = jvm.org.apache.hadoop.fs.Path(f"{target_root}/year={y}/month={m:02d}")
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        _remove(spark, f"{target_root}/year={y}/month={m:02d}")
 
 
 def _in(table: DataFrame, months: list[tuple[int, int]]) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from marketloom.operators import merge, normalize, reconcile
 from marketloom.schemas import PRICE_COLUMNS, PRICE_SCHEMA, table_contract
 from marketloom.sources import readers, writers
-from marketloom.streaming.ingest import ingest
+from marketloom.streaming.ingest import apply_batch, ingest, merge_batch
 
 from .test_quality_and_dedup import T0, frame, price
 
@@ -99,6 +99,71 @@ def test_merge_promote_and_rollback(spark, tmp_path):
     assert sum(r.n_rows for r in readers.file_rows(spark, target).collect()) == 4
 
 
+class Killed(BaseException):
+    """A driver that dies: no handler of errors runs."""
+
+
+@pytest.mark.parametrize("step", ["staged", "planned", "archived", "replaced", "counted"])
+def test_a_killed_batch_is_merged_once(spark, tmp_path, step):
+    def whole(root):
+        spark.catalog.refreshByPath(root)
+        return sorted(map(str, readers.prices(spark, root).drop("loaded_at").collect()))
+
+    old = frame(spark, price(date=D(2026, 5, 4)), price(date=D(2026, 6, 1)), price(date=D(2026, 6, 2)))
+    new = frame(spark, price(date=D(2026, 6, 2), close=5.0, loaded_at=T0 + dt.timedelta(1)), price(date=D(2026, 7, 1)))
+    killed, plain = str(tmp_path / "killed"), str(tmp_path / "plain")
+    for root in (killed, plain):
+        writers.write_months(old, root)
+    assert apply_batch(spark, new, plain, str(tmp_path / "work"), "p")
+    want = whole(plain)
+
+    def stop(at):
+        if at == step:
+            raise Killed
+
+    with pytest.raises(Killed):
+        apply_batch(spark, new, killed, str(tmp_path / "work"), 0, after=stop)
+    if step == "archived":  # killed while months were replaced: one is gone
+        writers._remove(spark, f"{killed}/year=2026/month=06")
+    spark.catalog.refreshByPath(killed)
+    assert apply_batch(spark, new, killed, str(tmp_path / "work"), 0) == (step != "counted")
+    assert whole(killed) == want
+    assert not apply_batch(spark, new, killed, str(tmp_path / "work"), 0) and whole(killed) == want
+    assert sorted(r.close for r in readers.prices(spark, str(tmp_path / "work/0/archive")).collect()) == [101.0, 101.0]
+
+
+def test_a_failed_promotion_is_made_again_and_a_record_is_one_promotion(spark, tmp_path):
+    target, staging, archive = (str(tmp_path / x) for x in ("t", "s", "a"))
+    new = frame(spark, price(date=D(2026, 7, 1)))
+    made = merge.manifest(new.limit(0), new)
+    writers.stage(spark, merge.merge_windows(new.limit(0), new), made, staging)
+
+    def fail():
+        raise RuntimeError("stop")
+
+    with pytest.raises(RuntimeError):
+        writers.promote(spark, staging, target, archive, check=fail)
+    assert writers.promotion_step(spark, archive) == "archived" and not (tmp_path / "t/year=2026/month=07").exists()
+    writers.promote(spark, staging, target, archive)
+    assert writers.promotion_step(spark, archive) == "counted" and months(spark, target) == {(2026, 7): 1}
+    other = spark.createDataFrame([(2026, 8, 1)], writers.MANIFEST)
+    with pytest.raises(ValueError, match="another promotion"):
+        writers.promote(spark, staging, target, archive, other)
+    (tmp_path / "b").mkdir()
+    with pytest.raises(FileExistsError):
+        writers.promote(spark, staging, target, str(tmp_path / "b"))
+
+
+def test_replayed_stream_batches(spark, tmp_path):
+    landed(tmp_path / "raw", "aaa", [raw(), raw(date="2026-07-01")])
+    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(str(tmp_path / "raw")).select(F.col("_metadata.file_path").alias("file"), "value")
+    run = merge_batch(str(tmp_path / "table"), str(tmp_path / "work"), source="v")
+    for batch in (0, 0, 1, 0, 1):
+        run(files, batch)
+    assert months(spark, str(tmp_path / "table")) == {(2026, 6): 1, (2026, 7): 1}
+    assert {r.load_id for r in readers.prices(spark, str(tmp_path / "table")).collect()} == {"batch-1"}
+
+
 def test_saved_tables(spark):
     name, staging = "market_prices", "market_prices_staging"
     for t in (name, staging):
