@@ -58,17 +58,17 @@ def test_recall_over_many_blocks(spark, scale):
 def test_it_is_a_filter(spark):
     """Most rows of a block are never verified."""
     x = clustered(4000, 64, 5)
-    search = vector_search.Search(20, 64, 47, 1.36, 1)
+    search = vector_search.Search(20, vector_search.FUNCTIONS, vector_search.THRESHOLD, vector_search.REACH, 1)
     row = type("Row", (), search.index_row(np.arange(4000), np.arange(4000), x, 1.0))
     tried = []
     block = search.block(row)
     plain = vector_search.scores
     vector_search.scores = lambda rows, q: tried.append(len(rows)) or plain(rows, q)
     try:
-        for i in range(0, 4000, 200):
-            at = np.r_[x[i], 0] @ vector_search.functions_of(64, 64, 1)
-            bound = float(np.sort(np.sqrt(np.maximum(0, 2 - 2 * x @ x[i])))[21])
-            search.nearest(block, x[i], i, at, bound, 1.0)
+        q = x[::200]
+        at = np.c_[q, np.zeros(20)] @ vector_search.functions_of(64, vector_search.FUNCTIONS, 1)
+        bounds = np.sort(np.sqrt(np.maximum(0, 2 - 2 * q @ x.T)), axis=1)[:, 21]
+        search.nearest(block, q, np.arange(0, 4000, 200), at, bounds, 1.0)
     finally:
         vector_search.scores = plain
     assert sum(tried) < 0.4 * 20 * 4000
