@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from .shared import batches_of, worker_state, written
 
 #: Bytes of text that are aligned together.
-CHUNK_BYTES = 12_000_000
+CHUNK_BYTES = 8_000_000
 #: Bytes of joined pieces that an encoder gets at once.
 JOINED_BYTES = 200_000
 #: Texts reach a worker in batches of so many.
@@ -126,44 +126,67 @@ def pieces_of(texts: list[str], whole: bool = False) -> tuple[pa.LargeStringArra
     data = "".join(" " + t for t in texts).encode()
     starts = np.cumsum([0, *(len(t.encode()) + 1 for t in texts)])
     cuts = np.empty(0, np.int64) if whole else cut_places(np.frombuffer(data, np.uint8))
-    edges = np.union1d(starts, cuts)
+    edge = np.zeros(len(data) + 1, bool)
+    edge[starts] = edge[cuts] = True
+    edges = np.flatnonzero(edge)
     pieces = pa.LargeStringArray.from_buffers(len(edges) - 1, pa.py_buffer(edges.astype(np.int64).tobytes()), pa.py_buffer(data))
     return pieces, np.searchsorted(edges, starts)
 
 
-def encode_pieces(side: Vocabulary, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def sizes_of(pieces: pa.Array) -> np.ndarray:
+    return pc.binary_length(pieces).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _bytes(values: pa.Array) -> np.ndarray:
+    """All bytes of an array of large strings or binaries without nulls."""
+    _, ends, data = values.buffers()
+    ends = np.frombuffer(ends, np.int64)[values.offset : values.offset + len(values) + 1] if len(values) else [0, 0]
+    return np.frombuffer(data or b"", np.uint8)[ends[0] : ends[-1]]
+
+
+def _within(counts: np.ndarray) -> np.ndarray:
+    """0, 1, ... of each of the runs that counts gives."""
+    return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+def encode_pieces(side: Vocabulary, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(ids, offsets, right) of distinct pieces: the tokens of piece i are ids[offsets[i]:offsets[i + 1]]; right: whether they spell it.
 
     Pieces are encoded joined, many at a time; where a token crosses a seam, one by one.
     """
-    size = np.array([len(p.encode()) for p in pieces], np.int64)
-    alone = np.array([p[-1:].isspace() or _MARK in p for p in pieces], bool)
-    ids: list[np.ndarray] = [np.empty(0, np.int64)] * len(pieces)
+    texts, size = pieces.to_pylist(), sizes_of(pieces)
+    alone = np.array([p[-1:].isspace() or _MARK in p for p in texts], bool)
     joined = np.flatnonzero(~alone)
-    runs = np.split(joined, np.flatnonzero(np.diff(np.cumsum(size[joined]) // JOINED_BYTES)) + 1) if len(joined) else []
-    singles = list(np.flatnonzero(alone))
-    for run in runs:
-        got = np.array(side.encode_many(["".join(pieces[i] for i in run)])[0], np.int64)
-        ends = np.cumsum(size[run])
-        reached = np.cumsum(side.lengths[got])
+    cuts = np.flatnonzero(np.diff(np.cumsum(size[joined]) // JOINED_BYTES)) + 1
+    order, parts, counts, singles = [], [], [], [np.flatnonzero(alone)]
+    for run in np.split(joined, cuts) if len(joined) else []:
+        got = np.array(side.encode_many(["".join([texts[i] for i in run])])[0], np.int64)
+        ends, reached = np.cumsum(size[run]), np.cumsum(side.lengths[got])
         seams = np.searchsorted(reached, ends)
         if len(reached) and reached[-1] == ends[-1] and (reached[seams] == ends).all():
-            for i, part in zip(run, np.split(got, seams[:-1] + 1), strict=True):
-                ids[i] = part
+            order.append(run)
+            parts.append(got)
+            counts.append(np.diff(seams, prepend=-1))
         else:
-            singles += list(run)
-    for i, got in zip(singles, side.encode_many([pieces[i] for i in singles]), strict=True):
-        ids[i] = np.array(got, np.int64)
-    offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int64)
-    flat = np.concatenate([*ids, np.empty(0, np.int64)])
-    spelled = side.pieces.take(pa.array(flat))
+            singles.append(run)
+    rest = np.concatenate(singles)
+    got = side.encode_many([texts[i] for i in rest])
+    order = np.concatenate([*order, rest])
+    parts = np.concatenate([*parts, *(np.array(x, np.int64) for x in got), np.empty(0, np.int64)])
+    counts = np.concatenate([*counts, np.array([len(x) for x in got], np.int64)])
+    tokens = np.zeros(len(texts), np.int64)
+    tokens[order] = counts
+    offsets = np.concatenate([[0], np.cumsum(tokens)])
+    flat = np.empty(len(parts), np.int64)
+    flat[np.repeat(offsets[order], counts) + _within(counts)] = parts
+
     total = np.concatenate([[0], np.cumsum(side.lengths[flat])])
     right = np.diff(total[offsets]) == size
-    said, want = b"".join(spelled.to_pylist()), "".join(pieces).encode()
-    if said != want:  # seldom: look piece by piece
-        begin = np.concatenate([[0], np.cumsum(size)])
-        for i in np.flatnonzero(right):
-            right[i] = said[total[offsets[i]] : total[offsets[i + 1]]] == want[begin[i] : begin[i + 1]]
+    spelled = side.pieces.take(pa.array(flat))
+    said, want = _bytes(spelled), _bytes(pieces)
+    said, want = said[np.repeat(right, np.diff(total[offsets]))], want[np.repeat(right, size)]
+    wrong = np.concatenate([[0], np.cumsum(said != want)])[np.concatenate([[0], np.cumsum(size * right)])]
+    right &= np.diff(wrong) == 0
     return flat, offsets, right
 
 
@@ -185,14 +208,14 @@ class Aligner:
     def __init__(self, a: str, b: str):
         self.a, self.b = ByteLevel(a), Pieces(b)
 
-    def pieces(self, distinct: list[str]) -> dict:
+    def pieces(self, distinct: pa.Array) -> dict:
         """Of distinct pieces: links (a, b) with the offsets of each piece's, group texts, and counts."""
         a, a_at, a_right = encode_pieces(self.a, distinct)
         b, b_at, b_right = encode_pieces(self.b, distinct)
         right = a_right & b_right
         for_all = lambda ids, at: (ids[np.repeat(right, np.diff(at))], np.concatenate([[0], np.cumsum(np.diff(at) * right)]))
         (a, a_at), (b, b_at) = for_all(a, a_at), for_all(b, b_at)
-        size = np.array([len(p.encode()) for p in distinct], np.int64) * right
+        size = sizes_of(distinct) * right
         base = np.concatenate([[0], np.cumsum(size)])
         left, other = token_ends(self.a, a, a_at, base[:-1], "a"), token_ends(self.b, b, b_at, base[:-1], "b")
         links = left.join(other, "end", join_type="full outer", use_threads=False).sort_by("end")
@@ -220,7 +243,7 @@ class Aligner:
         """(documents, pairs) of a chunk. A document's slots and times say how often it has which of the pairs."""
         pieces, first = pieces_of([t for t in texts if t], self.b.whole)
         coded = pieces.dictionary_encode()
-        index, made = coded.indices.to_numpy(), self.pieces(coded.dictionary.to_pylist())
+        index, made = coded.indices.to_numpy(), self.pieces(coded.dictionary)
         n = len(first) - 1
         parent = np.repeat(np.arange(n), np.diff(first))
         fine = np.ones(n, bool)
@@ -237,7 +260,7 @@ class Aligner:
         slots = slots.append_column("slot", pa.array(np.arange(slots.num_rows)))
         slot = pairs.append_column("at", pa.array(np.arange(pairs.num_rows))).join(slots, ["a", "b"], use_threads=False).sort_by("at")["slot"].to_numpy()
         count = width[index]
-        at = np.repeat(made["link_at"][:-1][index] - np.concatenate([[0], np.cumsum(count)])[:-1], count) + np.arange(count.sum())
+        at = np.repeat(made["link_at"][:-1][index], count) + _within(count)
         own = pa.table({"doc": np.repeat(parent, count), "slot": slot[at]}).group_by(["doc", "slot"], use_threads=False).aggregate([([], "count_all")]).sort_by("doc")
         total = own.group_by("slot", use_threads=False).aggregate([("count_all", "sum")])
         counts = np.zeros(slots.num_rows, np.int64)
