@@ -129,7 +129,7 @@ def trie(conversations: DataFrame, *, base=None, head=None) -> DataFrame:
     the bytes of a node's last text times its members but one.
     """
     nobody = F.lit(0)
-    turns = sharing_heads(turns_of(conversations), F.col("conv_id") if base is None else base, nobody if head is None else head)
+    turns = sharing_heads(written(turns_of(conversations), "turns"), F.col("conv_id") if base is None else base, nobody if head is None else head)
     paths = written(paths_of(turns), "paths")
 
     ends = paths.where("last")
