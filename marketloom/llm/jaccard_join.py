@@ -43,8 +43,8 @@ ORDERS = 3
 SAMPLE = 4
 #: Class of a counted token: log2 of its count, one more from UNCOUNTED on; and of all other tokens.
 UNCOUNTED, TOP_CLASS = 3, 31
-#: Bits of a parity bitmap; it travels with every row of a list.
-BITS = 1024
+#: Bits of a parity bitmap: the next power of two from the set's size on, within these bounds.
+LEAST_BITS, MOST_BITS = 512, 1 << 17
 #: Texts reach a worker in batches of so many.
 TEXT_BATCH = 1000
 #: Lists longer than this are tried in pairs of blocks of this size.
@@ -61,42 +61,14 @@ def mixed(x: np.ndarray, k: int) -> np.ndarray:
         return x ^ (x >> np.uint64(32))
 
 
-def _byte_values() -> np.ndarray:
-    """A 64-bit value for each byte, the same for A-Z and a-z."""
-    values = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(_ODD[0]), 2)
-    values[65:91] = values[97:123]
-    return values
-
-
-_VALUES = _byte_values()
-_SPACES = np.zeros(256, np.int8)
-_SPACES[[9, 10, 11, 12, 13, 32]] = 1
-_BASE = _ODD[1]
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def _powers_to(n: int) -> list[np.ndarray]:
-    """Powers of an odd base and of its inverse, modulo 2 ** 64, for n places."""
-    if len(_powers[0]) < n:
-        size = 1 << max(12, (n - 1).bit_length())
-        with np.errstate(over="ignore"):
-            for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-                out = np.full(size, np.uint64(base))
-                out[0] = 1
-                _powers[i] = np.multiply.accumulate(out)
-    return _powers
+#: Bytes with A-Z lower-cased.
+_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
 def word_hashes(data: bytes) -> np.ndarray:
-    """64-bit hashes of the words of a UTF-8 text, A-Z lower-cased: differences of one prefix sum over the bytes."""
-    b = np.frombuffer(data, dtype=np.uint8)
-    edge = np.diff(_SPACES[b], prepend=np.int8(1), append=np.int8(1))
-    starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    power, inverse = _powers_to(len(b) + 1)
-    with np.errstate(over="ignore"):
-        sums = np.zeros(len(b) + 1, np.uint64)
-        np.cumsum(_VALUES[b] * power[: len(b)], out=sums[1:])
-        return mixed((sums[ends] - sums[starts]) * inverse[starts], 1)
+    """64-bit hashes (xxh3) of the words of a UTF-8 text, A-Z lower-cased. Bytes are split at the ASCII white space of the contract."""
+    words = data.translate(_LOWER).split()
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
@@ -139,11 +111,24 @@ def prefixes(tokens: np.ndarray, kinds: np.ndarray, orders: int, percent: int) -
 
 
 def parity_bitmap(tokens: np.ndarray) -> np.ndarray:
-    """Bit i: parity of the tokens that hash to i. Two sets' bitmaps differ in no more bits than the sets in tokens."""
-    bits = np.bincount((mixed(tokens, 4) >> np.uint64(20)).astype(np.int64) & (BITS - 1), minlength=BITS) & 1
+    """Bit i: parity of the tokens that hash to i. Two sets' bitmaps of one length differ in no more bits than the sets in tokens.
+
+    Its length grows with the set, so that sets without common tokens differ in more bits than
+    similar sets may; a bitmap folded in half is the one of half the length.
+    """
+    size = min(MOST_BITS, max(LEAST_BITS, 1 << (max(1, len(tokens)) - 1).bit_length()))
+    bits = np.bincount((mixed(tokens, 4) >> np.uint64(20)).astype(np.int64) & (size - 1), minlength=size) & 1
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
+def folded(bitmap: np.ndarray, size: int) -> np.ndarray:
+    """The bitmap with size numbers."""
+    while len(bitmap) > size:
+        half = len(bitmap) // 2
+        bitmap = bitmap[:half] ^ bitmap[half:]
+    return bitmap
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, comp) of all nodes in links (a, b): comp is the smallest node that links reach.
 
@@ -230,7 +215,10 @@ class Join:
         out = pairs.join(own("b"), "b").join(own("a"), "a")
         for i in range(self.orders - 1):
             out = out.where(F.arrays_overlap(F.col("oa")[i], F.col("ob")[i]))
-        differ = F.aggregate(F.zip_with("ma", "mb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+        # Sizes are within reach of each other, so bitmaps are of one length or of twice that.
+        half = lambda m: F.zip_with(F.slice(m, 1, (F.size(m) / 2).cast("int")), F.slice(m, (F.size(m) / 2 + 1).cast("int"), (F.size(m) / 2).cast("int")), lambda x, y: x.bitwiseXOR(y))
+        like = lambda m, other: F.when(F.size(m) > F.size(other), half(m)).otherwise(F.col(m))
+        differ = F.aggregate(F.zip_with(like("ma", "mb"), like("mb", "ma"), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
         return written(out.where(differ * (100 + self.percent) <= (F.col("na") + F.col("nb")) * (100 - self.percent)).select("a", "b"), "candidates")
 
     def similar(self, candidates: DataFrame, rows: DataFrame) -> DataFrame:
@@ -274,8 +262,15 @@ class Join:
         keys = ["token", "g", "i", "j"]
 
         def pairs_of(frame: pd.DataFrame, group: np.ndarray) -> pd.DataFrame:
-            """All groups of a frame at once: every row with the row d places on, for d up to the largest group."""
-            bits = np.stack(frame["bitmap"].to_numpy()).view(np.uint64)
+            """All groups of a frame, those whose bitmaps are of one length at once: every row with the row d places on, for d up to the largest group."""
+            size = np.array([len(x) for x in frame["bitmap"]])
+            starts = np.flatnonzero(np.diff(group, prepend=-1))
+            least = np.repeat(np.minimum.reduceat(size, starts), np.diff(np.append(starts, len(size))))
+            found = [pairs_of_length(frame[least == x], group[least == x], x) for x in np.unique(least)]
+            return pd.DataFrame(np.concatenate(found), columns=["a", "b"]).drop_duplicates()
+
+        def pairs_of_length(frame: pd.DataFrame, group: np.ndarray, size: int) -> np.ndarray:
+            bits = np.stack([folded(x, size) for x in frame["bitmap"]]).view(np.uint64)
             ids, n, comp, own, i, j, g, span = (frame[c].to_numpy(np.int64) for c in ("row_id", "n", "comp", "own", "i", "j", "g", "span"))
             found, best, mate = [np.empty((0, 2), np.int64)], np.full(len(ids), np.inf), np.zeros(len(ids), np.int64)
             for d in range(1, len(group)):
@@ -297,8 +292,7 @@ class Join:
                     found.append(np.stack([ids[left], ids[right]], axis=1))
             some = np.flatnonzero(best < np.inf)
             found.append(np.stack([ids[some], ids[mate[some]]], axis=1))
-            both = np.concatenate(found)
-            return pd.DataFrame({"a": both.min(axis=1, initial=2**63 - 1), "b": both.max(axis=1, initial=-(2**63))}).drop_duplicates()
+            return np.sort(np.concatenate(found), axis=1)
 
         def stream(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             rest = None

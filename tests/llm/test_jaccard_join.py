@@ -145,4 +145,41 @@ def test_prefixes_of_similar_sets_meet_in_every_order(percent, sample):
             for x, y in zip(*kept, strict=True):
                 assert len(np.intersect1d(x, y))
         x, y = (j.parity_bitmap(s) for s in (a, b))
-        assert int(np.bitwise_count((x ^ y).view(np.uint64)).sum()) <= len(a) + len(b) - 2 * both
+        size = min(len(x), len(y))
+        assert int(np.bitwise_count((j.folded(x, size) ^ j.folded(y, size)).view(np.uint64)).sum()) <= len(a) + len(b) - 2 * both
+
+
+def test_words_of_structured_letters_differ(spark):
+    """Words that polynomial hashes modulo a power of two take for each other."""
+    word = "a"
+    while len(word) < 2048:
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    assert len(set(map(int, j.word_hashes(f"{word} {other} {word.upper()}".encode())))) == 2
+    check(spark, [(1, word[:512]), (2, other[:512]), (3, word), (4, other), (5, word.upper())])
+
+
+def test_bitmaps_tell_long_sets_apart_and_fold():
+    rng = np.random.default_rng(1)
+    for n in (600, 3000, 5000, 20000):
+        a, b = (np.unique(rng.integers(0, 2**63, n, dtype=np.uint64)) for _ in range(2))
+        x, y = j.parity_bitmap(a), j.parity_bitmap(b)
+        allowed = (len(a) + len(b)) * 20 / 180
+        assert np.bitwise_count((x ^ y).view(np.uint64)).sum() > 1.5 * allowed
+        near = np.union1d(a[: int(0.9 * n)], b[: int(0.1 * n)])
+        z = j.parity_bitmap(near)
+        same = min(len(x), len(z))
+        assert np.bitwise_count((j.folded(x, same) ^ j.folded(z, same)).view(np.uint64)).sum() <= (len(a) + len(near)) - 2 * len(np.intersect1d(a, near))
+    half = j.folded(j.parity_bitmap(a), len(x) // 2)
+    bits = np.bincount((j.mixed(a, 4) >> np.uint64(20)).astype(np.int64) & (len(half) * 64 - 1), minlength=len(half) * 64) & 1
+    assert (half == np.packbits(bits.astype(np.uint8)).view(np.int64)).all()
+
+
+def test_long_documents_that_share_a_passage(spark):
+    """Of ten long documents with one passage, no pair of different ones is emitted; near copies of one of them are found."""
+    rng = random.Random(9)
+    passage = [f"p{i}" for i in range(600)]
+    rows = [(d, " ".join([*passage, *(f"w{d}x{i}" for i in range(4400))])) for d in range(10)]
+    words = rows[3][1].split()
+    rows += [(20 + k, " ".join(w if rng.random() > 0.005 else f"n{k}" for w in words)) for k in range(3)]
+    check(spark, rows)
