@@ -31,8 +31,11 @@ def combine(frames: list[DataFrame], *, sequence: str = "input_seq", key: list[s
     return latest_rows(union, key, [F.desc("loaded_at"), F.desc("frame_"), F.desc("inner_")]).drop("frame_", "inner_")
 
 
-def first_by_key(df: DataFrame, key: list[str]) -> DataFrame:
-    return df.dropDuplicates(key)
+def first_by_key(df: DataFrame, key: list[str], sequence: str = "input_seq") -> DataFrame:
+    """Of each key the row with the least sequence, the first of the input; without such a column, the least by the other columns, so that reruns agree."""
+    first = [sequence] if sequence in df.columns else []
+    orderable = [c for c, kind in df.dtypes if c not in (*key, *first) and "map<" not in kind]
+    return latest_rows(df, key, [F.col(f"`{c}`").asc_nulls_last() for c in [*first, *orderable]] or [F.lit(1)])
 
 
 def key_sets(a: DataFrame, b: DataFrame, key: list[str]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import NULL_TEXTS, parse_boolean, ticker_of
 from ..schemas import GAP_KEY
-from .dedup import latest_rows
+from .dedup import first_by_key, latest_rows
 
 
 def symbol_keys(df: DataFrame) -> DataFrame:
@@ -24,7 +24,7 @@ def daily_eligibility(tasks: DataFrame, securities: DataFrame, *, anchor: dateti
     if grace_days < 0:
         raise ValueError("grace_days must not be negative")
     cutoff = F.date_sub(F.lit(anchor), grace_days)
-    known = symbol_keys(securities).dropDuplicates(GAP_KEY).select(*GAP_KEY, "end_date", parse_boolean(F.col("is_active")).alias("active_"), F.lit(True).alias("known_"))
+    known = first_by_key(symbol_keys(securities), GAP_KEY).select(*GAP_KEY, "end_date", parse_boolean(F.col("is_active")).alias("active_"), F.lit(True).alias("known_"))
     rows = symbol_keys(tasks).select(*GAP_KEY).distinct().join(known, GAP_KEY, "left")
     live = F.coalesce("active_", F.lit(False)) | F.col("end_date").isNull() | (F.col("end_date") >= cutoff)
     missing = F.col("known_").isNull()

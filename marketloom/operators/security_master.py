@@ -13,17 +13,44 @@ ASSET_PRIORITY = {"Stock": 1, "ETF": 2, "Mutual Fund": 3}
 EXCHANGE_PRIORITY = {"NASDAQ": 1, "NYSE": 2, "NYSE ARCA": 3, "NYSE MKT": 4, "AMEX": 5}
 
 
+#: Names that a listing file may use for a column, best first: fixed values.
+LISTING_NAMES = {
+    "ticker": ["ticker", "symbol"],
+    "exchange": ["exchange"],
+    "asset_type": ["assetType", "asset_type"],
+    "price_currency": ["priceCurrency", "price_currency"],
+    "start_date": ["startDate", "start_date"],
+    "end_date": ["endDate", "end_date"],
+}
+
+
+def _named(raw: DataFrame, column: str) -> Column:
+    """The first of a column's names that the file has; case counts, as files of either spelling may hold both."""
+    names = LISTING_NAMES[column]
+    for name in names:
+        if name in raw.columns:
+            return null_like(F.col(f"`{name}`").cast("string"))
+    raise ValueError(f"a listing file must have one of {names}; it has {raw.columns}")
+
+
 def normalise_listings(raw: DataFrame) -> DataFrame:
-    """A vendor's ticker list (ticker, exchange, assetType, priceCurrency, startDate, endDate as text): typed, without rows that lack a ticker."""
-    text = {c: null_like(F.col(c)) for c in raw.columns}
+    """A vendor's ticker list as text, typed, without rows that lack a ticker.
+
+    Tickers, exchanges and currencies are in capitals, so that rank_listings() knows them however
+    a file writes them; asset types stay. Dates that do not parse are null. A file has no
+    company names.
+    """
+    ticker = ticker_of(_named(raw, "ticker"))
     rows = raw.select(
-        text["ticker"].alias("source_ticker"),
-        ticker_of(text["ticker"]).alias("ticker"),
-        text["exchange"].alias("exchange"),
-        text["assetType"].alias("asset_type"),
-        text["priceCurrency"].alias("price_currency"),
-        text["startDate"].try_cast("date").alias("start_date"),
-        text["endDate"].try_cast("date").alias("end_date"),
+        ticker.alias("source_ticker"),
+        ticker.alias("ticker"),
+        F.upper(_named(raw, "exchange")).alias("exchange"),
+        _named(raw, "asset_type").alias("asset_type"),
+        F.upper(_named(raw, "price_currency")).alias("price_currency"),
+        _named(raw, "start_date").try_cast("date").alias("start_date"),
+        _named(raw, "end_date").try_cast("date").alias("end_date"),
+        ticker.alias("source_raw_symbol"),
+        F.lit(None).cast("string").alias("company_name"),
     )
     return rows.where(F.col("ticker").isNotNull())
 

@@ -7,16 +7,21 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import composite_id, parse_boolean, short_text, status_of
+from ..functions.scalars import composite_id, parse_boolean, short_text, status_of, ticker_of
 from ..schemas import WINDOW_KEY
-from .dedup import latest_rows
+from .dedup import first_by_key, latest_rows
 
 COMPLETED = ["success", "empty", "skipped"]
 
 
+def same_key(a: str, b: str, key: list[str]) -> Column:
+    """Whether the keys of two aliased tables are the same; nulls are a value."""
+    return reduce(lambda x, y: x & y, [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in key])
+
+
 def upsert(current: DataFrame, new: DataFrame, key: list[str], *, keep: tuple[str, ...] = ()) -> DataFrame:
     """current with new rows put over those of the same key (null-safe); columns in keep stay as first stored. new's keys must be unique."""
-    on = reduce(lambda a, b: a & b, [F.col(f"c.{k}").eqNullSafe(F.col(f"n.{k}")) for k in key])
+    on = same_key("c", "n", key)
     both = current.withColumn("is_", F.lit(1)).alias("c").join(new.withColumn("is_", F.lit(1)).alias("n"), on, "full")
     fresh = F.col("n.is_").isNotNull()
 
@@ -52,7 +57,7 @@ def upsert_symbol_status(current: DataFrame, results: DataFrame) -> DataFrame:
     completion time or one not after the result's; its attempts grow by one if the API was
     called by another run. So a run that is replayed changes nothing.
     """
-    key = reduce(lambda a, b: a & b, [F.col(f"c.{k}").eqNullSafe(F.col(f"n.{k}")) for k in WINDOW_KEY])
+    key = same_key("c", "n", WINDOW_KEY)
     both = current.withColumn("is_", F.lit(1)).alias("c").join(results.withColumn("is_", F.lit(1)).alias("n"), key, "full")
     fresh, stored = F.col("n.is_").isNotNull(), F.col("c.is_").isNotNull()
     newer = F.col("c.last_completed_at").isNull() | (F.col("n.completed_at") >= F.col("c.last_completed_at"))
@@ -79,13 +84,12 @@ def upsert_runs(current: DataFrame, runs: DataFrame) -> DataFrame:
 
 
 def seed_tasks(current: DataFrame, tasks: DataFrame, *, reset: bool = False) -> DataFrame:
-    """Pending state for new tasks; existing rows stay unless reset."""
-    key = WINDOW_KEY
-    fresh = tasks.select(*key, "security_id").withColumns({"status": F.lit("pending"), "attempt_count": F.lit(0)})
+    """Pending state for new tasks, one row per key (nulls are a value); existing rows stay unless reset."""
+    fresh = first_by_key(tasks.select(*WINDOW_KEY, "security_id"), WINDOW_KEY).withColumns({"status": F.lit("pending"), "attempt_count": F.lit(0)})
+    without = lambda a, b: a.alias("a").join(b.alias("b"), same_key("a", "b", WINDOW_KEY), "left_anti")
     if reset:
-        old = current.join(fresh, key, "left_anti")
-        return old.unionByName(fresh, allowMissingColumns=True)
-    return current.unionByName(fresh.join(current, key, "left_anti"), allowMissingColumns=True)
+        return without(current, fresh).unionByName(fresh, allowMissingColumns=True)
+    return current.unionByName(without(fresh, current), allowMissingColumns=True)
 
 
 def fold_transitions(events: DataFrame, key: list[str], *, running: str = "running") -> DataFrame:
@@ -139,9 +143,27 @@ def successful_scope(tasks: DataFrame, status: DataFrame) -> DataFrame:
     return tasks.join(status.where("status = 'success'").select("ticker").distinct(), "ticker", "left_semi")
 
 
+#: What a task that is done keeps of its earlier result.
+PRIOR = ["status", "action", "row_count", "completed_at"]
+
+
+def result_keys(df: DataFrame, key: list[str]) -> DataFrame:
+    """The key's texts trimmed and the ticker in capitals, so that tasks and results meet."""
+    texts = dict(df.select(*key).dtypes)
+    return df.withColumns({k: ticker_of(F.col(k)) if k == "ticker" else F.trim(k) for k in key if texts[k] == "string"})
+
+
 def resume_split(tasks: DataFrame, prior: DataFrame, key: list[str]) -> DataFrame:
-    """tasks with done: whether a completed result of an earlier try is there."""
-    done = prior.where(F.col("status").isin(COMPLETED)).select(*key).distinct().withColumn("done", F.lit(True))
+    """tasks with done (whether a completed result of an earlier try is there) and that result's prior_ columns, as far as prior has them.
+
+    Raises if a key repeats in prior: which result counts would be chance. Failed results and
+    keys without one stay open.
+    """
+    prior, tasks = result_keys(prior, key), result_keys(tasks, key)
+    demand_unique(prior, key)
+    status = F.lower(F.trim("status"))
+    kept = [(status if c == "status" else F.lower(F.trim(c)) if c == "action" else F.col(c)).alias(f"prior_{c}") for c in PRIOR if c in prior.columns]
+    done = prior.where(status.isin(COMPLETED)).select(*key, *kept, F.lit(True).alias("done"))
     return tasks.join(done, key, "left").withColumn("done", F.coalesce("done", F.lit(False)))
 
 

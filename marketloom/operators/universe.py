@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import any_literal, any_pattern, composite_id, null_like, ticker_of
-from .dedup import latest_rows
+from .dedup import first_by_key, latest_rows
 
 #: Ticker endings of rights, warrants, units and preferred shares: fixed values.
 TICKER_PATTERNS = ["-R$", "-RT$", "-WS$", "-W$", "-WT$", "-U$", "-UN$", "-P-[A-Z]$", "-P[A-Z]$", "^[A-Z]{4}U$", "^[A-Z]{4}W$", "^[A-Z]{4}R$", "^[A-Z]{3,5}WS$", "^[A-Z]{3,5}WT$", "^[A-Z]{3,5}WW$", "/"]
@@ -61,13 +61,21 @@ def _prepared(securities: DataFrame) -> DataFrame:
     return securities.withColumns({c: null_like(F.col(c)) for c in text} | {"ticker": ticker_of(null_like(F.col("ticker")))})
 
 
-def candidate_pool(securities: DataFrame, filters: Filters, *, name: str = "candidates") -> DataFrame:
-    """Securities that pass every step, one row per security_id: of several, the first in order of the other columns."""
+#: Why a security is in a pool: a fixed value.
+CANDIDATE_REASON = "asset_type_in_config;currency_in_config;major_us_exchange;overlaps_requested_backfill_window;hyphen_ticker_excluded;ticker_pattern_not_excluded"
+
+
+def candidate_pool(securities: DataFrame, filters: Filters, *, name: str = "candidates", loaded_at: Column | None = None) -> DataFrame:
+    """Securities that pass every step, one row per security_id: of several, the first in order of the other columns.
+
+    loaded_at: without it, the time of the query.
+    """
     rows = _prepared(securities)
     for condition in filter_steps(filters).values():
         rows = rows.where(condition)
     order = [F.col(c).asc_nulls_last() for c in rows.columns if c != "security_id"]
-    return latest_rows(rows, ["security_id"], order).withColumn("candidate_pool_name", F.lit(name))
+    kept = latest_rows(rows, ["security_id"], order)
+    return kept.withColumns({"candidate_pool_name": F.lit(name), "candidate_reason": F.lit(CANDIDATE_REASON), "loaded_at": F.current_timestamp() if loaded_at is None else loaded_at})
 
 
 def demand_candidates(pool: DataFrame) -> None:
@@ -94,7 +102,7 @@ def suspicious_tickers(symbols: DataFrame, patterns: list[str] = AUDIT_PATTERNS)
 
 def sample_universe(pool: DataFrame, *, limit: int, forced: list[str]) -> DataFrame:
     """A fixed sample: forced tickers first, then the least md5 of the ticker, cut at limit."""
-    rows = pool.dropDuplicates(["security_id"]).withColumn("forced_", F.col("ticker").isin(forced))
+    rows = first_by_key(pool, ["security_id"]).withColumn("forced_", F.col("ticker").isin(forced))
     return rows.orderBy(F.desc("forced_"), F.when(~F.col("forced_"), F.md5("ticker")).asc_nulls_first(), "ticker", "security_id").limit(limit).drop("forced_")
 
 
@@ -102,7 +110,7 @@ def task_list(universe: DataFrame, *, name: str, source: str, dataset: str, star
     """One pending task per security with a window that stays as given."""
     fixed = [F.lit(name), F.lit(source), F.lit(dataset)]
     window = [F.lit(start), F.lit(end)]
-    return universe.select(
+    tasks = universe.select(
         composite_id(*fixed, F.col("ticker"), *[w.cast("string") for w in window]).alias("task_id"),
         fixed[0].alias("task_list_name"),
         fixed[1].alias("source"),
@@ -113,7 +121,8 @@ def task_list(universe: DataFrame, *, name: str, source: str, dataset: str, star
         window[1].alias("requested_end_date"),
         F.lit(priority).alias("priority"),
         F.lit("pending").alias("status"),
-    ).dropDuplicates(["task_id"])
+    )
+    return first_by_key(tasks, ["task_id"])
 
 
 def select_tasks(tasks: DataFrame, *, tickers: list[str] | None = None, limit: int | None = None) -> DataFrame:

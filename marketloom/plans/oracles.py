@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .views import LATEST_RESULTS_SQL, LISTINGS_SQL, NEW_PRICES_SQL, PRICES_SQL, RESULTS_SQL, SECURITIES_SQL, SESSIONS_SQL, TRANSITIONS_SQL
+from .views import LATEST_RESULTS_SQL, LISTING_FILE_SQL, LISTINGS_SQL, NEW_PRICES_SQL, PRICES_SQL, RESULTS_SQL, RUN_LOG_SQL, SECURITIES_SQL, SESSIONS_SQL, TRANSITIONS_SQL
 
 W = "OVER (PARTITION BY security_id ORDER BY date)"
 RET = ", ".join(f"adj_close / lag(adj_close, {n}) {W} - 1 AS ret_{n}d" for n in (1, 2, 5, 10, 20, 60, 120))
@@ -27,6 +27,16 @@ features AS (SELECT * EXCLUDE (sd_dollars, sd_volume, high20, low20, high60, low
     adj_close / nullif(high20, 0) - 1 AS close_to_20d_high_lagged, adj_close / nullif(low20, 0) - 1 AS close_to_20d_low_lagged,
     adj_close / nullif(high60, 0) - 1 AS close_to_60d_high_lagged, adj_close / nullif(low60, 0) - 1 AS close_to_60d_low_lagged,
     CAST(dayofweek(date) AS BIGINT) AS day_of_week, CAST(month(date) AS BIGINT) AS month FROM rolled)"""
+
+
+def _changes(by: str) -> str:
+    return f"""steps AS (SELECT {by}, "at", sum(step) AS step FROM (
+            SELECT {by}, started_at AS "at", 1 AS step FROM intervals WHERE outcome IN ('open', 'success', 'failed')
+            UNION ALL SELECT {by}, CASE WHEN outcome = 'open' THEN greatest(started_at, TIMESTAMP '2030-01-01 00:00:00') ELSE ended_at END, -1 FROM intervals WHERE outcome IN ('open', 'success', 'failed'))
+        GROUP BY 1, 2 HAVING sum(step) <> 0),
+        changes AS (SELECT {by}, "at", CAST(sum(step) OVER (PARTITION BY {by} ORDER BY "at") AS BIGINT) AS running FROM steps)"""
+
+
 LEADS = ", ".join(f"lead(adj_close, {n}) {W} / adj_close - 1 AS fwd_ret_{n}d" for n in (1, 5, 20))
 DIRECTIONS = ", ".join(f"CAST(CASE WHEN fwd_ret_{n}d IS NULL THEN NULL WHEN fwd_ret_{n}d > 0 THEN 1 ELSE 0 END AS INTEGER) AS label_direction_{n}d" for n in (5, 20))
 LABELS = f"{PRICES_SQL}, ahead AS (SELECT security_id, ticker, date, adj_close, {LEADS} FROM prices), labels AS (SELECT *, {DIRECTIONS} FROM ahead)"
@@ -181,8 +191,14 @@ SQL: dict[str, str] = {
         SELECT ticker, 'bootstrap:vendor:daily:' || ticker || ':1992-01-01:2026-06-11' AS task_id, 'bootstrap' AS task_list_name, 'vendor' AS source, 'daily' AS dataset_name, 'vendor:' || ticker AS security_id,
         DATE '1992-01-01' AS requested_start_date, DATE '2026-06-11' AS requested_end_date, CAST(100 AS INTEGER) AS priority, 'pending' AS status, exchange
         FROM r WHERE asset_type = 'Stock' AND price_currency = 'USD' AND venue IS NOT NULL AND a <= DATE '2021-06-01' AND b >= DATE '1992-01-01' AND NOT contains(ticker, '-') AND NOT regexp_matches(ticker, '{PATTERN}')""",
-    "normalised_listings": f"WITH {LISTINGS_SQL} SELECT lower(ticker) AS source_ticker, ticker, exchange, asset_type, price_currency, start_date, end_date FROM listings",
-    "candidate_pool": f"WITH {POOL} SELECT *, 'candidates' AS candidate_pool_name FROM pool",
+    "normalised_listings": f"WITH {LISTING_FILE_SQL} SELECT *, source_ticker AS source_raw_symbol, CAST(NULL AS VARCHAR) AS company_name FROM listing_file",
+    "canonical_from_file": f"""WITH {LISTING_FILE_SQL},
+        c AS (SELECT ticker, exchange, asset_type, price_currency, min(source_ticker) AS source_ticker, min(start_date) AS start_date, max(end_date) AS end_date FROM listing_file GROUP BY 1, 2, 3, 4),
+        k AS (SELECT *, map {{'NASDAQ': 1, 'NYSE': 2, 'NYSE ARCA': 3, 'NYSE MKT': 4, 'AMEX': 5}}[exchange] AS venue, map {{'Stock': 1, 'ETF': 2, 'Mutual Fund': 3}}[asset_type] AS kind, count(*) OVER (PARTITION BY ticker) AS ticker_duplicate_count FROM c)
+        SELECT ticker, source_ticker, exchange, asset_type, price_currency, start_date, end_date, ticker_duplicate_count FROM k
+        QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY kind NULLS LAST, coalesce(price_currency = 'USD', false) DESC, venue NULLS LAST, (start_date IS NOT NULL AND end_date IS NOT NULL) DESC, end_date IS NOT NULL DESC,
+            end_date DESC NULLS LAST, coalesce(date_diff('day', start_date, end_date), -1) DESC, start_date NULLS LAST, exchange NULLS LAST, asset_type, price_currency NULLS LAST) = 1""",
+    "candidate_pool": f"WITH {POOL} SELECT *, 'candidates' AS candidate_pool_name, 'asset_type_in_config;currency_in_config;major_us_exchange;overlaps_requested_backfill_window;hyphen_ticker_excluded;ticker_pattern_not_excluded' AS candidate_reason, TIMESTAMP '2026-01-01 00:00:00' AS loaded_at FROM pool",
     "candidate_funnel": f"WITH {POOL} {FUNNEL}",
     "suspicious_tickers": f"""WITH {SECURITIES_SQL} SELECT security_id, ticker, 'matches_special_security_ticker_pattern' AS suspicious_reason FROM securities
         WHERE regexp_matches(upper(ticker), '-R$|-RT$|-WS$|-W$|-WT$|-U$|-UN$|-P-[A-Z]$|-P[A-Z]$')""",
@@ -230,7 +246,7 @@ SQL: dict[str, str] = {
         CASE WHEN put AND ns = 'success' THEN np END AS last_successful_date, CASE WHEN put AND ns = 'failed' THEN ne END AS last_error_message FROM j""",
     "upsert_runs": f"""WITH {RESULTS_SQL}, r AS (SELECT run_id || '-' || year(requested_start_date) AS run_id, min(completed_at) AS started_at, max(status) AS status FROM results GROUP BY 1)
         SELECT run_id, CASE WHEN run_id < 'run-2' THEN started_at ELSE started_at + INTERVAL 1 HOUR END AS started_at, CASE WHEN run_id >= 'run-1' THEN 'success' ELSE status END AS status FROM r""",
-    "seed_tasks": f"""WITH {ONE_PER_WINDOW} SELECT {WINDOW}, security_id, CASE WHEN requested_start_date < DATE '1998-01-01' THEN 'success' ELSE 'pending' END AS status,
+    "seed_tasks": f"""WITH {ONE_PER_WINDOW} SELECT {WINDOW.replace("dataset_name", "CASE WHEN seq % 50 <> 0 THEN dataset_name END AS dataset_name")}, security_id, CASE WHEN requested_start_date < DATE '1998-01-01' THEN 'success' ELSE 'pending' END AS status,
         CAST(requested_start_date < DATE '1998-01-01' AS INTEGER) AS attempt_count FROM windows""",
     "folded_transitions": f"WITH {FOLDED} SELECT * FROM folded",
     "reset_stale": f"""WITH {FOLDED}, s AS (SELECT ticker, status, status = 'running' AND updated_at < TIMESTAMP '2024-01-30 12:00:00' - INTERVAL 120 MINUTE AS was_stale FROM folded)
@@ -239,7 +255,23 @@ SQL: dict[str, str] = {
         WHERE status IN ('pending', 'failed') AND attempt_count < 30 ORDER BY c_custkey LIMIT 50""",
     "tasks_without_status": "SELECT CAST(c_custkey AS VARCHAR) AS ticker FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events)",
     "successful_scope": f"WITH {FOLDED} SELECT ticker FROM folded JOIN customer ON ticker = CAST(c_custkey AS VARCHAR) WHERE status = 'success'",
-    "resume_split": f"WITH {ONE_PER_WINDOW} SELECT seq, seq % 2 = 0 AND status IN ('success', 'empty', 'skipped') AS done FROM windows",
+    "resume_split": f"""WITH {ONE_PER_WINDOW}, d AS (SELECT *, seq % 2 = 0 AND status IN ('success', 'empty', 'skipped') AS done FROM windows)
+        SELECT seq, done, CASE WHEN done THEN status END AS prior_status, CASE WHEN done THEN action END AS prior_action, CASE WHEN done THEN row_count END AS prior_row_count, CASE WHEN done THEN completed_at END AS prior_completed_at FROM d""",
+    "run_intervals": f"WITH {RUN_LOG_SQL} SELECT * FROM intervals",
+    "folded_runs": f"""WITH {RUN_LOG_SQL}, s AS (SELECT *, max(attempt) OVER (PARTITION BY run_id) AS attempts FROM attempts WHERE attempt > 0)
+        SELECT run_id, min(pipeline_name) AS pipeline_name, min(dataset) AS dataset, arg_max(event, ("at", seq)) AS status, max("at") FILTER (event = 'started') AS started_at, max("at") FILTER (event <> 'started') AS ended_at,
+        arg_max(row_count, ("at", seq)) FILTER (event = 'success') AS row_count, arg_max(notes, ("at", seq)) FILTER (attempt = attempts AND notes IS NOT NULL) AS notes,
+        nullif(arg_max(coalesce(error_message, ''), ("at", seq)) FILTER (event <> 'started'), '') AS error_message FROM s GROUP BY 1""",
+    "run_concurrency": f"""WITH {RUN_LOG_SQL}, {_changes("pipeline_name")} SELECT pipeline_name, "at", running FROM changes""",
+    "busy_periods": f"""WITH {RUN_LOG_SQL}, {_changes("dataset")},
+        i AS (SELECT *, coalesce(sum(CAST(running = 0 AS INTEGER)) OVER (PARTITION BY dataset ORDER BY "at" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS island FROM changes)
+        SELECT dataset, min("at") AS busy_from, max("at") AS busy_to, CAST(max(running) AS BIGINT) AS peak FROM i GROUP BY dataset, island""",
+    "dataset_state": f"""WITH {RUN_LOG_SQL}, c AS (
+            SELECT 'd' || r_regionkey AS dataset_name, 'dwd' AS layer, '/data/' || r_name || CASE WHEN r_regionkey <> 1 THEN '/v2' ELSE '' END AS storage_path, TIMESTAMP '2026-01-01 00:00:00' AS created_at,
+                   CASE WHEN r_regionkey <> 1 THEN TIMESTAMP '2026-02-01 00:00:00' ELSE TIMESTAMP '2026-01-01 00:00:00' END AS updated_at FROM region
+            UNION ALL SELECT 'd9', 'ods', '/data/' || min_by(r_name, r_regionkey) || '/v2', TIMESTAMP '2026-02-01 00:00:00', TIMESTAMP '2026-02-01 00:00:00' FROM region WHERE r_regionkey <> 1),
+        r AS (SELECT dataset, count(*) AS n, count(*) FILTER (outcome = 'open') AS o, arg_max(outcome, (started_at, run_id, attempt)) AS l, max(started_at) AS a, max(ended_at) FILTER (outcome = 'success') AS b FROM intervals WHERE attempt > 0 GROUP BY 1)
+        SELECT dataset_name, layer, storage_path, created_at, updated_at, coalesce(n, 0) AS n_attempts, coalesce(o, 0) AS open_attempts, l AS last_outcome, a AS last_started_at, b AS last_success_at FROM c LEFT JOIN r ON dataset = dataset_name""",
     "status_counts": f"WITH {RESULTS_SQL} SELECT run_id, status, count(*) AS n_rows FROM results GROUP BY 1, 2",
     "batch_complete": f"WITH {RESULTS_SQL} SELECT count(*) FILTER (status IN ('pending', 'running', 'failed')) AS open_tasks, open_tasks = 0 AS complete FROM results",
     "last_successful_end": f"WITH {RESULTS_SQL} SELECT run_id, max(requested_end_date) AS last_end_date FROM results WHERE status = 'success' GROUP BY 1",

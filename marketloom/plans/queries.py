@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars
-from ..operators import calendar, dedup, features, gaps, merge, normalize, profile, quality, reconcile, security_master, state, universe
+from ..operators import calendar, dedup, features, gaps, merge, normalize, profile, quality, reconcile, runs, security_master, state, universe
 from ..schemas import PRICE_COLUMNS, PRICE_KEY, WINDOW_KEY, cast_to
 from ..sources import readers, writers
 from ..streaming import ingest
@@ -22,9 +22,6 @@ ANCHOR, COMPLETE = datetime.date(2000, 6, 1), datetime.date(2005, 1, 3)
 FILTERS = universe.Filters(datetime.date(2019, 1, 1), datetime.date(2021, 6, 1), exchanges=["BUILDING", "MACHINERY", "HOUSEHOLD"])
 MONTHS = [(datetime.date(1999, 3, 1), datetime.date(1999, 4, 1)), (datetime.date(2000, 1, 1), datetime.date(2000, 3, 1))]
 
-#: Exchanges that market segments stand for.
-LISTED_ON = {"AUTOMOBILE": "AMEX", "BUILDING": "NYSE MKT", "FURNITURE": "NYSE", "MACHINERY": "PINK", "HOUSEHOLD": "NASDAQ"}
-
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -261,7 +258,7 @@ def _dim(spark, d) -> DataFrame:
 @query
 def listed_tasks(spark, d):
     """The whole chain: listings, canonical rows with the reference order of exchanges, dimension, pool, task list."""
-    venue = F.element_at(F.create_map(*[F.lit(x) for kv in LISTED_ON.items() for x in kv]), F.col("exchange"))
+    venue = F.element_at(F.create_map(*[F.lit(x) for kv in views.LISTED_ON.items() for x in kv]), F.col("exchange"))
     listings = views.listings(spark, d).withColumn("exchange", venue)
     ranked = security_master.rank_listings(security_master.collapse_listings(listings))
     dim = security_master.dim_security(security_master.canonical_listings(ranked), source="vendor", grace_days=30)
@@ -271,20 +268,19 @@ def listed_tasks(spark, d):
 
 @query
 def normalised_listings(spark, d):
-    raw = views.listings(spark, d).select(
-        F.concat(F.lit(" "), F.lower("ticker")).alias("ticker"),
-        "exchange",
-        F.col("asset_type").alias("assetType"),
-        F.coalesce("price_currency", F.lit("nan")).alias("priceCurrency"),
-        F.coalesce(F.col("start_date").cast("string"), F.lit("")).alias("startDate"),
-        F.coalesce(F.col("end_date").cast("string"), F.lit("None")).alias("endDate"),
-    )
-    return security_master.normalise_listings(raw)
+    return security_master.normalise_listings(views.listing_file(spark, d))
+
+
+@query
+def canonical_from_file(spark, d):
+    """A listing file of mixed case under alias names, to its canonical rows."""
+    ranked = security_master.rank_listings(security_master.collapse_listings(security_master.normalise_listings(views.listing_file(spark, d))))
+    return security_master.canonical_listings(ranked).select("ticker", "source_ticker", "exchange", "asset_type", "price_currency", "start_date", "end_date", "ticker_duplicate_count")
 
 
 @query
 def candidate_pool(spark, d):
-    return universe.candidate_pool(views.securities(spark, d), FILTERS)
+    return universe.candidate_pool(views.securities(spark, d), FILTERS, loaded_at=F.lit("2026-01-01 00:00:00").cast("timestamp"))
 
 
 @query
@@ -416,7 +412,8 @@ def upsert_runs(spark, d):
 
 @query
 def seed_tasks(spark, d):
-    tasks = _window_rows(spark, d).select(*WINDOW_KEY, "security_id")
+    named = F.when(F.col("seq") % 50 != 0, F.col("dataset_name"))  # a null in the key is a value
+    tasks = _window_rows(spark, d).withColumn("dataset_name", named).select(*WINDOW_KEY, "security_id")
     current = tasks.where("requested_start_date < DATE '1998-01-01'").withColumns({"status": F.lit("success"), "attempt_count": F.lit(1)})
     return state.seed_tasks(current, tasks).select(*WINDOW_KEY, "security_id", "status", "attempt_count")
 
@@ -462,7 +459,45 @@ def successful_scope(spark, d):
 @query
 def resume_split(spark, d):
     rows = _window_rows(spark, d)
-    return state.resume_split(rows.select(*WINDOW_KEY, "seq"), rows.where("seq % 2 = 0"), WINDOW_KEY).select("seq", "done")
+    prior = rows.where("seq % 2 = 0").withColumns({"status": F.upper("status"), "ticker": F.concat(F.lit(" "), "ticker")})
+    return state.resume_split(rows.select(*WINDOW_KEY, "seq"), prior, WINDOW_KEY).select("seq", "done", "prior_status", "prior_action", "prior_row_count", "prior_completed_at")
+
+
+@query
+def run_intervals(spark, d):
+    return runs.run_intervals(views.run_log(spark, d))
+
+
+@query
+def folded_runs(spark, d):
+    return runs.folded_runs(views.run_log(spark, d))
+
+
+#: Until when open runs are counted.
+AS_OF = "2030-01-01 00:00:00"
+
+
+@query
+def busy_periods(spark, d):
+    """Stretches in which runs of a data set overlap without a gap, with the most at once."""
+    changes = runs.concurrency(runs.run_intervals(views.run_log(spark, d)), by=["dataset"], now=F.lit(AS_OF).cast("timestamp"))
+    return runs.busy_periods(changes, by=["dataset"])
+
+
+@query
+def run_concurrency(spark, d):
+    return runs.concurrency(runs.run_intervals(views.run_log(spark, d)), by=["pipeline_name"], now=F.lit(AS_OF).cast("timestamp"))
+
+
+@query
+def dataset_state(spark, d):
+    """A catalogue of data sets, updated once, with the state of their runs."""
+    names = views.read(spark, d, "region").select(F.concat(F.lit("d"), F.col("r_regionkey").cast("string")).alias("dataset_name"), F.lit("dwd").alias("layer"), F.concat(F.lit("/data/"), "r_name").alias("storage_path"), F.col("r_name").alias("description"))
+    none = names.limit(0).withColumns({c: F.lit(None).cast("timestamp") for c in ("created_at", "updated_at")})
+    first = runs.catalogue(none, names, now=F.lit("2026-01-01 00:00:00").cast("timestamp"))
+    moved = names.where("dataset_name <> 'd1'").withColumns({"layer": F.lit("ods"), "storage_path": F.concat("storage_path", F.lit("/v2"))})
+    listed = runs.catalogue(first, moved.unionByName(moved.where("dataset_name = 'd0'").withColumn("dataset_name", F.lit("d9"))), now=F.lit("2026-02-01 00:00:00").cast("timestamp"))
+    return runs.dataset_state(listed.drop("description"), runs.run_intervals(views.run_log(spark, d)))
 
 
 @query
@@ -755,7 +790,7 @@ def materialised_models(spark, d):
     staging_name, returns_name = (f"market_{kind}_{uuid.uuid4().hex}" for kind in ("staging", "returns"))
     writers.materialise({staging_name: cast_to(views.prices(spark, d))}, views={staging_name})
     writers.materialise({returns_name: features.returns(spark.table(staging_name))}, views=set())
-    sql = "SELECT s.security_id, count(*) AS n_rows, count(r.ret_120d) AS n_returns FROM s JOIN r ON s.security_id = r.security_id AND s.date = r.date GROUP BY s.security_id"
+    sql = "SELECT s.security_id, count(*) AS n_rows, count(r.ret_120d) AS n_returns FROM {s} AS s JOIN {r} AS r ON s.security_id = r.security_id AND s.date = r.date GROUP BY s.security_id"
     return readers.run_sql(spark, sql, {"s": spark.table(staging_name), "r": spark.table(returns_name)})
 
 

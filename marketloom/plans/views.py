@@ -91,6 +91,30 @@ LISTINGS_SQL = """listings AS (
     FROM (SELECT n_name, c_mktsegment, c_custkey, min(CAST(o_orderdate AS DATE)) AS start_date, max(CAST(o_orderdate AS DATE)) AS end_date
           FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN orders ON c_custkey = o_custkey GROUP BY 1, 2, 3))"""
 
+def listing_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The listings as a vendor's file: texts, one name of the second spelling, venues and currencies in mixed case."""
+    odd = F.length("ticker") % 2 == 1
+    venue = F.element_at(F.create_map(*[F.lit(x) for kv in LISTED_ON.items() for x in kv]), F.col("exchange"))
+    currency = F.coalesce("price_currency", F.lit("nan"))
+    return listings(spark, sf_dir).select(
+        F.concat(F.lit(" "), F.lower("ticker")).alias("symbol"),
+        F.when(odd, F.lower(venue)).otherwise(venue).alias("exchange"),
+        F.col("asset_type").alias("assetType"),
+        F.when(odd, currency).otherwise(F.when(currency == "nan", currency).otherwise(F.lower(currency))).alias("priceCurrency"),
+        F.coalesce(F.col("start_date").cast("string"), F.lit("")).alias("startDate"),
+        F.coalesce(F.col("end_date").cast("string"), F.lit("None")).alias("end_date"),
+    )
+
+
+#: What a reader of that file must find, as SQL: every ticker, venue and currency in capitals.
+LISTING_FILE_SQL = f"""{LISTINGS_SQL}, listing_file AS (
+    SELECT upper(source_ticker) AS source_ticker, upper(ticker) AS ticker,
+           upper(map {{'AUTOMOBILE': 'AMEX', 'BUILDING': 'NYSE MKT', 'FURNITURE': 'NYSE', 'MACHINERY': 'PINK', 'HOUSEHOLD': 'NASDAQ'}}[exchange]) AS exchange,
+           asset_type, upper(price_currency) AS price_currency, start_date, end_date FROM listings)"""
+
+#: Exchanges that market segments stand for.
+LISTED_ON = {"AUTOMOBILE": "AMEX", "BUILDING": "NYSE MKT", "FURNITURE": "NYSE", "MACHINERY": "PINK", "HOUSEHOLD": "NASDAQ"}
+
 #: Preference of exchanges in the listings view.
 VENUES = {"AUTOMOBILE": 1, "BUILDING": 2, "FURNITURE": 3, "MACHINERY": 4}
 
@@ -187,6 +211,33 @@ TRANSITIONS_SQL = """transitions AS (
            ts AS "at", event_id AS seq FROM events)"""
 
 
+def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Start and end events of pipeline runs: events, a run for each user."""
+    key = F.col("user_id")
+    event = F.when(F.col("event_type") == "purchase", "success").when(F.col("event_type") == "error", "failed").otherwise("started")
+    return read(spark, sf_dir, "events").select(
+        F.concat(F.lit("run-"), key.cast("string")).alias("run_id"),
+        F.concat(F.lit("p"), (key % 3).cast("string")).alias("pipeline_name"),
+        F.when(key % 11 != 0, F.concat(F.lit("d"), (key % 7).cast("string"))).alias("dataset"),
+        event.alias("event"),
+        F.col("ts").cast("timestamp").alias("at"),
+        F.col("event_id").alias("seq"),
+        (F.col("event_id") % 1000).alias("row_count"),
+        F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("n"), (F.col("event_id") % 10).cast("string"))).alias("notes"),
+        F.when(F.col("event_type") == "error", F.concat(F.lit("e"), (F.col("event_id") % 5).cast("string"))).alias("error_message"),
+    )
+
+
+RUN_LOG_SQL = """run_log AS (
+    SELECT 'run-' || user_id AS run_id, 'p' || (user_id % 3) AS pipeline_name, CASE WHEN user_id % 11 <> 0 THEN 'd' || (user_id % 7) END AS dataset,
+           CASE event_type WHEN 'purchase' THEN 'success' WHEN 'error' THEN 'failed' ELSE 'started' END AS event, ts AS "at", event_id AS seq, event_id % 1000 AS row_count,
+           CASE WHEN event_id % 3 = 0 THEN 'n' || (event_id % 10) END AS notes, CASE WHEN event_type = 'error' THEN 'e' || (event_id % 5) END AS error_message FROM events),
+attempts AS (SELECT *, count(*) FILTER (event = 'started') OVER (PARTITION BY run_id ORDER BY "at", seq ROWS UNBOUNDED PRECEDING) AS attempt FROM run_log),
+tries AS (SELECT run_id, attempt, min(pipeline_name) AS pipeline_name, min(dataset) AS dataset, min("at") FILTER (event = 'started') AS started_at, min("at") FILTER (event <> 'started') AS ended_at,
+    arg_min(event, ("at", seq)) FILTER (event <> 'started') AS ending, count(*) AS n_events FROM attempts GROUP BY 1, 2),
+intervals AS (SELECT * EXCLUDE (ending), CASE WHEN attempt = 0 THEN 'unstarted' WHEN ended_at IS NOT NULL THEN ending WHEN attempt = max(attempt) OVER (PARTITION BY run_id) THEN 'open' ELSE 'superseded' END AS outcome FROM tries)"""
+
+
 def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weekdays around the events, closing at 16:00 (13:00 on Fridays)."""
     days = read(spark, sf_dir, "events").agg(F.date_sub(F.to_date(F.min("ts")), 20).alias("a"), F.to_date(F.max("ts")).alias("b"))

@@ -5,22 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-#: The canonical daily price table, in column order.
+#: The canonical daily price table, in column order: fixed values.
 PRICE_SCHEMA = T.StructType(
     [
-        T.StructField(name, kind())
-        for names, kind in (
-            ("security_id ticker", T.StringType),
-            ("date", T.DateType),
-            ("open high low close", T.DoubleType),
-            ("volume", T.LongType),
-            ("adj_open adj_high adj_low adj_close", T.DoubleType),
-            ("adj_volume", T.LongType),
-            ("div_cash split_factor", T.DoubleType),
-            ("source load_id", T.StringType),
-            ("loaded_at", T.TimestampType),
-        )
-        for name in names.split()
+        T.StructField("security_id", T.StringType()),
+        T.StructField("ticker", T.StringType()),
+        T.StructField("date", T.DateType()),
+        T.StructField("open", T.DoubleType()),
+        T.StructField("high", T.DoubleType()),
+        T.StructField("low", T.DoubleType()),
+        T.StructField("close", T.DoubleType()),
+        T.StructField("volume", T.LongType()),
+        T.StructField("adj_open", T.DoubleType()),
+        T.StructField("adj_high", T.DoubleType()),
+        T.StructField("adj_low", T.DoubleType()),
+        T.StructField("adj_close", T.DoubleType()),
+        T.StructField("adj_volume", T.LongType()),
+        T.StructField("div_cash", T.DoubleType()),
+        T.StructField("split_factor", T.DoubleType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("load_id", T.StringType()),
+        T.StructField("loaded_at", T.TimestampType()),
     ]
 )
 PRICE_COLUMNS = PRICE_SCHEMA.fieldNames()

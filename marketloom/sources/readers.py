@@ -120,9 +120,8 @@ def file_rows(spark: SparkSession, root: str) -> DataFrame:
 
 
 def run_sql(spark: SparkSession, sql: str, tables: dict[str, DataFrame]) -> DataFrame:
-    for name, df in tables.items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(sql)
+    """SQL in which {name} stands for a table; the session's own views of such names stay as they are."""
+    return spark.sql(sql, **tables)
 
 
 def tables(spark: SparkSession, like: str | None = None) -> DataFrame:

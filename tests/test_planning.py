@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from marketloom.operators import calendar, gaps, security_master, universe
+from marketloom.operators import calendar, dedup, gaps, security_master, universe
 
 D = dt.date
 
@@ -125,3 +125,22 @@ def test_eligibility_and_checked_through(spark):
     last = spark.createDataFrame([(D(2026, 6, 10),), (None,)], "last_end_date date")
     got = {r.last_end_date: r.refresh_start for r in gaps.refresh_window(last, mode="incremental", start=D(2020, 1, 1), lookback_days=5, today=D(2026, 6, 11)).collect()}
     assert got == {D(2026, 6, 10): D(2026, 6, 5), None: D(2020, 1, 1)}
+
+
+def test_listing_files_of_any_case_and_spelling(spark):
+    rows = [(" aapl", "nasdaq", "Stock", "usd", "1990-01-01", "2026-01-01"), ("AAPL", "PINK", "Stock", "USD", "1990-01-01", "2026-01-01"), ("NaN", "NYSE", "Stock", "USD", "", ""), ("b", "nyse arca", "stock", "None", "soon", "2026-01-01")]
+    for names in ("symbol string, exchange string, asset_type string, price_currency string, start_date string, end_date string", "ticker string, exchange string, assetType string, priceCurrency string, startDate string, endDate string, symbol2 string"):
+        raw = spark.createDataFrame([(*r, "x")[: names.count(",") + 1] for r in rows], names)
+        made = security_master.normalise_listings(raw)
+        best = {r.ticker: r for r in security_master.canonical_listings(security_master.rank_listings(security_master.collapse_listings(made))).collect()}
+        assert (best["AAPL"].exchange, best["AAPL"].price_currency, best["AAPL"].source_ticker, best["AAPL"].ticker_duplicate_count) == ("NASDAQ", "USD", "AAPL", 2)
+        assert (best["B"].exchange, best["B"].asset_type, best["B"].price_currency, best["B"].start_date) == ("NYSE ARCA", "stock", None, None) and set(best) == {"AAPL", "B"}
+        assert {(r.source_raw_symbol, r.company_name) for r in made.collect()} == {("AAPL", None), ("B", None)}
+    with pytest.raises(ValueError, match="ticker"):
+        security_master.normalise_listings(raw.drop("ticker"))
+
+
+def test_the_first_row_of_a_key_stays(spark):
+    rows = spark.createDataFrame([("k", 2, "a"), ("k", 1, "z"), ("m", 1, None), ("m", 1, "b")], "id string, input_seq int, v string")
+    assert {(r.id, r.v) for r in dedup.first_by_key(rows, ["id"]).collect()} == {("k", "z"), ("m", "b")}
+    assert {(r.id, r.v) for r in dedup.first_by_key(rows.drop("input_seq"), ["id"]).collect()} == {("k", "a"), ("m", "b")}

@@ -189,7 +189,7 @@ def test_small_sources(spark, tmp_path):
     writers.write_report(sample, str(tmp_path / "csv"))
     writers.write_summary(sample.limit(1), str(tmp_path / "json"))
     assert readers.csv(spark, str(tmp_path / "csv")).count() == 10
-    assert readers.run_sql(spark, "SELECT count(*) AS n FROM sample_rows", {"sample_rows": sample}).first().n == 10
+    assert readers.run_sql(spark, "SELECT count(*) AS n FROM {sample_rows}", {"sample_rows": sample}).first().n == 10
 
 
 def test_streamed_ingestion(spark, tmp_path):

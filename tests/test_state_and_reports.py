@@ -109,3 +109,18 @@ def test_reports(spark):
     assert profile.single_window(a, ["year"]).first().single
     assert profile.value_counts(a, "year", 1).first().n_rows == 3
     assert {r.column: r.n_distinct for r in profile.column_profile(a, ["path", "year"]).collect()} == {"path": 3, "year": 1}
+
+
+def test_a_null_in_a_window_key_is_seeded_once(spark):
+    tasks = spark.createDataFrame([("v", None, "A", dt.date(2026, 1, 1), dt.date(2026, 1, 2), "v:A")] * 2, "source string, dataset_name string, ticker string, requested_start_date date, requested_end_date date, security_id string")
+    once = state.seed_tasks(tasks.limit(0).withColumns({"status": F.lit("x"), "attempt_count": F.lit(0)}), tasks)
+    assert once.count() == 1 and state.seed_tasks(once, tasks).count() == 1 and state.seed_tasks(once, tasks, reset=True).count() == 1
+
+
+def test_resume_refuses_repeated_results_and_meets_other_spellings(spark):
+    tasks = spark.createDataFrame([("aapl",), ("NEW",), ("FAILME",), ("EMPTY",)], "ticker string")
+    prior = spark.createDataFrame([(" AAPL", "Success", " Downloaded", 18), ("FAILME", "failed", "failed", None), ("EMPTY", "empty", "empty", 0)], "ticker string, status string, action string, row_count long")
+    got = {r.ticker: (r.done, r.prior_status, r.prior_action, r.prior_row_count) for r in state.resume_split(tasks, prior, ["ticker"]).collect()}
+    assert got == {"AAPL": (True, "success", "downloaded", 18), "NEW": (False, None, None, None), "FAILME": (False, None, None, None), "EMPTY": (True, "empty", "empty", 0)}
+    with pytest.raises(ValueError, match="repeated keys"):
+        state.resume_split(tasks, prior.union(prior), ["ticker"])
