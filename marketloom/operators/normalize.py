@@ -33,14 +33,15 @@ def normalise_prices(rows: DataFrame, *, file_columns: tuple[str, ...] = ("file"
     """Canonical rows and input_seq from exploded payload rows.
 
     rows: file (or other file_columns), seq, fields (map of texts), ticker, security_id, source,
-    load_id, loaded_at. Aliases are chosen by file, not by row; a volume column that the file
+    load_id, loaded_at, and file_keys, as explode_payloads() gives it (without it, all names of a
+    file are gathered by a shuffle). Aliases are chosen by file, not by row; a volume column that the file
     lacks means 0, a null volume stays null; adjusted values fall back to raw ones, dividends
     to 0 and the split factor to 1. on_null='drop' drops rows with nulls in key columns.
     """
-    file = Window.partitionBy(*file_columns)
-    keys = F.array_distinct(F.flatten(F.collect_set(F.map_keys("fields")).over(file)))
-    rows = rows.withColumn("keys_", keys)
-    f, k = F.col("fields"), F.col("keys_")
+    if "file_keys" not in rows.columns:
+        keys = F.collect_set(F.map_keys("fields")).over(Window.partitionBy(*file_columns))
+        rows = rows.withColumn("file_keys", F.array_distinct(F.flatten(keys)))
+    f, k = F.col("fields"), F.col("file_keys")
     raw = {c: F.try_element_at(f, F.lit(c)).try_cast("double") for c in PLAIN}
     raw["volume"] = F.when(F.array_contains(k, "volume"), raw["volume"]).otherwise(F.lit(0.0))
     adj = {c: F.coalesce(_by_file(f, names, k), raw[c[4:]]) for c, names in ALIASES.items() if c.startswith("adj_")}

@@ -351,6 +351,8 @@ SQL: dict[str, str] = {
         SELECT ticker, round(avg(ret_1d), 5) AS avg_ret_1d, round(avg(label_direction_20d), 5) AS share_up_20d FROM r GROUP BY 1""",
     "warehouse_months": f"""WITH {BOTH}, kept AS (SELECT * FROM both_loads QUALIFY row_number() OVER (PARTITION BY security_id, date ORDER BY loaded_at DESC) = 1)
         SELECT CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, count(*) AS n_rows, sum(close) AS sum_close FROM kept GROUP BY 1, 2""",
+    "bucketed_returns": f"WITH {RETURNS} SELECT security_id, date, ret_1d, ret_20d, ret_120d FROM returns",
+    "bucketed_files": f"WITH {PRICES_SQL} SELECT CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, count(*) AS n_rows, true AS bounded FROM prices GROUP BY 1, 2",
     "materialised_models": f"WITH {RETURNS} SELECT security_id, count(*) AS n_rows, count(ret_120d) AS n_returns FROM returns GROUP BY 1",
     "replayed_batches": f"""WITH {PRICES_SQL}, {NEW_PRICES_SQL}, loads AS (
             SELECT security_id, date, close, load_id, loaded_at FROM prices

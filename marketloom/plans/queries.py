@@ -6,6 +6,7 @@ import datetime
 import tempfile
 import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +41,24 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/market/{uuid.uuid4().hex}"
 
 
+@contextmanager
+def saved_tables(spark: SparkSession, *kinds: str):
+    """New names of saved tables, which are dropped at the end."""
+    names = [f"market_{kind}_{uuid.uuid4().hex}" for kind in kinds]
+    try:
+        yield names
+    finally:
+        for name in names:
+            writers.drop_table(spark, name)
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """df written to the shared folder and read again, so that what it was made from may go."""
+    path = f"{shared_folder(df.sparkSession)}/kept"
+    writers.write_table(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @query
 def staging(spark, d):
     return cast_to(views.prices(spark, d))
@@ -707,7 +726,7 @@ def payload_round_trip(spark, d):
     files = p.groupBy("ticker", F.year("date").alias("y")).agg(F.array_join(F.array_sort(F.collect_list(record)), ",").alias("all"))
     value = F.when(F.col("y") % 2 == 0, F.concat(F.lit("["), "all", F.lit("]"))).otherwise(F.concat(F.lit('{"records":['), "all", F.lit("]}")))
     files = files.select(F.concat(F.lit("/raw/source=vendor/dataset=daily/symbol="), "ticker", F.lit("/request_start="), F.col("y").cast("string"), F.lit("-01-01/prices.json")).alias("file"), value.alias("value"))
-    rows = readers.explode_payloads(files).select("file", "seq", "fields", F.col("symbol").alias("ticker"), F.concat(F.lit("S:"), "symbol").alias("security_id"), "source", F.lit("load-1").alias("load_id"), F.lit("2026-01-01 00:00:00").cast("timestamp").alias("loaded_at"))
+    rows = readers.explode_payloads(files).select("file", "seq", "fields", "file_keys", F.col("symbol").alias("ticker"), F.concat(F.lit("S:"), "symbol").alias("security_id"), "source", F.lit("load-1").alias("load_id"), F.lit("2026-01-01 00:00:00").cast("timestamp").alias("loaded_at"))
     return normalize.normalise_prices(rows).select(*PRICE_COLUMNS)
 
 
@@ -768,30 +787,49 @@ def landed_payloads(spark, d):
     folders = {"source": "vendor", "dataset": "daily", "request_start": "1992-01-01", "request_end": "1998-12-31"}
     files = files.withColumnRenamed("ticker", "symbol").withColumns({k: F.lit(v) for k, v in folders.items()})
     files.write.partitionBy(*readers.PATH_KEYS).text(root)
-    rows = readers.json_payloads(spark, root, pattern="*.txt").select("file", "seq", "fields", F.col("symbol").alias("ticker"), F.concat(F.lit("S:"), "symbol").alias("security_id"), "source", F.lit("load-1").alias("load_id"), F.lit("2026-01-01 00:00:00").cast("timestamp").alias("loaded_at"))
+    rows = readers.json_payloads(spark, root, pattern="*.txt").select("file", "seq", "fields", "file_keys", F.col("symbol").alias("ticker"), F.concat(F.lit("S:"), "symbol").alias("security_id"), "source", F.lit("load-1").alias("load_id"), F.lit("2026-01-01 00:00:00").cast("timestamp").alias("loaded_at"))
     return normalize.normalise_prices(rows).select(*PRICE_KEY, "source", "open", "high", "low", "close", "volume")
 
 
 @query
 def warehouse_months(spark, d):
     """A saved table, partitioned and bucketed; a staging table with its columns replaces the months that a load touches."""
-    name = f"market_prices_{uuid.uuid4().hex}"
-    writers.save_bucketed(views.prices(spark, d), name, buckets=8)
-    merged = merge.merge_windows(spark.table(name), views.new_prices(spark, d))
-    writers.stage_table(merged, name, f"{name}_staging")
-    writers.replace_months(spark.table(f"{name}_staging"), name)
-    writers.drop_table(spark, f"{name}_staging")
-    return spark.table(name).groupBy("year", "month").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("close").alias("sum_close"))
+    with saved_tables(spark, "prices", "staging") as (name, staging_name):
+        writers.save_bucketed(views.prices(spark, d), name, buckets=8)
+        merged = merge.merge_windows(spark.table(name), views.new_prices(spark, d))
+        writers.stage_table(merged, name, staging_name)
+        writers.replace_months(spark.table(staging_name), name)
+        return kept(spark.table(name).groupBy("year", "month").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("close").alias("sum_close")))
+
+
+@query
+def bucketed_returns(spark, d):
+    """Returns on a saved table whose buckets hold whole series: the window needs no exchange."""
+    with saved_tables(spark, "prices") as (name,):
+        writers.save_bucketed(views.prices(spark, d), name, buckets=8)
+        return kept(features.returns(spark.table(name)).select("security_id", "date", "ret_1d", "ret_20d", "ret_120d"))
+
+
+@query
+def bucketed_files(spark, d):
+    """Rows of each month of a saved table, and whether it has no more files than buckets."""
+    with saved_tables(spark, "prices") as (name,):
+        writers.save_bucketed(views.prices(spark, d), name, buckets=4)
+        files = spark.table(name).groupBy("year", "month", F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n_rows"))
+        return kept(files.groupBy("year", "month").agg(F.sum("n_rows").alias("n_rows"), (F.count(F.lit(1)) <= 4).alias("bounded")))
 
 
 @query
 def materialised_models(spark, d):
     """Returns as a saved table on a view of the staging model; read back by SQL."""
-    staging_name, returns_name = (f"market_{kind}_{uuid.uuid4().hex}" for kind in ("staging", "returns"))
-    writers.materialise({staging_name: cast_to(views.prices(spark, d))}, views={staging_name})
-    writers.materialise({returns_name: features.returns(spark.table(staging_name))}, views=set())
     sql = "SELECT s.security_id, count(*) AS n_rows, count(r.ret_120d) AS n_returns FROM {s} AS s JOIN {r} AS r ON s.security_id = r.security_id AND s.date = r.date GROUP BY s.security_id"
-    return readers.run_sql(spark, sql, {"s": spark.table(staging_name), "r": spark.table(returns_name)})
+    with saved_tables(spark, "staging", "returns") as (staging_name, returns_name):
+        writers.materialise({staging_name: cast_to(views.prices(spark, d))}, views={staging_name})
+        try:
+            writers.materialise({returns_name: features.returns(spark.table(staging_name))}, views=set())
+            return kept(readers.run_sql(spark, sql, {"s": spark.table(staging_name), "r": spark.table(returns_name)}))
+        finally:
+            spark.catalog.dropTempView(staging_name)
 
 
 class _Stopped(BaseException):

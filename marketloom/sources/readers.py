@@ -67,7 +67,7 @@ def _payload(value: Column) -> Column:
 
 
 def json_payloads(spark: SparkSession, path: str, *, strict: bool = True, pattern: str = "*.json") -> DataFrame:
-    """(file, seq, fields, and the columns of the path) of landed payload files.
+    """(file, seq, fields, file_keys, and the columns of the path) of landed payload files.
 
     seq: the place in the file. Files of another shape raise when strict, else give no rows.
     """
@@ -76,11 +76,14 @@ def json_payloads(spark: SparkSession, path: str, *, strict: bool = True, patter
 
 
 def explode_payloads(files: DataFrame, *, strict: bool = True) -> DataFrame:
+    """A row per record of files (file, value). file_keys: all names that the file's records use, taken from the array before it is exploded, so that nothing is shuffled for them."""
     records = _payload(F.col("value"))
     if strict:
         records = F.coalesce(records, F.raise_error(F.concat(F.lit("no list of records: "), F.col("file"))).cast(PAYLOAD_TYPE))
-    rows = files.select("file", F.posexplode(records).alias("seq", "fields"))
-    return rows.select("file", F.col("seq").cast("long").alias("seq"), "fields", *path_columns(F.col("file")))
+    listed = files.select("file", records.alias("records"))
+    names = F.array_distinct(F.flatten(F.transform(F.filter("records", lambda r: r.isNotNull()), F.map_keys)))
+    rows = listed.select("file", names.alias("file_keys"), F.posexplode("records").alias("seq", "fields"))
+    return rows.select("file", F.col("seq").cast("long").alias("seq"), "fields", "file_keys", *path_columns(F.col("file")))
 
 
 def path_columns(file: Column) -> list[Column]:

@@ -233,8 +233,15 @@ def switch(spark: SparkSession, new_root: str, live_root: str, archive_root: str
 
 
 def save_bucketed(prices: DataFrame, name: str, *, buckets: int = 64, mode: str = "error") -> None:
-    """A saved table by month, bucketed and sorted by security: window queries on it need no shuffle within a month."""
+    """A saved table by month, bucketed and sorted by security: windows by security on it need no exchange.
+
+    Rows are dealt by month and bucket as the table's own buckets are, so a month has no more
+    files than buckets, however many tasks write. A task that reads a bucket reads one part in
+    buckets of the table (or of the months that a filter leaves), so buckets grow with the data.
+    """
     rows = with_month(prices)
+    own = F.pmod(F.hash("security_id"), F.lit(buckets))
+    rows = rows.repartition("year", "month", own)
     rows.write.mode(mode).partitionBy("year", "month").bucketBy(buckets, "security_id").sortBy("security_id", "date").saveAsTable(name)
 
 

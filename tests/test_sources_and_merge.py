@@ -4,7 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from marketloom.operators import merge, normalize, reconcile
+from marketloom.operators import features, merge, normalize, reconcile
 from marketloom.schemas import PRICE_COLUMNS, PRICE_SCHEMA, table_contract
 from marketloom.sources import readers, writers
 from marketloom.streaming.ingest import apply_batch, ingest, merge_batch
@@ -178,6 +178,29 @@ def test_saved_tables(spark):
         writers.drop_table(spark, t)
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_aliases_of_a_file_need_no_shuffle(spark, tmp_path):
+    landed(tmp_path, "aaa", [raw()])
+    rows = readers.json_payloads(spark, str(tmp_path)).withColumns({"ticker": F.col("symbol"), "security_id": F.col("symbol"), "load_id": F.lit("l"), "loaded_at": F.lit(T0)})
+    assert "Exchange" not in plan_of(normalize.normalise_prices(rows)) and "Exchange" in plan_of(normalize.normalise_prices(rows.drop("file_keys")))
+    assert normalize.normalise_prices(rows).collect() == normalize.normalise_prices(rows.drop("file_keys")).collect()
+
+
+def test_bucketed_table_has_few_files_and_serves_windows_without_an_exchange(spark):
+    name = "market_bucketed"
+    writers.drop_table(spark, name)
+    rows = [price(security_id=f"v:{i}", ticker=f"T{i}", date=D(2026, 1 + k % 3, 1 + k)) for i in range(40) for k in range(9)]
+    writers.save_bucketed(frame(spark, *rows).repartition(16), name, buckets=4)
+    files = spark.table(name).select("year", "month", F.col("_metadata.file_path").alias("file")).distinct().groupBy("year", "month").count().collect()
+    assert len(files) == 3 and all(r["count"] <= 4 for r in files)
+    made = features.returns(spark.table(name))
+    assert "Exchange" not in plan_of(made) and made.count() == 360
+    writers.drop_table(spark, name)
+
+
 def test_small_sources(spark, tmp_path):
     assert readers.table_or_empty(spark, str(tmp_path / "none"), PRICE_SCHEMA).count() == 0
     (tmp_path / "t.csv").write_text("ticker,n\nNA,1\nB,x\n")
