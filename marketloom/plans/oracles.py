@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ..schemas import PRICE_COLUMNS
 from .views import LATEST_RESULTS_SQL, LISTING_FILE_SQL, LISTINGS_SQL, NEW_PRICES_SQL, PRICES_SQL, RESULTS_SQL, RUN_LOG_SQL, SECURITIES_SQL, SESSIONS_SQL, TRANSITIONS_SQL
 
 W = "OVER (PARTITION BY security_id ORDER BY date)"
@@ -292,7 +293,15 @@ SQL: dict[str, str] = {
     "column_profile": f"WITH {RESULTS_SQL} "
     + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) AS n_rows, avg(CAST({c} IS NULL AS INTEGER)) AS missing_ratio, count(DISTINCT {c}) AS n_distinct FROM results" for c in ("status", "row_count", "last_price_date")),
     "described": f"""WITH {PRICES_SQL}, names AS (SELECT unnest(['security_id', 'ticker', 'date', 'open', 'high', 'low', 'close', 'volume', 'adj_open', 'adj_high', 'adj_low', 'adj_close', 'adj_volume', 'div_cash', 'split_factor', 'source', 'load_id', 'loaded_at']) AS "column", unnest(range(18)) AS i)
-        SELECT CAST(i AS INTEGER) AS place, "column", (SELECT count(*) FROM prices) AS n_rows FROM names""",
+        SELECT CAST(i AS INTEGER) AS place, "column", CASE WHEN "column" IN ('volume', 'adj_volume') THEN 'bigint' WHEN "column" = 'date' THEN 'date' WHEN "column" = 'loaded_at' THEN 'timestamp' WHEN "column" IN ('security_id', 'ticker', 'source', 'load_id') THEN 'string' ELSE 'double' END AS type,
+        (SELECT count(*) FROM prices) AS n_rows FROM names""",
+    "sampled_rows": f"""WITH {RESULTS_SQL} SELECT run_id, ticker, requested_start_date, status, row_count, api_called, seq,
+        md5(concat_ws('|', '=' || run_id, '=' || ticker, '=' || requested_start_date, '=' || status, coalesce('=' || row_count, '~'), '=' || api_called, '=' || seq)) AS sample_hash FROM results ORDER BY sample_hash LIMIT 50""",
+    "wide_profile": f"WITH {PRICES_SQL}, wide AS (SELECT *, volume / 2 AS half, CASE WHEN volume % 2 = 0 THEN ticker END AS maybe FROM prices) "
+    + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) AS n_rows, avg(CAST({c} IS NULL AS INTEGER)) AS missing_ratio, count(DISTINCT {c}) AS n_distinct FROM wide" for c in [*PRICE_COLUMNS, "half", "maybe"]),
+    "block_frames": f"WITH {PRICES_SQL} SELECT security_id, date, adj_close, adj_volume, "
+    + ", ".join(f"{_lagged('max', 'adj_close', n)} AS max_adj_close_{n}, {_lagged('min', 'adj_close', n)} AS min_adj_close_{n}, round({_lagged('avg', 'adj_volume', n)}, 6) AS avg_adj_volume_{n}, {_lagged('count', 'adj_close', n)} AS count_adj_close_{n}, round({_lagged('stddev_samp', 'adj_volume', n)}, 6) AS stddev_samp_adj_volume_{n}" for n in (20, 60, 250))
+    + " FROM prices",
     "latest_rows": f"WITH {PRICES_SQL} SELECT date, ticker, close FROM prices ORDER BY date DESC, ticker LIMIT 25",
     "top_tickers": f"WITH {PRICES_SQL} SELECT ticker, count(*) AS n_rows FROM prices GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10",
     "missing_keys": f"WITH {PRICES_SQL}, {NEW_PRICES_SQL} SELECT security_id, date FROM new_prices ANTI JOIN prices USING (security_id, date)",

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars
-from ..operators import calendar, dedup, features, gaps, merge, normalize, profile, quality, reconcile, runs, security_master, state, universe
+from ..operators import calendar, dedup, features, frames, gaps, merge, normalize, profile, quality, reconcile, runs, security_master, state, universe
 from ..schemas import PRICE_COLUMNS, PRICE_KEY, WINDOW_KEY, cast_to
 from ..sources import readers, writers
 from ..streaming import ingest
@@ -618,7 +618,30 @@ def column_profile(spark, d):
 
 @query
 def described(spark, d):
-    return profile.describe(views.prices(spark, d)).select("place", "column", "n_rows")
+    return profile.describe(views.prices(spark, d))
+
+
+@query
+def sampled_rows(spark, d):
+    """A sample of a relation, made of the sketches of two halves."""
+    rows = views.results(spark, d).select("run_id", "ticker", "requested_start_date", "status", "row_count", "api_called", "seq")
+    halves = [profile.sample_sketch(rows.where(F.col("seq") % 2 == i), 50) for i in (0, 1)]
+    return profile.merge_sketches(*halves, 50)
+
+
+@query
+def wide_profile(spark, d):
+    """A profile of twenty columns in one pass."""
+    rows = views.prices(spark, d)
+    return profile.column_profile(rows.withColumns({"half": F.col("volume") / 2, "maybe": F.when(F.col("volume") % 2 == 0, F.col("ticker"))}), [*PRICE_COLUMNS, "half", "maybe"])
+
+
+@query
+def block_frames(spark, d):
+    """Frames of 20, 60 and 250 preceding rows by block aggregates."""
+    wanted = {f"{f}_{c}_{n}": (f, c, n) for n in (20, 60, 250) for f, c in (("max", "adj_close"), ("min", "adj_close"), ("avg", "adj_volume"), ("count", "adj_close"), ("stddev_samp", "adj_volume"))}
+    made = frames.preceding_frames(views.prices(spark, d).select("security_id", "date", "adj_close", "adj_volume"), wanted, by=["security_id"], order=["date"])
+    return made.withColumns({c: F.round(c, 6) for c in wanted if c.startswith(("avg", "stddev"))})
 
 
 @query
