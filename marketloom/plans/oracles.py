@@ -307,6 +307,10 @@ SQL: dict[str, str] = {
     "missing_keys": f"WITH {PRICES_SQL}, {NEW_PRICES_SQL} SELECT security_id, date FROM new_prices ANTI JOIN prices USING (security_id, date)",
     "extra_keys": f"WITH {PRICES_SQL}, {NEW_PRICES_SQL} SELECT security_id, date FROM prices ANTI JOIN new_prices USING (security_id, date)",
     "mismatched_rows": f"WITH {PRICES_SQL}, {NEW_PRICES_SQL} SELECT security_id, date, concat_ws(',', CASE WHEN n.close IS DISTINCT FROM p.close THEN 'close' END, CASE WHEN n.low IS DISTINCT FROM p.low THEN 'low' END, CASE WHEN n.load_id IS DISTINCT FROM p.load_id THEN 'load_id' END) AS differing FROM new_prices n JOIN prices p USING (security_id, date) WHERE differing <> ''",
+    "tree_missing_keys": f"WITH {PRICES_SQL}, {NEW_PRICES_SQL} SELECT security_id, date FROM new_prices ANTI JOIN prices USING (security_id, date)",
+    "tree_extra_keys": f"WITH {PRICES_SQL}, {NEW_PRICES_SQL} SELECT security_id, date FROM prices ANTI JOIN new_prices USING (security_id, date)",
+    "tree_mismatched_rows": f"WITH {PRICES_SQL}, {NEW_PRICES_SQL} SELECT security_id, date, concat_ws(',', CASE WHEN n.close IS DISTINCT FROM p.close THEN 'close' END, CASE WHEN n.low IS DISTINCT FROM p.low THEN 'low' END, CASE WHEN n.load_id IS DISTINCT FROM p.load_id THEN 'load_id' END) AS differing FROM new_prices n JOIN prices p USING (security_id, date) WHERE differing <> ''",
+    "unequal_months": f"WITH {PRICES_SQL} SELECT DISTINCT CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month FROM prices WHERE year(date) = 1997 AND month(date) = 5",
     "key_differences": f"WITH {PRICES_SQL}, {NEW_PRICES_SQL} SELECT * FROM {DIFFERENCES}",
     "staging_check": f"WITH {PRICES_SQL}, {NEW_PRICES_SQL} SELECT count(*) AS n_rows, min(date) AS min_date, max(date) AS max_date, count(*) FILTER (NOT {INSIDE}) AS outside FROM new_prices",
     "empty_window_review": f"""WITH {RESULTS_SQL}, {SECURITIES_SQL} SELECT r.seq, r.ticker, r.action AS status, s.exchange, s.asset_type, s.end_date, s.is_active

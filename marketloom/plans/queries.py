@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars
-from ..operators import calendar, dedup, features, frames, gaps, merge, normalize, profile, quality, reconcile, runs, security_master, state, universe
+from ..operators import calendar, dedup, features, fingerprints, frames, gaps, merge, normalize, profile, quality, reconcile, runs, security_master, state, universe
 from ..schemas import PRICE_COLUMNS, PRICE_KEY, WINDOW_KEY, cast_to
 from ..sources import readers, writers
 from ..streaming import ingest
@@ -674,6 +674,36 @@ def key_differences(spark, d):
     return reconcile.key_differences(views.new_prices(spark, d), views.prices(spark, d), PRICE_KEY)
 
 
+def _compared(spark, d) -> fingerprints.Comparison:
+    columns = ["close", "low", "load_id"]
+    return fingerprints.Comparison(views.new_prices(spark, d), views.prices(spark, d), PRICE_KEY, columns)
+
+
+@query
+def tree_missing_keys(spark, d):
+    """Keys that a target lacks, by fingerprints and the exact join below unequal ones."""
+    return _compared(spark, d).missing()
+
+
+@query
+def tree_extra_keys(spark, d):
+    return _compared(spark, d).extra()
+
+
+@query
+def tree_mismatched_rows(spark, d):
+    return _compared(spark, d).mismatched()
+
+
+@query
+def unequal_months(spark, d):
+    """Months in which a table differs from itself with one month restated."""
+    p = views.prices(spark, d)
+    other = p.withColumn("close", F.when((F.year("date") == 1997) & (F.month("date") == 5), F.col("close") + 1).otherwise(F.col("close")))
+    marks = [fingerprints.fingerprints(x, PRICE_KEY, ["close", "low", "volume"]) for x in (p, other)]
+    return fingerprints.unequal_leaves(*marks).select("year", "month").distinct()
+
+
 @query
 def staging_check(spark, d):
     return reconcile.staging_check(views.new_prices(spark, d), MONTHS)

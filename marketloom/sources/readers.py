@@ -104,9 +104,30 @@ def state(spark: SparkSession, path: str, schema: T.StructType | str, where: Col
     return table if where is None else table.where(where)
 
 
-def jdbc(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:
-    """The same state from a database."""
-    return spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
+def jdbc(spark: SparkSession, url: str, table: str, *, where: Column | None = None, split_by: str | None = None, rows_per_part: int = 100_000, most_parts: int = 64, **options: str) -> DataFrame:
+    """The same state from a database: where is pushed into its query, and only the columns that are used are asked for.
+
+    split_by: a number, date or timestamp column by whose range the scan is split, so that no
+    connection reads more than about rows_per_part rows and no more than most_parts run; its
+    bounds and the number of rows come from one aggregate that the database computes. Rows with
+    a null there are in the first part; an empty table is one part.
+    """
+    base = {"url": url, "dbtable": table, "pushDownAggregate": "true", **options}
+    load = lambda **more: spark.read.format("jdbc").options(**base, **more).load()
+    rows = load()
+    parted = rows
+    if split_by is not None:
+        asked = rows if where is None else rows.where(where)
+        low, high, n = asked.agg(F.min(split_by), F.max(split_by), F.count(F.lit(1))).first()
+        parts = min(most_parts, -(-n // rows_per_part))
+        if low is not None and parts > 1:
+            parted = load(partitionColumn=split_by, lowerBound=str(low), upperBound=str(high), numPartitions=str(parts))
+    return parted if where is None else parted.where(where)
+
+
+def write_state(df: DataFrame, url: str, table: str, *, mode: str = "append", **options: str) -> None:
+    """Rows put into a database's table, by one connection per partition."""
+    df.write.format("jdbc").options(url=url, dbtable=table, **options).mode(mode).save()
 
 
 def inventory(spark: SparkSession, root: str, pattern: str = "*.parquet") -> DataFrame:
