@@ -1,7 +1,9 @@
 """Main text of web pages: gradient-boosted trees over DOM nodes, decoded down the tree.
 
-Every block element gets features (tag, attribute tokens of its own and its ancestors,
-depth, subtree density, siblings). Boosted trees give the odds that it belongs to the main
+Nodes are the block elements and controls (button, label), inline elements that stand in a
+container or carry attribute tokens of something that is not text, and text that stands in the
+body itself; other inline elements are part of their block. Every node gets features (tag,
+attribute tokens of its own and its ancestors, depth, subtree density, siblings). Boosted trees give the odds that it belongs to the main
 text. Decoding picks the best set of nodes in which a kept node's ancestors are all kept:
 over the tree, a node is either dropped with all below it or kept with its children's best.
 
@@ -31,7 +33,10 @@ SEED = 6
 #: Fixed lists of HTML: elements without content, elements whose content is no text, inline elements, and which start tags end an open element.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style template head title".split())
-INLINE = set("a abbr b bdi bdo cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var img wbr button input".split())
+INLINE = set("a abbr b bdi bdo cite code data del dfn em font i ins kbd mark q s samp small span strike strong sub sup time tt u var img wbr input".split())
+#: In these, and in the body, an inline element is a node of its own; text of the body is one under this name.
+CONTAINERS = set("div section article main nav aside header footer form fieldset dialog menu ul ol dl table tr".split())
+BARE = "#text"
 ENDS_P = set("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 SAME_ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = set("ul ol dl table div section article main aside nav body".split())
@@ -51,6 +56,9 @@ TAG_GROUPS = [
     {"form", "fieldset", "legend", "dialog"},
     {"table", "tbody", "thead", "tfoot", "tr", "td", "th", "caption"},
     {"blockquote", "pre", "figure", "figcaption"},
+    {"button", "label", "select", "option", "textarea", "output"},
+    INLINE,
+    {BARE},
 ]
 ATTRIBUTE_GROUPS = [
     r"article|content|post|entry|story|main|body|text|prose",
@@ -74,16 +82,16 @@ _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none", re.I)
 
 
 class Page:
-    """The block elements of a page in order of their starts, and its text by pieces.
+    """The nodes of a page in order of their starts, and its text by pieces.
 
-    tags, attributes, parents: by element; pieces: (element, text, link text length); a piece
-    belongs to the nearest block element. Blocks and <br> part words.
+    tags, attributes, parents, inline: by node; pieces: (node, text, whether in a link); a piece
+    belongs to the nearest node. Blocks and <br> part words.
     """
 
-    __slots__ = ("tags", "attributes", "parents", "pieces")
+    __slots__ = ("tags", "attributes", "parents", "inline", "pieces")
 
     def __init__(self, source: str):
-        self.tags, self.attributes, self.parents = ["html"], [""], [-1]
+        self.tags, self.attributes, self.parents, self.inline = ["html"], [""], [-1], [False]
         self.pieces: list[tuple[int, str, bool]] = []
         open_, places, at = [("html", 0)], {}, 0  # places: by tag, where in open_ it stands
         links, add = places.setdefault("a", []), self.pieces.append
@@ -93,7 +101,8 @@ class Page:
             here = open_[-1][1]
             end = m.start() if m else n
             if end > at:
-                add((here, entities.unescape(source[at:end]), bool(links)))
+                said = entities.unescape(source[at:end])
+                add((self._node(BARE, "", 0, True) if here == 0 and not said.isspace() else here, said, bool(links)))
             if not m:
                 break
             at = m.end()
@@ -131,17 +140,24 @@ class Page:
                 self._close(open_, places, {"a"})
             if tag in INLINE:
                 if not m[0].endswith("/>"):
+                    block = open_[-1][1]
+                    apart = block == 0 or self.tags[block] in CONTAINERS or any(_flags(m[3])[1:])
                     places.setdefault(tag, []).append(len(open_))
-                    open_.append((tag, open_[-1][1]))
+                    open_.append((tag, self._node(tag, m[3], block, True) if apart else block))
                 continue
-            self.tags.append(tag)
-            self.attributes.append(m[3])
-            self.parents.append(open_[-1][1])
+            self._node(tag, m[3], open_[-1][1], False)
             add((len(self.tags) - 1, " ", False))
             if not m[0].endswith("/>"):
                 places.setdefault(tag, []).append(len(open_))
                 open_.append((tag, len(self.tags) - 1))
 
+    def _node(self, tag: str, attributes: str, parent: int, inline: bool) -> int:
+        self.tags.append(tag)
+        self.attributes.append(attributes)
+        self.parents.append(parent)
+        self.inline.append(inline)
+        return len(self.tags) - 1
+
     @staticmethod
     def _cut(open_, places, depth: int) -> None:
         """Close the open elements from depth on; each is closed once, so a page takes linear time."""
@@ -157,8 +173,8 @@ class Page:
             cls._cut(open_, places, depth)
 
     def text(self, kept) -> str:
-        """The pieces of kept elements: white space to one space, character references decoded."""
-        return " ".join("".join(t if kept[i] else " " for i, t, _ in self.pieces).split())
+        """The pieces of kept nodes: white space to one space, character references decoded. Of a dropped inline node nothing stays."""
+        return " ".join("".join(t if kept[i] else "" if self.inline[i] else " " for i, t, _ in self.pieces).split())
 
 
 _attribute_flags: dict[str, tuple] = {}
@@ -300,7 +316,7 @@ class Boosted:
 def decode(odds: np.ndarray, own: np.ndarray, parents: list[int]) -> np.ndarray:
     """Kept elements: of all sets closed under ancestors, the one with the largest sum of odds weighted by text.
 
-    Elements without text of their own weigh little; the root is always kept.
+    Elements without text of their own weigh little; the root, which has no text of its own, is always kept.
     """
     n = len(parents)
     value = odds * (0.05 + np.sqrt(own))
@@ -314,7 +330,7 @@ def decode(odds: np.ndarray, own: np.ndarray, parents: list[int]) -> np.ndarray:
     return kept
 
 
-_BOILERPLATE_TAGS = {"nav", "aside", "footer", "header", "form", "fieldset", "dialog", "menu"}
+_BOILERPLATE_TAGS = {"nav", "aside", "footer", "header", "form", "fieldset", "dialog", "menu", "button", "label", "select", "textarea"}
 
 
 def page_labels(page: Page, anywhere: bool = False) -> np.ndarray | None:
@@ -364,7 +380,12 @@ def altered(source: str, rng: random.Random) -> str:
         lambda: f'<div class="share">{say(1, 5)}</div>',
         lambda: f'<ul class="menu">{items(rng.randint(3, 9))}</ul>',
         lambda: f'<div class="footer"><p>{say(4, 20)}</p></div>',
+        lambda: f'<span class="{rng.choice(["cookie-notice", "alert", "promo", "share", "ad"])}">{say(2, 15)}</span>',
+        lambda: f"<button>{say(1, 4)}</button>",
+        lambda: f'<a class="{rng.choice(["share", "follow", "more", "login"])}" href="/x">{say(1, 4)}</a>',
     ]
+    around = [lambda: say(1, 12), lambda: f"<span>{say(1, 8)}</span>", lambda: "".join(f'<a href="/{i}">{say(1, 3)[:-1]}</a> ' for i in range(rng.randint(1, 6))), lambda: f"<b>{say(1, 5)}</b> {say(1, 9)}"]
+    inside = [lambda: say(5, 40), lambda: f"<b>{say(1, 5)}</b> {say(5, 30)}", lambda: f'{say(3, 20)} <a href="/{rng.random()}">{say(1, 4)[:-1]}</a> {say(3, 20)}', lambda: f"<span>{say(5, 30)}</span>", lambda: f"<em>{say(2, 9)}</em>"]
     out = source
     spots = [("<article", False), ("</article>", True), ("</article>", False), ("<footer", False)]
     for spot, after in spots:
@@ -373,6 +394,15 @@ def altered(source: str, rng: random.Random) -> str:
             if i >= 0:
                 i += len(spot) if after else 0
                 out = out[:i] + rng.choice(kinds)() + out[i:]
+    controls = [lambda: f"<button>{say(1, 4)}</button>", lambda: f'<span class="{rng.choice(["share", "ad", "promo", "newsletter"])}">{say(1, 6)}</span>', lambda: f'<a class="{rng.choice(["share", "follow", "reply"])}" href="/y">{say(1, 3)}</a>']
+    if rng.random() < 0.5:  # in the text's paragraphs
+        out = re.sub(r"</p>", lambda m: rng.choice(controls)() + "</p>" if rng.random() < 0.2 else m[0], out)
+    for spot, what in (("<body>", around), ("</body>", around), ("<article>", inside), ("</article>", inside)):
+        if rng.random() < 0.4:
+            i = out.find(spot)
+            if i >= 0:
+                i += len(spot) if spot in ("<body>", "<article>") else 0
+                out = out[:i] + rng.choice(what)() + out[i:]
     plan = rng.random()
     if plan < 0.35:
         name = rng.choice(['div class="content"', 'div id="main-text"', 'div class="post"', "div", 'section class="story"', "main"])

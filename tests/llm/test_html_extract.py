@@ -81,6 +81,38 @@ def test_only_raw_elements_are_skipped():
     assert text("<head><title>t</title><body><header>h</header>b") == "h b"
 
 
+NOTICES = ['<span class="cookie-notice">We use cookies.</span>', '<a href="/">Home</a>', "<button>Subscribe now</button>", "Skip to the text", '<label>Your name</label>', '<a class="login" href="/l">Log in</a><a href="/b">Blog</a>', '<span class="promo">Only today</span>', "<span>All rights reserved</span>"]
+
+
+def test_inline_boilerplate_around_and_in_the_text(model):
+    """Whole pages with notices, buttons and links outside blocks, and buttons and share links inside the text."""
+    rng, right = random.Random(8), []
+    for _, _, source, want in made(80, seed=4):
+        for spot, after in (("<body>", True), ("<article>", False), ("</article>", True), ("<footer>", False)):
+            i = source.find(spot) + (len(spot) if after else 0)
+            source = source[:i] + "".join(rng.sample(NOTICES, rng.randint(0, 2))) + source[i:]
+        for x in ("<button>Subscribe now</button>", '<a class="share" href="/s">Share this</a>', '<span class="ad">Buy</span>'):
+            i = source.rfind("</p>")
+            source = source[:i] + (x if rng.random() < 0.5 else "") + source[i:]
+        right.append(h.extract(source, model) == want)
+    assert np.mean(right) > 0.95
+
+
+def test_the_pages_of_the_verdict(model):
+    article = "<article><h1>Title here</h1><p>The stone river. It is quiet, and the engine of the garden is silver.</p><p>A letter in the morning, by the window. Maple and stone.</p></article>"
+    want = h.Page(article).text(np.ones(20, bool))
+    page = f'<body><span class="cookie-notice">We use cookies.</span><a href="/">Home</a>{article}</body>'
+    assert h.extract(page, model) == want
+    assert h.extract(page.replace("silver.</p>", "silver.<button>Subscribe now</button></p>"), model) == want
+
+
+def test_inline_nodes():
+    page = h.Page('<body>bare <i>x</i><div>a <b>b</b> <p>c<a href="/">d</a><span class="share">e</span>f<button>g</button></p></div>')
+    assert page.tags == ["html", "#text", "i", "div", "b", "p", "span", "button"]
+    kept = np.array([t not in ("span", "button", "#text") for t in page.tags])
+    assert page.text(kept) == "x a b cdf"
+
+
 def test_unclosed_markup_takes_linear_time():
     for markup in ("<b>", "<b><p>", "<a>x", "<div><b></i>", "<p><b></div>"):
         began = time.perf_counter()
