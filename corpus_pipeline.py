@@ -16,10 +16,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that repeat across documents; n_chars follows the text."""
+    """Documents without the lines that repeat across documents; n_chars follows the text. Columns of any names keep their values."""
     new = {"text": F.col("line_text"), "n_chars": F.length("line_text").cast("long")}
-    cut = line_dedup.dedup_lines(docs)
-    return cut.select(*[(new[c] if c in new else F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    own = {c: f"{c} of the document" for c in docs.columns if c.lower().startswith("line_")}
+    cut = line_dedup.dedup_lines(docs.withColumnsRenamed(own))
+    return cut.select(*[(new[c] if c in new else F.col(f"`{own.get(c, c)}`")).alias(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
