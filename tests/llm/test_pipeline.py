@@ -2,6 +2,7 @@ import collections
 import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 from marketloom.llm import entries, jaccard_join, line_dedup, mixing, quality_rules  # noqa: E402
@@ -68,3 +69,16 @@ def test_run_gives_the_same_rows(spark, folder):
 def test_empty_documents(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_extra_columns_of_clashing_names_keep_their_values(spark, folder, tmp_path):
+    names = ["line_text", "line_total", "row_id", "row", "kept", "size", "taken", "n_words", "n_shingles", "component_id", "place", "h", "gone", "shard", "slot"]
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    docs.select("*", *[F.concat(F.lit(f"{n} "), F.col("doc_id").cast("string")).alias(n) for n in names]).write.parquet(f"{tmp_path}/in")
+    docs = spark.read.parquet(f"{tmp_path}/in")
+    for i, (name, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        stage(spark, docs, folder).write.parquet(f"{tmp_path}/{i}")
+        docs = spark.read.parquet(f"{tmp_path}/{i}")
+        for r in docs.collect():
+            assert all(r[n] == f"{n} {r.doc_id}" for n in names), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, folder).count() == docs.count() > 0
