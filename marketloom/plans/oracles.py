@@ -252,6 +252,8 @@ SQL: dict[str, str] = {
     "folded_transitions": f"WITH {FOLDED} SELECT * FROM folded",
     "reset_stale": f"""WITH {FOLDED}, s AS (SELECT ticker, status, status = 'running' AND updated_at < TIMESTAMP '2024-01-30 12:00:00' - INTERVAL 120 MINUTE AS was_stale FROM folded)
         SELECT ticker, CASE WHEN was_stale THEN 'failed' ELSE status END AS status, was_stale FROM s""",
+    "streamed_transitions": f"""WITH {FOLDED}, s AS (SELECT *, status = 'running' AND updated_at < (SELECT max(ts) FROM events) - INTERVAL 2 DAY - INTERVAL 600 MINUTE AS was_stale FROM folded)
+        SELECT * REPLACE (CASE WHEN was_stale THEN 'failed' ELSE status END AS status) FROM s""",
     "tasks_to_process": f"""WITH {FOLDED} SELECT ticker, c_custkey AS task_order, status AS current_status, attempt_count FROM folded JOIN customer ON ticker = CAST(c_custkey AS VARCHAR)
         WHERE status IN ('pending', 'failed') AND attempt_count < 30 ORDER BY c_custkey LIMIT 50""",
     "tasks_without_status": "SELECT CAST(c_custkey AS VARCHAR) AS ticker FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events)",
@@ -366,6 +368,17 @@ SQL: dict[str, str] = {
         SELECT CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, count(*) AS n_rows, sum(close) AS sum_close FROM kept GROUP BY 1, 2""",
     "bucketed_returns": f"WITH {RETURNS} SELECT security_id, date, ret_1d, ret_20d, ret_120d FROM returns",
     "bucketed_files": f"WITH {PRICES_SQL} SELECT CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, count(*) AS n_rows, true AS bounded FROM prices GROUP BY 1, 2",
+    "stored_months": f"WITH {PRICES_SQL} SELECT * FROM prices WHERE (year(date) = 1999 AND month(date) = 3) OR (year(date) = 2000 AND month(date) = 1)",
+    "file_order": f"WITH {PRICES_SQL} SELECT CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, count(*) AS n_rows, 0 AS out_of_order FROM prices GROUP BY 1, 2",
+    "summary_file": f"""WITH {RESULTS_SQL} SELECT count(*) AS symbols_count, count(*) FILTER (api_called) AS api_call_count, count(*) FILTER (uploaded_to_gcs) AS upload_count, count(*) FILTER (status = 'empty') AS empty_window_count,
+        CAST(coalesce(sum(row_count), 0) AS BIGINT) AS ods_records, CAST(min(requested_start_date) AS VARCHAR) AS data_start_date, CAST(max(requested_end_date) AS VARCHAR) AS data_end_date,
+        CASE WHEN count(*) FILTER (status = 'failed') > 0 THEN 'failed' ELSE 'success' END AS pipeline_status FROM results""",
+    "described_view": f"""WITH {RESULTS_SQL}, names AS (SELECT unnest(['run_id', 'source', 'dataset_name', 'ticker', 'security_id', 'requested_start_date', 'requested_end_date', 'status', 'action', 'row_count', 'last_price_date', 'api_called', 'uploaded_to_gcs', 'error_message', 'completed_at', 'attempt_count', 'seq']) AS "column",
+            unnest(['string', 'string', 'string', 'string', 'string', 'date', 'date', 'string', 'string', 'bigint', 'date', 'boolean', 'boolean', 'string', 'timestamp', 'int', 'bigint']) AS type, unnest(range(17)) AS i)
+        SELECT CAST(i AS INTEGER) AS place, "column", type, (SELECT count(*) FROM results) AS n_rows, true AS temporary FROM names""",
+    "saved_contract": f"WITH {PRICES_SQL} SELECT unnest(['partition columns', 'bucket columns', 'column set', 'partition columns', 'bucket columns', 'column set']) AS rule, unnest([true, true, true, true, false, true]) AS passed, count(*) AS n_rows FROM prices",
+    "market_times": "SELECT event_id, ts AT TIME ZONE 'UTC' AT TIME ZONE 'America/New_York' AS local_time, CAST(ts AT TIME ZONE 'UTC' AT TIME ZONE 'America/New_York' AS DATE) AS local_date FROM events",
+    "complete_rows": f"WITH {PRICES_SQL} SELECT security_id, date, open, high, low, close, volume FROM prices WHERE volume % 7 <> 0 AND volume % 5 <> 0 AND volume % 11 <> 0",
     "materialised_models": f"WITH {RETURNS} SELECT security_id, count(*) AS n_rows, count(ret_120d) AS n_returns FROM returns GROUP BY 1",
     "replayed_batches": f"""WITH {PRICES_SQL}, {NEW_PRICES_SQL}, loads AS (
             SELECT security_id, date, close, load_id, loaded_at FROM prices

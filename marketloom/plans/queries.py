@@ -8,14 +8,15 @@ import uuid
 from collections.abc import Callable
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars
 from ..operators import calendar, dedup, features, fingerprints, frames, gaps, merge, normalize, profile, quality, reconcile, runs, security_master, state, universe
-from ..schemas import PRICE_COLUMNS, PRICE_KEY, WINDOW_KEY, cast_to
+from ..schemas import PRICE_COLUMNS, PRICE_KEY, WINDOW_KEY, cast_to, table_contract
 from ..sources import readers, writers
 from ..streaming import ingest
+from ..streaming import transitions as status_stream
 from . import views
 
 BENCHMARK = "0"
@@ -449,6 +450,18 @@ def reset_stale(spark, d):
     return state.reset_stale(folded, now=now, minutes=120).select("ticker", "status", "was_stale")
 
 
+#: What the stream of status events waits for late ones, and when a running task hangs.
+LATENESS, HANGS_AFTER = "2 days", 600
+
+
+@query
+def streamed_transitions(spark, d):
+    """Status events as a stream, folded by ticker, with hanging tasks reset by the time-out of the state."""
+    schema = views.read(spark, d, "events").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    return status_stream.fold_to(views.transitions_of(stream), f"{shared_folder(spark)}/status", minutes=HANGS_AFTER, lateness=LATENESS)
+
+
 @query
 def tasks_to_process(spark, d):
     tasks = views.read(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("ticker"), F.col("c_custkey").alias("task_order"))
@@ -791,6 +804,74 @@ def stored_ranges(spark, d):
     return readers.price_ranges(spark, root, MONTHS).select(*PRICE_KEY, "year", "month", "close")
 
 
+@query
+def stored_months(spark, d):
+    """Chosen months of a stored table in one pruned scan."""
+    root = f"{shared_folder(spark)}/table"
+    writers.write_months(views.prices(spark, d), root)
+    return readers.price_months(spark, root, [(1999, 3), (2000, 1), (2050, 1)])
+
+
+@query
+def file_order(spark, d):
+    """Of each month of a stored table: rows, and rows that stand before a lesser one of their file."""
+    root = f"{shared_folder(spark)}/table"
+    writers.write_months(views.prices(spark, d), root)
+    rows = spark.read.parquet(root)
+    rows = rows.select("year", "month", "ticker", "date", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"))
+    following = F.lead(F.struct("ticker", "date")).over(Window.partitionBy("file").orderBy("place"))
+    rows = rows.withColumn("wrong", F.coalesce(F.struct("ticker", "date") > following, F.lit(False)))
+    return rows.groupBy("year", "month").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("wrong").alias("out_of_order"))
+
+
+@query
+def summary_file(spark, d):
+    """A run's summary as a JSON file, read back."""
+    path = f"{shared_folder(spark)}/summary"
+    writers.write_summary(reconcile.run_summary(views.results(spark, d)).drop("action_counts"), path)
+    return spark.read.json(path)
+
+
+@query
+def described_view(spark, d):
+    """A view by its listed name: columns, types and rows."""
+    name = f"market_view_{uuid.uuid4().hex}"
+    views.results(spark, d).createOrReplaceTempView(name)
+    try:
+        (listed,) = readers.tables(spark, name[:-1] + "*").collect()
+        return kept(readers.described(spark, listed.name).withColumn("temporary", F.lit(listed.temporary)))
+    finally:
+        spark.catalog.dropTempView(name)
+
+
+@query
+def saved_contract(spark, d):
+    """The contract of a saved price table, and of one whose buckets it does not have."""
+    with saved_tables(spark, "prices") as (name,):
+        writers.save_bucketed(views.prices(spark, d), name, buckets=2)
+        columns = [*PRICE_COLUMNS, "year", "month"]
+        wanted = (["security_id"], ["ticker"])
+        checks = [table_contract(spark, name, partitions=["year", "month"], buckets=b, columns=columns) for b in wanted]
+        n_rows = spark.table(name).count()
+        return kept(checks[0].unionByName(checks[1]).select("rule", "passed", F.lit(n_rows).cast("long").alias("n_rows")))
+
+
+@query
+def market_times(spark, d):
+    """Instants as the clock of an exchange shows them."""
+    at = F.col("ts").cast("timestamp")
+    return views.read(spark, d, "events").select("event_id", scalars.market_time(at, "America/New_York").alias("local_time"), F.to_date(scalars.market_time(at, "America/New_York")).alias("local_date"))
+
+
+@query
+def complete_rows(spark, d):
+    """Payload rows with a null in a key column dropped."""
+    p = views.prices(spark, d)
+    fields = F.map_filter(F.create_map(F.lit("date"), F.col("date").cast("string"), F.lit("open"), F.col("open").cast("string"), F.lit("high"), F.col("high").cast("string"), F.lit("low"), F.when(F.col("volume") % 7 != 0, F.col("low")).cast("string"), F.lit("close"), F.when(F.col("volume") % 5 != 0, F.col("close")).cast("string"), F.lit("volume"), F.col("volume").cast("string")), lambda k, v: v.isNotNull())
+    rows = p.select(F.col("ticker").alias("file"), F.lit(0).alias("seq"), fields.alias("fields"), "ticker", F.when(F.col("volume") % 11 != 0, F.col("security_id")).alias("security_id"), "source", "load_id", "loaded_at")
+    return normalize.normalise_prices(rows, on_null="drop").select(*PRICE_KEY, "open", "high", "low", "close", "volume")
+
+
 @query
 def stored_files(spark, d):
     """Months by the inventory of a stored table's files, rows by their footers."""

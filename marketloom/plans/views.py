@@ -201,9 +201,13 @@ LATEST_RESULTS_SQL = """latest_results AS (
 
 def transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Status transitions of users: events."""
+    return transitions_of(read(spark, sf_dir, "events"))
+
+
+def transitions_of(events: DataFrame) -> DataFrame:
     kind = F.col("event_type")
     status = F.when(kind == "view", "running").when(kind == "click", "running").when(kind == "purchase", "success").when(kind == "error", "failed").otherwise("pending")
-    return read(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("ticker"), status.alias("status"), F.col("ts").cast("timestamp").alias("at"), F.col("event_id").alias("seq"))
+    return events.select(F.col("user_id").cast("string").alias("ticker"), status.alias("status"), F.col("ts").cast("timestamp").alias("at"), F.col("event_id").alias("seq"))
 
 
 TRANSITIONS_SQL = """transitions AS (

@@ -64,7 +64,7 @@ def _mark(spark: SparkSession, path: str) -> None:
     fs.create(where, True).close()
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
     where, fs = _hadoop(spark, path)
     fs.delete(where, True)
 
@@ -86,7 +86,7 @@ def stage(spark: SparkSession, merged: DataFrame, manifest: DataFrame, staging_r
     """Write the affected months to a staging root, count them again, and put the manifest beside it; an existing root is refused unless overwrite."""
     if not overwrite and path_exists(spark, staging_root):
         raise FileExistsError(staging_root)
-    _remove(spark, f"{staging_root}{MANIFEST_SUFFIX}")
+    remove(spark, f"{staging_root}{MANIFEST_SUFFIX}")
     write_months(merged, staging_root, mode="overwrite" if overwrite else "error")
     rows = manifest.select(*[F.col(c).cast(t).alias(c) for c, t in (x.split() for x in MANIFEST.split(", "))])
     rows.coalesce(1).write.parquet(f"{staging_root}{MANIFEST_SUFFIX}")
@@ -188,11 +188,11 @@ def recover(spark: SparkSession, archive_root: str, target_root: str) -> None:
 def rollback(spark: SparkSession, made: Promotion, target_root: str, archived: bool = True) -> None:
     """The target as it was before a promotion, which may then be made again."""
     for step in ("counted", "replaced"):
-        _remove(spark, f"{made.archive_root}{RECORD_SUFFIX}/{step}")
+        remove(spark, f"{made.archive_root}{RECORD_SUFFIX}/{step}")
     if archived:
         write_months(read_prices(spark, made.archive_root).select(*PRICE_COLUMNS), target_root, mode="overwrite", partition_mode="dynamic")
     for y, m in made.new_months:
-        _remove(spark, f"{target_root}/year={y}/month={m:02d}")
+        remove(spark, f"{target_root}/year={y}/month={m:02d}")
 
 
 def _in(table: DataFrame, months: list[tuple[int, int]]) -> DataFrame:

@@ -124,7 +124,7 @@ def test_a_killed_batch_is_merged_once(spark, tmp_path, step):
     with pytest.raises(Killed):
         apply_batch(spark, new, killed, str(tmp_path / "work"), 0, after=stop)
     if step == "archived":  # killed while months were replaced: one is gone
-        writers._remove(spark, f"{killed}/year=2026/month=06")
+        writers.remove(spark, f"{killed}/year=2026/month=06")
     spark.catalog.refreshByPath(killed)
     assert apply_batch(spark, new, killed, str(tmp_path / "work"), 0) == (step != "counted")
     assert whole(killed) == want
