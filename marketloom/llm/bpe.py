@@ -59,11 +59,28 @@ class TwoAges(dict):
         return found
 
 
+def demand_byte_level(spec: dict) -> None:
+    """Raise if a vocabulary file asks for anything but plain byte-level BPE, which it would be encoded wrongly by."""
+    before, model = spec.get("pre_tokenizer") or {}, spec["model"]
+    wrong = [name for name in ("normalizer",) if spec.get(name)]
+    if before.get("type") != "ByteLevel" or before.get("add_prefix_space") or not before.get("use_regex", True):
+        wrong.append("pre_tokenizer")
+    if (spec.get("decoder") or {}).get("type") != "ByteLevel":
+        wrong.append("decoder")
+    if model.get("type", "BPE") != "BPE":
+        wrong.append("model")
+    wrong += [name for name in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges") if model.get(name)]
+    wrong += [f"{name} of {token['content']!r}" for token in spec.get("added_tokens", []) for name in ("single_word", "lstrip", "rstrip", "normalized") if token.get(name)]
+    if wrong:
+        raise ValueError(f"not a plain byte-level BPE vocabulary: {', '.join(wrong)}")
+
+
 class Codec:
     """Encoder and decoder of a byte-level BPE vocabulary file's content (JSON of the tokenizers library)."""
 
     def __init__(self, content: str):
         spec = json.loads(content)
+        demand_byte_level(spec)
         letters = byte_letters()
         raw = lambda s: bytes(letters[c] for c in s)
         vocab = spec["model"]["vocab"]
@@ -191,6 +208,7 @@ class Bpe:
     def __init__(self, spark: SparkSession, path: str):
         with open(path, encoding="utf-8") as f:
             content = f.read()
+        demand_byte_level(json.loads(content))
         self.content = spark.sparkContext.broadcast((hash(content), content))
 
     def encode(self, text: Column) -> Column:

@@ -1,3 +1,4 @@
+import json
 import random
 
 import numpy as np
@@ -62,3 +63,13 @@ def test_columns(spark, both):
         ids = both[1].encode(t or "", add_special_tokens=False).ids
         assert np.array_equal(bpe.id_array(bytes(r.e)), ids) and r.d == (t or "") and r.n == len(ids)
     assert docs.limit(0).select(codec.encode(F.col("text"))).collect() == []
+
+
+def test_other_vocabularies_are_refused():
+    with pytest.raises(ValueError, match="pre_tokenizer"):
+        bpe.Codec(open(tokenizer_path("word_bpe_49k.json"), encoding="utf-8").read())
+    spec = json.loads(open(tokenizer_path("byte_bpe_50k.json"), encoding="utf-8").read())
+    for change in ({"normalizer": {"type": "NFC"}}, {"pre_tokenizer": spec["pre_tokenizer"] | {"add_prefix_space": True}}, {"model": spec["model"] | {"ignore_merges": True}}, {"added_tokens": [spec["added_tokens"][0] | {"lstrip": True}]}):
+        with pytest.raises(ValueError, match="byte-level"):
+            bpe.demand_byte_level(spec | change)
+    bpe.demand_byte_level(spec)
