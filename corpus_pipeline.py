@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.llm import bpe, jaccard_join, line_dedup, mixing, quality_rules
 from marketloom.llm.entries import fertility_files, tokenizer_path
-from marketloom.llm.shared import table, written
+from marketloom.llm.shared import scratch, shared_dir, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +56,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The token ids of the mixed corpus. A stage's intermediate tables go when its result is written."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with scratch(spark):
+            path = f"{shared_dir(spark)}/marketloom/{name.replace(' ', '-')}-{uuid.uuid4().hex}"
+            stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -1,11 +1,13 @@
 import collections
 import hashlib
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 from marketloom.llm import entries, jaccard_join, line_dedup, mixing, quality_rules  # noqa: E402
+from marketloom.llm.shared import _scan_of_files, shared_dir  # noqa: E402
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -66,6 +68,20 @@ def test_run_gives_the_same_rows(spark, folder):
     assert a == b and a
 
 
+def test_intermediate_tables_go(spark, folder):
+    root = f"{shared_dir(spark)}/marketloom"
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    kept = corpus_pipeline.run(spark, folder)
+    left = {x.rsplit("-", 1)[0] for x in set(os.listdir(root)) - before if not x.startswith("marketloom_run_")}
+    assert left == {name.replace(" ", "-") for name, _ in corpus_pipeline.STAGES[:-1]} and kept.count() > 0
+
+
+def test_plain_scans_are_numbered_without_a_copy(spark, folder):
+    """Row numbers come from files and places for tables as they are registered; a new Spark whose plans look different fails here."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    assert _scan_of_files(docs) and _scan_of_files(docs.select("doc_id", "text")) and not _scan_of_files(docs.distinct())
+
+
 def test_empty_documents(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
