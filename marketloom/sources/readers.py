@@ -76,14 +76,21 @@ def json_payloads(spark: SparkSession, path: str, *, strict: bool = True, patter
 
 
 def explode_payloads(files: DataFrame, *, strict: bool = True) -> DataFrame:
-    """A row per record of files (file, value). file_keys: all names that the file's records use, taken from the array before it is exploded, so that nothing is shuffled for them."""
+    """A row per record of files (file, value). file_keys: all names that the file's records use, taken from the array before it is exploded, so that nothing is shuffled for them.
+
+    What belongs to a file (its names, the columns of its path) is a column of its own below the
+    explosion: beside it in one select Spark would compute it again for each record, over all of them.
+    The outer explosion spares the filter of empty lists, which Spark would infer and for which it
+    would parse each file again.
+    """
     records = _payload(F.col("value"))
     if strict:
         records = F.coalesce(records, F.raise_error(F.concat(F.lit("no list of records: "), F.col("file"))).cast(PAYLOAD_TYPE))
     listed = files.select("file", records.alias("records"))
     names = F.array_distinct(F.flatten(F.transform(F.filter("records", lambda r: r.isNotNull()), F.map_keys)))
-    rows = listed.select("file", names.alias("file_keys"), F.posexplode("records").alias("seq", "fields"))
-    return rows.select("file", F.col("seq").cast("long").alias("seq"), "fields", "file_keys", *path_columns(F.col("file")))
+    listed = listed.select("file", names.alias("file_keys"), *path_columns(F.col("file")), "records")
+    rows = listed.select("file", "file_keys", *PATH_KEYS, F.posexplode_outer("records").alias("seq", "fields"))
+    return rows.where("seq IS NOT NULL").select("file", F.col("seq").cast("long").alias("seq"), "fields", "file_keys", *PATH_KEYS)
 
 
 def path_columns(file: Column) -> list[Column]:

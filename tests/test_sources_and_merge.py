@@ -53,6 +53,22 @@ def test_normalisation(spark, tmp_path):
         normalised(spark, tmp_path)
 
 
+def test_names_once_per_file(spark, tmp_path):
+    landed(tmp_path, "aaa", [raw(), None, raw(adjClose="absent") | {"adj_close": 7.0}])
+    landed(tmp_path, "bbb", {"records": [{"date": "2026-06-12"}]})
+    landed(tmp_path, "ccc", [])
+    landed(tmp_path, "ddd", {"records": []})
+    rows = readers.json_payloads(spark, str(tmp_path))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Generate posexplode", 1)
+    assert "array_distinct" in below and "regexp_extract" in below
+    assert "array_distinct" not in above and "regexp_extract" not in above
+    assert plan.count("from_json") == 2  # a list, or an object that holds one: each file is parsed once
+    got = {(r.symbol, r.seq): r for r in rows.collect()}
+    assert got.keys() == {("aaa", 0), ("aaa", 1), ("aaa", 2), ("bbb", 0)} and got["aaa", 1].fields is None
+    assert sorted(got["aaa", 1].file_keys) == sorted([*raw(), "adj_close"]) and got["bbb", 0].file_keys == ["date"]
+
+
 def months(spark, table):
     return {(r.year, r.month): r.n_rows for r in writers.month_counts(spark, table).collect()}
 
