@@ -21,11 +21,24 @@ ALIASES = {
 PLAIN = ["open", "high", "low", "close", "volume"]
 
 
-def _by_file(fields: Column, names: list[str], file_keys: Column) -> Column:
+#: All names that are looked up as numbers.
+NAMES = [*PLAIN, *[n for names in ALIASES.values() for n in names]]
+
+
+def _numbers(fields: Column) -> Column:
+    """A row's values under the names. One small function goes over them: written out for each column, a row's code is too long for the JVM to compile."""
+    return F.transform(F.array(*map(F.lit, NAMES)), lambda n: F.try_element_at(fields, n).try_cast("double"))
+
+
+def _of(name: str) -> Column:
+    return F.col("numbers_")[NAMES.index(name)]
+
+
+def _by_file(names: list[str]) -> Column:
     """The value under the first name that any row of the file has."""
     out = F.lit(None).cast("double")
     for n in reversed(names):
-        out = F.when(F.array_contains(file_keys, n), F.try_element_at(fields, F.lit(n)).try_cast("double")).otherwise(out)
+        out = F.when(F.array_contains("file_keys", n), _of(n)).otherwise(out)
     return out
 
 
@@ -41,18 +54,19 @@ def normalise_prices(rows: DataFrame, *, file_columns: tuple[str, ...] = ("file"
     if "file_keys" not in rows.columns:
         keys = F.collect_set(F.map_keys("fields")).over(Window.partitionBy(*file_columns))
         rows = rows.withColumn("file_keys", F.array_distinct(F.flatten(keys)))
-    f, k = F.col("fields"), F.col("file_keys")
-    raw = {c: F.try_element_at(f, F.lit(c)).try_cast("double") for c in PLAIN}
-    raw["volume"] = F.when(F.array_contains(k, "volume"), raw["volume"]).otherwise(F.lit(0.0))
-    adj = {c: F.coalesce(_by_file(f, names, k), raw[c[4:]]) for c, names in ALIASES.items() if c.startswith("adj_")}
+    f = F.col("fields")
+    rows = rows.withColumn("numbers_", _numbers(f))
+    raw = {c: _of(c) for c in PLAIN}
+    raw["volume"] = F.when(F.array_contains("file_keys", "volume"), raw["volume"]).otherwise(F.lit(0.0))
+    adj = {c: F.coalesce(_by_file(names), raw[c[4:]]) for c, names in ALIASES.items() if c.startswith("adj_")}
     made = rows.select(
         "security_id",
         ticker_of(F.col("ticker")).alias("ticker"),
         F.to_date(parse_instant(F.try_element_at(f, F.lit("date")))).alias("date"),
         *[raw[c].alias(c) for c in PLAIN],
         *[v.alias(c) for c, v in adj.items()],
-        F.coalesce(_by_file(f, ALIASES["div_cash"], k), F.lit(0.0)).alias("div_cash"),
-        F.coalesce(_by_file(f, ALIASES["split_factor"], k), F.lit(1.0)).alias("split_factor"),
+        F.coalesce(_by_file(ALIASES["div_cash"]), F.lit(0.0)).alias("div_cash"),
+        F.coalesce(_by_file(ALIASES["split_factor"]), F.lit(1.0)).alias("split_factor"),
         "source",
         "load_id",
         F.col("loaded_at").cast("timestamp").alias("loaded_at"),

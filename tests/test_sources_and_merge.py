@@ -69,6 +69,15 @@ def test_names_once_per_file(spark, tmp_path):
     assert sorted(got["aaa", 1].file_keys) == sorted([*raw(), "adj_close"]) and got["bbb", 0].file_keys == ["date"]
 
 
+def test_rows_are_compiled(spark, tmp_path):
+    landed(tmp_path, "aaa", [raw()])
+    named = readers.json_payloads(spark, str(tmp_path)).withColumns({"ticker": F.col("symbol"), "security_id": F.col("symbol"), "load_id": F.lit("l"), "loaded_at": F.lit(T0)})
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    stages = debug.codegenStringSeq(normalize.normalise_prices(named)._jdf.queryExecution().executedPlan())
+    sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+    assert sizes and max(sizes) < 8000, sizes  # the JVM leaves longer methods to its interpreter
+
+
 def months(spark, table):
     return {(r.year, r.month): r.n_rows for r in writers.month_counts(spark, table).collect()}
 
