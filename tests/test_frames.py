@@ -30,3 +30,10 @@ def test_one_exchange(spark):
     df = spark.createDataFrame([("a", 1, 1.0)], "g string, i int, x double")
     plan = frames.preceding_frames(df, {"m": ("max", "x", 20), "s": ("avg", "x", 60)}, by=["g"], order=["i"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
+
+
+def test_nothing_wide_is_sorted(spark):
+    df = spark.createDataFrame([("a", 1, 1.0)], "g string, i int, x double")
+    wanted = {f"{f}_{n}": (f, "x", n) for f in FUNCTIONS for n in (20, 60, 250)}
+    plan = frames.preceding_frames(df, wanted, by=["g"], order=["i"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") == 1
