@@ -32,9 +32,15 @@ def part_of(key: list[str], parts: int) -> Column:
 def fingerprints(table: DataFrame, key: list[str], columns: list[str], *, parts: int = PARTS) -> DataFrame:
     """(year, month, part, n_rows, mark_1, mark_2) of a table with a date, over key and columns. Nulls and their places count."""
     nulls = F.concat_ws("", *[F.when(F.col(c).isNull(), "1").otherwise("0") for c in [*key, *columns]])  # a hash passes over nulls
-    marks = [F.xxhash64(F.lit(seed), nulls, *key, *columns).cast("decimal(20,0)") for seed in ("a", "b")]
-    rows = with_month(table).select(*MONTH, part_of(key, parts).alias("part"), *[m.alias(f"mark_{i}") for i, m in enumerate(marks, 1)])
-    return rows.groupBy(*LEAF).agg(F.count(F.lit(1)).alias("n_rows"), F.sum("mark_1").alias("mark_1"), F.sum("mark_2").alias("mark_2"))
+    marks = [F.xxhash64(F.lit(seed), nulls, *key, *columns).alias(f"mark_{i}") for i, seed in enumerate(("a", "b"), 1)]
+    rows = with_month(table).select(*MONTH, part_of(key, parts).alias("part"), *marks)
+    return rows.groupBy(*LEAF).agg(F.count(F.lit(1)).alias("n_rows"), *[_hash_sum(m).alias(m) for m in ("mark_1", "mark_2")])
+
+
+def _hash_sum(c: str) -> Column:
+    """The exact sum of 64-bit hashes, by sums of their halves: a decimal for each row would cost more than the hashes."""
+    high, low = F.sum(F.shiftright(c, 32)), F.sum(F.col(c).bitwiseAND(F.lit(0xFFFFFFFF)))
+    return (high.cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(10,0)") + low.cast("decimal(20,0)")).cast("decimal(30,0)")
 
 
 def month_fingerprints(leaves: DataFrame) -> DataFrame:
@@ -61,8 +67,11 @@ def unequal_leaves(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def below(table: DataFrame, leaves: DataFrame, months: list[tuple[int | None, int | None]], key: list[str], *, parts: int = PARTS) -> DataFrame:
     """The rows of a table in the leaves. Where year and month are its partition columns, other months are not read."""
-    at = lambda y, m: F.col("year").isNull() if y is None else (F.col("year") == y) & (F.col("month") == m)
-    inside = reduce(lambda x, y: x | y, [at(*x) for x in months], F.lit(False))
+    # Looks into sets for each row, however many months there are.
+    known = [x for x in months if x[0] is not None]
+    inside = F.col("year").isin(sorted({y for y, _ in known})) & F.col("month").isin(sorted({m for _, m in known})) & (F.col("year") * 12 + F.col("month")).isin([y * 12 + m for y, m in known])
+    if any(y is None for y, _ in months):
+        inside = F.coalesce(inside, F.lit(False)) | F.col("year").isNull()
     rows = with_month(table).where(inside).withColumn("part", part_of(key, parts))
     return rows.alias("t").join(leaves.alias("l"), _same("t", "l", LEAF), "left_semi").drop("part")
 

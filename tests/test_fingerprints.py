@@ -63,3 +63,24 @@ def test_only_unequal_months_are_read(spark, tmp_path):
     pruned = re.sub(r"#\d+L?", "", scan.split("PartitionFilters")[1].split("PushedFilters")[0])
     assert made.months == [(2026, 3)] and "(year = 2026)" in pruned and "(month = 3)" in pruned
     assert made.counts().first().mismatched == 20
+
+
+def test_months_are_looked_up_in_a_set(spark):
+    rows = frame(spark, *[price(security_id="v:1", date=dt.date(2000 + i // 12, i % 12 + 1, 5)) for i in range(120)])
+    leaves = fingerprints.fingerprints(rows, KEY, COLUMNS).select(*fingerprints.LEAF)
+    some = fingerprints.below(rows, leaves, [(2000 + i // 12, i % 12 + 1) for i in range(0, 120, 2)], KEY)
+    plan = some._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(" INSET ") >= 1 and " OR " not in plan
+    assert sorted(r.date.month % 2 for r in some.collect()) == [1] * 60
+    assert fingerprints.below(rows, leaves, [], KEY).count() == 0
+
+
+def test_marks_are_exact_sums_of_hashes(spark):
+    rows = frame(spark, *[price(security_id=f"v:{i}", date=dt.date(2026, 3, 5)) for i in range(500)])
+    marks = fingerprints.fingerprints(rows, KEY, COLUMNS, parts=1)
+    nulls = "0" * len([*KEY, *COLUMNS])
+    want = rows.agg(*[F.sum(F.xxhash64(F.lit(s), F.lit(nulls), *KEY, *COLUMNS).cast("decimal(20,0)")) for s in ("a", "b")]).first()
+    (got,) = marks.collect()
+    assert (got.n_rows, got.mark_1, got.mark_2) == (500, *want) and dict(marks.dtypes)["mark_1"] == "decimal(30,0)"
+    plan = marks._jdf.queryExecution().optimizedPlan().toString()
+    assert "sum(cast(" not in plan  # a decimal for each row
