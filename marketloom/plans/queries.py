@@ -997,10 +997,10 @@ def replayed_batches(spark, d):
 def staged_promotion(spark, d):
     """Write months, stage a merge, promote it, and read the months back."""
     root = shared_folder(spark)
-    base, new = views.prices(spark, d), views.new_prices(spark, d)
+    base, new = views.prices(spark, d), kept(views.new_prices(spark, d))  # new is read by each step
     writers.write_months(base, f"{root}/table")
     stored = readers.prices(spark, f"{root}/table")
     made = merge.manifest(stored, new)
     writers.stage(spark, merge.merge_windows(stored, new), made, f"{root}/staging")
-    writers.promote(spark, f"{root}/staging", f"{root}/table", f"{root}/archive", made)
+    writers.promote(spark, f"{root}/staging", f"{root}/table", f"{root}/archive")  # by the manifest that was staged
     return writers.month_counts(spark, f"{root}/table").join(readers.prices(spark, f"{root}/table").groupBy("year", "month").agg(F.sum("close").alias("sum_close")), ["year", "month"])
