@@ -18,3 +18,7 @@ def test_new_rows_of_a_promotion_are_made_once(spark, monkeypatch):
     assert seen and not [f for x in seen for f in x.inputFiles() if "lineitem" in f]
 
 
+def test_paths_are_not_sorted(spark):
+    plan = QUERIES["file_order"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    window = [x for x in plan.splitlines() if "Window [" in x][0]
+    assert "task" in window and "file_path" not in plan
