@@ -9,21 +9,33 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import guarded_ratio, weekday
+from .frames import preceding_frames
 
 RETURN_ROWS = (1, 2, 5, 10, 20, 60, 120)
 FORWARD_ROWS = (1, 5, 20)
 RETURN_INPUTS = ["security_id", "ticker", "date", "adj_close", "adj_volume", "volume", "div_cash", "split_factor"]
+#: Frames of the rows before the current one: (function, column, rows).
+ROLLED = {
+    "avg_dollar_volume_20d_lagged": ("avg", "dollar_volume", 20),
+    "avg_dollar_volume_60d_lagged": ("avg", "dollar_volume", 60),
+    "std_dollar_volume": ("stddev_samp", "dollar_volume", 20),
+    "avg_volume_20d_lagged": ("avg", "adj_volume", 20),
+    "std_volume": ("stddev_samp", "adj_volume", 20),
+    "volatility_20d_lagged": ("stddev_samp", "ret_1d", 20),
+    "volatility_60d_lagged": ("stddev_samp", "ret_1d", 60),
+    "max_ret_20d_lagged": ("max", "ret_1d", 20),
+    "min_ret_20d_lagged": ("min", "ret_1d", 20),
+    "high_20d": ("max", "adj_close", 20),
+    "low_20d": ("min", "adj_close", 20),
+    "high_60d": ("max", "adj_close", 60),
+    "low_60d": ("min", "adj_close", 60),
+}
 
 
 def _by_date():
     return Window.partitionBy("security_id").orderBy("date")
 
 
-def _before(n: int):
-    """The n rows before the current one."""
-    return _by_date().rowsBetween(-n, -1)
-
-
 def returns(prices: DataFrame) -> DataFrame:
     """Returns over 1 to 120 rows; null at the start of a series and after a zero price."""
     close = F.col("adj_close")
@@ -38,26 +50,14 @@ def features(returned: DataFrame) -> DataFrame:
     """Lagged returns, liquidity, volatility and price position; the current row is in no frame."""
     dollars = F.col("adj_close") * F.col("adj_volume")
     base = returned.withColumns({"dollar_volume": dollars, "log_dollar_volume": F.ln(1 + dollars)})
-    rolled = base.withColumns(
+    # Spark's own frames would go over all 20 or 60 rows again for each row.
+    rolled = preceding_frames(base, ROLLED, by=["security_id"], order=["date"]).withColumns(
         {
             "ret_1d_lag1": F.lag("ret_1d", 1).over(_by_date()),
             "ret_1d_lag2": F.lag("ret_1d", 2).over(_by_date()),
             "ret_5d_lag1": F.lag("ret_5d", 1).over(_by_date()),
             "ret_5d_lag2": F.lag("ret_5d", 2).over(_by_date()),
             "ret_20d_lag1": F.lag("ret_20d", 1).over(_by_date()),
-            "avg_dollar_volume_20d_lagged": F.avg("dollar_volume").over(_before(20)),
-            "avg_dollar_volume_60d_lagged": F.avg("dollar_volume").over(_before(60)),
-            "std_dollar_volume": F.stddev_samp("dollar_volume").over(_before(20)),
-            "avg_volume_20d_lagged": F.avg("adj_volume").over(_before(20)),
-            "std_volume": F.stddev_samp("adj_volume").over(_before(20)),
-            "volatility_20d_lagged": F.stddev_samp("ret_1d").over(_before(20)),
-            "volatility_60d_lagged": F.stddev_samp("ret_1d").over(_before(60)),
-            "max_ret_20d_lagged": F.max("ret_1d").over(_before(20)),
-            "min_ret_20d_lagged": F.min("ret_1d").over(_before(20)),
-            "high_20d": F.max("adj_close").over(_before(20)),
-            "low_20d": F.min("adj_close").over(_before(20)),
-            "high_60d": F.max("adj_close").over(_before(60)),
-            "low_60d": F.min("adj_close").over(_before(60)),
         }
     )
     position = lambda c: guarded_ratio(F.col("adj_close"), F.col(c)) - 1

@@ -72,3 +72,8 @@ def test_liquid_universe(spark):
     got = f.liquid_universe(both, top=1).orderBy("month").collect()
     assert [r.security_id for r in got] == ["S:2", "S:2"]
     assert both.select(F.col("date")).count() == 80
+
+
+def test_no_frame_is_gone_over_for_each_row(spark):
+    plan = f.features(f.returns(series(spark, CLOSES)))._jdf.queryExecution().optimizedPlan().toString()
+    assert "lag(" in plan and "RowFrame, -60, -1" not in plan and "RowFrame, -20, -1" not in plan
